@@ -14,6 +14,7 @@ from fareweather.functions.weather import dim_weather, weather_category
 from fareweather.operators.hour_join import enrich_trips
 from fareweather.operators.summaries import (
     high_value,
+    hourly_totals,
     passenger_stats,
     passenger_stats_from_enriched,
     positive_passenger_trips,
@@ -59,6 +60,10 @@ def _fact(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fact_trips(feeds.event_trips(spark, sf_dir))
 
 
+def _totals(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return hourly_totals(_fact(spark, sf_dir))
+
+
 def _lake_warehouse(spark: SparkSession) -> LakeWarehouse:
     return LakeWarehouse(spark, scratch_folder(spark, "warehouse"), f"fareweather_{uuid.uuid4().hex}")
 
@@ -66,7 +71,7 @@ def _lake_warehouse(spark: SparkSession) -> LakeWarehouse:
 def _loaded_warehouse(spark: SparkSession, sf_dir: str) -> LakeWarehouse:
     warehouse = _lake_warehouse(spark)
     warehouse.replace("fact_taxi_trips", _fact(spark, sf_dir))
-    warehouse.replace("dim_weather", feeds.event_weather(spark, sf_dir))
+    warehouse.replace("dim_weather", feeds.reported_weather(spark, sf_dir))
     return warehouse
 
 
@@ -180,18 +185,18 @@ def weather_hour_day(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def trip_enriched(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return enrich_trips(_fact(spark, sf_dir), feeds.event_weather(spark, sf_dir))
+    return enrich_trips(_fact(spark, sf_dir), feeds.reported_weather(spark, sf_dir))
 
 
 def trip_enriched_in_cells(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The same join as if weather were too large to broadcast and most hours too busy."""
     return enrich_trips(
-        _fact(spark, sf_dir), feeds.event_weather(spark, sf_dir), broadcast_limit=0, cell_rows=4
+        _fact(spark, sf_dir), feeds.reported_weather(spark, sf_dir), broadcast_limit=0, cell_rows=2
     )
 
 
 def trip_summary_per_hour(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _rounded(trip_summary(_fact(spark, sf_dir), feeds.event_weather(spark, sf_dir)))
+    return _rounded(trip_summary(_totals(spark, sf_dir), feeds.reported_weather(spark, sf_dir)))
 
 
 def trip_summary_of_enriched(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -203,7 +208,7 @@ def positive_passengers(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def passenger_statistics(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _rounded(passenger_stats(_fact(spark, sf_dir), feeds.event_weather(spark, sf_dir)))
+    return _rounded(passenger_stats(_totals(spark, sf_dir), feeds.reported_weather(spark, sf_dir)))
 
 
 def passenger_statistics_of_enriched(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -211,7 +216,7 @@ def passenger_statistics_of_enriched(spark: SparkSession, sf_dir: str) -> DataFr
 
 
 def high_value_customers(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _rounded(high_value(passenger_stats(_fact(spark, sf_dir), feeds.event_weather(spark, sf_dir))))
+    return _rounded(high_value(passenger_stats(_totals(spark, sf_dir), feeds.reported_weather(spark, sf_dir))))
 
 
 # --- views and tables --------------------------------------------------------------------------
@@ -238,7 +243,7 @@ def selective_rebuild(spark: SparkSession, sf_dir: str) -> DataFrame:
     warehouse.replace("fact_taxi_trips", _fact(spark, sf_dir))
     warehouse.create_empty("dim_weather")
     build_models(warehouse)
-    warehouse.replace("dim_weather", feeds.event_weather(spark, sf_dir))
+    warehouse.replace("dim_weather", feeds.reported_weather(spark, sf_dir))
     build_models(warehouse, only=WEATHER_MODELS)
 
     def size(model: str, trips) -> DataFrame:
@@ -532,12 +537,23 @@ def _event_weather(moment: str) -> str:
     FROM events WHERE event_type = 'view'"""
 
 
-ORDER_WEATHER = """
-    SELECT o_orderdate + CAST(o_orderkey % 24 AS INTEGER) * INTERVAL 1 HOUR
-               + CAST(o_custkey % 3600 AS INTEGER) * INTERVAL 1 SECOND AS "timestamp",
-           CASE o_orderpriority WHEN '1-URGENT' THEN 'Rainy' WHEN '2-HIGH' THEN 'Cloudy'
-                WHEN '3-MEDIUM' THEN 'Clear' ELSE 'Other' END AS weather_category
-    FROM orders"""
+REPORTED_WEATHER = f"""
+    SELECT min(ts) AS "timestamp",
+           max(value) AS temperature,
+           CAST(max({K}) AS DOUBLE) AS humidity,
+           CAST(min({K}) AS DOUBLE) / 5 AS wind_speed,
+           CASE sum({K}) % 5 WHEN 0 THEN 'Rainy' WHEN 1 THEN 'Cloudy' WHEN 2 THEN 'Clear' ELSE 'Other' END
+               AS weather_category
+    FROM events WHERE event_type = 'view'
+    GROUP BY floor(epoch(ts) / 1200)"""
+
+ORDER_HOUR = "o_orderdate + CAST(o_orderkey % 24 AS INTEGER) * INTERVAL 1 HOUR"
+
+ORDER_WEATHER = f"""
+    SELECT {ORDER_HOUR} AS "timestamp",
+           CASE sum(o_custkey) % 5 WHEN 0 THEN 'Rainy' WHEN 1 THEN 'Cloudy' WHEN 2 THEN 'Clear' ELSE 'Other' END
+               AS weather_category
+    FROM orders GROUP BY {ORDER_HOUR}, o_orderstatus"""
 
 
 def _models(trips: str, weather: str, weather_columns: str) -> str:
@@ -576,7 +592,7 @@ def oracle_sql() -> dict[str, str]:
     fact = f"SELECT {FACT_COLUMNS} FROM ({EVENT_TRIPS}) AS raw"
     streamed_weather = _event_weather("date_trunc('second', ts)")
     event_models = _models(
-        EVENT_TRIPS, _event_weather("ts"), "w.temperature, w.humidity, w.wind_speed, w.weather_category"
+        EVENT_TRIPS, REPORTED_WEATHER, "w.temperature, w.humidity, w.wind_speed, w.weather_category"
     )
     monthly_models = _models(MONTHLY_TRIPS, ORDER_WEATHER, "w.weather_category")
     enriched = event_models + "\nSELECT * FROM enriched"
@@ -624,10 +640,11 @@ FROM events WHERE event_type = 'view' GROUP BY 1, 2""",
         "passenger_stats": stats,
         "passenger_stats_of_enriched": stats,
         "high_value_customers": stats + HIGH_VALUE_LIMITS,
-        "staging_views": """
-SELECT CAST(extract(hour FROM ts) AS INTEGER) AS hour, count(*) AS trips,
-       nullif(count(*) FILTER (WHERE event_type = 'view'), 0) AS observations
-FROM events GROUP BY 1""",
+        "staging_views": f"""
+SELECT coalesce(t.hour, w.hour) AS hour, trips, observations
+FROM (SELECT CAST(extract(hour FROM ts) AS INTEGER) AS hour, count(*) AS trips FROM events GROUP BY 1) AS t
+FULL JOIN (SELECT CAST(extract(hour FROM "timestamp") AS INTEGER) AS hour, count(*) AS observations
+           FROM ({REPORTED_WEATHER}) AS r GROUP BY 1) AS w ON t.hour = w.hour""",
         "materialised_models": summary,
         "selective_rebuild": event_models
         + f""",

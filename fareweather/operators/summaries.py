@@ -2,9 +2,10 @@
 
 Each report comes in two forms with equal results. ``*_from_enriched`` groups the joined table.
 The plain form never joins trips to observations: every trip of an hour meets the same
-observations, so it sums trips per hour first (map-side combined, a few rows per hour however
-busy the hour is), counts observations per hour, and joins the two short lists. Trip counts and
-sums are then multiplied by the number of observations the join would have paired them with.
+observations, so it takes the trips summed per hour (``hourly_totals``: map-side combined, a few
+rows per hour however busy the hour is, one scan for both reports), counts observations per hour,
+and joins the two short lists. Trip counts and sums are then multiplied by the number of
+observations the join would have paired them with.
 """
 
 from __future__ import annotations
@@ -38,12 +39,26 @@ def trip_summary_from_enriched(enriched: DataFrame) -> DataFrame:
     return sort_summary(summary)
 
 
-def trip_summary(trips: DataFrame, weather: DataFrame) -> DataFrame:
-    """Trips, mean duration and mean tip per pickup hour and weather category."""
-    per_hour = trips.groupBy(hour_key(F.col("tpep_pickup_datetime")).alias("hour_key")).agg(
+def hourly_totals(trips: DataFrame) -> DataFrame:
+    """Per pickup hour and passenger count, all that either report needs of the trips."""
+    return trips.groupBy(
+        hour_key(F.col("tpep_pickup_datetime")).alias("hour_key"), "passenger_count"
+    ).agg(
         F.count(F.lit(1)).alias("trips"),
-        F.avg("trip_duration").alias("avg_trip_duration"),
-        F.avg("tip_percentage").alias("avg_tip_percentage"),
+        F.sum("trip_duration").alias("seconds"),
+        F.count("trip_duration").alias("timed_trips"),
+        F.sum("tip_percentage").alias("tips"),
+        F.count("tip_percentage").alias("tipped_trips"),
+        F.sum("total_amount").alias("spent"),
+    )
+
+
+def trip_summary(totals: DataFrame, weather: DataFrame) -> DataFrame:
+    """Trips, mean duration and mean tip per pickup hour and weather category."""
+    per_hour = totals.groupBy("hour_key").agg(
+        F.sum("trips").alias("trips"),
+        F.try_divide(F.sum("seconds"), F.sum("timed_trips")).alias("avg_trip_duration"),
+        F.try_divide(F.sum("tips"), F.sum("tipped_trips")).alias("avg_tip_percentage"),
     )
     categories = observation_counts(weather, F.col("weather_category"))
     summary = per_hour.join(categories, "hour_key", "left").select(
@@ -77,20 +92,11 @@ def passenger_stats_from_enriched(enriched: DataFrame) -> DataFrame:
     )
 
 
-def passenger_stats(trips: DataFrame, weather: DataFrame) -> DataFrame:
+def passenger_stats(totals: DataFrame, weather: DataFrame) -> DataFrame:
     """Trips, total spent and mean tip per passenger count, as seen through the hour join."""
-    per_hour = (
-        positive_passenger_trips(trips)
-        .groupBy("passenger_count", hour_key(F.col("tpep_pickup_datetime")).alias("hour_key"))
-        .agg(
-            F.count(F.lit(1)).alias("trips"),
-            F.sum("total_amount").alias("spent"),
-            F.sum("tip_percentage").alias("tips"),
-            F.count("tip_percentage").alias("tipped_trips"),
-        )
-    )
     return (
-        per_hour.join(observation_counts(weather), "hour_key", "left")
+        positive_passenger_trips(totals)
+        .join(observation_counts(weather), "hour_key", "left")
         .groupBy("passenger_count")
         .agg(
             F.sum(F.col("trips") * repeats()).alias("trip_count"),

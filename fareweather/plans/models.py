@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable
+from collections.abc import Callable, Iterable
+from typing import NamedTuple
 
 from pyspark.sql import DataFrame
 
 from fareweather.operators.hour_join import enrich_trips
 from fareweather.operators.summaries import (
     high_value,
+    hourly_totals,
     passenger_stats,
     passenger_stats_from_enriched,
     sort_summary,
@@ -19,8 +21,23 @@ from fareweather.operators.summaries import (
 # Staging view -> source table it passes through.
 STAGING = {"source_fact_taxi_trips": "fact_taxi_trips", "source_dim_weather": "dim_weather"}
 
+
+
+class Report(NamedTuple):
+    from_totals: Callable[[DataFrame, DataFrame], DataFrame]
+    from_enriched: Callable[[DataFrame], DataFrame]
+
+
+REPORTS = {
+    "trip_summary_per_hour": Report(trip_summary, trip_summary_from_enriched),
+    "high_value_customers": Report(
+        lambda totals, weather: high_value(passenger_stats(totals, weather)),
+        lambda enriched: high_value(passenger_stats_from_enriched(enriched)),
+    ),
+}
+
 # Dependency order: staging, then the join, then the reports.
-MODELS = (*STAGING, "trip_enriched", "trip_summary_per_hour", "high_value_customers")
+MODELS = (*STAGING, "trip_enriched", *REPORTS)
 
 # The selections of the two recurring flows. Neither covers every model; see build_models.
 TRIP_MODELS = ("source_fact_taxi_trips", "trip_enriched", "trip_summary_per_hour", "high_value_customers")
@@ -31,20 +48,29 @@ def build_models(warehouse, only: Iterable[str] | None = None) -> list[str]:
     """Rebuild the chosen models, or all, in dependency order; return the names built.
 
     Models left out keep their earlier content. A report chosen without `trip_enriched` is
-    grouped from that table as it stands; chosen together with it, it is summed from the
-    sources, which gives the same rows without reading the joined table back.
+    grouped from that table as it stands. Chosen together with it, both reports come from one
+    scan of the sources, which gives the same rows without reading the joined table back.
     """
     chosen = set(MODELS if only is None else only)
     unknown = chosen - set(MODELS)
     if unknown:
         raise ValueError(f"unknown models: {sorted(unknown)}")
-    built = [name for name in MODELS if name in chosen]
-    for name in built:
-        if name in STAGING:
-            staged(warehouse, name).createOrReplaceTempView(name)
-        else:
-            warehouse.replace(name, model_frame(warehouse, name, fresh_join="trip_enriched" in chosen))
-    return built
+    for view in STAGING:
+        if view in chosen:
+            staged(warehouse, view).createOrReplaceTempView(view)
+    reports = [name for name in REPORTS if name in chosen]
+    if "trip_enriched" in chosen:
+        trips, weather = staged(warehouse, "source_fact_taxi_trips"), staged(warehouse, "source_dim_weather")
+        warehouse.replace("trip_enriched", enrich_trips(trips, weather))
+        totals = hourly_totals(trips).persist()
+        for name in reports:
+            warehouse.replace(name, REPORTS[name].from_totals(totals, weather))
+        totals.unpersist()
+    elif reports:
+        enriched = warehouse.table("trip_enriched")
+        for name in reports:
+            warehouse.replace(name, REPORTS[name].from_enriched(enriched))
+    return [name for name in MODELS if name in chosen]
 
 
 def staged(warehouse, view: str) -> DataFrame:
@@ -52,26 +78,7 @@ def staged(warehouse, view: str) -> DataFrame:
     return warehouse.table(STAGING[view]).select("*")
 
 
-def model_frame(warehouse, name: str, fresh_join: bool = True) -> DataFrame:
-    """The query behind a table model."""
-    if name == "trip_enriched":
-        return enrich_trips(*_sources(warehouse))
-    if name == "trip_summary_per_hour":
-        if fresh_join:
-            return trip_summary(*_sources(warehouse))
-        return trip_summary_from_enriched(warehouse.table("trip_enriched"))
-    if name == "high_value_customers":
-        if fresh_join:
-            return high_value(passenger_stats(*_sources(warehouse)))
-        return high_value(passenger_stats_from_enriched(warehouse.table("trip_enriched")))
-    raise ValueError(f"not a table model: {name}")
-
-
 def read_model(warehouse, name: str) -> DataFrame:
     """A built table model; the hourly report comes sorted, as a stored table has no order."""
     table = warehouse.table(name)
     return sort_summary(table) if name == "trip_summary_per_hour" else table
-
-
-def _sources(warehouse) -> tuple[DataFrame, DataFrame]:
-    return staged(warehouse, "source_fact_taxi_trips"), staged(warehouse, "source_dim_weather")

@@ -51,8 +51,8 @@ def event_trips(spark: SparkSession, sf_dir: str, *keep: str) -> DataFrame:
     )
 
 
-def _view_condition() -> Column:
-    kind = _k() % 5
+def _condition(number: Column) -> Column:
+    kind = number % 5
     return (
         F.when(kind == 0, "Rain").when(kind == 1, "Clouds").when(kind == 2, "Clear").when(kind == 3, "Snow")
     )
@@ -68,7 +68,7 @@ def event_observations(spark: SparkSession, sf_dir: str) -> DataFrame:
             F.col("value").alias("temperature"),
             _k().cast("double").alias("humidity"),
             (_k().cast("double") / 5).alias("wind_speed"),
-            _view_condition().alias("weather_condition"),
+            _condition(_k()).alias("weather_condition"),
         )
     )
 
@@ -77,6 +77,28 @@ def event_weather(spark: SparkSession, sf_dir: str) -> DataFrame:
     return conform(with_weather_features(event_observations(spark, sf_dir)), DIM_WEATHER)
 
 
+def reported_weather(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One reading per 20 minutes, summed up from all `view` events in that time.
+
+    A station reports a few times an hour however much traffic there is, so the hour join
+    grows with the trips alone.
+    """
+    slot = F.floor(F.unix_timestamp("ts") / 1200)
+    readings = (
+        table(spark, sf_dir, "events")
+        .where(F.col("event_type") == "view")
+        .groupBy(slot.alias("slot"))
+        .agg(
+            F.min("ts").cast("timestamp").alias("timestamp"),
+            F.max("value").alias("temperature"),
+            F.max(_k()).cast("double").alias("humidity"),
+            (F.min(_k()).cast("double") / 5).alias("wind_speed"),
+            _condition(F.sum(_k())).alias("weather_condition"),
+        )
+    )
+    return conform(with_weather_features(readings), DIM_WEATHER)
+
+
 def event_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every `view` event as a weather document, with `weather` as an array or a lone object."""
     views = table(spark, sf_dir, "events").where(F.col("event_type") == "view")
@@ -86,7 +108,7 @@ def event_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
             temperature=F.col("value"),
             humidity=_k().cast("double"),
             wind_speed=_k().cast("double") / 5,
-            condition=_view_condition(),
+            condition=_condition(_k()),
             as_array=F.col("event_id") % 2 == 0,
         ).alias("value")
     )
@@ -104,10 +126,16 @@ def undated_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _document(
-    seconds: Column, temperature: Column, humidity: Column, wind_speed: Column, condition: Column, as_array: Column
+    seconds: Column,
+    temperature: Column,
+    humidity: Column,
+    wind_speed: Column,
+    condition: Column,
+    as_array: Column,
 ) -> Column:
     state = F.struct(condition.alias("main"), F.lit("as observed").alias("description"))
-    states = F.when(condition.isNotNull(), F.array(state)).otherwise(F.array().cast("array<struct<main:string,description:string>>"))
+    nothing = F.array().cast("array<struct<main: string, description: string>>")
+    states = F.when(condition.isNotNull(), F.array(state)).otherwise(nothing)
     measured = (
         seconds.alias("dt"),
         F.struct(temperature.alias("temp"), humidity.alias("humidity")).alias("main"),
@@ -142,31 +170,32 @@ def monthly_trips(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def order_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Every order as a weather document."""
-    priority = F.col("o_orderpriority")
-    condition = (
-        F.when(priority == "1-URGENT", "Rain")
-        .when(priority == "2-HIGH", "Clouds")
-        .when(priority == "3-MEDIUM", "Clear")
-        .when(priority == "4-NOT SPECIFIED", "Snow")
-    )
-    return table(spark, sf_dir, "orders").select(
-        _document(
-            seconds=F.unix_timestamp("o_orderdate") + F.col("o_orderkey") % 24 * 3600 + F.col("o_custkey") % 3600,
-            temperature=F.col("o_totalprice") / 10000,
-            humidity=(F.col("o_custkey") % 101).cast("double"),
-            wind_speed=(F.col("o_orderkey") % 200).cast("double") / 10,
-            condition=condition,
-            as_array=F.col("o_orderkey") % 2 == 0,
-        ).alias("value")
+    """One weather document per hour and order status, summed up from all orders."""
+    hour = F.unix_timestamp("o_orderdate") + F.col("o_orderkey") % 24 * 3600
+    kind = F.sum("o_custkey") % 5
+    return (
+        table(spark, sf_dir, "orders")
+        .groupBy(hour.alias("hour"), "o_orderstatus")
+        .agg(
+            _document(
+                seconds=F.max(hour) + F.count(F.lit(1)) % 3600,
+                temperature=F.max("o_totalprice") / 10000,
+                humidity=(F.sum("o_custkey") % 101).cast("double"),
+                wind_speed=(F.min("o_orderkey") % 200).cast("double") / 10,
+                condition=_condition(F.sum("o_custkey")),
+                as_array=kind % 2 == 0,
+            ).alias("value")
+        )
+        .select("value")
     )
 
 
 def write_raw_months(trips: DataFrame, raw_root: str) -> None:
     """Raw trips as one file folder per pickup month; AQE splits a month too large for one task."""
     pickup = F.col("tpep_pickup_datetime")
+    name = F.concat(F.lit(f"{FILE_STEM}_"), F.date_format(pickup, "yyyy-MM"), F.lit(".parquet"))
     (
-        trips.withColumn("file", F.concat(F.lit(f"{FILE_STEM}_"), F.date_format(pickup, "yyyy-MM"), F.lit(".parquet")))
+        trips.withColumn("file", name)
         .hint("rebalance", "file")
         .write.partitionBy("file")
         .mode("append")

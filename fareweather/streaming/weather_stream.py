@@ -5,18 +5,23 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.query import StreamingQuery
-from pyspark.sql.types import StringType, StructType
+from pyspark.sql.types import StructType
 
 from fareweather.functions.weather import dim_weather
-from fareweather.schemas import RAW_WEATHER
+from fareweather.schemas import RAW_WEATHER, TEXT, struct
 from fareweather.session import object_store_path
 
 CORRUPT_COLUMN = "_corrupt_record"
-STREAM_SCHEMA = StructType(RAW_WEATHER.fields).add(CORRUPT_COLUMN, StringType())
+# What the weather service answers instead of an observation.
+ERROR_PAYLOAD = struct(cod=TEXT, message=TEXT)
+STREAM_SCHEMA = StructType([*RAW_WEATHER.fields, *ERROR_PAYLOAD.fields]).add(CORRUPT_COLUMN, TEXT)
 
 # Bounds one micro-batch, and with it the file list the driver plans, when much has piled up.
 FILES_PER_BATCH = 100_000
 
+# Landed files hold one observation each; the table gets files of up to this many.
+ROWS_PER_FILE = 1_000_000
+
 
 def weather_source(spark: SparkSession, landing: str, files_per_batch: int = FILES_PER_BATCH) -> DataFrame:
     """Unbounded table of raw observations with the file each came from."""
@@ -50,10 +55,11 @@ def start_weather_stream(
         batch.persist()
         try:
             dated = F.lit(True) if keep_undated else F.col("dt").isNotNull()
-            warehouse.append_batch("dim_weather", dim_weather(batch.where(dated)), batch_id)
-            undated = batch.where(~dated)
-            if not undated.isEmpty():
-                warehouse.append_batch("weather_quarantine", quarantine_rows(undated), batch_id)
+            rows, undated = batch.agg(F.count(F.lit(1)), F.count_if(~dated)).first()
+            packed = batch.coalesce(max(1, -(-rows // ROWS_PER_FILE)))
+            warehouse.append_batch("dim_weather", dim_weather(packed.where(dated)), batch_id)
+            if undated:
+                warehouse.append_batch("weather_quarantine", quarantine_rows(packed.where(~dated)), batch_id)
         finally:
             batch.unpersist()
 
@@ -73,6 +79,6 @@ def run_weather_stream(spark: SparkSession, landing: str, warehouse, checkpoint:
 
 
 def quarantine_rows(undated: DataFrame) -> DataFrame:
-    """The source file and the text that could not be dated."""
-    parsed = F.to_json(F.struct(*RAW_WEATHER.fieldNames()))
+    """The source file, and the broken text or the fields that were understood."""
+    parsed = F.to_json(F.struct(*RAW_WEATHER.fieldNames(), *ERROR_PAYLOAD.fieldNames()))
     return undated.select("source_file", F.coalesce(CORRUPT_COLUMN, parsed).alias("record"))
