@@ -99,7 +99,10 @@ def _join_in_cells(keyed: DataFrame, observations: DataFrame, cell_rows: int) ->
     # A cell that fills with copies of one trip is left to AQE's skew split.
     trip_side = (
         keyed.join(F.broadcast(cut_list), F.col("_hour").eqNullSafe(F.col("_cut_hour")), "left")
-        .withColumn("_trip_cell", F.pmod(F.xxhash64(*keyed.columns), F.coalesce("trip_cells", F.lit(1))))
+        .withColumn(
+            "_trip_cell",
+            F.when(F.col("trip_cells") > 1, F.pmod(F.xxhash64(*keyed.columns), "trip_cells")).otherwise(0),
+        )
         .withColumn("_weather_cell", F.explode(F.coalesce("held_cells", F.array(F.lit(0).cast("bigint")))))
         .select(*keyed.columns, "_trip_cell", "_weather_cell")
     )
