@@ -86,7 +86,7 @@ def _jdbc_warehouse(spark: SparkSession) -> JdbcWarehouse:
         names = ("driver", "user", "password")
         settings = {name: spark.conf.get(f"spark.fareweather.jdbc.{name}", None) for name in names}
         return JdbcWarehouse(spark, url, {name: value for name, value in settings.items() if value})
-    if not spark.sparkContext.master.startswith("local["):
+    if spark.sparkContext.master.partition("[")[0] != "local":
         raise RuntimeError("set spark.fareweather.jdbc.url to a database that all executors reach")
     return JdbcWarehouse(
         spark,
@@ -258,6 +258,18 @@ def selective_rebuild(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def sql_on_stored_models(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Models are catalog tables, so plain SQL reads them too."""
+    warehouse = _loaded_warehouse(spark, sf_dir)
+    build_models(warehouse, only=["trip_enriched"])
+    return spark.sql(f"""
+        WITH per_day AS (
+            SELECT pickup_day, weather_category, count(*) AS trips, max(temperature) AS warmest
+            FROM {warehouse.database}.trip_enriched
+            GROUP BY 1, 2)
+        SELECT * FROM per_day WHERE trips > 10 ORDER BY 1 NULLS LAST, 2 NULLS LAST""")
+
+
 # --- monthly ingest ----------------------------------------------------------------------------
 
 
@@ -447,6 +459,7 @@ QUERIES: dict[str, Query] = {
     "staging_views": staging_views,
     "materialised_models": materialised_models,
     "selective_rebuild": selective_rebuild,
+    "sql_on_stored_models": sql_on_stored_models,
     "period_enumeration": period_enumeration,
     "period_cross_months": period_cross_months,
     "lake_ingest_by_period": lake_ingest_by_period,
@@ -653,6 +666,10 @@ stale AS ({STATS_QUERY.format(table="fact")} {HIGH_VALUE_LIMITS})
 SELECT 'trip_enriched' AS model, count(*) AS row_count, count(*) AS trips FROM enriched
 UNION ALL SELECT 'trip_summary_per_hour', count(*), CAST(sum(trip_count) AS BIGINT) FROM summary
 UNION ALL SELECT 'high_value_customers', count(*), CAST(sum(trip_count) AS BIGINT) FROM stale""",
+        "sql_on_stored_models": event_models
+        + """
+SELECT pickup_day, weather_category, count(*) AS trips, max(temperature) AS warmest
+FROM enriched GROUP BY pickup_day, weather_category HAVING count(*) > 10""",
         "period_enumeration": "WITH"
         + period_counts.format(condition="(years.year <> 2024 OR months.month <= 4)"),
         "period_cross_months": "WITH" + period_counts.format(condition="months.month IN (1, 6, 12)"),

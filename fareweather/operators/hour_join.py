@@ -19,7 +19,7 @@ OBSERVATION_BYTES = 128
 # Beyond the broadcast limit an hour is cut into cells of about this many rows.
 CELL_ROWS = 1_000_000
 # The list of cut hours is broadcast; cells grow with the data so that it stays this short.
-MAX_CELLS = 20_000
+MAX_CELLS = 200_000
 
 
 def enrich_trips(
@@ -95,14 +95,12 @@ def _join_in_cells(keyed: DataFrame, observations: DataFrame, cell_rows: int) ->
     cut_list = cut_hours.join(F.broadcast(held_cells), "_hour", "left").select(
         F.col("_hour").alias("_cut_hour"), "trip_cells", "held_cells"
     )
-    # Trips are dealt by content: the same on every attempt, whatever order rows arrive in.
-    # A cell that fills with copies of one trip is left to AQE's skew split.
+    # Trips are dealt by content and input split: a task that runs again deals its rows the same
+    # way in whatever order they arrive, and copies of one trip spread as far as their splits do.
+    dealt_to = F.pmod(F.xxhash64(*keyed.columns, F.spark_partition_id()), F.col("trip_cells"))
     trip_side = (
         keyed.join(F.broadcast(cut_list), F.col("_hour").eqNullSafe(F.col("_cut_hour")), "left")
-        .withColumn(
-            "_trip_cell",
-            F.when(F.col("trip_cells") > 1, F.pmod(F.xxhash64(*keyed.columns), "trip_cells")).otherwise(0),
-        )
+        .withColumn("_trip_cell", F.when(F.col("trip_cells") > 1, dealt_to).otherwise(0))
         .withColumn("_weather_cell", F.explode(F.coalesce("held_cells", F.array(F.lit(0).cast("bigint")))))
         .select(*keyed.columns, "_trip_cell", "_weather_cell")
     )

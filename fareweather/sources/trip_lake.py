@@ -55,6 +55,7 @@ def ingest_periods(
             else:
                 errors[period] = error
 
+    counts = {}
     if footers:
         months = read_months(spark, raw_root, footers, stem)
         try:
@@ -68,8 +69,7 @@ def ingest_periods(
                 )
             errors.update({period: error for period, error in outcomes if error is not None})
             footers = {period: schema for period, schema in footers.items() if period not in errors}
-
-    counts = _raw_counts(spark, raw_root, footers, stem) if footers else {}
+        counts = _month_counts(months)
     for period in footers:
         if counts.get(period, 0) == 0:
             _clear_month(spark, lake_root, period)
@@ -96,12 +96,6 @@ def read_months(
     return reduce(DataFrame.unionByName, [read_group(group) for group in groups.values()])
 
 
-def footer_schemas(
-    spark: SparkSession, raw_root: str, periods: Iterable[Period], stem: str = FILE_STEM
-) -> dict[Period, StructType]:
-    return {p: spark.read.parquet(month_path(raw_root, p, stem)).schema for p in periods}
-
-
 def read_lake(spark: SparkSession, lake_root: str, periods: Iterable[Period] | None = None) -> DataFrame:
     """Raw trips of the chosen months, or of all; the choice prunes partitions before the scan."""
     lake = spark.read.schema(LAKE_SCHEMA).parquet(object_store_path(lake_root))
@@ -147,11 +141,8 @@ def _write_one_month(
         return period, _message(error)
 
 
-def _raw_counts(
-    spark: SparkSession, raw_root: str, footers: dict[Period, StructType], stem: str
-) -> dict[Period, int]:
+def _month_counts(months: DataFrame) -> dict[Period, int]:
     """Rows per month; no column is read, so Parquet answers from its footers."""
-    months = read_months(spark, raw_root, footers, stem)
     counted = months.groupBy("year", "month").agg(F.count(F.lit(1)).alias("rows"))
     return {(row["year"], row["month"]): row["rows"] for row in counted.collect()}
 

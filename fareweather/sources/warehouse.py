@@ -32,7 +32,7 @@ class LakeWarehouse:
         self.spark = spark
         self.root = object_store_path(root).rstrip("/")
         self.database = database
-        spark.sql(f"CREATE DATABASE IF NOT EXISTS {database}")
+        spark.sql(f"CREATE DATABASE IF NOT EXISTS {database} LOCATION '{self.root}'")
 
     def path(self, name: str) -> str:
         return f"{self.root}/{name}"
@@ -121,7 +121,10 @@ class JdbcWarehouse:
         self._writer(missing, name).mode("append").save()
         rows, landed = batch.count(), self._batch_rows(name, batch_id)
         if landed != rows:
-            raise RuntimeError(f"{name}: batch {batch_id} has {rows} rows but the table holds {landed}")
+            raise RuntimeError(
+                f"{name}: batch {batch_id} has {rows} rows but the table holds {landed}; "
+                f"delete that {BATCH_COLUMN} from the table and run the stream again"
+            )
 
     def table(self, name: str) -> DataFrame:
         loaded = self._reader(name).load().drop(BATCH_COLUMN)
