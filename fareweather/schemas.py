@@ -2,8 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame
 from pyspark.sql.types import (
     DataType,
     DoubleType,
@@ -109,9 +108,10 @@ TABLES = {
 def conform(df: DataFrame, schema: StructType) -> DataFrame:
     """Cast to the declared types, fill absent columns with NULL and drop the others."""
     present = {name.lower() for name in df.columns}
-
-    def column(field) -> Column:
-        source = F.col(field.name) if field.name.lower() in present else F.lit(None)
-        return source.cast(field.dataType).alias(field.name)
-
-    return df.select([column(field) for field in schema.fields])
+    return df.selectExpr(
+        *[
+            f"CAST({f'`{field.name}`' if field.name.lower() in present else 'NULL'} "
+            f"AS {field.dataType.simpleString()}) AS `{field.name}`"
+            for field in schema.fields
+        ]
+    )

@@ -15,14 +15,13 @@ from fareweather.session import object_store_path
 
 Period = tuple[int, int]
 
-# The published file name is this stem and the month, as in ..._2022-01.parquet.
+# Fixed value: the published file name is this stem and the month, as in ..._2022-01.parquet.
 FILE_STEM = "yellow_tripdata"
-FILE_PERIOD = r"(\d{4})-(\d{2})\.parquet"
 
 LAKE_SCHEMA = StructType(RAW_TRIP.fields + struct(year=INT, month=INT).fields)
 STATUS_SCHEMA = "year INT, month INT, ok BOOLEAN, rows BIGINT, error STRING"
 
-# Footer reads, and single-month retries after a failed joint write, that run side by side.
+# Months landed side by side, so that the tail of one does not leave the cluster idle.
 PARALLEL_MONTHS = 8
 
 
@@ -40,60 +39,40 @@ def ingest_periods(
 ) -> DataFrame:
     """Land the given months in the lake and report each one; a bad month does not stop the rest.
 
-    Column types differ between months, so a plain read of the whole folder fails. Months with
-    equal footers are read together, every such group is cast to the declared schema, and the
-    union is written by one job that replaces exactly the partitions it holds. Only if that job
-    fails is each month written by itself, to find out which one is to blame.
+    Column types differ between months, so a plain read of the whole folder fails. Each month is
+    read with its own footer, cast to the declared schema, and replaces its own partition.
     """
-    lake_root = object_store_path(lake_root)
-    periods = list(dict.fromkeys(periods))
-    footers, errors = {}, {}
-    with ThreadPoolExecutor(PARALLEL_MONTHS) as pool:
-        for period, schema, error in pool.map(lambda p: _read_footer(spark, raw_root, p, stem), periods):
-            if error is None:
-                footers[period] = schema
-            else:
-                errors[period] = error
-
-    counts = {}
-    if footers:
-        months = read_months(spark, raw_root, footers, stem)
-        try:
-            _write_months(months, lake_root)
-        except Exception:
-            with ThreadPoolExecutor(PARALLEL_MONTHS) as pool:
-                outcomes = list(
-                    pool.map(
-                        lambda p: _write_one_month(spark, raw_root, lake_root, p, footers[p], stem), footers
-                    )
-                )
-            errors.update({period: error for period, error in outcomes if error is not None})
-            footers = {period: schema for period, schema in footers.items() if period not in errors}
-        counts = _month_counts(months)
-    for period in footers:
-        if counts.get(period, 0) == 0:
-            _clear_month(spark, lake_root, period)
-    status = [
-        (*period, period not in errors, counts.get(period, 0) if period in footers else None, errors.get(period))
-        for period in periods
-    ]
-    return spark.createDataFrame(status, STATUS_SCHEMA)
 
+    def land(period: Period) -> tuple:
+        try:
+            return *period, True, land_month(spark, raw_root, lake_root, period, stem), None
+        except Exception as error:  # a missing, foreign or damaged file is this month's problem only
+            return *period, False, None, _first_line(error)
 
-def read_months(
-    spark: SparkSession, raw_root: str, footers: dict[Period, StructType], stem: str = FILE_STEM
-) -> DataFrame:
-    """The given months as one uniform DataFrame, one scan per distinct footer schema."""
-    groups: dict[str, list[Period]] = {}
-    for period, schema in footers.items():
-        groups.setdefault(schema.json(), []).append(period)
+    with ThreadPoolExecutor(PARALLEL_MONTHS) as pool:
+        status = list(pool.map(land, dict.fromkeys(periods)))
+    return spark.createDataFrame(status, STATUS_SCHEMA)
 
-    def read_group(group: list[Period]) -> DataFrame:
-        raw = spark.read.schema(footers[group[0]]).parquet(*[month_path(raw_root, p, stem) for p in group])
-        year, month = _file_period()
-        return conform(raw.withColumns({"year": year, "month": month}), LAKE_SCHEMA)
 
-    return reduce(DataFrame.unionByName, [read_group(group) for group in groups.values()])
+def land_month(
+    spark: SparkSession, raw_root: str, lake_root: str, period: Period, stem: str = FILE_STEM
+) -> int:
+    """Replace one month of the lake and return its rows; on failure the old month stays."""
+    year, month = period
+    raw = spark.read.parquet(month_path(raw_root, period, stem))
+    rows = raw.count()  # answered from the Parquet footers
+    trips = conform(raw.withColumns({"year": F.lit(year), "month": F.lit(month)}), LAKE_SCHEMA)
+    lake_root = object_store_path(lake_root).rstrip("/")
+    if rows:
+        (
+            trips.write.partitionBy("year", "month")
+            .mode("overwrite")
+            .option("partitionOverwriteMode", "dynamic")
+            .parquet(lake_root)
+        )
+    else:  # a dynamic overwrite without rows would keep what an earlier run left
+        trips.drop("year", "month").write.mode("overwrite").parquet(f"{lake_root}/year={year}/month={month}")
+    return rows
 
 
 def read_lake(spark: SparkSession, lake_root: str, periods: Iterable[Period] | None = None) -> DataFrame:
@@ -110,49 +89,6 @@ def read_lake(spark: SparkSession, lake_root: str, periods: Iterable[Period] | N
     return lake
 
 
-def _read_footer(spark: SparkSession, raw_root: str, period: Period, stem: str):
-    try:
-        return period, spark.read.parquet(month_path(raw_root, period, stem)).schema, None
-    except Exception as error:  # a missing or foreign file is this month's problem only
-        return period, None, _message(error)
-
-
-def _file_period() -> tuple[Column, Column]:
-    path = F.col("_metadata.file_path")
-    return tuple(F.regexp_extract(path, FILE_PERIOD, part).cast("int") for part in (1, 2))
-
-
-def _write_months(months: DataFrame, lake_root: str) -> None:
-    (
-        months.write.partitionBy("year", "month")
-        .mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .parquet(lake_root)
-    )
-
-
-def _write_one_month(
-    spark: SparkSession, raw_root: str, lake_root: str, period: Period, schema: StructType, stem: str
-):
-    try:
-        _write_months(read_months(spark, raw_root, {period: schema}, stem), lake_root)
-        return period, None
-    except Exception as error:
-        return period, _message(error)
-
-
-def _month_counts(months: DataFrame) -> dict[Period, int]:
-    """Rows per month; no column is read, so Parquet answers from its footers."""
-    counted = months.groupBy("year", "month").agg(F.count(F.lit(1)).alias("rows"))
-    return {(row["year"], row["month"]): row["rows"] for row in counted.collect()}
-
-
-def _clear_month(spark: SparkSession, lake_root: str, period: Period) -> None:
-    """An empty month replaces what an earlier run left, which a dynamic overwrite would keep."""
-    year, month = period
-    empty = spark.createDataFrame([], RAW_TRIP)
-    empty.write.mode("overwrite").parquet(f"{lake_root.rstrip('/')}/year={year}/month={month}")
-
-
-def _message(error: Exception) -> str:
-    return str(error).strip().splitlines()[0] if str(error).strip() else type(error).__name__
+def _first_line(error: Exception) -> str:
+    text = str(error).strip()
+    return text.splitlines()[0] if text else type(error).__name__
