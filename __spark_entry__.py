@@ -112,8 +112,9 @@ def _wall_clock(weather: DataFrame) -> DataFrame:
     return weather.withColumn("timestamp", F.col("timestamp").cast("timestamp_ntz"))
 
 
-def _rounded(df: DataFrame) -> DataFrame:
-    places = {"avg_trip_duration": 6, "avg_tip_percentage": 6, "total_spent": 4}
+def _rounded(df: DataFrame, spent_places: int = 4) -> DataFrame:
+    """Sums of doubles depend on the order of addition; round away the digits it touches."""
+    places = {"avg_trip_duration": 6, "avg_tip_percentage": 6, "total_spent": spent_places}
     return df.withColumns({name: F.round(name, n) for name, n in places.items() if name in df.columns})
 
 
@@ -346,12 +347,13 @@ def ingest_status(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _stream_in_two_waves(spark: SparkSession, sf_dir: str, warehouse) -> None:
+    """One micro-batch per wave, however many files a wave has landed."""
     landing, checkpoint = scratch_folder(spark, "landing"), scratch_folder(spark, "checkpoint")
     documents = feeds.event_documents(spark, sf_dir)
     is_array = F.col("value").contains('"weather":[')
     for wave in (is_array, ~is_array):
         land_payloads(documents.where(wave), landing)
-        run_weather_stream(spark, landing, warehouse, checkpoint)
+        run_weather_stream(spark, landing, warehouse, checkpoint, files_per_batch=2**31 - 1)
     run_weather_stream(spark, landing, warehouse, checkpoint)  # nothing new: adds nothing
 
 
@@ -428,7 +430,7 @@ def trip_batch_run(spark: SparkSession, sf_dir: str) -> DataFrame:
     config = _flow_config(spark, sf_dir)
     run_weather_batch(spark, config, feeds.order_documents(spark, sf_dir), models=())
     run_trip_batch(spark, config, feeds.trip_months(feeds.monthly_trips(spark, sf_dir)))
-    return _rounded(read_model(config.warehouse, "high_value_customers"))
+    return _rounded(read_model(config.warehouse, "high_value_customers"), spent_places=0)  # billions
 
 
 def weather_batch_run(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -591,7 +593,7 @@ GROUP BY date_trunc('hour', tpep_pickup_datetime), weather_category"""
 STATS_QUERY = """
 SELECT passenger_count,
        count(*) AS trip_count,
-       round(sum(total_amount), 4) AS total_spent,
+       round(sum(total_amount), {places}) AS total_spent,
        round(avg(tip_percentage), 6) AS avg_tip_percentage
 FROM {table}
 WHERE passenger_count > 0
@@ -610,7 +612,7 @@ def oracle_sql() -> dict[str, str]:
     monthly_models = _models(MONTHLY_TRIPS, ORDER_WEATHER, "w.weather_category")
     enriched = event_models + "\nSELECT * FROM enriched"
     summary = event_models + SUMMARY_QUERY
-    stats = event_models + STATS_QUERY.format(table="enriched")
+    stats = event_models + STATS_QUERY.format(table="enriched", places=4)
     month = "CAST(year(tpep_pickup_datetime) AS INTEGER) AS year, CAST(month(tpep_pickup_datetime) AS INTEGER) AS month"
     period_counts = """
 feed AS (SELECT l_shipdate AS day FROM lineitem UNION ALL SELECT ts AS day FROM events),
@@ -662,7 +664,7 @@ FULL JOIN (SELECT CAST(extract(hour FROM "timestamp") AS INTEGER) AS hour, count
         "selective_rebuild": event_models
         + f""",
 summary AS ({SUMMARY_QUERY}),
-stale AS ({STATS_QUERY.format(table="fact")} {HIGH_VALUE_LIMITS})
+stale AS ({STATS_QUERY.format(table="fact", places=4)} {HIGH_VALUE_LIMITS})
 SELECT 'trip_enriched' AS model, count(*) AS row_count, count(*) AS trips FROM enriched
 UNION ALL SELECT 'trip_summary_per_hour', count(*), CAST(sum(trip_count) AS BIGINT) FROM summary
 UNION ALL SELECT 'high_value_customers', count(*), CAST(sum(trip_count) AS BIGINT) FROM stale""",
@@ -699,6 +701,6 @@ SELECT CASE WHEN event_type = 'view' THEN 'dim_weather' ELSE 'weather_quarantine
 FROM events WHERE event_type IN ('view', 'error', 'signup') GROUP BY 1""",
         "jdbc_overwrite": fact,
         "jdbc_append": _event_weather("ts"),
-        "trip_batch_run": monthly_models + STATS_QUERY.format(table="enriched") + HIGH_VALUE_LIMITS,
+        "trip_batch_run": monthly_models + STATS_QUERY.format(table="enriched", places=0) + HIGH_VALUE_LIMITS,
         "weather_batch_run": monthly_models + SUMMARY_QUERY,
     }

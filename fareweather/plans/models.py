@@ -18,11 +18,10 @@ from fareweather.operators.summaries import (
     trip_summary_from_enriched,
 )
 
-# Staging view -> source table it passes through.
+# Staging view -> source table it passes through.
 STAGING = {"source_fact_taxi_trips": "fact_taxi_trips", "source_dim_weather": "dim_weather"}
 
 
-
 class Report(NamedTuple):
     from_totals: Callable[[DataFrame, DataFrame], DataFrame]
     from_enriched: Callable[[DataFrame], DataFrame]
@@ -39,7 +38,7 @@ REPORTS = {
 # Dependency order: staging, then the join, then the reports.
 MODELS = (*STAGING, "trip_enriched", *REPORTS)
 
-# The selections of the two recurring flows. Neither covers every model; see build_models.
+# The selections of the two recurring flows. Neither covers every model.
 TRIP_MODELS = ("source_fact_taxi_trips", "trip_enriched", "trip_summary_per_hour", "high_value_customers")
 WEATHER_MODELS = ("source_dim_weather", "trip_enriched", "trip_summary_per_hour")
 

@@ -20,6 +20,12 @@ SESSION_DEFAULTS = {
     "spark.sql.maxConcurrentOutputFileWriters": "8",
 }
 
+# Settings that only take effect before the session starts.
+START_DEFAULTS = {
+    # Checkpoint files go when nothing refers to them any more.
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
+}
+
 
 def s3a_settings(
     endpoint: str | None = None,
@@ -44,7 +50,7 @@ def s3a_settings(
 def build_session(app_name: str, settings: Mapping[str, str] | None = None) -> SparkSession:
     """One builder for the batch and the streaming jobs; the caller's settings win."""
     builder = SparkSession.builder.appName(app_name)
-    for key, value in {**SESSION_DEFAULTS, **(settings or {})}.items():
+    for key, value in {**SESSION_DEFAULTS, **START_DEFAULTS, **(settings or {})}.items():
         builder = builder.config(key, value)
     return builder.getOrCreate()
 

@@ -37,7 +37,7 @@ def _cell(value) -> str:
     if value is None:
         return "NULL"
     if isinstance(value, float):
-        return "NaN" if math.isnan(value) else f"{value:.10g}"
+        return "NaN" if math.isnan(value) else repr(value + 0.0)
     if isinstance(value, datetime.datetime):
         return value.isoformat()
     return str(value)
