@@ -20,6 +20,8 @@ OBSERVATION_BYTES = 128
 CELL_ROWS = 1_000_000
 # The list of cut hours is broadcast; cells grow with the data so that it stays this short.
 MAX_CELLS = 200_000
+# The shuffle gets at least one partition for so many rows, whatever the session's setting.
+PARTITION_ROWS = 5_000_000
 
 
 def enrich_trips(
@@ -107,4 +109,9 @@ def _join_in_cells(keyed: DataFrame, observations: DataFrame, cell_rows: int) ->
     weather_side = dealt.withColumn(
         "_trip_cell", F.explode(F.sequence(F.lit(0).cast("bigint"), F.coalesce("trip_cells", F.lit(1)) - 1))
     ).select(*observations.columns, "_trip_cell", "_weather_cell")
-    return trip_side.join(weather_side, ["_hour", "_trip_cell", "_weather_cell"], "left")
+    keys = ["_hour", "_trip_cell", "_weather_cell"]
+    partitions = -(-total // PARTITION_ROWS)
+    if partitions > int(keyed.sparkSession.conf.get("spark.sql.shuffle.partitions")):
+        trip_side = trip_side.repartition(partitions, *keys)
+        weather_side = weather_side.repartition(partitions, *keys)
+    return trip_side.join(weather_side, keys, "left")

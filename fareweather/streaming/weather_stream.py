@@ -41,9 +41,11 @@ def start_weather_stream(
     checkpoint: str,
     keep_undated: bool = False,
     files_per_batch: int = FILES_PER_BATCH,
+    keep_running: bool = False,
 ) -> StreamingQuery:
     """Process everything landed since the last run of the same checkpoint, then stop.
 
+    With `keep_running` the query goes on looking for new files until the caller stops it.
     Documents without an observation time (error payloads, broken JSON) go to
     `weather_quarantine`; `keep_undated` passes them on as rows of NULLs instead. A batch that is
     run again after a failure replaces what it wrote before.
@@ -63,14 +65,13 @@ def start_weather_stream(
         finally:
             batch.unpersist()
 
-    return (
+    writer = (
         weather_source(spark, landing, files_per_batch)
         .writeStream.foreachBatch(write_batch)
         .outputMode("append")
         .option("checkpointLocation", object_store_path(checkpoint))
-        .trigger(availableNow=True)
-        .start()
     )
+    return (writer if keep_running else writer.trigger(availableNow=True)).start()
 
 
 def run_weather_stream(spark: SparkSession, landing: str, warehouse, checkpoint: str, **options) -> None:

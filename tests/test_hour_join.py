@@ -5,6 +5,7 @@ from datetime import datetime, timedelta
 
 import pytest
 
+from fareweather.operators import hour_join
 from fareweather.operators.hour_join import WEATHER_COLUMNS, broadcast_bytes, enrich_trips
 from tests.plans import final_plan_text, plan_text, rows
 from tests.trips import edge_facts, simple_facts, weather
@@ -106,6 +107,22 @@ def test_broadcast_depends_on_the_measured_size(spark):
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
 
 
+def test_many_rows_get_many_shuffle_partitions(spark, monkeypatch):
+    trips = simple_facts(spark, [(f"2024-01-07 {n % 24:02d}:00:00", 1.0, 10.0, 1.0) for n in range(200)])
+    observations = weather(spark, TWO_AT_TEN)
+    expected = brute_force(trips, observations)
+    monkeypatch.setattr(hour_join, "PARTITION_ROWS", 5)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
+    try:
+        joined = in_cells(trips, observations)
+        plan = plan_text(joined)
+        assert rows(joined) == expected
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    exchanges = [line for line in plan.splitlines() if "_trip_cell" in line and "hashpartitioning" in line]
+    assert len(exchanges) == 2 and all(", 41)" in line and "REPARTITION_BY_NUM" in line for line in exchanges)
+
+
 def test_filter_and_columns_reach_the_scan(spark, folder):
     edge_facts(spark).write.parquet(f"{folder}/fact")
     enriched = enrich_trips(spark.read.parquet(f"{folder}/fact"), weather(spark, TWO_AT_TEN))

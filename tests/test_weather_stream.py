@@ -9,7 +9,7 @@ from fareweather.functions.weather import dim_weather
 from fareweather.schemas import RAW_WEATHER
 from fareweather.sources.warehouse import JdbcWarehouse, LakeWarehouse
 from fareweather.sources.weather_landing import land_observations, land_payloads
-from fareweather.streaming.weather_stream import run_weather_stream
+from fareweather.streaming.weather_stream import run_weather_stream, start_weather_stream
 from tests.plans import rows
 from tests.test_functions import DOCUMENTS
 
@@ -57,6 +57,20 @@ def test_several_micro_batches_in_one_run(spark, folder, warehouse):
     assert warehouse.table("dim_weather").count() == 6
 
 
+def test_a_running_stream_picks_up_new_files(spark, folder, warehouse):
+    landing = _landed(spark, folder, dated(spark, 2))
+    query = start_weather_stream(spark, landing, warehouse, f"{folder}/checkpoint", keep_running=True)
+    try:
+        query.processAllAvailable()
+        assert warehouse.table("dim_weather").count() == 2
+        land_payloads(dated(spark, 3, 2), landing)
+        query.processAllAvailable()
+        assert warehouse.table("dim_weather").count() == 5
+        assert query.isActive
+    finally:
+        query.stop()
+
+
 def test_a_repeated_batch_adds_nothing(spark, folder, warehouse):
     batch = dim_weather(spark.read.schema(RAW_WEATHER).json(_landed(spark, folder, dated(spark, 6))))
     copies = batch.union(batch)  # equal observations are kept
