@@ -9,7 +9,6 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fareweather.functions.clock import epoch_to_timestamp
 from fareweather.functions.weather import with_weather_features
 from fareweather.schemas import DIM_WEATHER, RAW_TRIP, conform
 from fareweather.sources.trip_lake import FILE_STEM, Period

@@ -10,6 +10,7 @@ from __future__ import annotations
 from collections.abc import Mapping
 from dataclasses import dataclass, field
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
@@ -75,11 +76,23 @@ class LakeWarehouse:
         """The table without the batch bookkeeping."""
         qualified = f"{self.database}.{name}"
         if not self.spark.catalog.tableExists(qualified):
-            # A folder that an earlier session wrote.
-            self.spark.catalog.createTable(qualified, path=self.path(name), source="parquet")
+            self._attach(name)
         self.spark.catalog.refreshTable(qualified)
         return self.spark.table(qualified).drop(BATCH_COLUMN)
 
+    def _attach(self, name: str) -> None:
+        """Register a folder that an earlier session wrote."""
+        try:
+            in_batches = BATCH_COLUMN in self.spark.read.parquet(self.path(name)).columns
+        except AnalysisException as error:
+            if error.getCondition() != "UNABLE_TO_INFER_SCHEMA":
+                raise
+            in_batches = True  # created, but without a batch so far
+        if in_batches:
+            self.create_empty(name)
+        else:
+            self.spark.catalog.createTable(f"{self.database}.{name}", path=self.path(name), source="parquet")
+
 
 @dataclass
 class JdbcWarehouse:

@@ -3,6 +3,7 @@ from __future__ import annotations
 import uuid
 
 import pytest
+from pyspark.errors import AnalysisException
 
 from fareweather.plans.flows import FlowConfig, run_trip_batch, run_weather_batch
 from fareweather.plans.models import MODELS, TRIP_MODELS, WEATHER_MODELS, build_models, read_model
@@ -74,13 +75,24 @@ def test_tables_survive_a_round_trip(spark, warehouse):
 
 
 def test_a_new_session_finds_the_tables(spark, folder):
-    written = LakeWarehouse(spark, f"{folder}/warehouse", f"w{uuid.uuid4().hex}")
+    def session():
+        return LakeWarehouse(spark, f"{folder}/warehouse", f"w{uuid.uuid4().hex}")
+
+    written = session()
     written.replace("fact_taxi_trips", edge_facts(spark))
     written.append_batch("dim_weather", weather(spark, [(HOUR, 1.0, "Rain")]), 0)
-    found = LakeWarehouse(spark, f"{folder}/warehouse", f"w{uuid.uuid4().hex}")
+    written.create_empty("weather_quarantine")
+    found = session()
     assert found.table("fact_taxi_trips").count() == 6
-    found.append_batch("dim_weather", weather(spark, [(HOUR, 2.0, "Rain")]), 1)
-    assert found.table("dim_weather").count() == 2
+    assert found.table("weather_quarantine").count() == 0
+    assert found.table("dim_weather").count() == 1
+    found.append_batch("dim_weather", weather(spark, [(HOUR, 2.0, "Rain")] * 2), 1)
+    assert found.table("dim_weather").count() == 3
+    later = session()
+    later.append_batch("dim_weather", weather(spark, [(HOUR, 2.0, "Rain")]), 1)
+    assert later.table("dim_weather").count() == 2
+    with pytest.raises(AnalysisException, match="PATH_NOT_FOUND"):
+        later.table("trip_enriched")
 
 
 def test_both_flows(spark, folder, warehouse):

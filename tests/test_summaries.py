@@ -66,7 +66,12 @@ def test_both_forms_agree(spark, seed):
     trips = simple_facts(
         spark,
         [
-            (moment(), dice.choice([None, 0.0, 1.0, 2.0, 3.0]), dice.choice([-4.0, 0.0, 16.0, 32.0]), dice.choice([1.0, 4.0]))
+            (
+                moment(),
+                dice.choice([None, 0.0, 1.0, 2.0, 3.0]),
+                dice.choice([-4.0, 0.0, 16.0, 32.0]),
+                dice.choice([1.0, 4.0]),
+            )
             for _ in range(200)
         ],
     )
