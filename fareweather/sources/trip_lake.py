@@ -61,17 +61,20 @@ def land_month(
     year, month = period
     raw = spark.read.parquet(month_path(raw_root, period, stem))
     rows = raw.count()  # answered from the Parquet footers
-    trips = conform(raw.withColumns({"year": F.lit(year), "month": F.lit(month)}), LAKE_SCHEMA)
+    trips = conform(raw, RAW_TRIP)
     lake_root = object_store_path(lake_root).rstrip("/")
     if rows:
+        # As text: whole numbers would be compiled into the code, anew for every month.
+        keys = {"year": F.lit(str(year)), "month": F.lit(str(month))}
         (
-            trips.write.partitionBy("year", "month")
+            trips.withColumns(keys)
+            .write.partitionBy("year", "month")
             .mode("overwrite")
             .option("partitionOverwriteMode", "dynamic")
             .parquet(lake_root)
         )
     else:  # a dynamic overwrite without rows would keep what an earlier run left
-        trips.drop("year", "month").write.mode("overwrite").parquet(f"{lake_root}/year={year}/month={month}")
+        trips.write.mode("overwrite").parquet(f"{lake_root}/year={year}/month={month}")
     return rows
 
 
