@@ -15,7 +15,7 @@ def local_session(cores: str = "8") -> SparkSession:
     spark = build_session(
         "fareweather-tests",
         {
-            "spark.master": f"local[{cores}]",
+            "spark.master": f"local[{cores},2]",  # a task may fail once
             "spark.ui.enabled": "false",
             "spark.ui.showConsoleProgress": "false",
             "spark.driver.memory": "8g",
