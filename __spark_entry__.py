@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import importlib
 import uuid
 from collections.abc import Callable
+from types import ModuleType
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -43,7 +45,30 @@ def entry(spark: SparkSession) -> DataFrame:
 
 
 def queries() -> dict[str, Query]:
-    return {name: _with_session_defaults(query) for name, query in QUERIES.items()}
+    return {name: _with_session_defaults(query) for name, query in {**QUERIES, **_llm_queries()}.items()}
+
+
+def _module(name: str) -> ModuleType | None:
+    """A module of the training-data operators; None if they aren't there."""
+    try:
+        return importlib.import_module(name)
+    except ModuleNotFoundError as error:
+        if error.name is None or not f"{name}.".startswith(f"{error.name}."):
+            raise
+        return None
+
+
+def _llm_queries() -> dict[str, Query]:
+    operators, pipeline = _module("fareweather.llm.queries"), _module("corpus_pipeline")
+    return {**(operators.QUERIES if operators else {}), **({"pipeline": pipeline.run} if pipeline else {})}
+
+
+def _llm_oracles() -> dict[str, str]:
+    operators, pipeline = _module("fareweather.llm.queries"), _module("corpus_pipeline")
+    found = dict(operators.ORACLE_SQL) if operators else {}
+    if pipeline and pipeline.ORACLE_SQL:
+        found["pipeline"] = pipeline.ORACLE_SQL
+    return found
 
 
 def _with_session_defaults(query: Query) -> Query:
@@ -604,6 +629,10 @@ HAVING count(*) > 10 AND sum(total_amount) > 300 AND avg(tip_percentage) > 15"""
 
 
 def oracle_sql() -> dict[str, str]:
+    return {**_engine_oracles(), **_llm_oracles()}
+
+
+def _engine_oracles() -> dict[str, str]:
     fact = f"SELECT {FACT_COLUMNS} FROM ({EVENT_TRIPS}) AS raw"
     streamed_weather = _event_weather("date_trunc('second', ts)")
     event_models = _models(
