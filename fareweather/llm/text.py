@@ -8,7 +8,7 @@ arrays of a task stay small however many rows a batch has. Words are the runs of
 from __future__ import annotations
 
 from collections.abc import Iterator
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 from functools import cached_property
 
 import numpy as np
@@ -22,8 +22,12 @@ _LOWER_CODES = _BYTE_CODES.copy()
 _LOWER_CODES[65:91] = _BYTE_CODES[97:123]
 _BASE = 0x9E3779B97F4A7C1B
 _BASE_INVERSE = pow(_BASE, -1, 2**64)
-_IS_WORD = np.ones(256, bool)
-_IS_WORD[[9, 10, 11, 12, 13, 32]] = False
+
+#: Bytes of a word: all but white space, or only letters and digits of any script.
+WORD_BYTES = np.ones(256, bool)
+WORD_BYTES[[9, 10, 11, 12, 13, 32]] = False
+LETTER_BYTES = np.zeros(256, bool)
+LETTER_BYTES[[*range(48, 58), *range(65, 91), *range(97, 123), *range(128, 256)]] = True
 
 
 def mix(values: np.ndarray, seed: int = 0) -> np.ndarray:
@@ -80,6 +84,7 @@ class Texts:
     row: int
     data: np.ndarray
     offsets: np.ndarray
+    word_bytes: np.ndarray = field(default_factory=lambda: WORD_BYTES)
 
     def __len__(self) -> int:
         return len(self.offsets) - 1
@@ -88,7 +93,7 @@ class Texts:
     def bounds(self) -> tuple[np.ndarray, np.ndarray]:
         """Start and end of every word."""
         edges = np.zeros(len(self.data) + 1, bool)
-        inside = _IS_WORD[self.data]
+        inside = self.word_bytes[self.data]
         edges[1:-1] = inside[1:] != inside[:-1]
         edges[self.offsets] = True
         begins = edges[:-1] & inside
@@ -112,8 +117,10 @@ class Texts:
         return hash_spans(self.data, *self.bounds, lower)
 
 
-def text_chunks(column: pa.Array, chunk_bytes: int = CHUNK_BYTES) -> Iterator[Texts]:
-    """The rows of a string column in order; null counts as empty."""
+def text_chunks(
+    column: pa.Array, chunk_bytes: int = CHUNK_BYTES, word_bytes: np.ndarray = WORD_BYTES, max_rows: int = 1 << 30
+) -> Iterator[Texts]:
+    """The rows of a string column in order, at most ``max_rows`` at once; null counts as empty."""
     if isinstance(column, pa.ChunkedArray):
         column = column.combine_chunks()
     column = column.cast(pa.large_string()).fill_null("")
@@ -123,9 +130,9 @@ def text_chunks(column: pa.Array, chunk_bytes: int = CHUNK_BYTES) -> Iterator[Te
     row = 0
     while row < len(column):
         stop = int(np.searchsorted(offsets, offsets[row] + chunk_bytes, "right")) - 1
-        stop = min(max(stop, row + 1), len(column))
+        stop = min(max(stop, row + 1), row + max_rows, len(column))
         own = offsets[row : stop + 1]
-        yield Texts(row, data[own[0] : own[-1]], own - own[0])
+        yield Texts(row, data[own[0] : own[-1]], own - own[0], word_bytes)
         row = stop
 
 
