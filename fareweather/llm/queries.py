@@ -4,16 +4,20 @@ from __future__ import annotations
 
 from fareweather.llm.bpe import op10_bpe
 from fareweather.llm.language import op3_language_kernel
+from fareweather.llm.ngram_join import OP2_SQL, op2_ngram_join
 from fareweather.llm.passages import op1_quality_mil
 from fareweather.llm.rules import op6_quality_rules
 from fareweather.llm.toxicity import op9_toxicity
 
 QUERIES = {
     "op1_quality_mil": op1_quality_mil,
+    "op2_ngram_join": op2_ngram_join,
     "op3_language_kernel": op3_language_kernel,
     "op6_quality_rules": op6_quality_rules,
     "op9_toxicity": op9_toxicity,
     "op10_bpe": op10_bpe,
 }
 
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL: dict[str, str] = {
+    "op2_ngram_join": OP2_SQL,
+}
