@@ -7,6 +7,7 @@ from fareweather.llm.language import op3_language_kernel
 from fareweather.llm.ngram_join import OP2_SQL, op2_ngram_join
 from fareweather.llm.passages import op1_quality_mil
 from fareweather.llm.rules import op6_quality_rules
+from fareweather.llm.substrings import OP8_SQL, op8_substring_dedup
 from fareweather.llm.toxicity import op9_toxicity
 
 QUERIES = {
@@ -14,10 +15,12 @@ QUERIES = {
     "op2_ngram_join": op2_ngram_join,
     "op3_language_kernel": op3_language_kernel,
     "op6_quality_rules": op6_quality_rules,
+    "op8_substring_dedup": op8_substring_dedup,
     "op9_toxicity": op9_toxicity,
     "op10_bpe": op10_bpe,
 }
 
 ORACLE_SQL: dict[str, str] = {
     "op2_ngram_join": OP2_SQL,
+    "op8_substring_dedup": OP8_SQL,
 }
