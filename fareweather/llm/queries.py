@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from fareweather.llm.bpe import op10_bpe
+from fareweather.llm.forest import op4_embedding_forest
 from fareweather.llm.language import op3_language_kernel
 from fareweather.llm.ngram_join import OP2_SQL, op2_ngram_join
 from fareweather.llm.passages import op1_quality_mil
@@ -14,6 +15,7 @@ QUERIES = {
     "op1_quality_mil": op1_quality_mil,
     "op2_ngram_join": op2_ngram_join,
     "op3_language_kernel": op3_language_kernel,
+    "op4_embedding_forest": op4_embedding_forest,
     "op6_quality_rules": op6_quality_rules,
     "op8_substring_dedup": op8_substring_dedup,
     "op9_toxicity": op9_toxicity,
