@@ -4,11 +4,11 @@ A document's set holds its distinct shingles. Two documents link when ``100 * ov
 * union``; the join returns the groups that links connect, one row a document.
 
 1. Equal sets become one: Spark groups by a 128-bit fingerprint, partial minima first.
-2. Sets meet where they could overlap enough: of sets that do, each has a common shingle among
-   its ``size - ceil(percent * size / 100) + 1`` rarest ones. How rare a shingle is, is read from
-   a table of ``2 ** RARITY_BITS`` counters over the whole corpus; any fixed order is exact, this
-   one keeps widespread passages out of the way. Within a shingle's sets, ordered by size, a run
-   without a gap wider than the threshold allows becomes a star, so no pairs are listed.
+2. Sets meet where they could overlap enough. Linked sets differ by few tokens, so if a hash deals
+   the tokens into one part more than that, some part of both is equal: the parts are the keys.
+   Sets that share only a passage agree in no whole part, as a rule. Within a key's sets, ordered
+   by size, a run without a gap wider than the threshold allows becomes a star, so no pairs are
+   listed.
 3. Each connected candidate group is joined by signature trees (``signature_tree``): one tree for
    up to ``BLOCK_BYTES`` of sets, several for larger groups. Trees of one group are first joined
    with themselves and the group's first set; only trees not yet wholly connected then meet pair
@@ -33,57 +33,83 @@ from pyspark.sql import functions as F
 from fareweather.llm.components import components
 from fareweather.llm.signature_tree import linked
 from fareweather.llm.tasks import batch_of, grouped_stream, stored
-from fareweather.llm.text import Texts, distinct_shingles, set_fingerprints, signed, text_chunks
+from fareweather.llm.text import distinct_shingles, mix, set_fingerprints, signed, text_chunks
 
-RARITY_BITS = 16
-BLOCK_BYTES = 32 << 20
-ROWS_PER_RUN = 2000
+BAND_RATIO = 1.6
+SEEDS = 4
+BLOCK_BYTES = 8 << 20
+ROWS_PER_RUN = 500
 
 
 def _texts(documents: DataFrame) -> DataFrame:
     return documents.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
 
 
-def counters(documents: DataFrame, words: int) -> np.ndarray:
-    """How many documents' shingles fall into each counter; a fixed number of counters."""
-    schema = pa.schema([("place", pa.int32()), ("n", pa.int64())])
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total = np.zeros(1 << RARITY_BITS, np.int64)
-        for batch in batches:
-            for texts in text_chunks(batch["text"]):
-                values, _ = distinct_shingles(texts, words, lower=True)
-                total += np.bincount(_counter_of(values), minlength=len(total))
-        at = np.flatnonzero(total)
-        yield batch_of(schema, place=at.astype(np.int32), n=total[at])
-
-    counted = documents.select("text").mapInArrow(run, "place int, n long").groupBy("place").agg(F.sum("n").alias("n"))
-    out = np.zeros(1 << RARITY_BITS, np.int64)
-    for row in counted.collect():
-        out[row["place"]] = row["n"]
+def bands(percent: int, largest: int) -> list[int]:
+    """Least sizes of the size bands; sets that link lie in the same band or in neighbouring ones."""
+    ratio = max(BAND_RATIO, 100 / percent)
+    out = [1]
+    while out[-1] <= largest:
+        out.append(int(np.ceil(out[-1] * ratio)))
     return out
 
 
-def _counter_of(values: np.ndarray) -> np.ndarray:
-    return (values >> np.uint64(64 - RARITY_BITS)).astype(np.int64)
+def parts_of_band(low: np.ndarray, high: np.ndarray, percent: int) -> tuple[np.ndarray, np.ndarray]:
+    """How many parts the sets of a band are dealt into, and how many empty ones a set may have.
+
+    Two linked sets of at most ``high`` tokens differ by ``differ`` tokens at most, so that of
+    ``differ + 1 + spare`` parts more than ``spare`` are equal.
+    """
+    differ = 2 * high * (100 - percent) // (100 + percent)
+    empty = (differ + 1) * np.exp(-low * percent / 100 / (differ + 1))
+    spare = np.where(empty < 0.05, 0, np.ceil(empty + 2 * np.sqrt(empty))).astype(np.int64)
+    return differ + 1 + spare, spare
+
 
+def part_keys(values: np.ndarray, offsets: np.ndarray, percent: int) -> tuple[np.ndarray, np.ndarray]:
+    """Keys of each set, and their offsets: sets that link have a key in common.
 
-def rarest(values: np.ndarray, offsets: np.ndarray, rank: np.ndarray, percent: int) -> tuple[np.ndarray, np.ndarray]:
-    """The rarest shingles of each set, as many as have to hold one in common with any set that links."""
+    A set takes part in its own size band and, if larger sets of the next band can link with it,
+    in that one too. In a band its tokens are dealt into parts; each part that has tokens is a
+    key. Were all equal parts of two linked sets empty, both would have more empty parts than the
+    band spares: such sets are dealt once more by another hash, and the last time their empty
+    parts are keys as well.
+    """
     sizes = np.diff(offsets)
-    docs = np.repeat(np.arange(len(sizes)), sizes)
-    order = np.argsort((docs << RARITY_BITS) | rank[_counter_of(values)], kind="stable")  # ties stay in order of hash
-    wanted = np.where(sizes > 0, sizes - (sizes * percent + 99) // 100 + 1, 0)
-    first = np.arange(len(docs)) - np.repeat(offsets[:-1], sizes) < np.repeat(wanted, sizes)
-    return values[order][first], np.concatenate([[0], np.cumsum(wanted)])
+    starts = np.array(bands(percent, int(sizes.max(initial=0)) * 100 // percent + 1))
+    own = np.searchsorted(starts, sizes, "right") - 1
+    guest = (sizes > 0) & (sizes * 100 // percent >= starts[np.minimum(own + 1, len(starts) - 1)])
+    keys, owners = [], []
+    for band, docs in ((own, np.flatnonzero(sizes > 0)), (own + 1, np.flatnonzero(guest))):
+        for seed in range(SEEDS):
+            if not len(docs):
+                break
+            here = band[docs]
+            parts, spare = parts_of_band(starts[here], starts[here + 1] - 1, percent)
+            first = np.concatenate([[0], np.cumsum(parts)])
+            token = values[np.repeat(offsets[docs] - np.cumsum(sizes[docs]) + sizes[docs], sizes[docs]) + np.arange(sizes[docs].sum())]
+            doc = np.repeat(np.arange(len(docs)), sizes[docs])
+            place = (mix(token, 41 + seed) >> np.uint64(32)) * parts[doc].astype(np.uint64) >> np.uint64(32)
+            at = first[doc] + place.astype(np.int64)
+            sums = np.zeros(first[-1], np.uint64)
+            np.add.at(sums, at, mix(token, 51 + seed))
+            full = np.bincount(at, minlength=first[-1]) > 0
+            holder = np.repeat(np.arange(len(docs)), parts)
+            poor = parts - np.bincount(holder[full], minlength=len(docs)) > spare
+            shown = full | poor[holder] if seed == SEEDS - 1 else full
+            code = (here[holder] << 40) | (seed << 34) | (np.arange(first[-1]) - first[holder])
+            keys.append(mix(sums[shown] + mix(code[shown].astype(np.uint64), 61)))
+            owners.append(docs[holder[shown]])
+            docs = docs[poor]
+    if not keys:
+        return np.zeros(0, np.uint64), np.zeros(len(offsets), np.int64)
+    owner = np.concatenate(owners)
+    order = np.argsort(owner, kind="stable")
+    return np.concatenate(keys)[order], np.searchsorted(owner[order], np.arange(len(offsets)))
 
 
 def described(documents: DataFrame, words: int, percent: int) -> DataFrame:
-    """``doc_id``, set size, fingerprint (``f1``, ``f2``) and rarest shingles (``keys``) of every document."""
-    counts = counters(documents, words)
-    rank = np.empty(len(counts), np.int64)
-    rank[np.argsort(counts, kind="stable")] = np.arange(len(counts))
-    shared = documents.sparkSession.sparkContext.broadcast(rank)
+    """``doc_id``, set size, fingerprint (``f1``, ``f2``) and ``keys`` of every document."""
     schema = pa.schema(
         [("doc_id", pa.int64()), ("n", pa.int64()), ("f1", pa.int64()), ("f2", pa.int64()), ("keys", pa.list_(pa.int64()))]
     )
@@ -93,7 +119,7 @@ def described(documents: DataFrame, words: int, percent: int) -> DataFrame:
             for texts in text_chunks(batch["text"]):
                 values, offsets = distinct_shingles(texts, words, lower=True)
                 f1, f2 = set_fingerprints(values, offsets)
-                keys, ends = rarest(values, offsets, shared.value, percent)
+                keys, ends = part_keys(values, offsets, percent)
                 lists = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(signed(keys)))
                 own = batch["doc_id"].slice(texts.row, len(texts))
                 yield batch_of(schema, doc_id=own, n=np.diff(offsets), f1=signed(f1), f2=signed(f2), keys=lists)
@@ -102,17 +128,19 @@ def described(documents: DataFrame, words: int, percent: int) -> DataFrame:
 
 
 def distinct_sets(rows: DataFrame) -> DataFrame:
-    """``set`` (its fingerprint), size and rarest shingles, and the least document that has it."""
-    return (
-        rows.filter("n > 0")
-        .groupBy("f1", "f2")
-        .agg(F.min(F.struct("n", "keys")).alias("s"), F.min("doc_id").alias("doc_id"))
-        .select(F.col("f1").alias("set"), "doc_id", "s.n", "s.keys")
-    )
+    """``set`` (its fingerprint), its size, and the least document that has it."""
+    sets = rows.filter("n > 0").groupBy("f1", "f2").agg(F.min("n").alias("n"), F.min("doc_id").alias("doc_id"))
+    return sets.select(F.col("f1").alias("set"), "doc_id", "n")
+
+
+def set_keys(rows: DataFrame) -> DataFrame:
+    """``set``, size and ``keys`` of every distinct set."""
+    sets = rows.filter("n > 0").groupBy("f1", "f2").agg(F.min(F.struct("n", "keys")).alias("s"))
+    return sets.select(F.col("f1").alias("set"), "s.n", "s.keys")
 
 
 def candidates(sets: DataFrame, percent: int) -> DataFrame:
-    """Stars that connect all sets which share a rare shingle and differ little enough in size."""
+    """Stars that connect all sets which share a key and differ little enough in size."""
     by_key = Window.partitionBy("key").orderBy("n", "set")
     before = F.lag("n").over(by_key)
     head = F.when(before.isNull() | (100 * before < percent * F.col("n")), F.col("set"))
@@ -190,9 +218,9 @@ def tree_links(documents: DataFrame, dealt: DataFrame, words: int, percent: int)
     )
 
 
-def links(documents: DataFrame, sets: DataFrame, words: int, percent: int) -> DataFrame:
+def links(documents: DataFrame, rows: DataFrame, sets: DataFrame, words: int, percent: int) -> DataFrame:
     """Links (``a``, ``b``) between sets that connect all sets which are similar enough."""
-    members = stored(blocked(sets, components(candidates(sets, percent))))
+    members = stored(blocked(sets, components(candidates(set_keys(rows), percent))))
     wide = members.groupBy("grp").agg(F.max("block").alias("last"))
     first = members.groupBy("grp").agg(F.min(F.struct("n", "set", "doc_id")).alias("s"))
     own = members.withColumns({"i": F.col("block"), "j": F.col("block"), "side": F.lit(0), "label": F.col("set")})
@@ -238,7 +266,7 @@ def groups(documents: DataFrame, words: int, percent: int) -> DataFrame:
     """``doc_id``, ``n_shingles`` and ``component_id`` (least id that links reach) of every row."""
     rows = stored(described(documents, words, percent))
     sets = stored(distinct_sets(rows))
-    found = components(links(documents, sets, words, percent))
+    found = components(links(documents, rows, sets, words, percent))
     placed = (
         sets.select("set", "doc_id")
         .join(found.select(F.col("node").alias("set"), "component"), "set", "left")
