@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from fareweather.llm.tasks import batch_of, held_out
+from fareweather.llm.tasks import appended, batch_of, held_out
 from fareweather.llm.text import Texts, text_chunks
 
 BITS = 15
@@ -146,33 +146,38 @@ def train(documents: DataFrame, remainder: int = 0) -> Model:
     return fit([row["bits"] for row in found], [row["lang"] for row in found])
 
 
-def predict(documents: DataFrame, model: Model, remainder: int = 0) -> DataFrame:
-    """``doc_id``, ``held_out``, ``lang_pred`` and ``score`` of every row."""
-    shared = documents.sparkSession.sparkContext.broadcast(model)
-    schema = pa.schema(
-        [("doc_id", pa.int64()), ("held_out", pa.bool_()), ("lang_pred", pa.string()), ("score", pa.float64())]
-    )
+FIELDS = pa.schema([("lang_pred", pa.string()), ("lang_score", pa.float64())])
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+
+def identified(df: DataFrame, model: Model) -> DataFrame:
+    """All columns of ``df``, then ``lang_pred`` and ``lang_score``."""
+    shared = df.sparkSession.sparkContext.broadcast(model)
+
+    def compute(texts: Texts, known: pa.Array) -> dict[str, object]:
         names = np.array([*shared.value.languages, UNKNOWN], object)
-        for batch in batches:
-            for texts in text_chunks(batch["text"], max_rows=ROWS):
-                own = batch.slice(texts.row, len(texts))
-                known = own["known"].to_numpy(zero_copy_only=False) & (len(names) > 1)
-                best, score = np.full(len(texts), len(names) - 1), np.zeros(len(texts))
-                if known.any():
-                    best[known], score[known] = (x[known] for x in shared.value.decide(presence(texts)))
-                yield batch_of(
-                    schema, doc_id=own["doc_id"], held_out=own["held_out"], lang_pred=names[best].tolist(), score=score
-                )
+        sure = known.to_numpy(zero_copy_only=False) & (len(names) > 1)
+        best, score = np.full(len(texts), len(names) - 1), np.zeros(len(texts))
+        if sure.any():
+            best[sure], score[sure] = (x[sure] for x in shared.value.decide(presence(texts)))
+        return {"lang_pred": names[best].tolist(), "lang_score": score}
+
+    known = has_letter(f"c{df.columns.index('text')}")
+    return appended(df, FIELDS, compute, max_rows=ROWS, known=known)
 
+
+def predict(documents: DataFrame, model: Model, remainder: int = 0) -> DataFrame:
+    """``doc_id``, ``held_out``, ``lang_pred`` and ``score`` of every row."""
     source = documents.select(
-        F.col("doc_id").cast("long").alias("doc_id"),
-        held_out("doc_id", remainder).alias("held_out"),
-        has_letter("text").alias("known"),
-        "text",
+        F.col("doc_id").cast("long").alias("doc_id"), held_out("doc_id", remainder).alias("held_out"), "text"
     )
-    return source.mapInArrow(run, "doc_id long, held_out boolean, lang_pred string, score double")
+    return identified(source, model).select("doc_id", "held_out", "lang_pred", F.col("lang_score").alias("score"))
+
+
+def keep_identified(df: DataFrame, least: float = 0.0) -> DataFrame:
+    """The rows of ``df`` whose language is known, with a score of ``least`` or more, columns as they are."""
+    places = [f"c{i}" for i in range(len(df.columns))]
+    found = identified(df, train(df)).toDF(*places, "pred", "score")
+    return found.filter((F.col("pred") != UNKNOWN) & (F.col("score") >= least)).select(*places).toDF(*df.columns)
 
 
 def op3_language_kernel(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -281,6 +281,27 @@ def groups(documents: DataFrame, words: int, percent: int) -> DataFrame:
     )
 
 
+def keep_one(documents: DataFrame, words: int = 5, percent: int = 80) -> DataFrame:
+    """One row of ``documents`` for each group, that of least id, columns as they are.
+
+    Of rows with the same id one stays; rows without an id can't be told apart from a group's
+    first and stay.
+    """
+    places = [f"c{i}" for i in range(len(documents.columns))]
+    doc_id = f"c{documents.columns.index('doc_id')}"
+    named = documents.select("doc_id", "text").filter("doc_id IS NOT NULL")
+    first = groups(named, words, percent).filter("doc_id = component_id").select("doc_id").distinct()
+    rows = documents.toDF(*places)
+    order = Window.partitionBy(doc_id).orderBy(F.xxhash64(F.col(f"c{documents.columns.index('text')}")))
+    kept = (
+        rows.join(first.select(F.col("doc_id").alias("first")), F.col(doc_id).cast("long") == F.col("first"), "left_semi")
+        .withColumn("place", F.row_number().over(order))
+        .filter("place = 1")
+        .select(*places)
+    )
+    return kept.unionByName(rows.filter(F.col(doc_id).isNull())).toDF(*documents.columns)
+
+
 def op2_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return groups(spark.read.parquet(f"{sf_dir}/documents.parquet"), words=3, percent=90)
 

@@ -17,14 +17,13 @@ without rows gives no rows; where all documents vote alike the prior stays at it
 from __future__ import annotations
 
 from collections.abc import Iterator
-from functools import reduce
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fareweather.llm.tasks import batch_of, stored
+from fareweather.llm.tasks import appended, batch_of, stored
 from fareweather.llm.text import Texts, counts_in, hash_spans, mix, text_chunks, window_hashes, windows_of
 
 COUNTS = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
@@ -192,24 +191,24 @@ def posterior_odds(patterns: np.ndarray, prior: float, table: np.ndarray) -> np.
     return np.log(prior / (1 - prior)) + chosen.sum(axis=1)
 
 
-def judge(counted: DataFrame) -> DataFrame:
-    """``counted`` with a vote column per rule, ``quality_prob`` and ``verdict``."""
-    voted = counted.withColumns({f"vote_{name}": vote for name, vote in votes().items()})
-    columns = [f"vote_{name}" for name in RULES]
-    seen = voted.groupBy(*columns).agg(F.count("*").alias("weight")).collect()  # at most 3 ** rules rows
-    patterns = np.array([[row[name] for name in columns] for row in seen], int).reshape(len(seen), len(columns))
+def fit(counted: DataFrame) -> Column:
+    """The posterior probability that a text is good, as an expression over its counts.
+
+    The fit sees how often each combination of votes occurs, at most ``3 ** len(RULES)`` rows.
+    """
+    voting = votes()
+    seen = counted.groupBy(*[voting[name].alias(name) for name in RULES]).agg(F.count("*").alias("weight")).collect()
+    patterns = np.array([[row[name] for name in RULES] for row in seen], int).reshape(len(seen), len(RULES))
     prior, table = fit_votes(patterns, np.array([row["weight"] for row in seen], float))
     evidence = np.log(table[:, 1] / table[:, 0])
-    odds = reduce(
-        lambda total, part: total + part,
-        [
-            F.element_at(F.array(*[F.lit(float(x)) for x in evidence[i]]), F.col(name) + 2)
-            for i, name in enumerate(columns)
-        ],
-        F.lit(float(np.log(prior / (1 - prior)))),
-    )
-    probability = 1 / (1 + F.exp(-odds))
-    return voted.withColumn("quality_prob", probability).withColumn("verdict", probability >= 0.5)
+    odds = F.lit(float(np.log(prior / (1 - prior))))
+    for i, name in enumerate(RULES):
+        odds = odds + F.element_at(F.array(*[F.lit(float(x)) for x in evidence[i]]), voting[name] + 2)
+    return 1 / (1 + F.exp(-odds))
+
+
+def base_failed() -> Column:
+    return (F.col("n_words") < MIN_WORDS) | (100 * F.col("n_repeat_words") > MAX_REPEAT_PERCENT * F.col("n_words"))
 
 
 def quality(df: DataFrame) -> DataFrame:
@@ -217,11 +216,28 @@ def quality(df: DataFrame) -> DataFrame:
 
     Counts are computed once, by one scan of the texts, and stored: about 100 bytes a document.
     """
-    judged = judge(stored(count_texts(df)))
-    failed = (F.col("n_words") < MIN_WORDS) | (100 * F.col("n_repeat_words") > MAX_REPEAT_PERCENT * F.col("n_words"))
-    return judged.select(
-        "doc_id", *COUNTS, failed.alias("base_failed"), (~failed & F.col("verdict")).alias("kept"), "quality_prob"
+    counted = stored(count_texts(df))
+    probability = fit(counted)
+    return counted.select(
+        "doc_id",
+        *COUNTS,
+        base_failed().alias("base_failed"),
+        (~base_failed() & (probability >= 0.5)).alias("kept"),
+        probability.alias("quality_prob"),
+    )
+
+
+def keep_good(df: DataFrame) -> DataFrame:
+    """The rows of ``df`` that ``quality`` keeps, with their columns as they are.
+
+    The fit takes one scan of the texts, the decision another, so that no row is shuffled.
+    """
+    probability = fit(count_texts(df))
+    counted = appended(df, pa.schema(list(COUNT_SCHEMA)[1:]), text_counts).toDF(
+        *[f"c{i}" for i in range(len(df.columns))], *COUNTS, *MORE_COUNTS
     )
+    kept = counted.filter(~base_failed() & (probability >= 0.5))
+    return kept.select(*[f"c{i}" for i in range(len(df.columns))]).toDF(*df.columns)
 
 
 def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -403,6 +403,22 @@ def kept_texts(texts: Texts, kept: np.ndarray) -> list[str]:
     return [body[a : max(a, b - 1)].decode() for a, b in zip(sums[words[:-1]].tolist(), sums[words[1:]].tolist())]
 
 
+def drop_repeats(documents: DataFrame, window: int = 20) -> DataFrame:
+    """``documents`` with the words left as ``text`` and their length as ``n_chars`` (if there is such a column)."""
+    others = [name for name in documents.columns if name != "text"]
+    out = dedup(documents, window, as_is=True).toDF(*[f"c{i}" for i in range(len(others))], "words", "removed", "kept")
+    columns = []
+    for name in documents.columns:
+        if name == "text":
+            columns.append(F.col("kept"))
+        elif name == "n_chars":
+            length = F.length("kept").cast(documents.schema["n_chars"].dataType)
+            columns.append(F.when(F.col("removed") > 0, length).otherwise(F.col(f"c{others.index(name)}")))
+        else:
+            columns.append(F.col(f"c{others.index(name)}"))
+    return out.select(*[column.alias(f"k{i}") for i, column in enumerate(columns)]).toDF(*documents.columns)
+
+
 def op8_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text")
     kept = dedup(documents, window=20)

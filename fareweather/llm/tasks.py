@@ -9,7 +9,10 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import from_arrow_type
+from pyspark.sql.types import StructField, StructType
 
+from fareweather.llm.text import Texts, text_chunks
 from fareweather.session import shared_folder
 
 
@@ -44,6 +47,33 @@ def shuffle_partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
+def appended(
+    df: DataFrame, fields: pa.Schema, compute: Callable[[Texts], dict], text: str = "text", max_rows: int = 1 << 30, **inputs: Column
+) -> DataFrame:
+    """All columns of ``df`` as they are, then ``fields``, which ``compute`` makes from some texts.
+
+    ``inputs`` are further columns that ``compute`` gets by name. Columns go by place, so names of
+    ``df`` may clash with anything, each other included.
+    """
+    carried, extra = [f"c{i}" for i in range(len(df.columns))], list(inputs)
+    at = df.columns.index(text)
+    renamed = df.toDF(*carried)
+    source = renamed.select(*carried, *[inputs[name].alias(name) for name in extra])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for texts in text_chunks(batch[f"c{at}"], max_rows=max_rows):
+                own = batch.slice(texts.row, len(texts))
+                made = compute(texts, **{name: own[name] for name in extra})
+                columns = [own[name] for name in carried] + [pa.array(made[f.name], f.type) for f in fields]
+                yield pa.RecordBatch.from_arrays(columns, [*carried, *fields.names])
+
+    schema = StructType(
+        [*renamed.schema.fields, *[StructField(f.name, from_arrow_type(f.type)) for f in fields]]
+    )
+    return source.mapInArrow(run, schema).toDF(*df.columns, *fields.names)
+
+
 def batch_of(schema: pa.Schema, **columns) -> pa.RecordBatch:
     arrays = [
         columns[field.name] if isinstance(columns[field.name], pa.Array) else pa.array(columns[field.name], field.type)
