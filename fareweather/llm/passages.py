@@ -162,16 +162,20 @@ def train(sample: DataFrame) -> dict[str, np.ndarray]:
             bags += [np.frombuffer(bag, np.float32).reshape(-1, INPUTS) for bag in batch["bag"].to_pylist()]
             label += batch["label"].to_pylist()
             weight += batch["weight"].to_pylist()
-        model = fit(bags, np.array(label), np.array(weight)) if bags else start_weights()
+        if not bags:
+            return
         file = io.BytesIO()
-        np.savez(file, **model)
+        np.savez(file, **fit(bags, np.array(label), np.array(weight)))
         yield pa.RecordBatch.from_arrays([pa.array([file.getvalue()], pa.binary())], ["model"])
 
     encoded = sample.select("doc_id", "label", "weight", "text").mapInArrow(
         encode, "doc_id long, label int, weight double, bag binary"
     )
     stream = in_one_task(encoded, F.xxhash64("doc_id"), F.col("doc_id"))
-    with np.load(io.BytesIO(stream.mapInArrow(learn, "model binary").first()["model"])) as file:
+    found = stream.mapInArrow(learn, "model binary").first()
+    if found is None:
+        return start_weights()
+    with np.load(io.BytesIO(found["model"])) as file:
         return {name: file[name] for name in file.files}
 
 
