@@ -31,10 +31,10 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fareweather.llm.tasks import batch_of, free_shuffles, grouped_stream, stored
+from fareweather.llm.tasks import batch_of, grouped_stream, stored
 from fareweather.llm.text import Texts, join_hashes, mix, signed, text_chunks, window_hashes
 
 LAST = 2**63 - 1
@@ -116,7 +116,7 @@ def ordered(doc_id: str) -> Column:
 
 
 def anchored(documents: DataFrame, window: int) -> DataFrame:
-    """``ord``, ``n``, ``f1``, ``f2`` and the ``anchors`` of every document."""
+    """``ord``, ``n``, ``f1``, ``f2`` and the ``anchors`` of every document, each once or, if it recurs there, twice."""
     schema = pa.schema(
         [("ord", pa.int64()), ("n", pa.int64()), ("f1", pa.int64()), ("f2", pa.int64()), ("anchors", pa.list_(pa.int64()))]
     )
@@ -127,9 +127,8 @@ def anchored(documents: DataFrame, window: int) -> DataFrame:
                 hashes = texts.word_hashes()
                 f1, f2 = sequence_fingerprints(texts, hashes)
                 windows = Windows(texts, hashes, window)
-                at = windows.anchors()
-                ends = np.searchsorted(at, texts.first_word)
-                lists = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(signed(windows.low[at])))
+                values, ends = at_most_twice(texts, windows)
+                lists = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(signed(values)))
                 own = batch["ord"].slice(texts.row, len(texts))
                 yield batch_of(schema, ord=own, n=texts.n_words, f1=f1, f2=f2, anchors=lists)
 
@@ -137,17 +136,27 @@ def anchored(documents: DataFrame, window: int) -> DataFrame:
     return source.mapInArrow(run, "ord long, n long, f1 long, f2 long, anchors array<long>")
 
 
+def at_most_twice(texts: Texts, windows: Windows) -> tuple[np.ndarray, np.ndarray]:
+    """Anchors of each document in order of value, none more than twice, and their offsets."""
+    at = windows.anchors()
+    doc, value = texts.word_doc[at], windows.low[at]
+    order = np.lexsort((value, doc))
+    doc, value = doc[order], value[order]
+    third = np.zeros(len(doc), bool)
+    third[2:] = (value[2:] == value[:-2]) & (doc[2:] == doc[:-2])
+    return value[~third], np.searchsorted(doc[~third], np.arange(len(texts) + 1))
+
+
 def repeated_anchors(firsts: DataFrame) -> DataFrame:
-    """``ord`` and the list ``hits`` of (``f1``, ``anchor``) for anchors that occur twice or more."""
-    by_anchor = Window.partitionBy("anchor").orderBy("ord", "f1")
-    twice = F.lag("ord").over(by_anchor).isNotNull() | F.lead("ord").over(by_anchor).isNotNull()
-    return (
-        firsts.select("ord", "f1", F.explode("anchors").alias("anchor"))
-        .withColumn("twice", twice)
-        .filter("twice")
-        .groupBy("ord")
-        .agg(F.collect_list(F.struct("f1", "anchor")).alias("hits"))
-    )
+    """``ord`` and the list ``hits`` of (``f1``, ``anchor``) for anchors that occur twice or more.
+
+    Counts are partial aggregates and stored before the join, which can then split the documents
+    of an anchor that very many have.
+    """
+    rows = firsts.select("ord", "f1", F.explode("anchors").alias("anchor"))
+    repeated = stored(rows.groupBy("anchor").agg(F.count("*").alias("n")).filter("n > 1").select("anchor"))
+    found = rows.join(repeated, "anchor", "left_semi")
+    return found.groupBy("ord").agg(F.collect_list(F.struct("f1", "anchor")).alias("hits"))
 
 
 def hits_of(batch: pa.RecordBatch, name: str, rows: slice) -> tuple[np.ndarray, dict[str, np.ndarray]]:

@@ -29,22 +29,16 @@ def held_out(doc_id: str, remainder: int) -> Column:
 def stored(df: DataFrame) -> DataFrame:
     """``df`` computed once and written to the shared checkpoint folder, its lineage cut.
 
-    Shuffle files of what led to it go as soon as the driver's JVM has collected its garbage.
+    Shuffle files of what led to it go as soon as the driver's JVM has collected its garbage, so
+    the frame computed is let go of before that is asked for.
     """
-    shared_folder(df.sparkSession)
+    spark = df.sparkSession
+    shared_folder(spark)
     out = df.checkpoint(eager=True)
-    free_shuffles(out.sparkSession)
-    return out
-
-
-def free_shuffles(spark: SparkSession) -> None:
-    """Let Spark's cleaner drop the shuffle files that nothing refers to any more."""
+    del df
     gc.collect()
     spark.sparkContext._jvm.System.gc()
-
-
-def shuffle_partitions(spark: SparkSession) -> int:
-    return int(spark.conf.get("spark.sql.shuffle.partitions"))
+    return out
 
 
 def appended(
