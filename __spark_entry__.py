@@ -36,6 +36,9 @@ from fareweather.streaming.weather_stream import run_weather_stream
 
 SMOKE_DIR = "/root/testdata/sf0.001"
 
+# Files that a wave of documents lands in.
+WAVE_FILES = 8
+
 Query = Callable[[SparkSession, str], DataFrame]
 
 
@@ -221,6 +224,19 @@ def trip_enriched_in_cells(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def trip_enriched_busy_hours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All trips and all observations piled into the same fifty hours, summed up by hour and category."""
+    first = F.lit("2024-01-01 00:00:00").cast("timestamp_ntz")
+    zone_hour = F.make_dt_interval(hours=(F.col("PULocationID") % 50).cast("int"))
+    humid_hour = F.make_dt_interval(hours=(F.col("humidity") % 50).cast("int"))
+    trips = _fact(spark, sf_dir).withColumn("tpep_pickup_datetime", first + zone_hour)
+    weather = feeds.event_weather(spark, sf_dir).withColumn("timestamp", (first + humid_hour).cast("timestamp"))
+    joined = enrich_trips(trips, weather, broadcast_limit=0, cell_pairs=20_000)
+    return joined.groupBy(F.col("tpep_pickup_datetime").alias("hour"), "weather_category").agg(
+        F.count(F.lit(1)).alias("pairs"), F.sum("PULocationID").alias("zones"), F.max("temperature").alias("warmest")
+    )
+
+
 def trip_summary_per_hour(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _rounded(trip_summary(_totals(spark, sf_dir), feeds.reported_weather(spark, sf_dir)))
 
@@ -249,9 +265,12 @@ def high_value_customers(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def staging_views(spark: SparkSession, sf_dir: str) -> DataFrame:
-    build_models(_loaded_warehouse(spark, sf_dir), only=STAGING)
-    trips = spark.table("source_fact_taxi_trips").groupBy(F.col("pickup_hour").alias("hour"))
-    weather = spark.table("source_dim_weather").groupBy("hour")
+    """The views as another session of the catalog finds them."""
+    warehouse = _loaded_warehouse(spark, sf_dir)
+    build_models(warehouse, only=STAGING)
+    other = use_session_defaults(spark.newSession())
+    trips = other.table(f"{warehouse.database}.source_fact_taxi_trips").groupBy(F.col("pickup_hour").alias("hour"))
+    weather = other.table(f"{warehouse.database}.source_dim_weather").groupBy("hour")
     return trips.agg(F.count(F.lit(1)).alias("trips")).join(
         weather.agg(F.count(F.lit(1)).alias("observations")), "hour", "full"
     )
@@ -371,21 +390,64 @@ def ingest_status(spark: SparkSession, sf_dir: str) -> DataFrame:
 # --- weather landing and stream ----------------------------------------------------------------
 
 
-def _stream_in_two_waves(spark: SparkSession, sf_dir: str, warehouse) -> None:
-    """One micro-batch per wave, however many files a wave has landed."""
-    landing, checkpoint = scratch_folder(spark, "landing"), scratch_folder(spark, "checkpoint")
-    documents = feeds.event_documents(spark, sf_dir)
+def _waves(spark: SparkSession, sf_dir: str) -> list[DataFrame]:
+    """The documents in two parts, each in several files."""
+    documents = feeds.event_documents(spark, sf_dir).repartition(WAVE_FILES, "value")
     is_array = F.col("value").contains('"weather":[')
-    for wave in (is_array, ~is_array):
-        land_payloads(documents.where(wave), landing)
-        run_weather_stream(spark, landing, warehouse, checkpoint, files_per_batch=2**31 - 1)
-    run_weather_stream(spark, landing, warehouse, checkpoint)  # nothing new: adds nothing
+    return [documents.where(is_array), documents.where(~is_array)]
+
+
+def _stream_in_two_waves(spark: SparkSession, sf_dir: str, warehouse, between: Callable[[], None] | None = None) -> None:
+    """Several micro-batches a wave; files that have been read move out of the landing folder."""
+    landing, checkpoint = scratch_folder(spark, "landing"), scratch_folder(spark, "checkpoint")
+    options = {"files_per_batch": WAVE_FILES // 4, "archive": scratch_folder(spark, "archive")}
+    for wave in _waves(spark, sf_dir):
+        land_payloads(wave, landing)
+        run_weather_stream(spark, landing, warehouse, checkpoint, **options)
+        if between:
+            between()
+    run_weather_stream(spark, landing, warehouse, checkpoint, **options)  # nothing new: adds nothing
 
 
 def weather_json_landing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    landing = scratch_folder(spark, "landing")
-    land_payloads(feeds.event_documents(spark, sf_dir), landing)
-    return _wall_clock(dim_weather(spark.read.schema(RAW_WEATHER).json(landing)))
+    """Documents with line breaks in them, null payloads and blank ones: each ends up in one table."""
+    warehouse, landing = _lake_warehouse(spark), scratch_folder(spark, "landing")
+    documents = feeds.event_documents(spark, sf_dir).withColumn("value", F.regexp_replace("value", ",", ",\n"))
+    failed = feeds.undated_documents(spark, sf_dir)
+    empty = F.when(F.col("value").contains("cod"), F.lit(" \n\t"))
+    land_payloads(documents.union(failed.select(empty)), landing)
+    run_weather_stream(spark, landing, warehouse, scratch_folder(spark, "checkpoint"))
+    observed = _wall_clock(warehouse.table("dim_weather"))
+    set_aside = warehouse.table("weather_quarantine").select(F.col("record").alias("weather_category"))
+    return observed.unionByName(set_aside, allowMissingColumns=True)
+
+
+def weather_two_streams(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two landing folders, each with its own checkpoint, into one warehouse."""
+    warehouse = _lake_warehouse(spark)
+    for wave in _waves(spark, sf_dir):
+        landing = scratch_folder(spark, "landing")
+        land_payloads(wave, landing)
+        run_weather_stream(spark, landing, warehouse, scratch_folder(spark, "checkpoint"))
+    return _wall_clock(warehouse.table("dim_weather"))
+
+
+def weather_backfill_then_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One part is written as a whole table, the other is streamed to it."""
+    warehouse, landing = _lake_warehouse(spark), scratch_folder(spark, "landing")
+    old, new = _waves(spark, sf_dir)
+    parsed = old.select(F.from_json("value", RAW_WEATHER.simpleString()).alias("raw")).select("raw.*")
+    warehouse.replace("dim_weather", dim_weather(parsed))
+    land_payloads(new, landing)
+    run_weather_stream(spark, landing, warehouse, scratch_folder(spark, "checkpoint"))
+    return _wall_clock(warehouse.table("dim_weather"))
+
+
+def weather_compacted(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Older batches are merged after each wave."""
+    warehouse = _lake_warehouse(spark)
+    _stream_in_two_waves(spark, sf_dir, warehouse, lambda: warehouse.compact("dim_weather"))
+    return _wall_clock(warehouse.table("dim_weather"))
 
 
 def weather_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -395,14 +457,15 @@ def weather_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def weather_stream_idempotent(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Both batches are handed to the sink once more, as after a crash before the commit."""
+    """The last batches are handed to the sink once more, as after a crash before the commit."""
     warehouse = _lake_warehouse(spark)
     _stream_in_two_waves(spark, sf_dir, warehouse)
-    documents = feeds.event_documents(spark, sf_dir)
-    parsed = documents.select("value", F.from_json("value", RAW_WEATHER.simpleString()).alias("raw"))
-    is_array = F.col("value").contains('"weather":[')
-    for batch_id, wave in enumerate((is_array, ~is_array)):
-        warehouse.append_batch("dim_weather", dim_weather(parsed.where(wave).select("raw.*")), batch_id)
+    stored = warehouse.with_batches("dim_weather").checkpoint()
+    last = F.max_by(F.struct("stream_id", "batch_id"), "batch_id").alias("last")
+    for row in stored.groupBy("stream_id").agg(last).collect():  # one stream
+        stream_id, batch_id = row["last"]
+        own = stored.where((F.col("stream_id") == stream_id) & (F.col("batch_id") == batch_id))
+        warehouse.append_batch("dim_weather", own.drop("stream_id", "batch_id"), batch_id, stream_id)
     return _wall_clock(warehouse.table("dim_weather"))
 
 
@@ -451,11 +514,26 @@ def _flow_config(spark: SparkSession, sf_dir: str) -> FlowConfig:
     )
 
 
+def fact_month_replaced(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Three months are loaded, one of them in part; then that one is replaced and the others stay."""
+    config, months = _flow_config(spark, sf_dir), [(1996, 3), (1997, 11), (1997, 12)]
+    run_trip_batch(spark, config, months, models=())
+    config.warehouse.replace_months(
+        "fact_taxi_trips", config.warehouse.table("fact_taxi_trips", months[1:2]).where("fare_amount < 0").checkpoint(), months[1:2]
+    )
+    run_trip_batch(spark, config, months[1:2], transform_periods=months[1:2], models=())
+    return (
+        config.warehouse.all_months("fact_taxi_trips")
+        .groupBy("year", "month")
+        .agg(F.count(F.lit(1)).alias("trips"), F.round(F.sum("total_amount"), 2).alias("total_spent"))
+    )
+
+
 def trip_batch_run(spark: SparkSession, sf_dir: str) -> DataFrame:
     config = _flow_config(spark, sf_dir)
     run_weather_batch(spark, config, feeds.order_documents(spark, sf_dir), models=())
     run_trip_batch(spark, config, feeds.trip_months(feeds.monthly_trips(spark, sf_dir)))
-    return _rounded(read_model(config.warehouse, "high_value_customers"), spent_places=0)  # billions
+    return _rounded(read_model(config.warehouse, "high_value_customers"), spent_places=2)
 
 
 def weather_batch_run(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -477,6 +555,7 @@ QUERIES: dict[str, Query] = {
     "weather_hour_day": weather_hour_day,
     "trip_enriched": trip_enriched,
     "trip_enriched_in_cells": trip_enriched_in_cells,
+    "trip_enriched_busy_hours": trip_enriched_busy_hours,
     "trip_summary_per_hour": trip_summary_per_hour,
     "trip_summary_of_enriched": trip_summary_of_enriched,
     "positive_passenger_trips": positive_passengers,
@@ -496,9 +575,13 @@ QUERIES: dict[str, Query] = {
     "weather_json_landing": weather_json_landing,
     "weather_stream": weather_stream,
     "weather_stream_idempotent": weather_stream_idempotent,
+    "weather_two_streams": weather_two_streams,
+    "weather_backfill_then_stream": weather_backfill_then_stream,
+    "weather_compacted": weather_compacted,
     "weather_quarantine": weather_quarantine,
     "jdbc_overwrite": jdbc_overwrite,
     "jdbc_append": jdbc_append,
+    "fact_month_replaced": fact_month_replaced,
     "trip_batch_run": trip_batch_run,
     "weather_batch_run": weather_batch_run,
 }
@@ -574,7 +657,7 @@ def _event_weather(moment: str) -> str:
            {CATEGORY} AS weather_category,
            CAST(extract(hour FROM ts) AS INTEGER) AS hour,
            CAST(dayofweek(ts) + 1 AS INTEGER) AS day_of_week
-    FROM events WHERE event_type = 'view'"""
+    FROM events WHERE event_type NOT IN ('error', 'signup')"""
 
 
 REPORTED_WEATHER = f"""
@@ -584,7 +667,7 @@ REPORTED_WEATHER = f"""
            CAST(min({K}) AS DOUBLE) / 5 AS wind_speed,
            CASE sum({K}) % 5 WHEN 0 THEN 'Rainy' WHEN 1 THEN 'Cloudy' WHEN 2 THEN 'Clear' ELSE 'Other' END
                AS weather_category
-    FROM events WHERE event_type = 'view'
+    FROM events WHERE event_type NOT IN ('error', 'signup')
     GROUP BY floor(epoch(ts) / 1200)"""
 
 ORDER_HOUR = "o_orderdate + CAST(o_orderkey % 24 AS INTEGER) * INTERVAL 1 HOUR"
@@ -671,13 +754,22 @@ FROM events""",
         "weather_flatten": streamed_weather,
         "weather_category": f"""
 SELECT {CONDITION} AS weather_condition, {CATEGORY} AS weather_category, count(*) AS observations
-FROM events WHERE event_type = 'view' GROUP BY 1, 2""",
+FROM events WHERE event_type NOT IN ('error', 'signup') GROUP BY 1, 2""",
         "weather_hour_day": """
 SELECT CAST(extract(hour FROM ts) AS INTEGER) AS hour, CAST(dayofweek(ts) + 1 AS INTEGER) AS day_of_week,
        count(*) AS observations
-FROM events WHERE event_type = 'view' GROUP BY 1, 2""",
+FROM events WHERE event_type NOT IN ('error', 'signup') GROUP BY 1, 2""",
         "trip_enriched": enriched,
         "trip_enriched_in_cells": enriched,
+        "trip_enriched_busy_hours": f"""
+WITH trips AS (SELECT CAST("PULocationID" % 50 AS INTEGER) AS h, "PULocationID" AS zone FROM ({EVENT_TRIPS}) AS t),
+     weather AS (SELECT CAST({K} % 50 AS INTEGER) AS h, {CATEGORY} AS weather_category, value AS temperature
+                 FROM events WHERE event_type NOT IN ('error', 'signup')),
+     zones AS (SELECT h, count(*) AS n, sum(zone) AS zones FROM trips GROUP BY 1),
+     readings AS (SELECT h, weather_category, count(*) AS n, max(temperature) AS warmest FROM weather GROUP BY 1, 2)
+SELECT TIMESTAMP '2024-01-01 00:00:00' + z.h * INTERVAL 1 HOUR AS hour, weather_category,
+       CAST(z.n * coalesce(r.n, 1) AS BIGINT) AS pairs, CAST(zones * coalesce(r.n, 1) AS BIGINT) AS zones, warmest
+FROM zones AS z LEFT JOIN readings AS r ON z.h = r.h""",
         "trip_summary_per_hour": summary,
         "trip_summary_of_enriched": summary,
         "positive_passenger_trips": f"SELECT * FROM ({fact}) AS fact WHERE passenger_count > 0",
@@ -702,7 +794,7 @@ UNION ALL SELECT 'high_value_customers', count(*), CAST(sum(trip_count) AS BIGIN
 SELECT pickup_day, weather_category, count(*) AS trips, max(temperature) AS warmest
 FROM enriched GROUP BY pickup_day, weather_category HAVING count(*) > 10""",
         "period_enumeration": "WITH"
-        + period_counts.format(condition="(years.year <> 2024 OR months.month <= 4)"),
+        + period_counts.format(condition="true"),
         "period_cross_months": "WITH" + period_counts.format(condition="months.month IN (1, 6, 12)"),
         "lake_ingest_by_period": f"""
 SELECT {month}, count(*) AS trips, round(sum(total_amount), 4) AS total_spent
@@ -721,15 +813,27 @@ FROM ({MONTHLY_TRIPS}) AS raw GROUP BY 1, 2""",
 SELECT {month}, true AS ok, count(*) AS rows, false AS has_error FROM ({MONTHLY_TRIPS}) AS raw GROUP BY 1, 2
 UNION ALL SELECT 2002, 1, false, NULL, true
 UNION ALL SELECT 2002, 2, false, NULL, true""",
-        "weather_json_landing": streamed_weather,
+        "weather_json_landing": streamed_weather
+        + """
+UNION ALL
+SELECT NULL, NULL, NULL, NULL, NULL, '{"message":"empty payload"}', NULL, NULL
+FROM events WHERE event_type IN ('error', 'signup')""",
+        "weather_two_streams": streamed_weather,
+        "weather_backfill_then_stream": streamed_weather,
+        "weather_compacted": streamed_weather,
         "weather_stream": streamed_weather,
         "weather_stream_idempotent": streamed_weather,
         "weather_quarantine": """
-SELECT CASE WHEN event_type = 'view' THEN 'dim_weather' ELSE 'weather_quarantine' END AS destination,
+SELECT CASE WHEN event_type IN ('error', 'signup') THEN 'weather_quarantine' ELSE 'dim_weather' END AS destination,
        count(*) AS documents
-FROM events WHERE event_type IN ('view', 'error', 'signup') GROUP BY 1""",
+FROM events GROUP BY 1""",
         "jdbc_overwrite": fact,
         "jdbc_append": _event_weather("ts"),
-        "trip_batch_run": monthly_models + STATS_QUERY.format(table="enriched", places=0) + HIGH_VALUE_LIMITS,
+        "fact_month_replaced": f"""
+SELECT {month}, count(*) AS trips, round(sum(total_amount), 2) AS total_spent
+FROM ({MONTHLY_TRIPS}) AS raw
+WHERE (year(tpep_pickup_datetime), month(tpep_pickup_datetime)) IN ((1996, 3), (1997, 11), (1997, 12))
+GROUP BY 1, 2""",
+        "trip_batch_run": monthly_models + STATS_QUERY.format(table="enriched", places=2) + HIGH_VALUE_LIMITS,
         "weather_batch_run": monthly_models + SUMMARY_QUERY,
     }

@@ -46,6 +46,6 @@ def with_trip_features(trips: DataFrame) -> DataFrame:
     )
 
 
-def fact_trips(trips: DataFrame) -> DataFrame:
-    """Raw trips to the fact table's columns; one narrow projection over the scan."""
-    return with_trip_features(trips).select(FACT_TRIPS.fieldNames())
+def fact_trips(trips: DataFrame, *keep: str) -> DataFrame:
+    """Raw trips to the fact table's columns and those to keep; one narrow projection over the scan."""
+    return with_trip_features(trips).select(*FACT_TRIPS.fieldNames(), *keep)

@@ -7,10 +7,6 @@ from pyspark.sql import functions as F
 
 from fareweather.functions.clock import epoch_to_timestamp, hour_of_day, weekday
 
-# Looked for in this order, case-sensitive, first match wins.
-CATEGORY_BY_TEXT = {"Rain": "Rainy", "Cloud": "Cloudy", "Clear": "Clear"}
-OTHER_CATEGORY = "Other"
-
 
 def condition_text(weather_json: Column) -> Column:
     """`main` of the first condition; a lone object is read as an array of one."""
@@ -19,10 +15,13 @@ def condition_text(weather_json: Column) -> Column:
 
 
 def weather_category(condition: Column) -> Column:
-    label = F
-    for text, category in CATEGORY_BY_TEXT.items():
-        label = label.when(condition.like(f"%{text}%"), category)
-    return label.otherwise(OTHER_CATEGORY)
+    """Looked for in this order, case-sensitive, first match wins."""
+    return (
+        F.when(condition.like("%Rain%"), "Rainy")
+        .when(condition.like("%Cloud%"), "Cloudy")
+        .when(condition.like("%Clear%"), "Clear")
+        .otherwise("Other")
+    )
 
 
 def flatten_observations(raw: DataFrame) -> DataFrame:

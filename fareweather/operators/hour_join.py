@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from fareweather.functions.clock import hour_key
+from fareweather.functions.clock import hour_key, instant_hour_key
 from fareweather.session import shared_folder
 
 WEATHER_COLUMNS = ("temperature", "humidity", "wind_speed", "weather_category")
@@ -16,8 +16,13 @@ BROADCAST_LIMIT_BYTES = 128 * 1024 * 1024
 # Hash relation cost of one observation besides its text: key, pointers, row header, 3 doubles.
 OBSERVATION_BYTES = 128
 
-# Beyond the broadcast limit an hour is cut into cells of about this many rows.
+# Nor is it broadcast if some hour has more observations: one task would write out all pairs of
+# its trips of that hour.
+BUSY_HOUR = 1_000
+
+# Beyond that an hour is cut into cells of about this many rows, and of so many pairs at most.
 CELL_ROWS = 1_000_000
+CELL_PAIRS = 20_000_000
 # The list of cut hours is broadcast; cells grow with the data so that it stays this short.
 MAX_CELLS = 200_000
 # The shuffle gets at least one partition for so many rows, whatever the session's setting.
@@ -29,32 +34,37 @@ def enrich_trips(
     weather: DataFrame,
     broadcast_limit: int = BROADCAST_LIMIT_BYTES,
     cell_rows: int = CELL_ROWS,
+    cell_pairs: int = CELL_PAIRS,
 ) -> DataFrame:
     """All trip columns plus the weather of the pickup hour.
 
     Unmatched trips stay with NULL weather, several observations in an hour repeat the
     trip, and a NULL pickup matches nothing.
     """
-    observations = weather.select(hour_key(F.col("timestamp")).alias("_hour"), *WEATHER_COLUMNS).where(
+    observations = weather.select(instant_hour_key(F.col("timestamp")).alias("_hour"), *WEATHER_COLUMNS).where(
         F.col("_hour").isNotNull()
     )
     keyed = trips.withColumn("_hour", hour_key(F.col("tpep_pickup_datetime")))
-    if broadcast_bytes(observations) <= broadcast_limit:
+    size, busiest = measured(observations)
+    if size <= broadcast_limit and busiest <= BUSY_HOUR:
         joined = keyed.join(F.broadcast(observations), "_hour", "left")
     else:
-        joined = _join_in_cells(keyed, observations, cell_rows)
+        joined = _join_in_cells(keyed, observations, cell_rows, cell_pairs)
     return joined.select(*trips.columns, *WEATHER_COLUMNS)
 
 
-def broadcast_bytes(observations: DataFrame) -> int:
-    """Upper estimate of the broadcast size from the data itself, not from plan statistics."""
-    rows, text = observations.agg(
-        F.count(F.lit(1)), F.coalesce(F.sum(F.octet_length("weather_category")), F.lit(0))
-    ).first()
-    return rows * OBSERVATION_BYTES + text
+def measured(observations: DataFrame) -> tuple[int, int]:
+    """An upper estimate of the broadcast size, and the observations of the busiest hour.
 
+    Both come from the data itself, not from plan statistics.
+    """
+    text = F.coalesce(F.sum(F.octet_length("weather_category")), F.lit(0))
+    per_hour = observations.groupBy("_hour").agg(F.count(F.lit(1)).alias("n"), text.alias("text"))
+    rows, text, busiest = per_hour.agg(F.sum("n"), F.sum("text"), F.max("n")).first()
+    return (rows or 0) * OBSERVATION_BYTES + (text or 0), busiest or 0
 
-def _join_in_cells(keyed: DataFrame, observations: DataFrame, cell_rows: int) -> DataFrame:
+
+def _join_in_cells(keyed: DataFrame, observations: DataFrame, cell_rows: int, cell_pairs: int) -> DataFrame:
     """Shuffled join in which a busy hour is spread over a grid of cells.
 
     Trips of an hour are dealt to `_trip_cell`, observations to `_weather_cell`; each side is
@@ -70,12 +80,18 @@ def _join_in_cells(keyed: DataFrame, observations: DataFrame, cell_rows: int) ->
         .fillna(0, ["trips", "observations"])
         .checkpoint()
     )
-    total = per_hour.agg(F.sum(F.col("trips") + F.col("observations"))).first()[0] or 0
+    total, pairs = per_hour.agg(
+        F.sum(F.col("trips") + F.col("observations")), F.sum(F.col("trips").cast("double") * F.col("observations"))
+    ).first()
+    total, pairs = total or 0, pairs or 0.0
     cell_rows = max(cell_rows, -(-2 * total // MAX_CELLS))
+    cell_pairs = max(cell_pairs, 2 * pairs / MAX_CELLS)
+    weather_cells = F.greatest(F.ceil(F.col("observations") / cell_rows), F.lit(1))
+    paired = F.ceil(F.col("trips").cast("double") * F.col("observations") / weather_cells / cell_pairs)
     cut_hours = per_hour.select(
         "_hour",
-        F.ceil(F.col("trips") / cell_rows).alias("trip_cells"),
-        F.greatest(F.ceil(F.col("observations") / cell_rows), F.lit(1)).alias("weather_cells"),
+        F.greatest(F.ceil(F.col("trips") / cell_rows), F.least(paired, F.col("trips"))).alias("trip_cells"),
+        weather_cells.alias("weather_cells"),
     ).where((F.col("trip_cells") > 1) | (F.col("weather_cells") > 1))
 
     # Dealt by position, which evens out identical observations too; checkpointed because
@@ -110,8 +126,11 @@ def _join_in_cells(keyed: DataFrame, observations: DataFrame, cell_rows: int) ->
         "_trip_cell", F.explode(F.sequence(F.lit(0).cast("bigint"), F.coalesce("trip_cells", F.lit(1)) - 1))
     ).select(*observations.columns, "_trip_cell", "_weather_cell")
     keys = ["_hour", "_trip_cell", "_weather_cell"]
-    partitions = -(-total // PARTITION_ROWS)
-    if partitions > int(keyed.sparkSession.conf.get("spark.sql.shuffle.partitions")):
+    # A number given keeps AQE from merging cells whose inputs are small but whose pairs are many.
+    usual = int(keyed.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    partitions = max(-(-total // PARTITION_ROWS), int(min(4 * pairs // cell_pairs, 4 * usual)))
+    if partitions > 1:
+        partitions = max(partitions, usual)
         trip_side = trip_side.repartition(partitions, *keys)
         weather_side = weather_side.repartition(partitions, *keys)
     return trip_side.join(weather_side, keys, "left")

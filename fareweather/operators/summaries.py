@@ -13,7 +13,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from fareweather.functions.clock import hour_from_key, hour_key, hour_start
+from fareweather.functions.clock import hour_from_key, hour_key, hour_start, instant_hour_key
 
 # All three limits are strict.
 MIN_TRIPS = 10
@@ -120,7 +120,7 @@ def high_value(stats: DataFrame) -> DataFrame:
 def observation_counts(weather: DataFrame, *keys: Column) -> DataFrame:
     return (
         weather.where(F.col("timestamp").isNotNull())
-        .groupBy(hour_key(F.col("timestamp")).alias("hour_key"), *keys)
+        .groupBy(instant_hour_key(F.col("timestamp")).alias("hour_key"), *keys)
         .agg(F.count(F.lit(1)).alias("observations"))
     )
 

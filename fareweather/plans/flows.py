@@ -8,7 +8,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 
 from fareweather.functions.trips import fact_trips
-from fareweather.plans.models import build_models
+from fareweather.plans.models import build_models, months_of_hours
 from fareweather.sources.periods import default_periods
 from fareweather.sources.trip_lake import FILE_STEM, Period, ingest_periods, read_lake
 from fareweather.sources.weather_landing import land_payloads
@@ -25,13 +25,22 @@ class FlowConfig:
     trip_lake: str | None = None
     weather_landing: str | None = None
     weather_checkpoint: str | None = None
+    weather_archive: str | None = None
     file_stem: str = FILE_STEM
 
 
 def build_fact_trips(spark: SparkSession, config: FlowConfig, periods: Iterable[Period] | None = None) -> None:
-    """Replace the fact table from all landed months, or from the given ones only."""
-    trips = read_lake(spark, config.trip_lake, periods)
-    config.warehouse.replace("fact_taxi_trips", fact_trips(trips))
+    """Replace the fact table from all landed months, or only the given months of it.
+
+    A database table has no months to replace one by one; it is built from all landed months.
+    """
+    warehouse = config.warehouse
+    if periods is None or not hasattr(warehouse, "replace_months"):
+        warehouse.replace("fact_taxi_trips", fact_trips(read_lake(spark, config.trip_lake), "year", "month"))
+    else:
+        periods = list(periods)
+        trips = fact_trips(read_lake(spark, config.trip_lake, periods), "year", "month")
+        warehouse.replace_months("fact_taxi_trips", trips, periods)
 
 
 def run_trip_batch(
@@ -41,22 +50,41 @@ def run_trip_batch(
     transform_periods: Iterable[Period] | None = None,
     models: Iterable[str] | None = None,
 ) -> DataFrame:
-    """Ingest the periods, rebuild the fact table and the models; return the ingest status."""
+    """Ingest the periods, rebuild the fact table and the models; return the ingest status.
+
+    With `transform_periods` only these months of the fact table and of the joined table are
+    replaced, and only they are read for it.
+    """
     periods = default_periods(spark) if periods is None else list(periods)
     status = ingest_periods(spark, config.raw_trips, config.trip_lake, periods, config.file_stem)
+    transform_periods = None if transform_periods is None else list(transform_periods)
     build_fact_trips(spark, config, transform_periods)
-    build_models(config.warehouse, models)
+    build_models(config.warehouse, models, _months(config.warehouse, transform_periods))
     return status
 
 
+def _months(warehouse, months: list[Period] | None) -> list[Period] | None:
+    return months if hasattr(warehouse, "replace_months") else None
+
+
 def run_weather_batch(
     spark: SparkSession,
     config: FlowConfig,
     payloads: DataFrame | None = None,
     models: Iterable[str] | None = None,
+    only_new_months: bool = False,
 ) -> None:
-    """Land new payload texts, stream everything not yet read into the warehouse, rebuild the models."""
+    """Land new payload texts, stream everything not yet read into the warehouse, rebuild the models.
+
+    With `only_new_months` the joined table is rebuilt for those months alone that the new
+    weather falls in; the result is the same.
+    """
     if payloads is not None:
         land_payloads(payloads, config.weather_landing)
-    run_weather_stream(spark, config.weather_landing, config.warehouse, config.weather_checkpoint)
-    build_models(config.warehouse, models)
+    seen = run_weather_stream(
+        spark, config.weather_landing, config.warehouse, config.weather_checkpoint, archive=config.weather_archive
+    )
+    months = None
+    if only_new_months and hasattr(config.warehouse, "replace_months"):
+        months = months_of_hours(config.warehouse, seen)
+    build_models(config.warehouse, models, months)

@@ -3,9 +3,11 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Iterable
+from functools import reduce
 from typing import NamedTuple
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
 
 from fareweather.operators.hour_join import enrich_trips
 from fareweather.operators.summaries import (
@@ -43,12 +45,17 @@ TRIP_MODELS = ("source_fact_taxi_trips", "trip_enriched", "trip_summary_per_hour
 WEATHER_MODELS = ("source_dim_weather", "trip_enriched", "trip_summary_per_hour")
 
 
-def build_models(warehouse, only: Iterable[str] | None = None) -> list[str]:
+def build_models(
+    warehouse, only: Iterable[str] | None = None, months: Iterable[tuple[int, int]] | None = None
+) -> list[str]:
     """Rebuild the chosen models, or all, in dependency order; return the names built.
 
     Models left out keep their earlier content. A report chosen without `trip_enriched` is
     grouped from that table as it stands. Chosen together with it, both reports come from one
     scan of the sources, which gives the same rows without reading the joined table back.
+
+    With `months`, `trip_enriched` is rebuilt for these months of the fact table only, from these
+    only, and keeps all others; the reports cover all months as ever.
     """
     chosen = set(MODELS if only is None else only)
     unknown = chosen - set(MODELS)
@@ -56,15 +63,20 @@ def build_models(warehouse, only: Iterable[str] | None = None) -> list[str]:
         raise ValueError(f"unknown models: {sorted(unknown)}")
     for view in STAGING:
         if view in chosen:
-            staged(warehouse, view).createOrReplaceTempView(view)
+            warehouse.create_view(view, STAGING[view])
     reports = [name for name in REPORTS if name in chosen]
     if "trip_enriched" in chosen:
         trips, weather = staged(warehouse, "source_fact_taxi_trips"), staged(warehouse, "source_dim_weather")
-        warehouse.replace("trip_enriched", enrich_trips(trips, weather))
+        if months is None or warehouse.current("trip_enriched") is None:
+            warehouse.replace("trip_enriched", enrich_trips(_by_month(warehouse, trips), weather))
+        elif months:
+            warehouse.replace_months("trip_enriched", enrich_trips(warehouse.table("fact_taxi_trips", months), weather), months)
         totals = hourly_totals(trips).persist()
-        for name in reports:
-            warehouse.replace(name, REPORTS[name].from_totals(totals, weather))
-        totals.unpersist()
+        try:
+            for name in reports:
+                warehouse.replace(name, REPORTS[name].from_totals(totals, weather))
+        finally:
+            totals.unpersist()
     elif reports:
         enriched = warehouse.table("trip_enriched")
         for name in reports:
@@ -77,6 +89,29 @@ def staged(warehouse, view: str) -> DataFrame:
     return warehouse.table(STAGING[view]).select("*")
 
 
+def _by_month(warehouse, trips: DataFrame) -> DataFrame:
+    """The trips with the month each was landed in, where the warehouse keeps it."""
+    return warehouse.all_months("fact_taxi_trips") if hasattr(warehouse, "all_months") else trips
+
+
+def months_of_hours(warehouse, months: Iterable[tuple[int, int]]) -> list[tuple[int, int]]:
+    """The months of the fact table that have trips picked up in the given calendar months.
+
+    Pickups lie in the month they were landed for, but for a few; bounds in the Parquet files
+    rule out most other months unread.
+    """
+    pickup = F.col("tpep_pickup_datetime")
+    spans = [
+        (pickup >= F.make_timestamp_ntz(F.lit(y), F.lit(m), F.lit(1), F.lit(0), F.lit(0), F.lit(0)))
+        & (pickup < F.make_timestamp_ntz(F.lit(y + m // 12), F.lit(m % 12 + 1), F.lit(1), F.lit(0), F.lit(0), F.lit(0)))
+        for y, m in months
+    ]
+    if not spans:
+        return []
+    found = warehouse.all_months("fact_taxi_trips").where(reduce(Column.__or__, spans)).select("year", "month").distinct()
+    return sorted((row["year"], row["month"]) for row in found.collect())
+
+
 def read_model(warehouse, name: str) -> DataFrame:
     """A built table model; the hourly report comes sorted, as a stored table has no order."""
     table = warehouse.table(name)

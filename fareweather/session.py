@@ -56,7 +56,7 @@ def build_session(app_name: str, settings: Mapping[str, str] | None = None) -> S
 
 
 def use_session_defaults(spark: SparkSession) -> SparkSession:
-    """Apply the run-time defaults to a session somebody else created."""
+    """Apply the run-time defaults to a session somebody else created; they stay set."""
     for key, value in SESSION_DEFAULTS.items():
         spark.conf.set(key, value)
     return spark
@@ -74,9 +74,9 @@ def shared_folder(spark: SparkSession) -> str:
     """
     context = spark.sparkContext
     named = context.getConf().get("spark.checkpoint.dir") or spark.conf.get("spark.checkpoint.dir", None)
-    folder = named or context.getCheckpointDir()
+    folder = object_store_path(named) if named else context.getCheckpointDir()
     if folder is None:
-        if not context.master.startswith("local"):
+        if context.master.partition("[")[0] != "local":
             raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
         folder = tempfile.mkdtemp(prefix="fareweather-")
     if context.getCheckpointDir() is None:

@@ -2,14 +2,14 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable
+from collections.abc import Iterable, Mapping
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-# The years read by default, and the last month of a year published in part.
+# The years read by default, and the last month read of a year.
 DEFAULT_YEARS = (2022, 2023, 2024)
-LAST_MONTH = {2024: 4}
+DEFAULT_LAST_MONTHS = {2024: 4}
 
 
 def as_list(value: int | Iterable[int]) -> list[int]:
@@ -21,11 +21,16 @@ def year_frame(spark: SparkSession, years: int | Iterable[int] = DEFAULT_YEARS)
     return spark.createDataFrame([(year,) for year in as_list(years)], "year INT")
 
 
-def enumerate_periods(years: DataFrame, months: int | Iterable[int] | None = None) -> DataFrame:
-    """One (year, month) row per month of each row of `years`; given months apply to every year."""
+def enumerate_periods(
+    years: DataFrame, months: int | Iterable[int] | None = None, last_months: Mapping[int, int] | None = None
+) -> DataFrame:
+    """One (year, month) row per month of each row of `years`; given months apply to every year.
+
+    `last_months` ends a year early where no months are given.
+    """
     if months is None:
         last = F.lit(12)
-        for year, month in LAST_MONTH.items():
+        for year, month in (last_months or {}).items():
             last = F.when(F.col("year") == year, month).otherwise(last)
         wanted = F.sequence(F.lit(1), last)
     else:
@@ -43,4 +48,4 @@ def default_periods(
     years: int | Iterable[int] = DEFAULT_YEARS,
     months: int | Iterable[int] | None = None,
 ) -> list[tuple[int, int]]:
-    return period_list(enumerate_periods(year_frame(spark, years), months))
+    return period_list(enumerate_periods(year_frame(spark, years), months, DEFAULT_LAST_MONTHS))

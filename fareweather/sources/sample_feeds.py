@@ -58,11 +58,15 @@ def _condition(number: Column) -> Column:
     )
 
 
+def observing_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All events but those that stand for failed requests (`undated_documents`)."""
+    return table(spark, sf_dir, "events").where(~F.col("event_type").isin("error", "signup"))
+
+
 def event_observations(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Every `view` event as a flat weather observation."""
+    """Every observing event as a flat weather observation."""
     return (
-        table(spark, sf_dir, "events")
-        .where(F.col("event_type") == "view")
+        observing_events(spark, sf_dir)
         .select(
             F.col("ts").cast("timestamp").alias("timestamp"),
             F.col("value").alias("temperature"),
@@ -78,15 +82,14 @@ def event_weather(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def reported_weather(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One reading per 20 minutes, summed up from all `view` events in that time.
+    """One reading per 20 minutes, summed up from all observing events in that time.
 
     A station reports a few times an hour however much traffic there is, so the hour join
     grows with the trips alone.
     """
     slot = F.floor(F.unix_timestamp("ts") / 1200)
     readings = (
-        table(spark, sf_dir, "events")
-        .where(F.col("event_type") == "view")
+        observing_events(spark, sf_dir)
         .groupBy(slot.alias("slot"))
         .agg(
             F.min("ts").cast("timestamp").alias("timestamp"),
@@ -100,9 +103,8 @@ def reported_weather(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def event_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Every `view` event as a weather document, with `weather` as an array or a lone object."""
-    views = table(spark, sf_dir, "events").where(F.col("event_type") == "view")
-    return views.select(
+    """Every observing event as a weather document, with `weather` as an array or a lone object."""
+    return observing_events(spark, sf_dir).select(
         _document(
             seconds=F.unix_timestamp("ts"),
             temperature=F.col("value"),

@@ -6,12 +6,14 @@ from collections.abc import Iterable
 from concurrent.futures import ThreadPoolExecutor
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark import inheritable_thread_target
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from fareweather.schemas import INT, RAW_TRIP, conform, struct
 from fareweather.session import object_store_path
+from fareweather.sources.folders import Folder
 
 Period = tuple[int, int]
 
@@ -43,6 +45,7 @@ def ingest_periods(
     read with its own footer, cast to the declared schema, and replaces its own partition.
     """
 
+    @inheritable_thread_target(spark)  # the caller's job group and pool hold for the months, too
     def land(period: Period) -> tuple:
         try:
             return *period, True, land_month(spark, raw_root, lake_root, period, stem), None
@@ -59,22 +62,22 @@ def land_month(
 ) -> int:
     """Replace one month of the lake and return its rows; on failure the old month stays."""
     year, month = period
+    counted = Observation()
     raw = spark.read.parquet(month_path(raw_root, period, stem))
-    rows = raw.count()  # answered from the Parquet footers
-    trips = conform(raw, RAW_TRIP)
+    trips = conform(raw, RAW_TRIP).observe(counted, F.count(F.lit(1)).alias("rows"))
     lake_root = object_store_path(lake_root).rstrip("/")
-    if rows:
-        # As text: whole numbers would be compiled into the code, anew for every month.
-        keys = {"year": F.lit(str(year)), "month": F.lit(str(month))}
-        (
-            trips.withColumns(keys)
-            .write.partitionBy("year", "month")
-            .mode("overwrite")
-            .option("partitionOverwriteMode", "dynamic")
-            .parquet(lake_root)
-        )
-    else:  # a dynamic overwrite without rows would keep what an earlier run left
-        trips.write.mode("overwrite").parquet(f"{lake_root}/year={year}/month={month}")
+    # As text: whole numbers would be compiled into the code, anew for every month.
+    keys = {"year": F.lit(str(year)), "month": F.lit(str(month))}
+    (
+        trips.withColumns(keys)
+        .write.partitionBy("year", "month")
+        .mode("overwrite")
+        .option("partitionOverwriteMode", "dynamic")
+        .parquet(lake_root)
+    )
+    rows = counted.get["rows"]
+    if not rows:  # a dynamic overwrite without rows keeps what an earlier run left
+        Folder(spark, lake_root).delete(f"year={year}/month={month}")
     return rows
 
 

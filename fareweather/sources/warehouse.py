@@ -1,33 +1,69 @@
 """Where finished tables live: Parquet tables in the catalog, or a JDBC database.
 
-Both kinds offer the same four calls. ``replace`` swaps a whole table, ``append_batch`` adds one
-micro-batch and may be repeated for the same batch, ``create_empty`` makes a table readable before
-its first rows, ``table`` reads.
+Both kinds offer the same calls. ``replace`` swaps a whole table, ``append_batch`` adds one
+micro-batch of a stream and may be repeated for the same batch, ``create_empty`` makes a table
+readable before its first rows, ``create_view`` publishes a pass-through, ``table`` reads.
 """
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+import time
+import uuid
+from collections.abc import Iterable, Mapping
 from dataclasses import dataclass, field
+from functools import reduce
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from fareweather.schemas import LONG, TABLES, conform, struct
-from fareweather.session import object_store_path
+from fareweather.schemas import INT, LONG, TABLES, TEXT, conform, struct
+from fareweather.session import object_store_path, shared_folder
+from fareweather.sources.folders import DONE, Folder
 
-BATCH_COLUMN = "batch_id"
+STREAM_COLUMN, BATCH_COLUMN = "stream_id", "batch_id"
+BATCH_KEYS = struct(**{STREAM_COLUMN: TEXT, BATCH_COLUMN: LONG})
+MONTH_KEYS = struct(year=INT, month=INT)
 
+# Bookkeeping columns by which a table's folder is partitioned; readers don't see them.
+PARTITION_KEYS = {
+    "dim_weather": BATCH_KEYS,
+    "weather_quarantine": BATCH_KEYS,
+    "fact_taxi_trips": MONTH_KEYS,
+    "trip_enriched": MONTH_KEYS,
+}
 
-def empty_batch(spark: SparkSession, name: str) -> DataFrame:
-    schema = StructType(TABLES[name].fields + struct(**{BATCH_COLUMN: LONG}).fields)
-    return spark.createDataFrame([], schema)
+# What follows SELECT 1 in databases that want a table there.
+ONE_ROW = {"derby": "FROM SYSIBM.SYSDUMMY1", "oracle": "FROM DUAL", "db2": "FROM SYSIBM.SYSDUMMY1"}
+
+# Rows that no stream brought, and the rows of a stream's older batches after compaction.
+NO_STREAM, NO_BATCH = "none", -1
+
+
+def with_keys(df: DataFrame, keys: StructType) -> DataFrame:
+    """`df` and those of the keys it lacks: no stream, no batch, or the month 0 of the year 0."""
+    missing = {STREAM_COLUMN: NO_STREAM, BATCH_COLUMN: NO_BATCH, "year": 0, "month": 0}
+    return df.withColumns(
+        {f.name: F.lit(missing[f.name]).cast(f.dataType) for f in keys if f.name not in df.columns}
+    ) if any(f.name not in df.columns for f in keys) else df
+
+
+def in_months(months: Iterable[tuple[int, int]]) -> Column:
+    by_year: dict[int, list[int]] = {}
+    for year, month in months:
+        by_year.setdefault(year, []).append(month)
+    chosen = [(F.col("year") == year) & F.col("month").isin(own) for year, own in by_year.items()]
+    return reduce(Column.__or__, chosen, F.lit(False))
 
 
 class LakeWarehouse:
-    """Tables as Parquet folders below one root, registered in a database of the catalog."""
+    """Tables as Parquet folders below one root, published as views in a database of the catalog.
+
+    Each rebuild of a table writes a new version folder and then points the view to it, so the
+    old version is read until the new one is whole. Any session finds the latest whole version
+    below the root; the one before it is kept for queries still running.
+    """
 
     def __init__(self, spark: SparkSession, root: str, database: str = "fareweather"):
         self.spark = spark
@@ -39,59 +75,134 @@ class LakeWarehouse:
         return f"{self.root}/{name}"
 
     def replace(self, name: str, df: DataFrame) -> None:
-        (
-            df.write.format("parquet")
-            .mode("overwrite")
-            .option("path", self.path(name))
-            .saveAsTable(f"{self.database}.{name}")
-        )
+        """Write a new version; a failed one is never read, not by another session either."""
+        keys, version = PARTITION_KEYS.get(name), self._new_version(name)
+        if keys is None:
+            df.write.parquet(version)
+        else:
+            # A file without rows, so that the folder has columns even where the table has none.
+            empty = self.spark.createDataFrame([], self._plain_schema(name, df))
+            empty.coalesce(1).write.parquet(f"{version}/{self._seed(keys)}")
+            with_keys(df, keys).write.partitionBy(*keys.fieldNames()).mode("append").parquet(version)
+        self._publish(name, version)
 
     def create_empty(self, name: str) -> None:
-        qualified = f"{self.database}.{name}"
-        if self.spark.catalog.tableExists(qualified):
-            return
-        columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in TABLES[name].fields)
-        empty_batch(self.spark, name).write.partitionBy(BATCH_COLUMN).mode("append").parquet(self.path(name))
+        if self.current(name) is None:
+            self.replace(name, self.spark.createDataFrame([], TABLES[name]))
+        elif not self.spark.catalog.tableExists(f"{self.database}.{name}"):
+            self._publish(name, self.current(name))
+
+    def append_batch(self, name: str, df: DataFrame, batch_id: int, stream_id: str = "batches") -> None:
+        """Write the batch as its own partition; a repeated batch of the same stream replaces itself."""
+        self.create_empty(name)
+        keyed = df.withColumns({STREAM_COLUMN: F.lit(stream_id), BATCH_COLUMN: F.lit(batch_id).cast("bigint")})
+        self._replace_partitions(name, keyed)
+
+    def replace_months(self, name: str, df: DataFrame, months: Iterable[tuple[int, int]]) -> None:
+        """Replace the given months of a table by the rows of `df` (with `year` and `month`), keep all others."""
+        months = set(months)
+        self.create_empty(name)
+        chosen = with_keys(df, MONTH_KEYS).where(in_months(months))
+        counted = Observation()
+        flags = [F.max(in_months([m]).cast("int")).alias(f"m{i}") for i, m in enumerate(sorted(months))]
+        self._replace_partitions(name, chosen.observe(counted, F.count(F.lit(1)).alias("n"), *flags))
+        found = counted.get
+        for i, (year, month) in enumerate(sorted(months)):
+            if not found[f"m{i}"]:  # a dynamic overwrite keeps partitions that get no rows
+                Folder(self.spark, self.current(name)).delete(f"year={year}/month={month}")
+
+    def compact(self, name: str) -> None:
+        """Merge the older batches of each stream; the last one stays, as only it can be repeated.
+
+        Not to be run beside a stream that writes to the table.
+        """
+        rows = self._read(name)
+        last = rows.groupBy(STREAM_COLUMN).agg(F.max(BATCH_COLUMN).alias("last"))
+        older = F.col(BATCH_COLUMN) < F.col("last")
+        merged = (
+            rows.join(last, STREAM_COLUMN)
+            .withColumn(BATCH_COLUMN, F.when(older, F.lit(NO_BATCH)).otherwise(F.col(BATCH_COLUMN)).cast("bigint"))
+            .withColumn(STREAM_COLUMN, F.when(older, F.lit(NO_STREAM)).otherwise(F.col(STREAM_COLUMN)))
+            .drop("last")
+            .hint("rebalance", STREAM_COLUMN, BATCH_COLUMN)
+        )
+        self.replace(name, merged)
+
+    def create_view(self, view: str, name: str) -> None:
+        """Publish a pass-through of a table for every session of the catalog."""
+        columns = ", ".join(f"`{column}`" for column in self.table(name).columns)
         self.spark.sql(
-            f"CREATE TABLE {qualified} ({columns}, {BATCH_COLUMN} BIGINT) "
-            f"USING parquet PARTITIONED BY ({BATCH_COLUMN}) LOCATION '{self.path(name)}'"
+            f"CREATE OR REPLACE VIEW {self.database}.{view} AS SELECT {columns} FROM {self.database}.{name}"
         )
-        self.spark.catalog.recoverPartitions(qualified)  # batches of earlier sessions
 
-    def append_batch(self, name: str, df: DataFrame, batch_id: int) -> None:
-        """Write the batch as its own partition; a repeated batch replaces itself."""
-        self.create_empty(name)
+    def view(self, view: str) -> DataFrame:
+        return self.spark.table(f"{self.database}.{view}")
+
+    def table(self, name: str, months: Iterable[tuple[int, int]] | None = None) -> DataFrame:
+        """The table without its bookkeeping; `months` prunes to those partitions."""
+        rows = self._read(name)
+        if months is not None:
+            return rows.where(in_months(months))
+        return rows.drop(*PARTITION_KEYS[name].fieldNames()) if name in PARTITION_KEYS else rows
+
+    def with_batches(self, name: str) -> DataFrame:
+        """A streamed table with the stream and the batch of each row."""
+        return self._read(name)
+
+    def all_months(self, name: str) -> DataFrame:
+        """A monthly table with its `year` and `month`."""
+        return self._read(name)
+
+    def current(self, name: str) -> str | None:
+        """The folder of the latest whole version."""
+        folder = Folder(self.spark, self.path(name))
+        whole = [version for version in folder.names() if folder.exists(f"{version}/{DONE}")]
+        return f"{folder.path}/{whole[-1]}" if whole else None
+
+    def _read(self, name: str) -> DataFrame:
+        version = self.current(name)
+        if version is None:
+            raise AnalysisException(f"[PATH_NOT_FOUND] no whole version of the table in {self.path(name)}")
+        if not self.spark.catalog.tableExists(f"{self.database}.{name}"):
+            self._publish(name, version)
+        keys = PARTITION_KEYS.get(name)
+        if keys is None or name not in TABLES:
+            return self.spark.read.parquet(version)
+        return self.spark.read.schema(StructType(TABLES[name].fields + keys.fields)).parquet(version)
+
+    def _replace_partitions(self, name: str, keyed: DataFrame) -> None:
         (
-            df.withColumn(BATCH_COLUMN, F.lit(batch_id).cast("bigint"))
-            .write.partitionBy(BATCH_COLUMN)
+            keyed.write.partitionBy(*PARTITION_KEYS[name].fieldNames())
             .mode("overwrite")
             .option("partitionOverwriteMode", "dynamic")
-            .parquet(self.path(name))
+            .parquet(self.current(name))
         )
+
+    def _plain_schema(self, name: str, df: DataFrame) -> StructType:
+        keys = PARTITION_KEYS[name].fieldNames()
+        return StructType([f for f in df.schema if f.name not in keys])
+
+    def _seed(self, keys: StructType) -> str:
+        values = {STREAM_COLUMN: "seed", BATCH_COLUMN: NO_BATCH, "year": 0, "month": 0}
+        return "/".join(f"{f.name}={values[f.name]}" for f in keys)
+
+    def _new_version(self, name: str) -> str:
+        return f"{self.path(name)}/v{time.time_ns():020d}-{uuid.uuid4().hex[:8]}"
+
+    def _publish(self, name: str, version: str) -> None:
+        """Point the view to a whole version, then drop what is older than the one before it."""
+        columns = self.spark.read.parquet(version).columns
+        hidden = PARTITION_KEYS[name].fieldNames() if name in PARTITION_KEYS else []
+        shown = ", ".join(f"`{column}`" for column in columns if column not in hidden)
         self.spark.sql(
-            f"ALTER TABLE {self.database}.{name} ADD IF NOT EXISTS PARTITION ({BATCH_COLUMN} = {batch_id})"
+            f"CREATE OR REPLACE VIEW {self.database}.{name} AS SELECT {shown} FROM parquet.`{version}`"
         )
-
-    def table(self, name: str) -> DataFrame:
-        """The table without the batch bookkeeping."""
-        qualified = f"{self.database}.{name}"
-        if not self.spark.catalog.tableExists(qualified):
-            self._attach(name)
-        self.spark.catalog.refreshTable(qualified)
-        return self.spark.table(qualified).drop(BATCH_COLUMN)
-
-    def _attach(self, name: str) -> None:
-        """Register a folder that an earlier session wrote."""
-        try:
-            in_batches = BATCH_COLUMN in self.spark.read.parquet(self.path(name)).columns
-        except AnalysisException as error:
-            if error.getCondition() != "UNABLE_TO_INFER_SCHEMA":
-                raise
-            in_batches = True  # created, but without a batch so far
-        if in_batches:
-            self.create_empty(name)
-        else:
-            self.spark.catalog.createTable(f"{self.database}.{name}", path=self.path(name), source="parquet")
+        folder = Folder(self.spark, self.path(name))
+        versions = folder.names()
+        whole = [v for v in versions if folder.exists(f"{v}/{DONE}")]
+        for old in versions:
+            if len(whole) > 1 and old < whole[-2]:
+                folder.delete(old)
 
 
 @dataclass
@@ -102,49 +213,64 @@ class JdbcWarehouse:
     url: str
     properties: Mapping[str, str] = field(default_factory=dict)
     write_connections: int = 16
+    read_connections: int = 24
     insert_rows: int = 10_000
     fetch_rows: int = 10_000
-
-    # Large tables are read over one connection per hour of the day.
+    # Large tables are read over several connections, split by the hour of the day.
     SPLIT_COLUMNS = {"fact_taxi_trips": "pickup_hour", "trip_enriched": "pickup_hour", "dim_weather": "hour"}
 
     def replace(self, name: str, df: DataFrame) -> None:
         """Empty the table in place, so views on it survive, and fill it again.
 
-        Tasks commit one by one, and one that is lost after its commit runs again; the row
-        count tells.
+        Tasks commit one by one, and one that is lost after its commit runs again; the row count
+        tells. The rows are computed once, into the shared folder, then written and counted.
         """
-        self._writer(df, name).mode("overwrite").option("truncate", "true").save()
-        rows, landed = df.count(), self._scalar(f"SELECT COUNT(*) AS n FROM {name}")
+        shared_folder(self.spark)
+        if name in PARTITION_KEYS:
+            df = df.drop(*PARTITION_KEYS[name].fieldNames())
+        if PARTITION_KEYS.get(name) is BATCH_KEYS:
+            df = with_keys(df, BATCH_KEYS)
+        computed = df.checkpoint()
+        self._writer(computed, name).mode("overwrite").option("truncate", "true").save()
+        rows, landed = computed.count(), self._scalar(f"SELECT COUNT(*) AS n FROM {name}")
         if landed != rows:
             raise RuntimeError(f"{name}: wrote {rows} rows but the table holds {landed}")
 
     def create_empty(self, name: str) -> None:
         if not self._exists(name):
-            self._writer(empty_batch(self.spark, name), name).mode("append").save()
+            empty = self.spark.createDataFrame([], TABLES[name])
+            keyed = with_keys(empty, BATCH_KEYS) if PARTITION_KEYS.get(name) is BATCH_KEYS else empty
+            self._writer(keyed, name).mode("append").save()
 
-    def append_batch(self, name: str, df: DataFrame, batch_id: int) -> None:
+    def append_batch(self, name: str, df: DataFrame, batch_id: int, stream_id: str = "batches") -> None:
         """Insert the rows of the batch that the table lacks: all of them, the first time."""
         self.create_empty(name)
-        batch = df.withColumn(BATCH_COLUMN, F.lit(batch_id).cast("bigint"))
+        batch = df.withColumns({STREAM_COLUMN: F.lit(stream_id), BATCH_COLUMN: F.lit(batch_id).cast("bigint")})
         missing = batch
-        if self._batch_rows(name, batch_id) > 0:
-            loaded = self._reader(name).load().where(F.col(BATCH_COLUMN) == batch_id)
-            missing = batch.exceptAll(conform(loaded, batch.schema))
+        if self._batch_rows(name, batch_id, stream_id) > 0:
+            mine = (F.col(BATCH_COLUMN) == batch_id) & (F.col(STREAM_COLUMN) == stream_id)
+            missing = batch.exceptAll(conform(self._reader(name).load().where(mine), batch.schema))
         self._writer(missing, name).mode("append").save()
-        rows, landed = batch.count(), self._batch_rows(name, batch_id)
+        rows, landed = batch.count(), self._batch_rows(name, batch_id, stream_id)
         if landed != rows:
             raise RuntimeError(
-                f"{name}: batch {batch_id} has {rows} rows but the table holds {landed}; "
-                f"delete that {BATCH_COLUMN} from the table and run the stream again"
+                f"{name}: batch {batch_id} of stream {stream_id} has {rows} rows but the table holds {landed}; "
+                f"delete that batch of that stream from the table and run the stream again"
             )
 
+    def create_view(self, view: str, name: str) -> None:
+        """A view of this session; the database's own views are its administrator's."""
+        self.table(name).createOrReplaceTempView(view)
+
+    def view(self, view: str) -> DataFrame:
+        return self.spark.table(view)
+
     def table(self, name: str) -> DataFrame:
-        loaded = self._reader(name).load().drop(BATCH_COLUMN)
+        loaded = self._reader(name).load().drop(STREAM_COLUMN, BATCH_COLUMN)
         return conform(loaded, TABLES[name]) if name in TABLES else loaded
 
     def _writer(self, df: DataFrame, name: str):
-        return (
+        writer = (
             df.write.format("jdbc")
             .options(**self.properties)
             .option("url", self.url)
@@ -152,6 +278,9 @@ class JdbcWarehouse:
             .option("numPartitions", self.write_connections)
             .option("batchsize", self.insert_rows)
         )
+        if STREAM_COLUMN in df.columns:  # a bounded text, so that every database can compare it
+            writer = writer.option("createTableColumnTypes", f"{STREAM_COLUMN} VARCHAR(64)")
+        return writer
 
     def _reader(self, name: str):
         reader = (
@@ -169,17 +298,21 @@ class JdbcWarehouse:
             reader.option("partitionColumn", split)
             .option("lowerBound", 0)
             .option("upperBound", 24)
-            .option("numPartitions", 24)
+            .option("numPartitions", self.read_connections)
         )
 
-    def _batch_rows(self, name: str, batch_id: int) -> int:
-        return self._scalar(f'SELECT COUNT(*) AS n FROM {name} WHERE "{BATCH_COLUMN}" = {batch_id}')
+    def _batch_rows(self, name: str, batch_id: int, stream_id: str) -> int:
+        condition = f"\"{BATCH_COLUMN}\" = {batch_id} AND \"{STREAM_COLUMN}\" = '{stream_id}'"
+        return self._scalar(f"SELECT COUNT(*) AS n FROM {name} WHERE {condition}")
 
     def _scalar(self, query: str) -> int:
         reader = self.spark.read.format("jdbc").options(**self.properties).option("url", self.url)
         return int(reader.option("query", query).load().first()[0])
 
     def _exists(self, name: str) -> bool:
+        """Whether the table is there; a lost connection fails instead."""
+        kind = self.url.split(":")[1]
+        self._scalar(f"SELECT 1 AS n {ONE_ROW.get(kind, '')}")
         try:
             self._reader(name).load()
         except Exception:

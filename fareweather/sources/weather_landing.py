@@ -7,13 +7,20 @@ from pyspark.sql import functions as F
 
 from fareweather.session import object_store_path
 
+# What lands for a payload without content; it has no observation time, so it is set aside.
+EMPTY_PAYLOAD = '{"message":"empty payload"}'
+
 
 def land_payloads(payloads: DataFrame, landing: str) -> None:
-    """Add payload texts (one string column) to the landing folder as they are.
+    """Add payload texts (one string column) to the landing folder, one line each.
 
-    A file appears only when the write commits, so a running stream never sees half of one.
+    Line breaks, which JSON allows between its parts but never inside a string, become spaces. A
+    null or blank payload lands as a document that says so. A file appears only when the write
+    commits, so a running stream never sees half of one.
     """
-    payloads.write.mode("append").text(object_store_path(landing))
+    text = F.translate(F.col(f"`{payloads.columns[0]}`"), "\r\n", "  ")
+    line = F.when(F.length(F.trim(F.translate(text, "\t", " "))) > 0, text).otherwise(EMPTY_PAYLOAD)
+    payloads.select(line.alias("value")).write.mode("append").text(object_store_path(landing))
 
 
 def land_observations(observations: DataFrame, landing: str) -> None:

@@ -7,11 +7,14 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming.query import StreamingQuery
 from pyspark.sql.types import StructType
 
+from fareweather.functions.clock import DAY_SECONDS
 from fareweather.functions.weather import dim_weather
 from fareweather.schemas import RAW_WEATHER, TEXT, struct
 from fareweather.session import object_store_path
 
 CORRUPT_COLUMN = "_corrupt_record"
+# Fixed value: where Spark keeps the id of the stream that a job belongs to.
+QUERY_ID = "sql.streaming.queryId"
 # What the weather service answers instead of an observation.
 ERROR_PAYLOAD = struct(cod=TEXT, message=TEXT)
 STREAM_SCHEMA = StructType([*RAW_WEATHER.fields, *ERROR_PAYLOAD.fields]).add(CORRUPT_COLUMN, TEXT)
@@ -23,13 +26,23 @@ FILES_PER_BATCH = 100_000
 ROWS_PER_FILE = 1_000_000
 
 
-def weather_source(spark: SparkSession, landing: str, files_per_batch: int = FILES_PER_BATCH) -> DataFrame:
-    """Unbounded table of raw observations with the file each came from."""
-    return (
+def weather_source(
+    spark: SparkSession, landing: str, files_per_batch: int = FILES_PER_BATCH, archive: str | None = None
+) -> DataFrame:
+    """Unbounded table of raw observations with the file each came from.
+
+    With `archive` files move there some time after their batch is done, so that the landing
+    folder, which is listed for each batch, doesn't grow for ever.
+    """
+    reader = (
         spark.readStream.schema(STREAM_SCHEMA)
         .option("columnNameOfCorruptRecord", CORRUPT_COLUMN)
         .option("maxFilesPerTrigger", files_per_batch)
-        .json(object_store_path(landing))
+    )
+    if archive is not None:
+        reader = reader.option("cleanSource", "archive").option("sourceArchiveDir", object_store_path(archive))
+    return (
+        reader.json(object_store_path(landing))
         .select("*", F.col("_metadata.file_path").alias("source_file"))
     )
 
@@ -42,31 +55,38 @@ def start_weather_stream(
     keep_undated: bool = False,
     files_per_batch: int = FILES_PER_BATCH,
     keep_running: bool = False,
+    archive: str | None = None,
+    seen: set[tuple[int, int]] | None = None,
 ) -> StreamingQuery:
     """Process everything landed since the last run of the same checkpoint, then stop.
 
     With `keep_running` the query goes on looking for new files until the caller stops it.
     Documents without an observation time (error payloads, broken JSON) go to
     `weather_quarantine`; `keep_undated` passes them on as rows of NULLs instead. A batch that is
-    run again after a failure replaces what it wrote before.
+    run again after a failure replaces what it wrote before; it is told from others by its number
+    and by the id that Spark keeps in the checkpoint, which a new checkpoint doesn't share. The
+    calendar months of the observations are added to `seen`.
     """
     warehouse.create_empty("dim_weather")
     warehouse.create_empty("weather_quarantine")
 
     def write_batch(batch: DataFrame, batch_id: int) -> None:
+        stream_id = batch.sparkSession.sparkContext.getLocalProperty(QUERY_ID) or "stream"
         batch.persist()
         try:
             dated = F.lit(True) if keep_undated else F.col("dt").isNotNull()
             rows, undated = batch.agg(F.count(F.lit(1)), F.count_if(~dated)).first()
             packed = batch.coalesce(max(1, -(-rows // ROWS_PER_FILE)))
-            warehouse.append_batch("dim_weather", dim_weather(packed.where(dated)), batch_id)
+            warehouse.append_batch("dim_weather", dim_weather(packed.where(dated)), batch_id, stream_id)
             if undated:
-                warehouse.append_batch("weather_quarantine", quarantine_rows(packed.where(~dated)), batch_id)
+                warehouse.append_batch("weather_quarantine", quarantine_rows(packed.where(~dated)), batch_id, stream_id)
+            if seen is not None:
+                seen.update(_months(batch))
         finally:
             batch.unpersist()
 
     writer = (
-        weather_source(spark, landing, files_per_batch)
+        weather_source(spark, landing, files_per_batch, archive)
         .writeStream.foreachBatch(write_batch)
         .outputMode("append")
         .option("checkpointLocation", object_store_path(checkpoint))
@@ -74,9 +94,20 @@ def start_weather_stream(
     return (writer if keep_running else writer.trigger(availableNow=True)).start()
 
 
-def run_weather_stream(spark: SparkSession, landing: str, warehouse, checkpoint: str, **options) -> None:
-    """Start the stream and wait for its end; a failed batch raises here."""
-    start_weather_stream(spark, landing, warehouse, checkpoint, **options).awaitTermination()
+def run_weather_stream(
+    spark: SparkSession, landing: str, warehouse, checkpoint: str, **options
+) -> list[tuple[int, int]]:
+    """Start the stream, wait for its end and return the months seen; a failed batch raises here."""
+    seen: set[tuple[int, int]] = set()
+    start_weather_stream(spark, landing, warehouse, checkpoint, seen=seen, **options).awaitTermination()
+    return sorted(seen)
+
+
+def _months(batch: DataFrame) -> list[tuple[int, int]]:
+    """The calendar months of a batch, in UTC."""
+    day = F.date_from_unix_date(F.floor(F.col("dt") / DAY_SECONDS).cast("int"))
+    months = batch.where("dt IS NOT NULL").select(F.year(day).alias("y"), F.month(day).alias("m")).distinct()
+    return [(row["y"], row["m"]) for row in months.collect()]
 
 
 def quarantine_rows(undated: DataFrame) -> DataFrame:

@@ -4,9 +4,10 @@ import random
 from datetime import datetime, timedelta
 
 import pytest
+from pyspark.sql import functions as F
 
 from fareweather.operators import hour_join
-from fareweather.operators.hour_join import WEATHER_COLUMNS, broadcast_bytes, enrich_trips
+from fareweather.operators.hour_join import WEATHER_COLUMNS, enrich_trips, measured
 from tests.plans import final_plan_text, plan_text, rows
 from tests.trips import edge_facts, simple_facts, weather
 
@@ -94,8 +95,8 @@ def test_no_weather_keeps_every_trip(spark):
 
 def test_broadcast_depends_on_the_measured_size(spark):
     trips, observations = edge_facts(spark), weather(spark, TWO_AT_TEN)
-    size = broadcast_bytes(observations)
-    assert size > broadcast_bytes(observations.limit(1)) > 0
+    size, busiest = measured(observations.withColumn("_hour", F.hour("timestamp")))
+    assert busiest == 2 and size > measured(observations.limit(1).withColumn("_hour", F.lit(1)))[0] > 0
     within = plan_text(enrich_trips(trips, observations, broadcast_limit=size))
     assert "BroadcastHashJoin LeftOuter" in within and "SortMergeJoin" not in within
     assert "Exchange hashpartitioning" not in within
@@ -107,6 +108,24 @@ def test_broadcast_depends_on_the_measured_size(spark):
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
 
 
+def test_an_hour_busy_on_both_sides_is_dealt_out(spark):
+    """With AQE on, no task gets much more than its share of the pairs."""
+    trips = simple_facts(spark, [("2024-01-07 10:00:00", float(n), 10.0, 1.0) for n in range(1500)])
+    observations = weather(spark, [("2024-01-07 10:30:00", float(n), "Rain") for n in range(800)])
+    joined = enrich_trips(trips, observations, cell_pairs=3000, broadcast_limit=0)
+    per_task = [row["count"] for row in joined.groupBy(F.spark_partition_id()).count().collect()]
+    assert sum(per_task) == 1500 * 800
+    assert len(per_task) >= 8 and max(per_task) <= 2 * sum(per_task) / len(per_task)
+
+
+def test_a_busy_hour_is_not_broadcast(spark, monkeypatch):
+    trips, observations = edge_facts(spark), weather(spark, TWO_AT_TEN)
+    expected = rows(enrich_trips(trips, observations))
+    monkeypatch.setattr(hour_join, "BUSY_HOUR", 1)
+    joined = enrich_trips(trips, observations)
+    assert "_trip_cell" in plan_text(joined) and rows(joined) == expected
+
+
 def test_many_rows_get_many_shuffle_partitions(spark, monkeypatch):
     trips = simple_facts(spark, [(f"2024-01-07 {n % 24:02d}:00:00", 1.0, 10.0, 1.0) for n in range(200)])
     observations = weather(spark, TWO_AT_TEN)

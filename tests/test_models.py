@@ -1,16 +1,27 @@
 from __future__ import annotations
 
 import uuid
+from pathlib import Path
 
 import pytest
 from pyspark.errors import AnalysisException
+from pyspark.sql import functions as F
 
 from fareweather.plans.flows import FlowConfig, run_trip_batch, run_weather_batch
-from fareweather.plans.models import MODELS, TRIP_MODELS, WEATHER_MODELS, build_models, read_model
+from fareweather.operators.hour_join import enrich_trips
+from fareweather.operators.summaries import hourly_totals, trip_summary, trip_summary_from_enriched
+from fareweather.plans.models import (
+    MODELS,
+    TRIP_MODELS,
+    WEATHER_MODELS,
+    build_models,
+    months_of_hours,
+    read_model,
+)
 from fareweather.schemas import TABLES
 from fareweather.sources.trip_lake import month_path
 from fareweather.sources.warehouse import JdbcWarehouse, LakeWarehouse
-from tests.plans import rows
+from tests.plans import plan_text, rows
 from tests.trips import edge_facts, raw_trips, simple_facts, weather
 
 HOUR = "2024-01-07 10:00:00"
@@ -37,7 +48,8 @@ def test_all_models_in_order_with_declared_columns(spark, warehouse):
     for name in ("trip_enriched", "trip_summary_per_hour", "high_value_customers"):
         table = warehouse.table(name)
         assert [(f.name, f.dataType) for f in table.schema] == [(f.name, f.dataType) for f in TABLES[name]]
-    assert spark.table("source_fact_taxi_trips").count() == 11
+    assert warehouse.view("source_fact_taxi_trips").count() == 11
+    assert warehouse.view("source_dim_weather").columns == TABLES["dim_weather"].fieldNames()
     assert [tuple(row) for row in warehouse.table("high_value_customers").collect()] == [(2.0, 11, 550.0, 25.0)]
 
 
@@ -115,8 +127,104 @@ def test_both_flows(spark, folder, warehouse):
     assert [(row["weather_category"], row["trip_count"]) for row in summary] == [("Cloudy", 12), (None, 3)]
     assert warehouse.table("high_value_customers").first()["trip_count"] == 15
 
+    more = raw_trips(spark, [("2022-02-03 09:30:00", "2022-02-03 09:30:00", 1.0, 40.0, 10.0, 50.0, 2.0)] * 5)
+    more.write.mode("overwrite").parquet(month_path(config.raw_trips, (2022, 2)))
     run_trip_batch(spark, config, [(2022, 2)], transform_periods=[(2022, 2)], models=TRIP_MODELS)
-    assert warehouse.table("fact_taxi_trips").count() == 3
+    assert warehouse.table("fact_taxi_trips").count() == 17  # one month replaced, the other kept
+    assert warehouse.table("trip_enriched").count() == 17
+    assert warehouse.table("high_value_customers").first()["trip_count"] == 17
 
-    run_weather_batch(spark, config, spark.createDataFrame([(payload,)], "value STRING"))
+    run_weather_batch(spark, config, spark.createDataFrame([(payload,)], "value STRING"), only_new_months=True)
     assert warehouse.table("dim_weather").count() == 2
+    assert warehouse.table("trip_enriched").count() == 12 * 2 + 5
+    full = rows(warehouse.table("trip_enriched"))
+    build_models(warehouse)
+    assert rows(warehouse.table("trip_enriched")) == full
+
+
+def test_new_weather_reads_and_writes_its_months_only(spark, folder):
+    warehouse = LakeWarehouse(spark, f"{folder}/warehouse", f"w{uuid.uuid4().hex}")
+    months = [(2022, m) for m in range(1, 5)]
+    trips = simple_facts(spark, [(f"2022-{m:02d}-03 09:30:00", 1.0, 40.0, 10.0) for _, m in months for _ in range(3)])
+    keyed = trips.withColumns({"year": F.year("tpep_pickup_datetime"), "month": F.month("tpep_pickup_datetime")})
+    warehouse.replace("fact_taxi_trips", keyed)
+    warehouse.create_empty("dim_weather")
+    build_models(warehouse)
+    before = {path: path.stat().st_mtime_ns for path in Path(warehouse.current("trip_enriched")).rglob("*.parquet")}
+    warehouse.append_batch("dim_weather", weather(spark, [("2022-03-03 09:10:00", 1.0, "Rain")]), 0)
+    chosen = months_of_hours(warehouse, [(2022, 3)])
+    assert chosen == [(2022, 3)]
+    build_models(warehouse, months=chosen)
+    plan = plan_text(warehouse.table("fact_taxi_trips", chosen))
+    assert any("year" in line and "month" in line for line in plan.splitlines() if line.startswith("PartitionFilters"))
+    after = {path: path.stat().st_mtime_ns for path in Path(warehouse.current("trip_enriched")).rglob("*.parquet")}
+    changed = {path.parent.name for path in before.keys() ^ after.keys()}
+    assert changed == {"month=3"} and all(after[path] == before[path] for path in before.keys() & after.keys())
+    assert warehouse.table("trip_enriched").where("weather_category = 'Rainy'").count() == 3
+
+
+def test_a_month_without_rows_is_emptied(spark, folder):
+    warehouse = LakeWarehouse(spark, f"{folder}/warehouse", f"w{uuid.uuid4().hex}")
+    keyed = simple_facts(spark, [(HOUR, 1.0, 40.0, 10.0)] * 2).withColumn("year", F.lit(2024))
+    both = keyed.withColumn("month", F.lit(1)).union(keyed.withColumn("month", F.lit(2)))
+    warehouse.replace("fact_taxi_trips", both)
+    warehouse.replace_months("fact_taxi_trips", both.where("false"), [(2024, 1)])
+    assert [tuple(r) for r in warehouse.all_months("fact_taxi_trips").groupBy("month").count().collect()] == [(2, 2)]
+
+
+def test_a_failed_rebuild_leaves_the_old_table(spark, folder):
+    def session():
+        return LakeWarehouse(spark, f"{folder}/warehouse", f"w{uuid.uuid4().hex}")
+
+    def fail(batches):
+        yield from batches
+        raise RuntimeError("lost for good")
+
+    warehouse = session()
+    for name in ("fact_taxi_trips", "high_value_customers"):
+        good = simple_facts(spark, [(HOUR, 1.0, 40.0, 10.0)] * 10)
+        if name == "high_value_customers":
+            good = spark.createDataFrame([(1.0, 2, 3.0, 4.0)] * 10, TABLES[name])
+        warehouse.replace(name, good)
+        with pytest.raises(Exception, match="lost for good"):
+            warehouse.replace(name, good.mapInPandas(fail, good.schema))
+        assert warehouse.table(name).count() == 10
+        assert session().table(name).count() == 10
+        warehouse.replace(name, good.limit(3))
+        assert warehouse.table(name).count() == 3 and session().table(name).count() == 3
+
+
+def test_old_versions_go(spark, folder):
+    warehouse = LakeWarehouse(spark, f"{folder}/warehouse", f"w{uuid.uuid4().hex}")
+    for n in range(1, 5):
+        warehouse.replace("high_value_customers", spark.createDataFrame([(1.0, 2, 3.0, 4.0)] * n, TABLES["high_value_customers"]))
+    assert len(list(Path(warehouse.path("high_value_customers")).iterdir())) == 2
+    assert warehouse.table("high_value_customers").count() == 4
+
+
+def test_both_report_forms_agree_in_any_zone(spark):
+    trips = simple_facts(spark, [("2024-03-10 02:30:00", 1.0, 40.0, 10.0), ("2024-11-03 01:30:00", 1.0, 4.0, 1.0), (HOUR, 1.0, 4.0, 1.0)])
+    observations = weather(spark, [("2024-03-10 02:10:00", 1.0, "Rain"), (HOUR, 2.0, "Clear")])
+    expected = trip_summary(hourly_totals(trips), observations).collect()
+    assert [str(row["hour"]) for row in expected] == [HOUR, "2024-03-10 02:00:00", "2024-11-03 01:00:00"]
+    observations = spark.createDataFrame(observations.collect(), observations.schema)
+    spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+    try:
+        assert trip_summary(hourly_totals(trips), observations).collect() == expected
+        assert trip_summary_from_enriched(enrich_trips(trips, observations)).collect() == expected
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
+
+
+def test_a_database_table_is_computed_once(spark):
+    calls = spark.sparkContext.accumulator(0)
+
+    def count(batches):
+        calls.add(1)
+        yield from batches
+
+    facts = simple_facts(spark, [(HOUR, 1.0, 40.0, 10.0)] * 4).coalesce(1)
+    url = f"jdbc:derby:memory:w{uuid.uuid4().hex};create=true"
+    warehouse = JdbcWarehouse(spark, url, {"driver": "org.apache.derby.iapi.jdbc.AutoloadedDriver"})
+    warehouse.replace("fact_taxi_trips", facts.mapInPandas(count, facts.schema))
+    assert calls.value == 1

@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import uuid
+from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
@@ -80,6 +81,61 @@ def test_a_repeated_batch_adds_nothing(spark, folder, warehouse):
     assert warehouse.table("dim_weather").count() == 18
 
 
+def test_streams_and_backfills_add_up(spark, folder, warehouse):
+    """Two checkpoints count their batches from 0 each; rows written without a stream stay, too."""
+    batch = dim_weather(spark.read.schema(RAW_WEATHER).json(_landed(spark, folder, dated(spark, 6))))
+    warehouse.replace("dim_weather", batch)
+    for start in (10, 20):
+        land_payloads(dated(spark, 2, start), f"{folder}/landing{start}")
+        for _ in range(2):
+            run_weather_stream(spark, f"{folder}/landing{start}", warehouse, f"{folder}/checkpoint{start}")
+    assert warehouse.table("dim_weather").count() == 10
+    warehouse.append_batch("dim_weather", batch, 0, "other")
+    warehouse.append_batch("dim_weather", batch, 0, "other")
+    assert warehouse.table("dim_weather").count() == 16
+
+
+def test_compaction_keeps_rows_and_the_last_batch(spark, folder):
+    warehouse = LakeWarehouse(spark, f"{folder}/warehouse", f"w{uuid.uuid4().hex}")
+    batch = dim_weather(spark.read.schema(RAW_WEATHER).json(_landed(spark, folder, dated(spark, 6))))
+    for stream in ("one", "two"):
+        for number in range(4):
+            warehouse.append_batch("dim_weather", batch, number, stream)
+    before = rows(warehouse.table("dim_weather"))
+    warehouse.compact("dim_weather")
+    assert rows(warehouse.table("dim_weather")) == before
+    batches = warehouse.with_batches("dim_weather").select("stream_id", "batch_id").distinct()
+    assert rows(batches) == [("none", -1), ("one", 3), ("two", 3)]
+    warehouse.append_batch("dim_weather", batch, 3, "one")  # a repeat
+    warehouse.append_batch("dim_weather", batch, 4, "one")
+    assert warehouse.table("dim_weather").count() == len(before) + 6
+
+
+def test_read_files_leave_the_landing_folder(spark, folder, warehouse):
+    landing, archive = f"{folder}/landing", f"{folder}/archive"
+    for start in range(4):
+        land_payloads(dated(spark, 2, start * 2).coalesce(1), landing)
+        run_weather_stream(spark, landing, warehouse, f"{folder}/checkpoint", archive=archive)
+    assert warehouse.table("dim_weather").count() == 8
+    assert len(list(Path(landing).glob("part-*"))) < 4 and list(Path(archive).rglob("part-*"))
+
+
+def test_every_payload_lands_in_one_table(spark, folder, warehouse):
+    good = '{"dt":1704067200,\r\n"main":{"temp":1.5},\n\n"weather":[]}'
+    payloads = texts(spark, [good, None, "", " \t\n ", "broken\n{"])
+    land_payloads(payloads, f"{folder}/landing")
+    run_weather_stream(spark, f"{folder}/landing", warehouse, f"{folder}/checkpoint")
+    assert warehouse.table("dim_weather").count() == 1
+    records = sorted(row["record"] for row in warehouse.table("weather_quarantine").collect())
+    assert records == ["broken {"] + ['{"message":"empty payload"}'] * 3
+
+
+def test_months_of_new_weather_are_returned(spark, folder, warehouse):
+    land_payloads(dated(spark, 3), f"{folder}/landing")
+    assert run_weather_stream(spark, f"{folder}/landing", warehouse, f"{folder}/checkpoint") == [(2024, 1)]
+    assert run_weather_stream(spark, f"{folder}/landing", warehouse, f"{folder}/checkpoint") == []
+
+
 def test_a_half_written_batch_is_completed(spark, folder):
     """What a crash between two committed tasks leaves behind in a database."""
     warehouse = JdbcWarehouse(spark, f"jdbc:derby:memory:w{uuid.uuid4().hex};create=true", DERBY)
@@ -132,7 +188,7 @@ def test_a_failing_sink_fails_the_run(spark, folder):
         def create_empty(self, name):
             pass
 
-        def append_batch(self, name, df, batch_id):
+        def append_batch(self, name, df, batch_id, stream_id):
             raise RuntimeError("no space")
 
     landing = _landed(spark, folder, dated(spark, 1))
