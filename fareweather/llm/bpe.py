@@ -22,7 +22,7 @@ import tiktoken
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fareweather.llm.tasks import batch_of
+from fareweather.llm.tasks import batch_of, small_batches
 
 MAX_RANK_BYTES = 64 << 20
 
@@ -111,6 +111,7 @@ def codec_of(ranks: bytes, pattern: str) -> Codec:
 
 def encode(df: DataFrame, rank_path: str, pattern: str, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
     """``id_column``, ``ids`` (array of int) of every row."""
+    small_batches(df.sparkSession)
     ranks = df.sparkSession.sparkContext.broadcast(read_ranks(rank_path))
     schema = pa.schema([("id", pa.int64()), ("ids", pa.list_(pa.int32()))])
 
@@ -127,6 +128,7 @@ def encode(df: DataFrame, rank_path: str, pattern: str, id_column: str = "doc_id
 
 def decode(df: DataFrame, rank_path: str, pattern: str, id_column: str = "doc_id", ids_column: str = "ids") -> DataFrame:
     """``id_column``, ``bytes`` of every row; the bytes may be no valid text if the ids were cut."""
+    small_batches(df.sparkSession)
     ranks = df.sparkSession.sparkContext.broadcast(read_ranks(rank_path))
     schema = pa.schema([("id", pa.int64()), ("bytes", pa.binary())])
 

@@ -38,12 +38,13 @@ def components(links: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
 
 
 def _large_stars(edges: DataFrame) -> DataFrame:
-    """Each node's larger neighbours, linked with the least of the node and all its neighbours."""
-    least = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v"))).groupBy("u").agg(
-        F.least(F.min("v"), F.col("u")).alias("m")
-    )
-    larger = edges.select(F.col("v").alias("u"), F.col("u").alias("w"))
-    return larger.join(least, "u").select(F.col("w").alias("u"), F.col("m").alias("v")).distinct()
+    """Each node's larger neighbours, linked with the least of the node and all its neighbours.
+
+    The least neighbours are stored first: then both sides of the join are plain shuffles, of which
+    Spark can split what belongs to a node with very many neighbours.
+    """
+    least = stored(edges.filter("u != v").groupBy(F.col("u").alias("v")).agg(F.min("v").alias("m")))
+    return edges.join(least, "v", "left").select("u", F.coalesce("m", "v").alias("v")).distinct()
 
 
 def _small_stars(edges: DataFrame) -> DataFrame:

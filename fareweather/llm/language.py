@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from fareweather.llm.tasks import appended, batch_of, held_out
+from fareweather.llm.tasks import appended, batch_of, held_out, small_batches
 from fareweather.llm.text import Texts, text_chunks
 
 BITS = 15
@@ -119,6 +119,7 @@ def learnable(documents: DataFrame, remainder: int) -> DataFrame:
 
 def train(documents: DataFrame, remainder: int = 0) -> Model:
     """Counts first, so that a hash of the id thins every language to a bounded number of rows."""
+    small_batches(documents.sparkSession)
     usable = learnable(documents, remainder)
     sizes = {row["lang"]: row["n"] for row in usable.groupBy("lang").agg(F.count("*").alias("n")).collect()}
     if not sizes:

@@ -5,10 +5,10 @@ A document's set holds its distinct shingles. Two documents link when ``100 * ov
 
 1. Equal sets become one: Spark groups by a 128-bit fingerprint, partial minima first.
 2. Sets meet where they could overlap enough. Linked sets differ by few tokens, so if a hash deals
-   the tokens into one part more than that, some part of both is equal: the parts are the keys.
-   Sets that share only a passage agree in no whole part, as a rule. Within a key's sets, ordered
-   by size, a run without a gap wider than the threshold allows becomes a star, so no pairs are
-   listed.
+   the tokens into some parts more than that, so many parts of both are equal: the parts are the
+   keys. A set that shares fewer keys, with whichever sets, links with none. Within a key's sets,
+   ordered by size, a run without a gap wider than the threshold allows becomes a star, so no
+   pairs are listed.
 3. Each connected candidate group is joined by signature trees (``signature_tree``): one tree for
    up to ``BLOCK_BYTES`` of sets, several for larger groups. Trees of one group are first joined
    with themselves and the group's first set; only trees not yet wholly connected then meet pair
@@ -32,17 +32,20 @@ from pyspark.sql import functions as F
 
 from fareweather.llm.components import components
 from fareweather.llm.signature_tree import linked
-from fareweather.llm.tasks import batch_of, grouped_stream, stored
+from fareweather.llm.tasks import batch_of, grouped_stream, small_batches, stored
 from fareweather.llm.text import distinct_shingles, mix, set_fingerprints, signed, text_chunks
 
 BAND_RATIO = 1.6
 SEEDS = 4
+MORE_PARTS = 8
 BLOCK_BYTES = 8 << 20
 ROWS_PER_RUN = 500
 
 
 def _texts(documents: DataFrame) -> DataFrame:
-    return documents.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+    """``doc_id``, ``text``, and ``row``, by which a row is found again; many rows without an id are not one group."""
+    doc_id = F.col("doc_id").cast("long")
+    return documents.select(doc_id.alias("doc_id"), "text", F.coalesce(doc_id, F.xxhash64("text")).alias("row"))
 
 
 def bands(percent: int, largest: int) -> list[int]:
@@ -55,97 +58,122 @@ def bands(percent: int, largest: int) -> list[int]:
 
 
 def parts_of_band(low: np.ndarray, high: np.ndarray, percent: int) -> tuple[np.ndarray, np.ndarray]:
-    """How many parts the sets of a band are dealt into, and how many empty ones a set may have.
+    """How many parts the sets of a band are dealt into, and how many more that is than needed.
 
     Two linked sets of at most ``high`` tokens differ by ``differ`` tokens at most, so that of
-    ``differ + 1 + spare`` parts more than ``spare`` are equal.
+    ``differ + 1 + spare`` parts more than ``spare`` are equal. Some parts are spared because they
+    stay empty, some more so that linked sets have several parts in common.
     """
     differ = 2 * high * (100 - percent) // (100 + percent)
     empty = (differ + 1) * np.exp(-low * percent / 100 / (differ + 1))
-    spare = np.where(empty < 0.05, 0, np.ceil(empty + 2 * np.sqrt(empty))).astype(np.int64)
+    spare = np.where(empty < 0.05, 0, np.ceil(empty + 2 * np.sqrt(empty))).astype(np.int64) + differ // MORE_PARTS
     return differ + 1 + spare, spare
 
 
-def part_keys(values: np.ndarray, offsets: np.ndarray, percent: int) -> tuple[np.ndarray, np.ndarray]:
-    """Keys of each set, and their offsets: sets that link have a key in common.
+def part_keys(values: np.ndarray, offsets: np.ndarray, percent: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Keys, the place of the set that each belongs to, and what goes along with it.
 
     A set takes part in its own size band and, if larger sets of the next band can link with it,
     in that one too. In a band its tokens are dealt into parts; each part that has tokens is a
     key. Were all equal parts of two linked sets empty, both would have more empty parts than the
     band spares: such sets are dealt once more by another hash, and the last time their empty
     parts are keys as well.
+
+    What goes along is the size, the band, and how many keys at least a set has in common with
+    any one that links with it there: the equal parts, less the empty ones.
     """
     sizes = np.diff(offsets)
     starts = np.array(bands(percent, int(sizes.max(initial=0)) * 100 // percent + 1))
     own = np.searchsorted(starts, sizes, "right") - 1
     guest = (sizes > 0) & (sizes * 100 // percent >= starts[np.minimum(own + 1, len(starts) - 1)])
-    keys, owners = [], []
+    keys, owners, along = [np.zeros(0, np.uint64)], [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
     for band, docs in ((own, np.flatnonzero(sizes > 0)), (own + 1, np.flatnonzero(guest))):
         for seed in range(SEEDS):
             if not len(docs):
                 break
-            here = band[docs]
+            here, n = band[docs], sizes[docs]
             parts, spare = parts_of_band(starts[here], starts[here + 1] - 1, percent)
             first = np.concatenate([[0], np.cumsum(parts)])
-            token = values[np.repeat(offsets[docs] - np.cumsum(sizes[docs]) + sizes[docs], sizes[docs]) + np.arange(sizes[docs].sum())]
-            doc = np.repeat(np.arange(len(docs)), sizes[docs])
+            token = values[np.repeat(offsets[docs] - np.cumsum(n) + n, n) + np.arange(n.sum())]
+            doc = np.repeat(np.arange(len(docs)), n)
             place = (mix(token, 41 + seed) >> np.uint64(32)) * parts[doc].astype(np.uint64) >> np.uint64(32)
             at = first[doc] + place.astype(np.int64)
             sums = np.zeros(first[-1], np.uint64)
             np.add.at(sums, at, mix(token, 51 + seed))
             full = np.bincount(at, minlength=first[-1]) > 0
             holder = np.repeat(np.arange(len(docs)), parts)
-            poor = parts - np.bincount(holder[full], minlength=len(docs)) > spare
+            empty = parts - np.bincount(holder[full], minlength=len(docs))
+            poor = empty > spare
             shown = full | poor[holder] if seed == SEEDS - 1 else full
             code = (here[holder] << 40) | (seed << 34) | (np.arange(first[-1]) - first[holder])
+            shared = np.where(poor | (seed > 0), 1, np.minimum(1 + spare - empty, 0xFFFF))
             keys.append(mix(sums[shown] + mix(code[shown].astype(np.uint64), 61)))
             owners.append(docs[holder[shown]])
+            along.append(((n << 32) | (here << 16) | shared)[holder[shown]])
             docs = docs[poor]
-    if not keys:
-        return np.zeros(0, np.uint64), np.zeros(len(offsets), np.int64)
-    owner = np.concatenate(owners)
-    order = np.argsort(owner, kind="stable")
-    return np.concatenate(keys)[order], np.searchsorted(owner[order], np.arange(len(offsets)))
+    return np.concatenate(keys), np.concatenate(owners), np.concatenate(along)
 
 
-def described(documents: DataFrame, words: int, percent: int) -> DataFrame:
-    """``doc_id``, set size, fingerprint (``f1``, ``f2``) and ``keys`` of every document."""
-    schema = pa.schema(
-        [("doc_id", pa.int64()), ("n", pa.int64()), ("f1", pa.int64()), ("f2", pa.int64()), ("keys", pa.list_(pa.int64()))]
-    )
+def described(documents: DataFrame, words: int) -> DataFrame:
+    """``doc_id``, ``row``, set size and fingerprint (``f1``, ``f2``) of every document."""
+    names = ["doc_id", "row", "n", "f1", "f2"]
+    schema = pa.schema([(name, pa.int64()) for name in names])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for texts in text_chunks(batch["text"]):
                 values, offsets = distinct_shingles(texts, words, lower=True)
                 f1, f2 = set_fingerprints(values, offsets)
-                keys, ends = part_keys(values, offsets, percent)
-                lists = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(signed(keys)))
-                own = batch["doc_id"].slice(texts.row, len(texts))
-                yield batch_of(schema, doc_id=own, n=np.diff(offsets), f1=signed(f1), f2=signed(f2), keys=lists)
+                own = batch.slice(texts.row, len(texts))
+                yield batch_of(
+                    schema, doc_id=own["doc_id"], row=own["row"], n=np.diff(offsets), f1=signed(f1), f2=signed(f2)
+                )
 
-    return _texts(documents).mapInArrow(run, "doc_id long, n long, f1 long, f2 long, keys array<long>")
+    return _texts(documents).mapInArrow(run, ", ".join(f"{name} long" for name in names))
 
 
-def distinct_sets(rows: DataFrame) -> DataFrame:
-    """``set`` (its fingerprint), its size, and the least document that has it."""
-    sets = rows.filter("n > 0").groupBy("f1", "f2").agg(F.min("n").alias("n"), F.min("doc_id").alias("doc_id"))
-    return sets.select(F.col("f1").alias("set"), "doc_id", "n")
+def set_keys(documents: DataFrame, words: int, percent: int) -> DataFrame:
+    """``key``, ``set`` and ``along`` for every key of every set; of equal sets in a chunk one is taken."""
+    schema = pa.schema([("key", pa.int64()), ("set", pa.int64()), ("along", pa.int64())])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for texts in text_chunks(batch["text"]):
+                values, offsets = distinct_shingles(texts, words, lower=True)
+                f1, _ = set_fingerprints(values, offsets)
+                once = np.zeros(len(texts), bool)
+                once[np.unique(f1, return_index=True)[1]] = True
+                keys, owners, along = part_keys(values, offsets, percent)
+                some = once[owners]
+                yield batch_of(schema, key=signed(keys[some]), set=signed(f1[owners[some]]), along=along[some])
+
+    return documents.select("text").mapInArrow(run, "key long, set long, along long")
 
 
-def set_keys(rows: DataFrame) -> DataFrame:
-    """``set``, size and ``keys`` of every distinct set."""
-    sets = rows.filter("n > 0").groupBy("f1", "f2").agg(F.min(F.struct("n", "keys")).alias("s"))
-    return sets.select(F.col("f1").alias("set"), "s.n", "s.keys")
+def distinct_sets(rows: DataFrame) -> DataFrame:
+    """``set`` (its fingerprint), its size, the least document that has it, and a row to read it from."""
+    least = [F.min(name).alias(name) for name in ("n", "doc_id", "row")]
+    return rows.filter("n > 0").groupBy("f1", "f2").agg(*least).select(F.col("f1").alias("set"), "doc_id", "row", "n")
+
 
+def candidates(keys: DataFrame, percent: int) -> DataFrame:
+    """Stars that connect all sets which have enough keys in common with others and differ little in size.
 
-def candidates(sets: DataFrame, percent: int) -> DataFrame:
-    """Stars that connect all sets which share a key and differ little enough in size."""
-    by_key = Window.partitionBy("key").orderBy("n", "set")
-    before = F.lag("n").over(by_key)
-    head = F.when(before.isNull() | (100 * before < percent * F.col("n")), F.col("set"))
+    A set stays if in some band as many of its keys are shared, by whichever sets, as a set that
+    links with it would share. So most sets that only have a line or a passage in common go.
+    """
+    by_key = Window.partitionBy("key").orderBy("along", "set")
+    lonely = F.lag("set").over(by_key).eqNullSafe(F.col("set")) & F.lead("set").over(by_key).isNull()
+    alone = F.lag("set").over(by_key).isNull() & F.lead("set").over(by_key).eqNullSafe(F.col("set"))
+    single = F.lag("set").over(by_key).isNull() & F.lead("set").over(by_key).isNull()
+    shared = stored(keys.withColumn("alone", single | lonely | alone).filter("NOT alone").select("key", "set", "along").distinct())
+    counted = shared.groupBy("set", "along").agg(F.count("*").alias("keys"))
+    enough = counted.filter(F.col("keys") >= F.col("along").bitwiseAND(0xFFFF)).select("set").distinct()
+    size = F.shiftright("along", 32)
+    before = F.lag(size).over(by_key)
+    head = F.when(before.isNull() | (100 * before < percent * size), F.col("set"))
     return (
-        sets.select("set", "n", F.explode("keys").alias("key"))
+        shared.join(enough, "set")
         .withColumn("head", head)
         .withColumn("hub", F.last("head", ignorenulls=True).over(by_key.rowsBetween(Window.unboundedPreceding, 0)))
         .filter("hub != set")
@@ -158,14 +186,14 @@ def blocked(sets: DataFrame, groups: DataFrame) -> DataFrame:
     """Members of candidate groups, each group cut by size into blocks of ``BLOCK_BYTES``."""
     upto = Window.partitionBy("grp").orderBy("n", "set").rowsBetween(Window.unboundedPreceding, -1)
     return (
-        sets.select("set", "n", "doc_id")
+        sets.select("set", "n", "row")
         .join(groups.select(F.col("node").alias("set"), F.col("component").alias("grp")), "set")
         .withColumn("block", F.floor(F.coalesce(F.sum("n").over(upto), F.lit(0)) * 8 / BLOCK_BYTES).cast("int"))
     )
 
 
 def tree_links(documents: DataFrame, dealt: DataFrame, words: int, percent: int) -> DataFrame:
-    """Links within each deal of ``dealt`` (``set``, ``doc_id``, ``grp``, ``i``, ``j``, ``side``, ``label``).
+    """Links within each deal of ``dealt`` (``set``, ``row``, ``grp``, ``i``, ``j``, ``side``, ``label``).
 
     Texts come from ``documents``; a set is built again from its text where its deal is joined.
     With ``i < j`` only sets of different sides are compared.
@@ -209,7 +237,7 @@ def tree_links(documents: DataFrame, dealt: DataFrame, words: int, percent: int)
 
     order = ["grp", "i", "j", "set"]
     return (
-        dealt.join(_texts(documents), "doc_id")
+        dealt.join(_texts(documents).select("row", "text"), "row")
         .select(*[F.col(name).cast("long").alias(name) for name in fields], "text")
         .mapInArrow(build, ", ".join(f"{name} long" for name in fields) + ", tokens binary")
         .repartition("grp", "i", "j")
@@ -218,19 +246,19 @@ def tree_links(documents: DataFrame, dealt: DataFrame, words: int, percent: int)
     )
 
 
-def links(documents: DataFrame, rows: DataFrame, sets: DataFrame, words: int, percent: int) -> DataFrame:
+def links(documents: DataFrame, sets: DataFrame, words: int, percent: int) -> DataFrame:
     """Links (``a``, ``b``) between sets that connect all sets which are similar enough."""
-    members = stored(blocked(sets, components(candidates(set_keys(rows), percent))))
+    members = stored(blocked(sets, components(candidates(set_keys(documents, words, percent), percent))))
     wide = members.groupBy("grp").agg(F.max("block").alias("last"))
-    first = members.groupBy("grp").agg(F.min(F.struct("n", "set", "doc_id")).alias("s"))
+    first = members.groupBy("grp").agg(F.min(F.struct("n", "set", "row")).alias("s"))
     own = members.withColumns({"i": F.col("block"), "j": F.col("block"), "side": F.lit(0), "label": F.col("set")})
     guests = (
         wide.filter("last > 0")
         .select("grp", F.explode(F.sequence(F.lit(1), "last")).alias("i"))
         .join(first, "grp")
-        .select("s.set", "s.doc_id", "grp", "i", F.col("i").alias("j"), F.lit(0).alias("side"), F.col("s.set").alias("label"))
+        .select("s.set", "s.row", "grp", "i", F.col("i").alias("j"), F.lit(0).alias("side"), F.col("s.set").alias("label"))
     )
-    columns = ["set", "doc_id", "grp", "i", "j", "side", "label"]
+    columns = ["set", "row", "grp", "i", "j", "side", "label"]
     found = stored(tree_links(documents, own.select(*columns).unionByName(guests.select(*columns)), words, percent))
     if wide.filter("last > 0").isEmpty():
         return found
@@ -264,9 +292,10 @@ def _between_blocks(documents: DataFrame, members: DataFrame, found: DataFrame,
 
 def groups(documents: DataFrame, words: int, percent: int) -> DataFrame:
     """``doc_id``, ``n_shingles`` and ``component_id`` (least id that links reach) of every row."""
-    rows = stored(described(documents, words, percent))
+    small_batches(documents.sparkSession)
+    rows = stored(described(documents, words))
     sets = stored(distinct_sets(rows))
-    found = components(links(documents, rows, sets, words, percent))
+    found = components(links(documents, sets, words, percent))
     placed = (
         sets.select("set", "doc_id")
         .join(found.select(F.col("node").alias("set"), "component"), "set", "left")

@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from fareweather.llm.samples import in_one_task, sampled_labels, with_sample
-from fareweather.llm.tasks import batch_of, held_out
+from fareweather.llm.tasks import batch_of, held_out, small_batches
 from fareweather.llm.text import Texts, mix, text_chunks
 
 PASSAGE_WORDS = 64
@@ -146,6 +146,7 @@ def fit(bags: list[np.ndarray], label: np.ndarray, weight: np.ndarray, epochs: i
 
 def train(sample: DataFrame) -> dict[str, np.ndarray]:
     """The model for a bounded labelled sample; documents become bags before they meet in one task."""
+    small_batches(sample.sparkSession)
     rows = pa.schema([("doc_id", pa.int64()), ("label", pa.int32()), ("weight", pa.float64()), ("bag", pa.binary())])
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -181,6 +182,7 @@ def train(sample: DataFrame) -> dict[str, np.ndarray]:
 
 def score(documents: DataFrame, model: dict[str, np.ndarray], remainder: int = 0) -> DataFrame:
     """``doc_id``, ``held_out``, ``score`` and ``predicted`` of every row."""
+    small_batches(documents.sparkSession)
     weights = documents.sparkSession.sparkContext.broadcast(model)
     schema = pa.schema([("doc_id", pa.int64()), ("held_out", pa.bool_()), ("score", pa.float64())])
 

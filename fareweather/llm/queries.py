@@ -28,6 +28,5 @@ QUERIES = {
 
 ORACLE_SQL: dict[str, str] = {
     "op2_ngram_join": OP2_SQL,
-    "op7_maxent_lm": op7_maxent_lm,
     "op8_substring_dedup": OP8_SQL,
 }

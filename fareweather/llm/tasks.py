@@ -16,6 +16,9 @@ from fareweather.llm.text import Texts, text_chunks
 from fareweather.session import shared_folder
 
 
+BATCH_BYTES = 4 << 20
+
+
 def fold(doc_id: Column | str) -> Column:
     """crc32(doc_id as text) mod 5; null for a null id."""
     return F.crc32(F.col(doc_id).cast("string") if isinstance(doc_id, str) else doc_id.cast("string")) % 5
@@ -41,6 +44,11 @@ def stored(df: DataFrame) -> DataFrame:
     return out
 
 
+def small_batches(spark: SparkSession) -> None:
+    """Hand texts to Python a few megabytes at a time, however long they are; the setting stays."""
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
+
+
 def appended(
     df: DataFrame, fields: pa.Schema, compute: Callable[[Texts], dict], text: str = "text", max_rows: int = 1 << 30, **inputs: Column
 ) -> DataFrame:
@@ -49,6 +57,7 @@ def appended(
     ``inputs`` are further columns that ``compute`` gets by name. Columns go by place, so names of
     ``df`` may clash with anything, each other included.
     """
+    small_batches(df.sparkSession)
     carried, extra = [f"c{i}" for i in range(len(df.columns))], list(inputs)
     at = df.columns.index(text)
     renamed = df.toDF(*carried)

@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from fareweather.llm.samples import in_one_task, sampled_labels, with_sample
-from fareweather.llm.tasks import batch_of, held_out
+from fareweather.llm.tasks import batch_of, held_out, small_batches
 from fareweather.llm.text import LETTER_BYTES, Texts, join_hashes, mix, text_chunks
 
 BITS = 20
@@ -64,6 +64,7 @@ def distinct_features(texts: Texts) -> tuple[np.ndarray, np.ndarray]:
 
 def feature_rows(sample: DataFrame) -> DataFrame:
     """``doc_id``, ``label``, ``weight`` and the distinct buckets as bytes."""
+    small_batches(sample.sparkSession)
     schema = pa.schema(
         [("doc_id", pa.int64()), ("label", pa.int32()), ("weight", pa.float64()), ("buckets", pa.binary())]
     )
@@ -122,6 +123,7 @@ def train(sample: DataFrame, epochs: int = EPOCHS, rates: Rates = Rates()) -> di
 
 def score(documents: DataFrame, weights: dict[int, float], remainder: int = 0) -> DataFrame:
     """``doc_id``, ``held_out``, ``score`` and ``predicted`` of every row."""
+    small_batches(documents.sparkSession)
     size = 1 << BITS
     places = np.array(sorted(k for k in weights if k < size), np.int32)
     model = documents.sparkSession.sparkContext.broadcast(

@@ -53,6 +53,11 @@ def test_jaccard_edge_rows(spark):
     assert found.count() == odd_documents(spark).count()
     assert found.filter("doc_id IS NULL AND n_shingles > 5").first()["component_id"] == 0
     assert found.filter("doc_id IS NULL AND n_shingles = 0").first()["component_id"] is None
+    nameless = documents(spark).withColumn("doc_id", F.when(F.col("doc_id") < 30, F.col("doc_id")))
+    sets = [shingle_set(t, 3) for t in texts()]
+    linked_ids = {i for i in range(30) for j in range(30, len(sets)) if similar(sets[i], sets[j], 90)}
+    groups = ngram_join.groups(nameless, 3, 90).filter("doc_id IS NULL AND component_id IS NOT NULL")
+    assert {r["component_id"] for r in groups.collect()} == linked_ids
 
 
 def test_parts_never_lose_a_link():
@@ -65,11 +70,15 @@ def test_parts_never_lose_a_link():
             change = int(random.integers(0, max(1, n * (100 - percent) // 100) + 1))
             two = np.concatenate([one[change // 2 :], random.integers(0, 2**63, change // 2, dtype=np.uint64)])
             sets += [np.unique(one), np.unique(two)]
-        keys, ends = ngram_join.part_keys(np.concatenate(sets), np.concatenate([[0], np.cumsum([len(s) for s in sets])]), percent)
-        own = [set(keys[a:b].tolist()) for a, b in zip(ends[:-1], ends[1:])]
+        keys, owners, along = ngram_join.part_keys(np.concatenate(sets), np.concatenate([[0], np.cumsum([len(s) for s in sets])]), percent)
+        own: list[dict[int, set[int]]] = [{} for _ in sets]
+        for key, owner, value in zip(keys.tolist(), owners.tolist(), along.tolist()):
+            own[owner].setdefault(value, set()).add(key)
         for i in range(0, len(sets), 2):
             if similar(set(sets[i].tolist()), set(sets[i + 1].tolist()), percent):
-                assert own[i] & own[i + 1]
+                for one, two in ((own[i], own[i + 1]), (own[i + 1], own[i])):
+                    others = set().union(*two.values())
+                    assert any(len(part & others) >= value & 0xFFFF for value, part in one.items())
 
 
 def test_signature_trees_connect_what_links(monkeypatch):
@@ -157,6 +166,11 @@ def test_passages_edge_rows(spark):
     assert len(twice) == 2 and twice[0] == twice[1] and twice[0]["text"] == texts()[0]
     assert out.filter("doc_id IS NULL AND text = ''").count() == 1  # its words stand in document 0
     assert substrings.drop_repeats(no_documents(spark)).count() == 0
+    nameless = documents(spark).withColumn("doc_id", F.lit(None).cast("long"))
+    left = substrings.dedup(nameless).agg(F.sum("n_words") - F.sum("n_removed")).first()[0]
+    kept = substrings.dedup(nameless).collect()
+    assert len(kept) == len(texts()) and sum(len(words(r[-1])) for r in kept) == left  # the last column of that name
+    assert left < sum(len(words(t)) for t in texts()) - 400  # of equal texts one stays
 
 
 def test_digest_query_is_derived_from_the_operator(spark, folder):
