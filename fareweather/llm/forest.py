@@ -11,8 +11,9 @@ part that is still too large, and every point is sent down. A part that a cut ca
 because its points are all close to each other, stays a leaf; leaves over ``BLOCK`` points are
 compared block by block, so nothing is left out and no task holds more than two blocks.
 
-Pairs are counted, not listed: a pair that meets in several leaves counts in the one of least
-number, and leaves only pass on which points belong together.
+Pairs are never listed. A leaf passes on, for each point that links with another, the least
+point it is joined to there. How many vectors a point links with is then counted within the
+groups so found, block by block, where every pair of points meets exactly once.
 
 Defined cases: a vector that is null, empty, zero or holds null or non-finite components, and a
 vector without a label, links with nothing; vectors of different length don't link; rows with the
@@ -31,9 +32,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from fareweather.llm.components import components
-from fareweather.llm.tasks import batch_of, grouped_stream, stored
+from fareweather.llm.tasks import batch_of, grouped_stream, small_batches, stored
 
-TREES = 10
+TREES = 8
 LEAF = 512
 DEPTH = 5
 SAMPLE = 1024
@@ -42,7 +43,7 @@ ROUNDS = 12
 
 #: Half the width of the overlap at a cut, in standard deviations of what a cut's direction shows
 #: of the distance of two vectors that just link.
-SPILL = 0.75
+SPILL = 0.4
 
 #: A cut is given up if more of its points than this lie in the overlap.
 TIGHT = 0.6
@@ -204,111 +205,108 @@ def routed(rows: DataFrame, cosine: float) -> DataFrame:
     return rows.select("rid", "node", "dim", "v", "cuts").mapInArrow(run, "rid long, node long")
 
 
-def compared(points: DataFrame, placed: DataFrame, cosine: float) -> DataFrame:
-    """``rid``, ``links`` (how many vectors it links with in pairs that count here) and ``hub``.
+PAIR_COLUMNS = ["grp", "i", "j", "block", "rid", "dim", "copies", "v"]
 
-    The rows of a leaf say which points belong together: each has the least point it is joined to.
-    """
-    sizes = placed.groupBy("node").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks"))
-    listed = placed.groupBy("rid").agg(F.sort_array(F.collect_list("node")).alias("nodes"))
-    rows = points.select("rid", "dim", "v", "copies").join(listed, "rid").withColumn("node", F.explode("nodes"))
+
+def in_blocks(rows: DataFrame) -> DataFrame:
+    """The members of each ``grp``, cut into blocks of ``BLOCK``, once for each pair of blocks they are in."""
+    sizes = rows.groupBy("grp").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks"))
     block = F.pmod(F.xxhash64("rid"), F.col("blocks")).cast("int")
     others = F.transform(
         F.sequence(F.lit(0), F.col("blocks") - 1),
         lambda k: F.struct(F.least(k, F.col("block")).alias("i"), F.greatest(k, F.col("block")).alias("j")),
     )
-    dealt = rows.join(sizes, "node").withColumn("block", block).withColumn("deal", F.explode(others))
-    columns = ["node", "i", "j", "block", "rid", "dim", "copies", "v", "nodes"]
-    schema = pa.schema([("rid", pa.int64()), ("links", pa.int64()), ("hub", pa.int64())])
+    dealt = rows.join(sizes, "grp").withColumn("block", block).withColumn("deal", F.explode(others))
+    return dealt.withColumns({"i": F.col("deal.i"), "j": F.col("deal.j")})
+
 
-    def compare(table: pa.Table) -> Iterator[pa.RecordBatch]:
-        keys = np.stack([table[name].to_numpy() for name in ("node", "i", "j")])
+def by_pair_of_blocks(points: DataFrame, members: DataFrame, work, kind: str) -> DataFrame:
+    """Call ``work`` on the points of every pair of blocks of ``members`` (``grp``, ``rid``)."""
+
+    def run(table: pa.Table) -> Iterator[pa.RecordBatch]:
+        keys = np.stack([table[name].to_numpy() for name in ("grp", "i", "j")])
         new = np.ones(table.num_rows, bool)
         new[1:] = (keys[:, 1:] != keys[:, :-1]).any(axis=0)
         ends = np.append(np.flatnonzero(new), table.num_rows)
-        for a, b in zip(ends[:-1].tolist(), ends[1:].tolist()):
-            if b - a > 1:
-                rid, links, hub = leaf_links(table.slice(a, b - a), cosine)
-                if len(rid):
-                    yield batch_of(schema, rid=rid, links=links, hub=hub)
+        found = [work(table.slice(a, b - a)) for a, b in zip(ends[:-1].tolist(), ends[1:].tolist()) if b - a > 1]
+        if found:
+            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(x)) for x in zip(*found)], kind.replace(" long", "").split(", "))
 
+    rows = in_blocks(members).join(points.select("rid", "dim", "copies", "v"), "rid")
     return (
-        dealt.select("node", "deal.i", "deal.j", "block", "rid", "dim", "copies", "v", "nodes")
-        .select(*columns)
-        .repartition("node", "i", "j")
-        .sortWithinPartitions("node", "i", "j", "rid")
-        .mapInArrow(
-            lambda batches: grouped_stream(batches, ["node", "i", "j"], ROWS_PER_RUN, compare), "rid long, links long, hub long"
-        )
+        rows.select(*PAIR_COLUMNS)
+        .repartition("grp", "i", "j")
+        .sortWithinPartitions("grp", "i", "j", "rid")
+        .mapInArrow(lambda batches: grouped_stream(batches, ["grp", "i", "j"], ROWS_PER_RUN, run), kind)
     )
 
 
-def leaf_links(table: pa.Table, cosine: float, rows: int = 256) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Points of a leaf (or of two of its blocks) with a link, their counted links, and their hub."""
-    node, i, j = (table[name][0].as_py() for name in ("node", "i", "j"))
-    rid, copies, block = (table[name].to_numpy() for name in ("rid", "copies", "block"))
-    x = matrix(table["v"].to_pylist(), table["dim"][0].as_py())
-    lists = table["nodes"].to_pylist()
-    width = max(map(len, lists))
-    kind_of: dict[tuple, int] = {}
-    kind = np.array([kind_of.setdefault(tuple(n), len(kind_of)) for n in lists])
-    held = np.array([list(n) + [n[-1]] * (width - len(n)) for n in kind_of], np.int64)
-    links, hub, linked = np.zeros(len(rid), np.int64), np.arange(len(rid)), np.zeros(len(rid), bool)
-    pairs = []
-    for first in range(0, len(rid), rows):
-        near = x[first : first + rows] @ x.T >= cosine
-        p, q = np.nonzero(near)
+def near_pairs(table: pa.Table, cosine: float, rows: int = 256) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Places of points that link, each pair once; of two blocks, pairs across them."""
+    i, j, dim = (table[name][0].as_py() for name in ("i", "j", "dim"))
+    block = table["block"].to_numpy()
+    x = matrix(table["v"].to_pylist(), dim)
+    for first in range(0, len(x), rows):
+        p, q = np.nonzero(x[first : first + rows] @ x.T >= cosine)
         p = p + first
         real = (p < q) if i == j else (block[p] == i) & (block[q] == j)
-        p, q = p[real], q[real]
-        if not len(p):
-            continue
-        linked[p] = linked[q] = True
-        code = kind[p].astype(np.int64) * len(held) + kind[q]
-        values, back = np.unique(code, return_inverse=True)
-        counts = np.concatenate(
-            [first_shared(held[some // len(held)], held[some % len(held)]) == node for some in np.array_split(values, -(-len(values) // 2048))]
-        )[back.reshape(-1)]
-        links += np.bincount(p[counts], copies[q[counts]], len(rid)).astype(np.int64)
-        links += np.bincount(q[counts], copies[p[counts]], len(rid)).astype(np.int64)
-        hub = merged(hub, p, q)
-        pairs.append((p, q) if len(p) <= 4 * len(rid) else None)
-    while pairs:  # a later pair may join what an earlier one left apart
-        before = hub.copy()
-        for pair in pairs:
-            if pair is not None:
-                hub = merged(hub, *pair)
-        if (hub == before).all():
-            break
-    some = np.flatnonzero(linked)
-    return rid[some], links[some], rid[hub[some]]
+        if real.any():
+            yield p[real], q[real]
 
 
-def merged(hub: np.ndarray, p: np.ndarray, q: np.ndarray) -> np.ndarray:
-    """Hubs after joining the ends of pairs: always the least place that can be reached."""
-    while True:
-        low = np.minimum(hub[p], hub[q])
-        before = hub.copy()
-        np.minimum.at(hub, hub[p], low)
-        np.minimum.at(hub, hub[q], low)
-        hub = hub[hub]
-        if (hub == before).all():
-            return hub
+def hubs(points: DataFrame, placed: DataFrame, cosine: float) -> DataFrame:
+    """``rid``, ``hub``: for each point that links with another in a leaf, the least it is joined to there."""
+
+    def join(table: pa.Table) -> tuple[np.ndarray, np.ndarray]:
+        rid = table["rid"].to_numpy()
+        hub, linked = np.arange(len(rid)), np.zeros(len(rid), bool)
+        for p, q in near_pairs(table, cosine):
+            linked[p] = linked[q] = True
+            apart = hub[p] != hub[q]
+            hub = merged(hub, hub[p[apart]], hub[q[apart]])
+        some = np.flatnonzero(linked)
+        return rid[some], rid[hub[some]]
 
+    members = placed.select(F.col("node").alias("grp"), "rid")
+    return by_pair_of_blocks(points, members, join, "rid long, hub long").distinct()
 
-def first_shared(a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    """The least number that both rows hold."""
-    shared = (a[:, :, None] == b[:, None, :]).any(axis=2)
-    return np.where(shared, a, np.iinfo(np.int64).max).min(axis=1)
+
+def counted(points: DataFrame, joined: DataFrame, cosine: float) -> DataFrame:
+    """``rid``, ``links``: how many vectors of other points each point of a group links with."""
+
+    def count(table: pa.Table) -> tuple[np.ndarray, np.ndarray]:
+        rid, copies = table["rid"].to_numpy(), table["copies"].to_numpy()
+        links = np.zeros(len(rid))
+        for p, q in near_pairs(table, cosine):
+            links += np.bincount(p, copies[q], len(rid)) + np.bincount(q, copies[p], len(rid))
+        return rid, links.astype(np.int64)
+
+    members = joined.select(F.col("component").alias("grp"), F.col("node").alias("rid"))
+    found = by_pair_of_blocks(points, members, count, "rid long, links long")
+    return found.groupBy("rid").agg(F.sum("links").alias("links"))
+
+
+def merged(hub: np.ndarray, p: np.ndarray, q: np.ndarray) -> np.ndarray:
+    """Hubs after joining pairs of hubs: always the least place that can be reached."""
+    while len(p):
+        low, high = np.minimum(p, q), np.maximum(p, q)
+        hub = hub.copy()
+        np.minimum.at(hub, high, low)
+        while (hub[hub] != hub).any():
+            hub = hub[hub]
+        p, q = hub[p], hub[q]
+        apart = p != q
+        p, q = p[apart], q[apart]
+    return hub
 
 
 def groups(embeddings: DataFrame, cosine: float) -> DataFrame:
     """``vec_id``, ``n_links``, ``component_id`` and ``kept`` of every vector."""
+    small_batches(embeddings.sparkSession)
     vectors, points = points_of(embeddings)
     placed = stored(leaves(points, cosine))
-    found = stored(compared(points, placed, cosine).groupBy("rid", "hub").agg(F.sum("links").alias("links")))
-    links = found.groupBy("rid").agg(F.sum("links").alias("links"))
-    joined = components(found.select("rid", "hub"), "rid", "hub")
+    joined = components(hubs(points, placed, cosine), "rid", "hub")
+    links = counted(points, joined, cosine)
     placed_points = (
         points.select("rid", "vec_id", "copies")
         .join(joined.select(F.col("node").alias("rid"), "component"), "rid", "left")
