@@ -4,8 +4,8 @@ Counts of all training words come first; they give the base score, and the units
 predicts: the end of a text, the ``HEAD`` most frequent words, and ``SUFFIXES`` classes of all
 other words by their last two bytes. Units are put into classes of ``WIDTH`` by frequency. The
 model is a softmax over classes and one over the units of a class; both sum the weights of
-features of the three units before: one unit (n-gram of two), two units (of three), and single
-units further back (skips). A rare word's probability is that of its suffix class times its
+features of the two units before: the last one (n-gram of two), both (of three), and the one
+before the last alone (a skip). A rare word's probability is that of its suffix class times its
 smoothed share of the class's counts, so every text has a probability.
 
 Training goes over the training documents once, in ``ROUNDS`` rounds. In a round every task takes
@@ -33,7 +33,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fareweather.llm.tasks import batch_of, held_out, stored
+from fareweather.llm.tasks import batch_of, held_out, small_batches, stored
 from fareweather.llm.text import Texts, mix, signed, text_chunks
 
 WIDTH = 32
@@ -49,11 +49,11 @@ ROUNDS = 2
 STEP_TOKENS = 8192
 RATE = 0.35
 SLICES = 64
-WORDS_AT_ONCE = 4_000_000
+WORDS_AT_ONCE = 2_500_000
 LEVELS_PER_DOUBLING = 16
 
-#: Rows of the weights: a bias, three single units, a pair of units; then those within classes.
-OUTER_ROWS = 1 + 3 * UNITS + (1 << PAIR_BITS)
+#: Rows of the weights: a bias, two single units, a pair of units; then those within classes.
+OUTER_ROWS = 1 + 2 * UNITS + (1 << PAIR_BITS)
 ROWS = OUTER_ROWS + CLASSES + (1 << INNER_BITS)
 
 _FOLD = np.arange(256, dtype=np.int64)
@@ -80,16 +80,16 @@ def word_counts(training: DataFrame) -> DataFrame:
         return batch_of(schema, h=signed(values), suffix=np.concatenate([p[1] for p in parts])[first].astype(np.int32), c=counts)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        parts, words = [], 0
         for batch in batches:
-            parts, words = [], 0
             for texts in text_chunks(batch["text"]):
-                parts.append((texts.word_hashes(lower=True), suffixes(texts)))
+                parts.append((texts.word_hashes(lower=True), suffixes(texts).astype(np.int16)))
                 words += len(parts[-1][0])
                 if words >= WORDS_AT_ONCE:
                     yield totals(parts)
                     parts, words = [], 0
-            if words:
-                yield totals(parts)
+        if words:
+            yield totals(parts)
 
     counted = training.select("text").mapInArrow(run, "h long, suffix int, c long")
     return counted.groupBy("h").agg(F.max("suffix").alias("suffix"), F.sum("c").alias("c"))
@@ -168,7 +168,7 @@ class Tokens:
 
     unit: np.ndarray
     doc: np.ndarray
-    context: tuple[np.ndarray, np.ndarray, np.ndarray]
+    context: tuple[np.ndarray, np.ndarray]
 
 
 def tokens_of(texts: Texts, word_unit: np.ndarray) -> Tokens:
@@ -178,7 +178,7 @@ def tokens_of(texts: Texts, word_unit: np.ndarray) -> Tokens:
     doc = np.repeat(np.arange(len(texts)), texts.n_words + 1)
     place = np.arange(n) - (texts.first_word[:-1] + np.arange(len(texts)))[doc]
     context = []
-    for back in (1, 2, 3):
+    for back in (1, 2):
         before = np.zeros(n, np.int32)
         before[back:] = unit[:-back] if n > back else unit[:0]
         before[place < back] = END
@@ -188,9 +188,9 @@ def tokens_of(texts: Texts, word_unit: np.ndarray) -> Tokens:
 
 def rows_of(t: Tokens, some: slice) -> tuple[list[np.ndarray], list[np.ndarray]]:
     """Weight rows of each token's features, for its class and for the unit within."""
-    one, two, three = (c[some].astype(np.int64) for c in t.context)
+    one, two = (c[some].astype(np.int64) for c in t.context)
     pair = (mix((one * UNITS + two).astype(np.uint64), 81) >> np.uint64(64 - PAIR_BITS)).astype(np.int64)
-    outer = [np.zeros(len(one), np.int64), 1 + one, 1 + UNITS + two, 1 + 2 * UNITS + three, 1 + 3 * UNITS + pair]
+    outer = [np.zeros(len(one), np.int64), 1 + one, 1 + UNITS + two, 1 + 2 * UNITS + pair]
     kind = t.unit[some].astype(np.int64) // WIDTH
     inner = [OUTER_ROWS + kind]
     for i, unit in enumerate((one, two)):
@@ -199,13 +199,15 @@ def rows_of(t: Tokens, some: slice) -> tuple[list[np.ndarray], list[np.ndarray]]
     return outer, inner
 
 
-def log_softmax(w: np.ndarray, rows: list[np.ndarray]) -> np.ndarray:
-    z = w[rows[0]]
+_ONES = np.ones(WIDTH, np.float32)
+
+
+def logits(w: np.ndarray, rows: list[np.ndarray]) -> np.ndarray:
+    """Sums of the rows of weights; weights stay far from where float32 overflows, but for safety's sake."""
+    z = w.take(rows[0], axis=0)
     for r in rows[1:]:
-        z += w[r]
-    z -= z.max(axis=1, keepdims=True)
-    z -= np.log(np.exp(z).sum(axis=1, keepdims=True))
-    return z
+        z += w.take(r, axis=0)
+    return np.minimum(z, 80, out=z)
 
 
 def unit_log_probs(w: np.ndarray, t: Tokens) -> np.ndarray:
@@ -213,10 +215,12 @@ def unit_log_probs(w: np.ndarray, t: Tokens) -> np.ndarray:
     out = np.empty(len(t.unit))
     for first in range(0, len(out), STEP_TOKENS):
         some = slice(first, first + STEP_TOKENS)
-        outer, inner = rows_of(t, some)
         unit = t.unit[some]
-        at = np.arange(len(unit))
-        out[some] = log_softmax(w, outer)[at, unit // WIDTH] + log_softmax(w, inner)[at, unit % WIDTH]
+        at, total = np.arange(len(unit)), 0.0
+        for rows, target in zip(rows_of(t, some), (unit // WIDTH, unit % WIDTH)):
+            z = logits(w, rows)
+            total = total + z[at, target] - np.log(np.exp(z, out=z.copy()) @ _ONES)
+        out[some] = total
     return out / math.log(10)
 
 
@@ -234,18 +238,23 @@ class Learner:
             outer, inner = rows_of(t, some)
             unit = t.unit[some]
             for rows, target in ((outer, unit // WIDTH), (inner, unit % WIDTH)):
-                slope = np.exp(log_softmax(self.w, rows))
+                slope = logits(self.w, rows)
+                np.exp(slope, out=slope)
+                slope *= (1 / (slope @ _ONES))[:, None]
                 slope[np.arange(len(unit)), target] -= 1
                 for r in rows:
                     self.step(r, slope)
 
     def step(self, rows: np.ndarray, slope: np.ndarray) -> None:
-        order = np.argsort(rows.astype(np.uint16), kind="stable")  # ROWS fits, and 16 bits sort fast
-        own = rows[order]
-        first = np.flatnonzero(np.diff(own, prepend=own[0] - 1))
-        total = np.add.reduceat(slope[order], first, axis=0)
-        at, n = own[first], np.diff(np.append(first, len(own)))
-        total /= np.sqrt(n)[:, None]
+        if rows[0] == rows[-1] and (rows == rows[0]).all():
+            at, n, total = rows[:1], np.array([len(rows)]), (np.ones(len(rows), np.float32) @ slope)[None]
+        else:
+            order = np.argsort(rows.astype(np.uint16), kind="stable")  # ROWS fits, and 16 bits sort fast
+            own = rows[order]
+            first = np.flatnonzero(np.diff(own, prepend=own[0] - 1))
+            total = np.add.reduceat(slope.take(order, axis=0), first, axis=0)
+            at, n = own[first], np.diff(np.append(first, len(own)))
+        total = total / np.sqrt(n, dtype=np.float32)[:, None]
         self.seen[at] += (total * total).sum(axis=1) / 2
         self.w[at] -= RATE * total / np.sqrt(self.seen[at])[:, None]
         self.touched[at] += n
@@ -260,17 +269,59 @@ def change_rows(learner: Learner) -> Iterator[tuple[int, bytes]]:
             yield i, part.tobytes()
 
 
+class Lookup:
+    """The frequent words' places by hash: a table by leading bits, then neighbouring slots in turn."""
+
+    def __init__(self, lexicon: Lexicon):
+        self.lexicon = lexicon
+        self.bits = max(8, int(4 * len(lexicon.words) + 1).bit_length())
+        self.slot = np.full(1 << self.bits, -1, np.int32)
+        waiting, at = np.arange(len(lexicon.words)), self._home(lexicon.words)
+        self.tries = 0
+        while len(waiting):
+            free = self.slot[at] < 0
+            self.slot[at[free]] = waiting[free]  # of several for one slot the last stays
+            seated = self.slot[at] == waiting
+            waiting, at = waiting[~seated], (at[~seated] + 1) & (len(self.slot) - 1)
+            self.tries += 1
+
+    def _home(self, words: np.ndarray) -> np.ndarray:
+        return (words >> np.uint64(64 - self.bits)).astype(np.int64)
+
+    def places(self, words: np.ndarray) -> np.ndarray:
+        """Where each word is in the lexicon, or -1."""
+        out = np.full(len(words), -1, np.int64)
+        if not len(self.lexicon.words):
+            return out
+        open_words, at = np.arange(len(words)), self._home(words)
+        for _ in range(self.tries):
+            slot = self.slot[at]
+            hit = (slot >= 0) & (self.lexicon.words[np.maximum(slot, 0)] == words[open_words])
+            out[open_words[hit]] = slot[hit]
+            more = ~hit & (slot >= 0)
+            open_words, at = open_words[more], (at[more] + 1) & (len(self.slot) - 1)
+        return out
+
+
+_lookups: dict[int, Lookup] = {}
+
+
+def lookup_of(lexicon: Lexicon) -> Lookup:
+    """The lookup of a lexicon, built once for each Python worker that holds it."""
+    if id(lexicon) not in _lookups:
+        _lookups.clear()
+        _lookups[id(lexicon)] = Lookup(lexicon)
+    return _lookups[id(lexicon)]
+
+
 def units_of(texts: Texts, lexicon: Lexicon) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """Each word's unit, its count (-1 if it isn't known here), its suffix class, and its hash."""
     hashes, suffix = texts.word_hashes(lower=True), suffixes(texts)
-    values, back = np.unique(hashes, return_inverse=True)
-    at = np.minimum(np.searchsorted(lexicon.words, values), max(len(lexicon.words) - 1, 0))
-    found = lexicon.words[at] == values if len(lexicon.words) else np.zeros(len(values), bool)
-    count = np.where(found, lexicon.counts[at], -1) if len(lexicon.words) else np.full(len(values), -1)
-    unit = np.where(found, lexicon.units[at], UNITS) if len(lexicon.words) else np.full(len(values), UNITS)
-    back = back.reshape(-1)
-    word_unit = unit[back]
-    return np.where(word_unit < UNITS, word_unit, lexicon.suffix_unit[suffix]), count[back], suffix, hashes
+    at = lookup_of(lexicon).places(hashes)
+    if not len(lexicon.words):
+        return lexicon.suffix_unit[suffix], at, suffix, hashes
+    count, unit = np.where(at >= 0, lexicon.counts[at], -1), np.where(at >= 0, lexicon.units[at], UNITS)
+    return np.where(unit < UNITS, unit, lexicon.suffix_unit[suffix]), count, suffix, hashes
 
 
 def train(training: DataFrame, lexicon: Lexicon) -> np.ndarray:
@@ -413,6 +464,7 @@ def summed(scored: DataFrame, counts: DataFrame, lexicon: Lexicon) -> DataFrame:
 
 def lm_scores(documents: DataFrame, remainder: int = 1) -> DataFrame:
     """Learn from all rows whose crc32 remainder is not ``remainder``, then score all rows."""
+    small_batches(documents.sparkSession)
     texts = documents.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     training = texts.filter(~held_out("doc_id", remainder))
     counts = stored(word_counts(training))
