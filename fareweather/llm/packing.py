@@ -29,11 +29,11 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from fareweather.llm.tasks import batch_of, stored
+from fareweather.llm.tasks import batch_of, small_batches, stored
 from fareweather.llm.text import text_chunks
 
 CAPACITIES = (1024, 2048, 4096, 8192)
-PIECES_PER_DEAL = 50_000
+PIECES_PER_DEAL = 5_000
 
 
 def sequence_cost(capacity: int) -> float:
@@ -143,7 +143,8 @@ def pieces(documents: DataFrame, largest: int) -> DataFrame:
 def numbered(items: DataFrame, total: int) -> DataFrame:
     """``rank`` of each piece among those of its length."""
     deals = max(1, -(-total // PIECES_PER_DEAL))
-    dealt = items.withColumn("deal", F.pmod(F.xxhash64("doc_id", "piece"), F.lit(deals)).cast("int"))
+    who = F.coalesce("doc_id", F.monotonically_increasing_id())  # stored rows, so the numbers don't change
+    dealt = items.withColumn("deal", F.pmod(F.xxhash64(who, "piece"), F.lit(deals)).cast("int"))
     before = Window.partitionBy("n_tokens").orderBy("deal").rowsBetween(Window.unboundedPreceding, -1)
     offsets = (
         dealt.groupBy("n_tokens", "deal")
@@ -160,6 +161,7 @@ def numbered(items: DataFrame, total: int) -> DataFrame:
 
 def pack(documents: DataFrame, capacities: tuple[int, ...] = CAPACITIES, costs: Mapping[int, float] | None = None) -> DataFrame:
     """``doc_id``, ``piece``, ``n_tokens``, ``bin_id``, ``bin_offset`` and ``bin_capacity`` of every piece."""
+    small_batches(documents.sparkSession)
     items = stored(pieces(documents, max(capacities)))
     counts = {row["n_tokens"]: row["n"] for row in items.groupBy("n_tokens").agg(F.count("*").alias("n")).collect()}
     plan = documents.sparkSession.sparkContext.broadcast(plan_bins(counts, capacities, costs).arrays(capacities))

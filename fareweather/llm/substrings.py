@@ -13,8 +13,8 @@ followed further.
    have equal anchors, so a full window can only repeat if its anchor does. Anchors that occur
    once are dropped by one shuffle of hashes.
 2. The texts with anchors left give the longer windows around them, eight or so to a row, keyed by
-   the anchor. Windows that repeat within a batch are settled there, so that however often a
-   passage occurs, a batch sends it once. In each anchor's group the windows of half the length
+   the anchor. Windows that repeat among some hundred thousand of a task are settled there, so
+   that however often a passage occurs, these send it once. In each anchor's group the windows of half the length
    are compared first, full windows only where those repeat.
 3. Places found to repeat go back to their documents, and the words left are put together.
 
@@ -34,12 +34,15 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fareweather.llm.tasks import batch_of, grouped_stream, stored
+from fareweather.llm.tasks import batch_of, grouped_stream, small_batches, stored
 from fareweather.llm.text import Texts, join_hashes, mix, signed, text_chunks, window_hashes
 
 LAST = 2**63 - 1
 ROWS_PER_RUN = 50_000
 
+#: Windows of one task that are compared with each other before they are sent.
+WINDOWS_AT_ONCE = 600_000
+
 
 def sequence_fingerprints(texts: Texts, hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """128 bits for the word sequence of each document."""
@@ -111,15 +114,19 @@ class Windows:
         return out
 
 
-def ordered(doc_id: str) -> Column:
-    return F.coalesce(F.col(doc_id).cast("long"), F.lit(LAST))
+def identity(documents: DataFrame) -> list[Column]:
+    """``key``, by which rows meet what was found of them, and ``ord``, which tells which is earlier.
+
+    Rows without an id come last, and meet by their text, so that many of them are not one group.
+    """
+    doc_id = documents["doc_id"].cast("long")
+    return [F.coalesce(doc_id, F.xxhash64(documents["text"])).alias("key"), F.coalesce(doc_id, F.lit(LAST)).alias("ord")]
 
 
 def anchored(documents: DataFrame, window: int) -> DataFrame:
-    """``ord``, ``n``, ``f1``, ``f2`` and the ``anchors`` of every document, each once or, if it recurs there, twice."""
-    schema = pa.schema(
-        [("ord", pa.int64()), ("n", pa.int64()), ("f1", pa.int64()), ("f2", pa.int64()), ("anchors", pa.list_(pa.int64()))]
-    )
+    """Identity, size, fingerprint and ``anchors`` of every document; an anchor that recurs there is listed twice."""
+    names = ["key", "ord", "n", "f1", "f2"]
+    schema = pa.schema([(name, pa.int64()) for name in names] + [("anchors", pa.list_(pa.int64()))])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -129,11 +136,11 @@ def anchored(documents: DataFrame, window: int) -> DataFrame:
                 windows = Windows(texts, hashes, window)
                 values, ends = at_most_twice(texts, windows)
                 lists = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(signed(values)))
-                own = batch["ord"].slice(texts.row, len(texts))
-                yield batch_of(schema, ord=own, n=texts.n_words, f1=f1, f2=f2, anchors=lists)
+                own = batch.slice(texts.row, len(texts))
+                yield batch_of(schema, key=own["key"], ord=own["ord"], n=texts.n_words, f1=f1, f2=f2, anchors=lists)
 
-    source = documents.select(ordered("doc_id").alias("ord"), "text")
-    return source.mapInArrow(run, "ord long, n long, f1 long, f2 long, anchors array<long>")
+    source = documents.select(*identity(documents), "text")
+    return source.mapInArrow(run, ", ".join(f"{name} long" for name in names) + ", anchors array<long>")
 
 
 def at_most_twice(texts: Texts, windows: Windows) -> tuple[np.ndarray, np.ndarray]:
@@ -148,15 +155,15 @@ def at_most_twice(texts: Texts, windows: Windows) -> tuple[np.ndarray, np.ndarra
 
 
 def repeated_anchors(firsts: DataFrame) -> DataFrame:
-    """``ord`` and the list ``hits`` of (``f1``, ``anchor``) for anchors that occur twice or more.
+    """``key`` and the list ``hits`` of (``f1``, ``anchor``) for anchors that occur twice or more.
 
     Counts are partial aggregates and stored before the join, which can then split the documents
     of an anchor that very many have.
     """
-    rows = firsts.select("ord", "f1", F.explode("anchors").alias("anchor"))
+    rows = firsts.select("key", "f1", F.explode("anchors").alias("anchor"))
     repeated = stored(rows.groupBy("anchor").agg(F.count("*").alias("n")).filter("n > 1").select("anchor"))
     found = rows.join(repeated, "anchor", "left_semi")
-    return found.groupBy("ord").agg(F.collect_list(F.struct("f1", "anchor")).alias("hits"))
+    return found.groupBy("key").agg(F.collect_list(F.struct("f1", "anchor")).alias("hits"))
 
 
 def hits_of(batch: pa.RecordBatch, name: str, rows: slice) -> tuple[np.ndarray, dict[str, np.ndarray]]:
@@ -168,7 +175,7 @@ def hits_of(batch: pa.RecordBatch, name: str, rows: slice) -> tuple[np.ndarray,
     return np.repeat(np.arange(len(lists)), counts), fields
 
 
-RUN_FIELDS = ["anchor", "ord", "f1", "start", "before", "after", "done"]
+RUN_FIELDS = ["anchor", "key", "ord", "f1", "start", "before", "after", "done"]
 
 
 def window_runs(documents: DataFrame, hits: DataFrame, window: int) -> DataFrame:
@@ -176,19 +183,25 @@ def window_runs(documents: DataFrame, hits: DataFrame, window: int) -> DataFrame
 
     ``start`` is the first window's first word, ``windows`` their hashes, ``before`` and ``after``
     the hashes of half the length on either side of the anchor, ``offset`` the anchor's place
-    from the start. Bits of ``done`` mark windows that occur earlier in the same batch.
+    from the start. Bits of ``done`` mark windows that occur earlier among those of the task compared so far.
     """
     schema = pa.schema([(name, pa.int64()) for name in [*RUN_FIELDS, "offset"]] + [("windows", pa.binary())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        parts: list[dict[str, np.ndarray]] = []
         for batch in batches:
-            parts = [part for texts in text_chunks(batch["text"]) if (part := runs_of(batch, texts, window)) is not None]
-            if parts:
-                yield from settled(schema, parts)
-
-    source = documents.select(ordered("doc_id").alias("ord"), "text").join(hits, "ord")
+            for texts in text_chunks(batch["text"]):
+                part = runs_of(batch, texts, window)
+                parts += [] if part is None else [part]
+                if sum(len(part["full"]) for part in parts) >= WINDOWS_AT_ONCE:
+                    yield from settled(schema, parts)
+                    parts = []
+        if parts:
+            yield from settled(schema, parts)
+
+    source = documents.select(*identity(documents), "text").join(hits, "key")
     kinds = ", ".join(f"{name} long" for name in [*RUN_FIELDS, "offset"])
-    return source.select("ord", "text", "hits").mapInArrow(run, f"{kinds}, windows binary")
+    return source.select("key", "ord", "text", "hits").mapInArrow(run, f"{kinds}, windows binary")
 
 
 def runs_of(batch: pa.RecordBatch, texts: Texts, window: int) -> dict[str, np.ndarray] | None:
@@ -213,6 +226,7 @@ def runs_of(batch: pa.RecordBatch, texts: Texts, window: int) -> dict[str, np.nd
     from_doc = at - windows.first[doc]
     return {
         "anchor": windows.low[at],
+        "key": batch["key"].to_numpy()[rows][doc],
         "ord": batch["ord"].to_numpy()[rows][doc],
         "f1": f1[doc],
         "start": starts - windows.first[doc],
@@ -228,12 +242,9 @@ def settled(schema: pa.Schema, parts: list[dict[str, np.ndarray]]) -> Iterator[p
     w = {name: np.concatenate([part[name] for part in parts]) for name in parts[0]}
     done = later_ones(w["full"], w["ord"], w["f1"], w["start"])
     new = np.ones(len(done), bool)
-    for name in ("ord", "f1", "at"):
-        if name == "ord":
-            new[1:] = w[name][1:] != w[name][:-1]
-        else:
-            new[1:] |= w[name][1:] != w[name][:-1]
-    new[1:] |= w["start"][1:] != w["start"][:-1] + 1
+    new[1:] = w["start"][1:] != w["start"][:-1] + 1
+    for name in ("key", "f1", "at"):
+        new[1:] |= w[name][1:] != w[name][:-1]
     first = np.flatnonzero(new)
     place = np.arange(len(done)) - first[np.cumsum(new) - 1]
     bits = np.bitwise_or.reduceat(done.astype(np.int64) << place, first)
@@ -245,6 +256,7 @@ def settled(schema: pa.Schema, parts: list[dict[str, np.ndarray]]) -> Iterator[p
     yield batch_of(
         schema,
         anchor=anchor,
+        key=w["key"][first],
         ord=w["ord"][first],
         f1=w["f1"][first],
         start=w["start"][first],
@@ -281,9 +293,9 @@ def repeats_of(key: np.ndarray) -> np.ndarray:
 
 
 def places(runs: DataFrame, window: int) -> DataFrame:
-    """``ord``, ``f1``, ``start`` and ``mask``: bit i tells that the window at ``start + i`` is a repeat."""
+    """``key``, ``f1``, ``start`` and ``mask``: bit i tells that the window at ``start + i`` is a repeat."""
     short = window // 4
-    schema = pa.schema([("ord", pa.int64()), ("f1", pa.int64()), ("start", pa.int64()), ("mask", pa.int64())])
+    schema = pa.schema([("key", pa.int64()), ("f1", pa.int64()), ("start", pa.int64()), ("mask", pa.int64())])
 
     def compare(table: pa.Table) -> Iterator[pa.RecordBatch]:
         r = {name: table[name].to_numpy() for name in [*RUN_FIELDS, "offset"]}
@@ -309,13 +321,13 @@ def places(runs: DataFrame, window: int) -> DataFrame:
             later = later_ones(full, r["ord"][run], r["f1"][run], r["start"][run] + place)
             np.bitwise_or.at(mask, run[later], np.int64(1) << place[later])
         some = np.flatnonzero(mask)
-        yield batch_of(schema, ord=r["ord"][some], f1=r["f1"][some], start=r["start"][some], mask=mask[some])
+        yield batch_of(schema, key=r["key"][some], f1=r["f1"][some], start=r["start"][some], mask=mask[some])
 
     return (
         runs.repartition("anchor")
         .sortWithinPartitions("anchor")
         .mapInArrow(
-            lambda batches: grouped_stream(batches, ["anchor"], ROWS_PER_RUN, compare), "ord long, f1 long, start long, mask long"
+            lambda batches: grouped_stream(batches, ["anchor"], ROWS_PER_RUN, compare), "key long, f1 long, start long, mask long"
         )
     )
 
@@ -328,23 +340,25 @@ def dedup(documents: DataFrame, window: int = 20, as_is: bool = False) -> DataFr
     """
     if window % 4 or window > 64:
         raise ValueError("window has to be a multiple of four, 64 at most")
+    small_batches(documents.sparkSession)
     rows = stored(anchored(documents, window))
     firsts = stored(
         rows.groupBy("f1", "f2")
-        .agg(F.min(F.struct("ord", "anchors")).alias("s"), F.max("ord").alias("last"))
-        .select("f1", "f2", F.col("s.ord").alias("ord"), "s.anchors", "last")
+        .agg(F.min(F.struct("ord", "key", "anchors")).alias("s"), F.max(F.struct("ord", "key")).alias("last"))
+        .select("f1", "f2", "s.ord", "s.key", "s.anchors", "last")
     )
-    hits = repeated_anchors(firsts.select("ord", "f1", "anchors"))
+    hits = repeated_anchors(firsts.select("key", "f1", "anchors"))
     found = stored(places(window_runs(documents, hits, window), window))
-    copied = firsts.filter("last > ord").select("f1", "f2", F.col("ord").alias("first"))
+    first = F.struct("ord", "key")
+    copied = firsts.filter(F.col("last") > first).select("f1", "f2", first.alias("first"))
     copies = (
         rows.filter(F.col("n") >= window)
-        .select("ord", "f1", "f2")
+        .select("key", "ord", "f1", "f2")
         .join(copied, ["f1", "f2"])
-        .filter("ord > first")
-        .select("ord", "f1", F.lit(-1).cast("long").alias("start"), F.lit(0).cast("long").alias("mask"))
+        .filter(first > F.col("first"))
+        .select("key", "f1", F.lit(-1).cast("long").alias("start"), F.lit(0).cast("long").alias("mask"))
     )
-    marks = found.unionByName(copies).groupBy("ord").agg(F.collect_set(F.struct("f1", "start", "mask")).alias("marks"))
+    marks = found.unionByName(copies).groupBy("key").agg(F.collect_set(F.struct("f1", "start", "mask")).alias("marks"))
     marks = stored(marks)
     return without(documents, marks, window, as_is)
 
@@ -352,8 +366,8 @@ def dedup(documents: DataFrame, window: int = 20, as_is: bool = False) -> DataFr
 def without(documents: DataFrame, marks: DataFrame, window: int, as_is: bool) -> DataFrame:
     others = [name for name in documents.columns if name != "text"]
     carried = [documents[name].alias(f"c{i}") for i, name in enumerate(others)]
-    source = documents.select(ordered("doc_id").alias("ord"), documents["text"].alias("text"), *carried).join(marks, "ord", "left")
-    source = source.drop("ord")
+    key, _ = identity(documents)
+    source = documents.select(key, documents["text"].alias("text"), *carried).join(marks, "key", "left").drop("key")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
