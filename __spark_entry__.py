@@ -28,7 +28,7 @@ from fareweather.plans.models import STAGING, WEATHER_MODELS, build_models, read
 from fareweather.schemas import RAW_WEATHER
 from fareweather.session import scratch_folder, use_session_defaults
 from fareweather.sources import sample_feeds as feeds
-from fareweather.sources.periods import enumerate_periods
+from fareweather.sources.periods import default_periods, enumerate_periods
 from fareweather.sources.trip_lake import ingest_periods, month_path, read_lake
 from fareweather.sources.warehouse import JdbcWarehouse, LakeWarehouse
 from fareweather.sources.weather_landing import land_payloads
@@ -338,6 +338,11 @@ def period_cross_months(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _period_counts(spark, sf_dir, enumerate_periods(feeds.trip_years(spark, sf_dir), months=[1, 6, 12]))
 
 
+def period_defaults(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The months a run takes by default, with the rows the feeds hold for them."""
+    return _period_counts(spark, sf_dir, spark.createDataFrame(default_periods(spark), "year INT, month INT"))
+
+
 def lake_ingest_by_period(spark: SparkSession, sf_dir: str) -> DataFrame:
     return (
         read_lake(spark, _monthly_lake(spark, sf_dir))
@@ -568,6 +573,7 @@ QUERIES: dict[str, Query] = {
     "sql_on_stored_models": sql_on_stored_models,
     "period_enumeration": period_enumeration,
     "period_cross_months": period_cross_months,
+    "period_defaults": period_defaults,
     "lake_ingest_by_period": lake_ingest_by_period,
     "period_selection": period_selection,
     "schema_drift_union": schema_drift_union,
@@ -796,6 +802,11 @@ FROM enriched GROUP BY pickup_day, weather_category HAVING count(*) > 10""",
         "period_enumeration": "WITH"
         + period_counts.format(condition="true"),
         "period_cross_months": "WITH" + period_counts.format(condition="months.month IN (1, 6, 12)"),
+        "period_defaults": "WITH"
+        + period_counts.replace(
+            "SELECT DISTINCT CAST(year(day) AS INTEGER) AS year FROM feed",
+            "SELECT CAST(y AS INTEGER) AS year FROM generate_series(2022, 2024) AS g(y)",
+        ).format(condition="(years.year <> 2024 OR months.month <= 4)"),
         "lake_ingest_by_period": f"""
 SELECT {month}, count(*) AS trips, round(sum(total_amount), 4) AS total_spent
 FROM ({MONTHLY_TRIPS}) AS raw GROUP BY 1, 2""",
