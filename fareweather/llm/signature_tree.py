@@ -16,8 +16,8 @@ import numpy as np
 
 FAN = 8
 
-#: Pairs looked at together.
-BLOCK = 1 << 18
+#: Bytes of bitmaps looked at together.
+BLOCK = 8 << 20
 
 #: Sets that are first compared with all others in one sweep, to connect what is alike.
 PIVOTS = 24
@@ -165,9 +165,10 @@ class Join:
         else:
             a, b = (x.reshape(-1) for x in np.meshgrid(np.arange(cuts[-1]), np.arange(cuts[-1], n), indexing="ij"))
         stack = [(top, a.astype(np.int64), b.astype(np.int64))]
+        pairs = max(8, BLOCK // (8 * levels[0].bits.shape[1]))
         while stack:
             depth, a, b = stack.pop()
-            if len(a) > BLOCK:
+            if len(a) > pairs:
                 stack += [(depth, x, y) for x, y in zip(np.array_split(a, 2), np.array_split(b, 2))]
                 continue
             low, high = self.labels_of(depth, children)

@@ -86,7 +86,7 @@ def test_signature_trees_connect_what_links(monkeypatch):
     for trial in range(60):
         monkeypatch.setattr(signature_tree, "PIVOTS", int(random.integers(0, 4)))
         monkeypatch.setattr(signature_tree, "FAN", int(random.choice([2, 3, 8])))
-        monkeypatch.setattr(signature_tree, "BLOCK", int(random.choice([8, 1000])))
+        monkeypatch.setattr(signature_tree, "BLOCK", int(random.choice([256, 1 << 16])))
         percent, n = int(random.choice([50, 80, 90])), int(random.integers(2, 60))
         bases = [random.integers(0, 2000, random.integers(1, 60)) for _ in range(5)]
         sets = [np.unique(mix(np.append(bases[random.integers(5)], random.integers(0, 2000, random.integers(0, 4))).astype(np.uint64))) for _ in range(n)]
