@@ -35,7 +35,7 @@ from fareweather.llm.components import components
 from fareweather.llm.tasks import batch_of, grouped_stream, small_batches, stored
 
 TREES = 8
-LEAF = 512
+LEAF = 1024
 DEPTH = 5
 SAMPLE = 1024
 BLOCK = 4096
@@ -154,8 +154,12 @@ def matrix(blobs: list[bytes], dim: int) -> np.ndarray:
 
 def leaves(points: DataFrame, cosine: float) -> DataFrame:
     """``rid``, ``node``: the leaves of all trees that each point lies in."""
-    tree = F.explode(F.sequence(F.lit(0), F.lit(TREES - 1))).alias("tree")
-    open_rows = points.select("rid", "label", "dim", tree).select("rid", F.xxhash64("tree", "label", "dim").alias("node"))
+    held = points.groupBy("label", "dim").agg(F.count("*").alias("held"))
+    last = F.when(F.col("held") > LEAF, TREES - 1).otherwise(0)  # what is one leaf is so in every tree
+    trees = points.select("rid", "label", "dim").join(held, ["label", "dim"])
+    open_rows = trees.withColumn("tree", F.explode(F.sequence(F.lit(0), last))).select(
+        "rid", F.xxhash64("tree", "label", "dim").alias("node")
+    )
     done = None
     for _ in range(ROUNDS):
         sizes = open_rows.groupBy("node").agg(F.count("*").alias("size"))
