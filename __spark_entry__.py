@@ -405,7 +405,7 @@ def _waves(spark: SparkSession, sf_dir: str) -> list[DataFrame]:
 def _stream_in_two_waves(spark: SparkSession, sf_dir: str, warehouse, between: Callable[[], None] | None = None) -> None:
     """Several micro-batches a wave; files that have been read move out of the landing folder."""
     landing, checkpoint = scratch_folder(spark, "landing"), scratch_folder(spark, "checkpoint")
-    options = {"files_per_batch": WAVE_FILES // 4, "archive": scratch_folder(spark, "archive")}
+    options = {"files_per_batch": WAVE_FILES // 2, "archive": scratch_folder(spark, "archive")}
     for wave in _waves(spark, sf_dir):
         land_payloads(wave, landing)
         run_weather_stream(spark, landing, warehouse, checkpoint, **options)
