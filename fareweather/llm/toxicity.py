@@ -6,7 +6,9 @@ has its own learning rate, and the L1 term leaves few weights other than zero, s
 goes to the executors is a short list of places and weights.
 
 The trainer is one pass over a stream in one task: ``EPOCHS`` times a sample of at most
-``PER_CLASS`` labelled documents a class. Scoring covers all rows and shuffles nothing.
+``PER_CLASS`` labelled documents a class. Their weights are divided by the mean weight, as the
+penalties are fixed: only the ratio of the classes counts, not how many documents there are.
+Scoring covers all rows and shuffles nothing.
 
 Defined cases: null and empty texts have no features and get the score of the intercept; without
 labelled rows every score is 0.5 and every prediction 1; rows without an id are held out;
@@ -15,6 +17,7 @@ repeated rows are scored alike; other columns are never read.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -103,6 +106,12 @@ class Ftrl:
         self.n[at] += slope * slope
 
 
+def mean_weight(sample: DataFrame) -> float:
+    """From the few distinct weights in order, so that the same sample gives the same bits."""
+    rows = sorted((row["weight"], row["n"]) for row in sample.groupBy("weight").agg(F.count("*").alias("n")).collect())
+    return math.fsum(w * n for w, n in rows) / max(sum(n for _, n in rows), 1) or 1.0
+
+
 def train(sample: DataFrame, epochs: int = EPOCHS, rates: Rates = Rates()) -> dict[int, float]:
     """Weights other than zero by bucket; the intercept is at ``2 ** BITS``."""
     schema = pa.schema([("bucket", pa.int32()), ("w", pa.float64())])
@@ -116,7 +125,8 @@ def train(sample: DataFrame, epochs: int = EPOCHS, rates: Rates = Rates()) -> di
         at = np.flatnonzero(w)
         yield batch_of(schema, bucket=at.astype(np.int32), w=w[at])
 
-    rows = feature_rows(sample).withColumn("epoch", F.explode(F.sequence(F.lit(1), F.lit(epochs))))
+    relative = sample.withColumn("weight", F.col("weight") / F.lit(mean_weight(sample)))
+    rows = feature_rows(relative).withColumn("epoch", F.explode(F.sequence(F.lit(1), F.lit(epochs))))
     stream = in_one_task(rows, F.col("epoch"), F.xxhash64("doc_id", "epoch"), F.col("doc_id"))
     return {row["bucket"]: row["w"] for row in stream.mapInArrow(run, "bucket int, w double").collect()}
 

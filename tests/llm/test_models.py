@@ -177,6 +177,15 @@ def test_ftrl_is_sparse_and_finds_the_signal():
     assert w[3] > 1 and w[3] == w.max() and (w[10:1000] == 0).mean() > 0.3
 
 
+def test_toxicity_depends_on_the_ratio_of_weights_alone(spark, corpus, labels):
+    some = toxicity.sampled_labels(labels, "toxic", 300)
+    sample = toxicity.with_sample(corpus, some.withColumn("weight", F.when(F.col("label") == 0, 7.0).otherwise(1.0))).cache()
+    models = [toxicity.train(sample.withColumn("weight", F.col("weight") * times)) for times in (1, 10, 100)]
+    for model in models[1:]:
+        assert model.keys() == models[0].keys()
+        assert all(w == pytest.approx(models[0][k], abs=1e-9) for k, w in model.items())
+
+
 @pytest.mark.parametrize("operator", ["quality", "toxicity"])
 def test_classifier_edge_rows(spark, operator):
     odd = odd_documents(spark)
