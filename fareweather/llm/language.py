@@ -51,7 +51,7 @@ def presence(texts: Texts) -> np.ndarray:
     base = docs.astype(np.int64) << BITS
     code = np.zeros(len(data), np.uint32)
     flat = seen.reshape(-1)
-    for size in range(1, MAX_GRAM + 1):
+    for size in range(1, min(MAX_GRAM, len(data)) + 1):
         code[: len(data) - size + 1] = (code[: len(data) - size + 1] << np.uint32(8)) | data[size - 1 :]
         whole = left >= size
         bucket = (code + np.uint32(size * 0x3C6EF372 & 0xFFFFFFFF)) * np.uint32(2654435769)

@@ -8,10 +8,12 @@ import zlib
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
 from fareweather.llm import language, maxent, passages, rules, toxicity
+from fareweather.llm.text import text_chunks
 from tests.llm.fixtures import documents, lower, no_documents, odd_documents, texts, words
 
 DATA = "/root/testdata/sf0.1"
@@ -114,6 +116,16 @@ def test_folded_weights_equal_the_kernel_with_landmarks():
     assert (best == margins.argmax(axis=1))[clear].all()
 
 
+@pytest.mark.parametrize("text", ["a", "ab", "é", "abc", "abcd"])
+def test_language_of_one_tiny_text(spark, text):
+    rows = spark.createDataFrame([(1, text, "en")], "doc_id long, text string, lang string")
+    found = language.predict(rows, language.train(rows)).collect()
+    assert [(r["doc_id"], r["lang_pred"]) for r in found] == [(1, "en")]
+    chunk = next(text_chunks(pa.array([text])))
+    grams = sum(len(text.encode()) - size + 1 for size in range(1, min(4, len(text.encode())) + 1))
+    assert language.presence(chunk).sum() == grams
+
+
 def test_language_edge_rows(spark):
     odd = odd_documents(spark)
     found = language.predict(odd, language.train(odd))
