@@ -2,9 +2,10 @@
 
 Quality rules, language identification, near duplicates, repeated passages, packing. A stage gets
 what its predecessor kept, written as Parquet and read again. Quality rules drop rejected
-documents, language identification those without a language, the near-duplicate stage all but one
-of each group of documents that share 80 % of their five-word shingles, passages of 20 words that
-occur earlier are cut from the texts, and what is left is packed into sequences.
+documents, language identification those in none of the labelled languages (without labelled
+rows, those without a letter), the near-duplicate stage all but one of each group of documents
+that share 80 % of their five-word shingles, passages of 20 words that occur earlier are cut from
+the texts, and what is left is packed into sequences.
 """
 
 from __future__ import annotations

@@ -11,6 +11,14 @@ Fitting uses at most ``PER_LANGUAGE`` documents of each language, of which ``LAN
 landmarks; they reach the driver as bitmaps of ``2 ** BITS / 8`` bytes, never as text. Scoring
 covers every whole text and shuffles nothing.
 
+A filter on the language (``keep_identified``) rejects by the margin of the language found, the
+value that kernel ridge regression brings towards 1 for its texts and to -1 for all others; a text that
+shares no n-gram with a landmark has 0. The least margin of a language is ``ENOUGH`` of what all but
+``STRAYS`` of its labelled sample reach under a model learned from the other half of the sample;
+``ENOUGH_ALONE`` of it where only one language is labelled, as nothing brings other texts below 0 then.
+A language whose own rows do not get beyond 0 that way rejects nothing, and so does a table without
+labelled rows: all its texts with a letter stay.
+
 Defined cases: null texts and texts without a letter are ``und`` with score 0; so is every text
 if no labelled row exists; rows without an id are held out, rows with a null language are not
 learned from; repeated rows get the same answer; ties go to the first language in order; other
@@ -19,6 +27,7 @@ columns are never read.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -36,6 +45,9 @@ PER_LANGUAGE = 300
 LANDMARKS = 60
 RIDGE = 1e-4
 ROWS = 256
+STRAYS = 0.01
+ENOUGH = 0.25
+ENOUGH_ALONE = 0.75
 UNKNOWN = "und"
 
 _FOLD = np.arange(256, dtype=np.uint32)
@@ -68,13 +80,22 @@ class Model:
     languages: list[str]
     weights: np.ndarray
 
+    def margins(self, seen: np.ndarray) -> np.ndarray:
+        size = np.sqrt(np.maximum(seen.sum(axis=1), 1))[:, None]
+        return seen.astype(np.float32) @ self.weights / size
+
     def decide(self, seen: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Place of the best language and its score between 0 and 1."""
-        size = np.sqrt(np.maximum(seen.sum(axis=1), 1))[:, None]
-        margins = seen.astype(np.float32) @ self.weights / size
+        best, score, _ = self.judge(seen)
+        return best, score
+
+    def judge(self, seen: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Place of the best language, its score between 0 and 1, and its margin."""
+        margins = self.margins(seen)
         likely = np.clip((margins + 1) / 2, 1e-6, 1)
         best = likely.argmax(axis=1)
-        return best, (likely[np.arange(len(best)), best] / likely.sum(axis=1)).astype(float)
+        at = np.arange(len(best))
+        return best, (likely[at, best] / likely.sum(axis=1)).astype(float), margins[at, best].astype(float)
 
 
 def kernel(rows: np.ndarray, landmarks: np.ndarray) -> np.ndarray:
@@ -83,17 +104,20 @@ def kernel(rows: np.ndarray, landmarks: np.ndarray) -> np.ndarray:
     return shared / np.sqrt(np.maximum(np.outer(rows.sum(axis=1), landmarks.sum(axis=1)), 1))
 
 
+def unpack(packed: list[bytes]) -> np.ndarray:
+    """Presence rows from bitmaps."""
+    return np.unpackbits(np.array([np.frombuffer(row, np.uint8) for row in packed]), axis=1)
+
+
 def fit(packed: list[bytes], languages: list[str]) -> Model:
     """Kernel ridge regression of one language against the rest, on Nyström landmarks."""
     names = sorted(set(languages))
     if not names:
         return Model([], np.zeros((1 << BITS, 0), np.float32))
     label = np.array([names.index(x) for x in languages])
+    unpacked = lambda rows: unpack([packed[i] for i in rows])
     marks = np.concatenate([np.flatnonzero(label == i)[:LANDMARKS] for i in range(len(names))])
 
-    def unpacked(rows: np.ndarray) -> np.ndarray:
-        return np.unpackbits(np.array([np.frombuffer(packed[i], np.uint8) for i in rows]), axis=1)
-
     landmarks = unpacked(marks)
     among = kernel(landmarks, landmarks).astype(float)
     gram, target = np.zeros_like(among), np.zeros((len(marks), len(names)))
@@ -108,6 +132,24 @@ def fit(packed: list[bytes], languages: list[str]) -> Model:
     return Model(names, (landmarks.T.astype(np.float32) @ scaled.astype(np.float32)))
 
 
+def least_margins(packed: list[bytes], languages: list[str]) -> dict[str, float]:
+    """The margin by which each language is believed; a row is judged by a model that hasn't seen it.
+
+    Without a clear margin of its own rows, a language has no least.
+    """
+    own: dict[str, list[float]] = {name: [] for name in languages}
+    for half in (0, 1):
+        model = fit(packed[1 - half :: 2], languages[1 - half :: 2])
+        rows, labels = packed[half::2], languages[half::2]
+        for first in range(0, len(rows), ROWS):
+            margins = model.margins(unpack(rows[first : first + ROWS]))
+            for name, found in zip(labels[first : first + ROWS], margins):
+                own[name].append(float(found[model.languages.index(name)]) if name in model.languages else 0.0)
+    reached = {name: float(np.quantile(values, STRAYS)) for name, values in own.items()}
+    share = ENOUGH if len(own) > 1 else ENOUGH_ALONE
+    return {name: share * value if value > 0 else -math.inf for name, value in reached.items()}
+
+
 def has_letter(text: str) -> Column:
     return F.coalesce(F.col(text).rlike(r"\p{L}"), F.lit(False))
 
@@ -118,12 +160,19 @@ def learnable(documents: DataFrame, remainder: int) -> DataFrame:
 
 
 def train(documents: DataFrame, remainder: int = 0) -> Model:
-    """Counts first, so that a hash of the id thins every language to a bounded number of rows."""
+    return fit(*sampled(documents, remainder))
+
+
+def sampled(documents: DataFrame, remainder: int = 0) -> tuple[list[bytes], list[str]]:
+    """Bitmaps and languages of labelled rows, sorted by language.
+
+    Counts first, so that a hash of the id thins every language to a bounded number of rows.
+    """
     small_batches(documents.sparkSession)
     usable = learnable(documents, remainder)
     sizes = {row["lang"]: row["n"] for row in usable.groupBy("lang").agg(F.count("*").alias("n")).collect()}
     if not sizes:
-        return fit([], [])
+        return [], []
     draw = F.pmod(F.xxhash64("doc_id"), F.lit(1 << 30)) / float(1 << 30)
     share = F.create_map(*[F.lit(x) for lang, n in sizes.items() for x in (lang, min(1.0, 2.0 * PER_LANGUAGE / n))])
     order = Window.partitionBy("lang").orderBy("draw", "doc_id")
@@ -144,23 +193,23 @@ def train(documents: DataFrame, remainder: int = 0) -> Model:
 
     rows = sample.select("lang", "draw", "doc_id", "text").mapInArrow(run, "lang string, draw double, doc_id long, bits binary")
     found = sorted(rows.collect(), key=lambda row: (row["lang"], row["draw"], row["doc_id"]))
-    return fit([row["bits"] for row in found], [row["lang"] for row in found])
+    return [row["bits"] for row in found], [row["lang"] for row in found]
 
 
-FIELDS = pa.schema([("lang_pred", pa.string()), ("lang_score", pa.float64())])
+FIELDS = pa.schema([("lang_pred", pa.string()), ("lang_score", pa.float64()), ("lang_margin", pa.float64())])
 
 
 def identified(df: DataFrame, model: Model) -> DataFrame:
-    """All columns of ``df``, then ``lang_pred`` and ``lang_score``."""
+    """All columns of ``df``, then ``lang_pred``, ``lang_score`` and ``lang_margin``."""
     shared = df.sparkSession.sparkContext.broadcast(model)
 
     def compute(texts: Texts, known: pa.Array) -> dict[str, object]:
         names = np.array([*shared.value.languages, UNKNOWN], object)
         sure = known.to_numpy(zero_copy_only=False) & (len(names) > 1)
-        best, score = np.full(len(texts), len(names) - 1), np.zeros(len(texts))
+        best, score, margin = np.full(len(texts), len(names) - 1), np.zeros(len(texts)), np.zeros(len(texts))
         if sure.any():
-            best[sure], score[sure] = (x[sure] for x in shared.value.decide(presence(texts)))
-        return {"lang_pred": names[best].tolist(), "lang_score": score}
+            best[sure], score[sure], margin[sure] = (x[sure] for x in shared.value.judge(presence(texts)))
+        return {"lang_pred": names[best].tolist(), "lang_score": score, "lang_margin": margin}
 
     known = has_letter(f"c{df.columns.index('text')}")
     return appended(df, FIELDS, compute, max_rows=ROWS, known=known)
@@ -175,10 +224,20 @@ def predict(documents: DataFrame, model: Model, remainder: int = 0) -> DataFrame
 
 
 def keep_identified(df: DataFrame, least: float = 0.0) -> DataFrame:
-    """The rows of ``df`` whose language is known, with a score of ``least`` or more, columns as they are."""
+    """The rows of ``df`` in one of its labelled languages, columns as they are.
+
+    A text stays if it has the least margin of the language found and a score of ``least`` or
+    more; where no language could be learned, every text with a letter stays.
+    """
+    packed, languages = sampled(df)
+    if not packed:
+        return df.filter(has_letter("text"))
+    margins = least_margins(packed, languages)
     places = [f"c{i}" for i in range(len(df.columns))]
-    found = identified(df, train(df)).toDF(*places, "pred", "score")
-    return found.filter((F.col("pred") != UNKNOWN) & (F.col("score") >= least)).select(*places).toDF(*df.columns)
+    found = identified(df, fit(packed, languages)).toDF(*places, "pred", "score", "margin")
+    enough = F.create_map(*[F.lit(x) for pair in sorted(margins.items()) for x in pair])[F.col("pred")]
+    known = (F.col("pred") != UNKNOWN) & (F.col("margin") >= enough)
+    return found.filter(known & (F.col("score") >= least)).select(*places).toDF(*df.columns)
 
 
 def op3_language_kernel(spark: SparkSession, sf_dir: str) -> DataFrame:

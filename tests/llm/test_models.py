@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import math
+import random
 import re
 import zlib
 from collections import Counter
@@ -141,6 +142,32 @@ def test_language_edge_rows(spark):
     assert kept.columns == odd.columns and kept.count() == found.filter("lang_pred != 'und'").count()
 
 
+def test_stage_rejects_what_was_never_learned(spark, corpus):
+    dice = random.Random(3)
+    gibberish = [" ".join("".join(dice.choices("abcdefghijklmnopqrstuvwxyz", k=dice.randint(2, 9))) for _ in range(80)) for _ in range(40)]
+    greek = [" ".join("".join(dice.choices("αειουντσρκλμπ", k=dice.randint(2, 9))) for _ in range(80)) for _ in range(40)]
+    planted = spark.createDataFrame([(10**9 + i, t, None) for i, t in enumerate(gibberish + greek)], "doc_id long, text string, lang string")
+    clean = corpus.filter("size(split(text, ' ')) >= 50").select("doc_id", "text", "lang")
+    unlearned = clean.withColumn("lang", F.when(F.col("lang") != "de", F.col("lang")))
+    kept = {r["doc_id"] for r in language.keep_identified(unlearned.unionByName(planted)).select("doc_id").collect()}
+    assert not any(i >= 10**9 for i in kept)
+    rows = [(r["doc_id"] in kept, r["lang"]) for r in clean.select("doc_id", "lang").collect()]
+    assert sum(k for k, lang in rows if lang == "de") < 0.1 * sum(lang == "de" for _, lang in rows)
+    assert sum(k for k, lang in rows if lang != "de") > 0.995 * sum(lang != "de" for _, lang in rows)
+    alone = clean.filter("lang = 'en'").unionByName(planted)
+    kept = {r["doc_id"] for r in language.keep_identified(alone).select("doc_id").collect()}
+    assert not any(i >= 10**9 for i in kept) and len(kept) > 0.995 * sum(lang == "en" for _, lang in rows)
+
+
+def test_stage_keeps_texts_where_no_language_could_be_learned(spark):
+    nothing = documents(spark).withColumn("lang", F.lit(None).cast("string"))
+    held = documents(spark).withColumn("doc_id", F.lit(next(i for i in range(99) if fold(i) == 0)).cast("long"))
+    lettered = sum(any(c.isalpha() for c in t or "") for t in texts())
+    for df in (nothing, held):
+        kept = language.keep_identified(df)
+        assert kept.columns == df.columns and kept.count() == lettered
+
+
 # --- quality and toxicity ---------------------------------------------------------------------
 
 
