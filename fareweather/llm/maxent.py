@@ -4,9 +4,10 @@ Counts of all training words come first; they give the base score, and the units
 predicts: the end of a text, the ``HEAD`` most frequent words, and ``SUFFIXES`` classes of all
 other words by their last two bytes. Units are put into classes of ``WIDTH`` by frequency. The
 model is a softmax over classes and one over the units of a class; both sum the weights of
-features of the two units before: the last one (n-gram of two), both (of three), and the one
-before the last alone (a skip). A rare word's probability is that of its suffix class times its
-smoothed share of the class's counts, so every text has a probability.
+features of the three units before: the last one (n-gram of two), the last two (of three), and
+single units further back (skips; the third one for the class only). A rare word's probability is
+that of its suffix class times its smoothed share of the class's counts, so every text has a
+probability.
 
 Training goes over the training documents once, in ``ROUNDS`` rounds. In a round every task takes
 gradient steps on its own documents from the same weights; Spark sums the changes of each row of
@@ -52,8 +53,8 @@ SLICES = 64
 WORDS_AT_ONCE = 2_500_000
 LEVELS_PER_DOUBLING = 16
 
-#: Rows of the weights: a bias, two single units, a pair of units; then those within classes.
-OUTER_ROWS = 1 + 2 * UNITS + (1 << PAIR_BITS)
+#: Rows of the weights: a bias, three single units, a pair of units; then those within classes.
+OUTER_ROWS = 1 + 3 * UNITS + (1 << PAIR_BITS)
 ROWS = OUTER_ROWS + CLASSES + (1 << INNER_BITS)
 
 _FOLD = np.arange(256, dtype=np.int64)
@@ -168,7 +169,7 @@ class Tokens:
 
     unit: np.ndarray
     doc: np.ndarray
-    context: tuple[np.ndarray, np.ndarray]
+    context: tuple[np.ndarray, ...]
 
 
 def tokens_of(texts: Texts, word_unit: np.ndarray) -> Tokens:
@@ -178,7 +179,7 @@ def tokens_of(texts: Texts, word_unit: np.ndarray) -> Tokens:
     doc = np.repeat(np.arange(len(texts)), texts.n_words + 1)
     place = np.arange(n) - (texts.first_word[:-1] + np.arange(len(texts)))[doc]
     context = []
-    for back in (1, 2):
+    for back in (1, 2, 3):
         before = np.zeros(n, np.int32)
         before[back:] = unit[:-back] if n > back else unit[:0]
         before[place < back] = END
@@ -188,9 +189,10 @@ def tokens_of(texts: Texts, word_unit: np.ndarray) -> Tokens:
 
 def rows_of(t: Tokens, some: slice) -> tuple[list[np.ndarray], list[np.ndarray]]:
     """Weight rows of each token's features, for its class and for the unit within."""
-    one, two = (c[some].astype(np.int64) for c in t.context)
+    one, two, *further = (c[some].astype(np.int64) for c in t.context)
     pair = (mix((one * UNITS + two).astype(np.uint64), 81) >> np.uint64(64 - PAIR_BITS)).astype(np.int64)
-    outer = [np.zeros(len(one), np.int64), 1 + one, 1 + UNITS + two, 1 + 2 * UNITS + pair]
+    outer = [np.zeros(len(one), np.int64), 1 + one, 1 + UNITS + two, 1 + 3 * UNITS + pair]
+    outer += [1 + (2 + i) * UNITS + unit for i, unit in enumerate(further)]
     kind = t.unit[some].astype(np.int64) // WIDTH
     inner = [OUTER_ROWS + kind]
     for i, unit in enumerate((one, two)):

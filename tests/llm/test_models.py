@@ -286,6 +286,20 @@ def test_units_have_a_distribution():
     assert (10 ** maxent.unit_log_probs(w, tokens)).sum() == pytest.approx(1, rel=1e-4)
 
 
+def test_the_third_unit_before_tells():
+    dice = np.random.default_rng(6)
+    text = next(text_chunks(pa.array([" ".join("w" for _ in range(30_000))])))
+    kinds = dice.integers(1, 9, 30_000)
+    kinds[3:] = np.where(np.arange(3, 30_000) % 4 == 3, kinds[:-3], kinds[3:])  # a copy of the third before
+    tokens = maxent.tokens_of(text, (kinds * maxent.WIDTH).astype(np.int32))
+    learner = maxent.Learner(np.zeros((maxent.ROWS, maxent.WIDTH), np.float32))
+    learner.learn(tokens)
+    plain = maxent.Tokens(tokens.unit, tokens.doc, tokens.context[:2])
+    other = maxent.Learner(np.zeros((maxent.ROWS, maxent.WIDTH), np.float32))
+    other.learn(plain)
+    assert maxent.unit_log_probs(learner.w, tokens).sum() > 0.97 * maxent.unit_log_probs(other.w, plain).sum()
+
+
 def test_language_model_without_training_rows(spark):
     assert maxent.lm_scores(no_documents(spark)).count() == 0
     found = maxent.lm_scores(documents(spark).withColumn("doc_id", F.lit(None).cast("long"))).collect()
