@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from fareweather.llm.bpe import op10_bpe
+from fareweather.llm.divergence import OP11_SQL, op11_source_divergence
 from fareweather.llm.forest import op4_embedding_forest
 from fareweather.llm.language import op3_language_kernel
 from fareweather.llm.maxent import op7_maxent_lm
@@ -24,9 +25,11 @@ QUERIES = {
     "op8_substring_dedup": op8_substring_dedup,
     "op9_toxicity": op9_toxicity,
     "op10_bpe": op10_bpe,
+    "op11_source_divergence": op11_source_divergence,
 }
 
 ORACLE_SQL: dict[str, str] = {
     "op2_ngram_join": OP2_SQL,
     "op8_substring_dedup": OP8_SQL,
+    "op11_source_divergence": OP11_SQL,
 }

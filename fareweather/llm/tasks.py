@@ -29,6 +29,17 @@ def held_out(doc_id: str, remainder: int) -> Column:
     return F.coalesce(fold(doc_id) == remainder, F.lit(True))
 
 
+def by_place(df: DataFrame, *names: str) -> DataFrame:
+    """The named columns alone, taken by their place, so that other columns' names don't matter.
+
+    ``TEXT`` or ``Doc_Id`` beside ``text`` and ``doc_id`` make plain selection by name ambiguous.
+    Where two columns share a name to the letter, the first counts.
+    """
+    lowered = [name.lower() for name in df.columns]
+    at = {name: df.columns.index(name) if name in df.columns else lowered.index(name.lower()) for name in names}
+    return df.toDF(*[f"c{i}" for i in range(len(df.columns))]).select(*[F.col(f"c{at[name]}").alias(name) for name in names])
+
+
 def stored(df: DataFrame) -> DataFrame:
     """``df`` computed once and written to the shared checkpoint folder, its lineage cut.
 
