@@ -2,20 +2,28 @@
 
 Every language has one vocabulary, the terms in at least ``MIN_DOCUMENTS`` of its documents.
 ``CountVectorizer`` with a minimum document frequency and the largest integer as vocabulary size
-makes exact sparse count vectors of the documents; these are summed by (language, source), and
-the sparse sums are evaluated pair by pair. All arithmetic is in whole numbers.
+finds the vocabulary and makes sparse vectors of the documents; these are summed by (language,
+source), and the sparse sums are evaluated pair by pair. All arithmetic is in whole numbers.
 
 How it is laid out: a term counts as ``language, NUL, term``, so that one fit holds the
 vocabularies of all languages, however many there are. A fit keeps its vocabulary on the driver
 and broadcasts it, so terms are dealt by hash to as many fits as needed for each to see about
 ``FIT_TERMS`` different terms; how many different terms there are is measured first, from one hash
-in ``SKETCH``. The token table is stored by fit, so that each reads its own terms only. Sums are
-added up within Arrow batches before they are shuffled, so a source with a third of all documents
-is no group of its own. Pairs are evaluated in blocks of terms of one language with a bounded
-number of cells (terms times sources).
+in ``SKETCH``. The term table is stored by fit, so that each reads its own terms only.
+
+Two things save work and change no count. A fit need not know all documents of a frequent term: of
+some thousand documents at once it gets, for i up to the minimum frequency, one document of the
+terms that at least i of them have, which has the same terms at or above the minimum. And the
+documents of a group that meet in such a chunk are added up before they become vectors: their
+terms are written once for each binary digit of their counts, as documents with weights 1, 2, 4,
+..., whose vectors times their weights add up to the sum of the documents' own vectors.
+``document_vectors`` makes these.
 
-A pair of sources is evaluated from the terms that the first one has: for them, and for no
-others, its share differs from that of a term it lacks. What a block adds to the pair (g, h) is
+Sums are added up within tasks before they are shuffled, so a source with a third of all documents
+is no group of its own. Pairs are evaluated in blocks of terms of one language with a bounded
+number of cells (terms times sources). A pair of sources is evaluated from the terms that the first
+one has: for them, and for no others, its share differs from that of a term it lacks. What a block
+adds to the pair (g, h) is
 
     sum over the terms of g of  f(p_g, p_h) - f(p_g of a missing term, p_h)
     + sum over h's distinct counts of  (terms with that count) * f(p_g of a missing term, p_h)
@@ -24,23 +32,23 @@ Defined cases: null text, language or source reads as empty; a document without
 its group known; a language without kept terms has all pairs with value 0 and no ``term`` rows; a
 source alone in its language has no pairs; repeated rows and ids count as rows each; texts count
 whole, however long; other columns are not read, whatever their names; ties rank by the item's
-UTF-8; a table without rows gives no rows. A language's list of sources has to fit into a task;
-the answer itself holds the square of that list.
+UTF-8; a table without rows gives no rows. Terms and groups are told apart by 64-bit hashes while
+they are dealt. A language's list of sources has to fit into a task; the answer itself holds the
+square of that list.
 """
 
 from __future__ import annotations
 
-import hashlib
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.ml.feature import CountVectorizer
+from pyspark.ml.feature import CountVectorizer, CountVectorizerModel
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from fareweather.llm.tasks import by_place, small_batches, stored
+from fareweather.llm.tasks import batch_of, by_place, small_batches, stored
 from fareweather.llm.text import Texts, hash_spans, text_chunks
 from fareweather.session import scratch_folder
 
@@ -61,7 +69,10 @@ BROADCAST_GROUPS = 100_000
 
 LARGEST_INTEGER = 2**31 - 1
 
-PAIR_SCHEMA = pa.schema([("lang", pa.string()), ("source", pa.string()), ("item", pa.string()), ("value", pa.int64())])
+# Fixed value: what a term is.
+TERM = r"[^\x00-\x40\x5B-\x60\x7B-\x7F]+"
+
+_TOKENS = pa.schema([("gid", pa.int64()), ("weight", pa.int64()), ("fit", pa.int32()), ("terms", pa.list_(pa.string()))])
 
 _TERM_BYTES = np.zeros(256, bool)
 _TERM_BYTES[[*range(65, 91), *range(97, 123), *range(128, 256)]] = True
@@ -69,9 +80,15 @@ _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
 
 
+#: Bytes of text that are added up at once, and sums that a task holds back.
+CHUNK_BYTES = 8 << 20
+HELD_SUMS = 1 << 21
+
+
 def _source(documents: DataFrame) -> DataFrame:
     lang, source, text = (F.coalesce(F.col(name).cast("string"), F.lit("")).alias(name) for name in ("lang", "source", "text"))
-    return by_place(documents, "lang", "source", "text").select(lang, source, text)
+    named = by_place(documents, "lang", "source", "text").select(lang, source, text)
+    return named.withColumns({"gid": F.xxhash64("lang", "source"), "lid": F.xxhash64("lang")})
 
 
 def _terms(texts: Texts) -> pa.Array:
@@ -83,13 +100,9 @@ def _terms(texts: Texts) -> pa.Array:
     return pa.StringArray.from_buffers(len(start), pa.py_buffer(offsets), pa.py_buffer(body))
 
 
-def _term_hashes(texts: Texts, lang: pa.Array) -> np.ndarray:
+def _term_hashes(texts: Texts, lid: pa.Array) -> np.ndarray:
     """A hash of (language, term) for each term."""
-    codes = lang.dictionary_encode()
-    digests = [hashlib.blake2b(name.encode(), digest_size=8).digest() for name in codes.dictionary.to_pylist()]
-    of_lang = np.frombuffer(b"".join(digests), np.uint64)
-    doc_lang = codes.indices.to_numpy(zero_copy_only=False)
-    return hash_spans(texts.data, *texts.bounds, lower=True) ^ of_lang[doc_lang][texts.word_doc]
+    return hash_spans(texts.data, *texts.bounds, lower=True) ^ lid.to_numpy().view(np.uint64)[texts.word_doc]
 
 
 def different_terms(rows: DataFrame) -> int:
@@ -99,84 +112,139 @@ def different_terms(rows: DataFrame) -> int:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for texts in text_chunks(batch["text"], word_bytes=_TERM_BYTES):
-                hashes = _term_hashes(texts, batch["lang"].slice(texts.row, len(texts)))
+                hashes = _term_hashes(texts, batch["lid"].slice(texts.row, len(texts)))
                 chosen = np.unique(hashes[hashes % np.uint64(SKETCH) == 0])
                 yield pa.RecordBatch.from_arrays([pa.array(chosen.view(np.int64))], ["h"])
 
-    return rows.mapInArrow(run, "h long").distinct().count() * SKETCH
+    return rows.select("text", "lid").mapInArrow(run, "h long").distinct().count() * SKETCH
+
 
+def term_rows(rows: DataFrame, fits: int, least: int) -> DataFrame:
+    """``gid``, ``weight``, ``fit`` and ``terms`` as ``language, NUL, term``.
 
-def token_rows(rows: DataFrame, fits: int) -> DataFrame:
-    """``lang``, ``source``, ``fit`` and the document's ``terms`` of that fit, as ``language, NUL, term``."""
+    A row of weight w has the terms that occur w times more in a chunk's documents of a group than
+    its other rows say; rows of weight 0 are the documents that the fits learn from.
+    """
     small_batches(rows.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, size = [], 0
         for batch in batches:
-            for texts in text_chunks(batch["text"], word_bytes=_TERM_BYTES):
-                lang = batch["lang"].slice(texts.row, len(texts)).cast(pa.string())
-                source = batch["source"].slice(texts.row, len(texts))
-                terms = pc.binary_join_element_wise(lang.take(pa.array(texts.word_doc)), _terms(texts), "\0")
-                fit = (_term_hashes(texts, lang) >> np.uint64(32)) % np.uint64(fits)
-                for i in range(fits):
-                    own = np.flatnonzero(fit == i) if fits > 1 else np.arange(len(terms))
-                    ends = np.searchsorted(own, texts.first_word).astype(np.int32)
-                    lists = pa.ListArray.from_arrays(pa.array(ends), terms.take(pa.array(own)))
-                    yield pa.RecordBatch.from_arrays(
-                        [lang, source, pa.array(np.full(len(texts), i, np.int32)), lists], ["lang", "source", "fit", "terms"]
-                    )
+            held.append(batch)
+            size += batch.nbytes
+            if size >= CHUNK_BYTES:
+                yield from _chunk_rows(pa.Table.from_batches(held), fits, least)
+                held, size = [], 0
+        if held:
+            yield from _chunk_rows(pa.Table.from_batches(held), fits, least)
+
+    return rows.select("text", "lang", "gid", "lid").mapInArrow(run, "gid long, weight long, fit int, terms array<string>")
+
+
+def _chunk_rows(chunk: pa.Table, fits: int, least: int) -> Iterator[pa.RecordBatch]:
+    whole = chunk.set_column(0, "text", chunk["text"].cast(pa.large_string())).sort_by("gid").combine_chunks()
+    for texts in text_chunks(whole["text"], 2 * CHUNK_BYTES, _TERM_BYTES):
+        own = whole.slice(texts.row, len(texts))
+        gids, written, lang = own["gid"].to_numpy(), _terms(texts), own["lang"].combine_chunks()
+        hashes = _term_hashes(texts, own["lid"])
+        order = np.argsort(hashes, kind="stable")  # by term, then by document, and so by group
+        hashes, docs = hashes[order], texts.word_doc[order]
+        first_group = np.searchsorted(gids, gids)  # a group is known by its first document here
+        by_term = np.flatnonzero(_changes(hashes))
+        by_doc = np.flatnonzero(_changes(hashes) | _changes(docs))
+        by_group = np.flatnonzero(_changes(hashes) | _changes(first_group[docs]))
+        nth = np.arange(len(by_doc)) - np.searchsorted(by_doc, by_term)[np.searchsorted(by_term, by_doc, "right") - 1]
+        times, group = np.diff(np.append(by_group, len(order))), first_group[docs[by_group]]
+
+        def listed(gid: pa.Array, weight: int, fit: int, row: np.ndarray, at: np.ndarray) -> pa.RecordBatch:
+            """One row for each of ``gid``; the term at ``at[i]`` goes to row ``row[i]``, and rows ascend."""
+            names = pc.binary_join_element_wise(lang.take(pa.array(docs[at])), written.take(pa.array(order[at])), "\0")
+            ends = np.searchsorted(row, np.arange(len(gid) + 1)).astype(np.int32)
+            lists = pa.ListArray.from_arrays(pa.array(ends), names)
+            return batch_of(_TOKENS, gid=gid, weight=np.full(len(gid), weight), fit=np.full(len(gid), fit), terms=lists)
+
+        for fit in range(fits):
+            mine = np.flatnonzero(_dealt(hashes[by_group], fits) == fit)
+            mine = mine[np.argsort(group[mine], kind="stable")]
+            for k in range(int(times[mine].max(initial=0)).bit_length()):
+                chosen = mine[times[mine] >> k & 1 == 1]
+                filled, row = np.unique(group[chosen], return_inverse=True)
+                yield listed(pa.array(gids[filled]), 1 << k, fit, row, by_group[chosen])
+            seen = np.flatnonzero((_dealt(hashes[by_doc], fits) == fit) & (nth < least))
+            seen = seen[np.argsort(nth[seen], kind="stable")]
+            yield listed(pa.nulls(least, pa.int64()), 0, fit, nth[seen], by_doc[seen])
+
+
+def _changes(values: np.ndarray) -> np.ndarray:
+    """Where a value differs from the one before; the first one does."""
+    out = np.ones(len(values), bool)
+    out[1:] = values[1:] != values[:-1]
+    return out
 
-    return rows.mapInArrow(run, "lang string, source string, fit int, terms array<string>")
+
+def _dealt(hashes: np.ndarray, fits: int) -> np.ndarray:
+    return (hashes >> np.uint64(32)).astype(np.int64) % fits
 
 
 def summed_vectors(vectors: DataFrame, first_id: int) -> DataFrame:
-    """``lang``, ``source``, ``tid`` and ``n``: sparse vectors added up by group within Arrow batches."""
+    """``gid``, ``tid`` and ``n``: sparse vectors times their weights, added up by group within tasks first."""
+    schema = pa.schema([("gid", pa.int64()), ("tid", pa.int64()), ("n", pa.int64())])
+
+    def totals(held: list[tuple[np.ndarray, np.ndarray, np.ndarray]]) -> pa.RecordBatch:
+        gid, term, n = (np.concatenate(parts) for parts in zip(*held))
+        groups, code = np.unique(gid, return_inverse=True)
+        keys = code.astype(np.int64) << 32 | term
+        order = np.argsort(keys)
+        keys, n = keys[order], n[order]
+        first = np.flatnonzero(np.append(True, keys[1:] != keys[:-1])[: len(keys)])
+        sums = np.add.reduceat(n, first) if len(first) else n
+        return batch_of(schema, gid=groups[keys[first] >> 32], tid=(keys[first] & 0xFFFFFFFF) + first_id, n=sums)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, size = [], 0
         for batch in batches:
-            lang, source = batch["lang"].dictionary_encode(), batch["source"].dictionary_encode()
-            group = lang.indices.to_numpy(zero_copy_only=False).astype(np.int64) * len(source.dictionary)
-            group += source.indices.to_numpy(zero_copy_only=False)
             indices = batch["counts"].field("indices")
-            term = indices.flatten().to_numpy(zero_copy_only=False).astype(np.int64)
+            times = np.diff(indices.offsets.to_numpy(zero_copy_only=False))
             n = batch["counts"].field("values").flatten().to_numpy(zero_copy_only=False).astype(np.int64)
-            keys = np.repeat(group, np.diff(indices.offsets.to_numpy(zero_copy_only=False))) << 32 | term
-            order = np.argsort(keys, kind="stable")
-            keys, n = keys[order], n[order]
-            first = np.flatnonzero(np.append(True, keys[1:] != keys[:-1])) if len(keys) else np.zeros(0, np.int64)
-            keys, n = keys[first], np.add.reduceat(n, first) if len(first) else n
-            group = keys >> 32
-            columns = [
-                lang.dictionary.take(pa.array((keys >> 32) // len(source.dictionary))),
-                source.dictionary.take(pa.array((keys >> 32) % len(source.dictionary))),
-                pa.array((keys & 0xFFFFFFFF) + first_id),
-                pa.array(n),
-            ]
-            yield pa.RecordBatch.from_arrays(columns, ["lang", "source", "tid", "n"])
-
-    sums = vectors.select("lang", "source", "counts").mapInArrow(run, "lang string, source string, tid long, n long")
-    return sums.groupBy("lang", "source", "tid").agg(F.sum("n").alias("n"))
+            held.append(
+                (
+                    np.repeat(batch["gid"].to_numpy(), times),
+                    indices.flatten().to_numpy(zero_copy_only=False).astype(np.int64),
+                    n * np.repeat(batch["weight"].to_numpy(), times),
+                )
+            )
+            size += len(n)
+            if size >= HELD_SUMS:
+                yield totals(held)
+                held, size = [], 0
+        if held:
+            yield totals(held)
+
+    sums = vectors.select("gid", "weight", "counts").mapInArrow(run, "gid long, tid long, n long")
+    return sums.groupBy("gid", "tid").agg(F.sum("n").alias("n"))
 
 
 def group_counts(spark: SparkSession, tokens: DataFrame, fits: int, least: int) -> tuple[DataFrame, DataFrame]:
-    """``lang, source, tid, n`` of all kept terms, and their names as ``tid, term``; one fit after the other."""
+    """``gid, tid, n`` of all kept terms, and ``tid, lang, term``; one fit after the other."""
     folder = scratch_folder(spark, "divergence")
-    # Three documents of one empty term, which no text has: no vocabulary is empty.
+    # Documents of one empty term, which no text has, so that no vocabulary is empty.
     seed = spark.range(max(least, 1)).select(F.array(F.lit("\0")).alias("terms"))
+    term = F.substring_index("name", "\0", -1)
+    lang = F.left("name", F.length("name") - F.length(term) - 1)
     for i in range(fits):
         rows = tokens.filter(F.col("fit") == i)
         vectorizer = CountVectorizer(inputCol="terms", outputCol="counts", minDF=float(least), vocabSize=LARGEST_INTEGER)
-        model = vectorizer.fit(rows.select("terms").unionByName(seed))
+        model = vectorizer.fit(rows.filter("learn").select("terms").unionByName(seed))
         model.write().save(f"{folder}/model{i}")
         vocabulary = spark.read.parquet(f"{folder}/model{i}/data").select(F.posexplode("vocabulary").alias("at", "name"))
         first_id = i * LARGEST_INTEGER
-        names = vocabulary.select(
-            (F.col("at") + F.lit(first_id).cast("long")).alias("tid"), F.substring_index("name", "\0", -1).alias("term")
-        ).filter("term != ''")
-        names.write.mode("append").parquet(f"{folder}/names")
-        summed_vectors(model.transform(rows), first_id).write.mode("append").parquet(f"{folder}/sums")
+        names = vocabulary.select((F.col("at").cast("long") + first_id).alias("tid"), lang.alias("lang"), term.alias("term"))
+        names.filter("term != ''").write.mode("append").parquet(f"{folder}/names")
+        vectors = model.transform(rows.filter("NOT learn"))
+        summed_vectors(vectors, first_id).write.mode("append").parquet(f"{folder}/sums")
     return (
-        spark.read.schema("lang string, source string, tid long, n long").parquet(f"{folder}/sums"),
-        spark.read.schema("tid long, term string").parquet(f"{folder}/names"),
+        spark.read.schema("gid long, tid long, n long").parquet(f"{folder}/sums"),
+        spark.read.schema("tid long, lang string, term string").parquet(f"{folder}/names"),
     )
 
 
@@ -194,48 +262,49 @@ def distance(p: str, q: str) -> Column:
 
 
 def pair_values(entries: DataFrame, groups: DataFrame, blocks: int, parts: int = 1) -> DataFrame:
-    """``lang, source, item, value`` of all ordered pairs of sources of a language.
+    """``gid, other, value`` of all ordered pairs of groups of a language.
 
-    A task of the evaluation holds one of ``blocks`` blocks of the language's terms and evaluates
-    one of ``parts`` parts of its sources against all of them.
+    ``entries`` has ``of, gid, tid, n``, ``of`` being the language's ``lid`` in ``groups``, which has
+    ``lid, gid, total, kept``. A task of the
+    evaluation holds one of ``blocks`` blocks of a language's terms and evaluates one of ``parts``
+    parts of its sources against all of them.
     """
     each_part = F.explode(F.sequence(F.lit(0), F.lit(parts - 1))).alias("part")
     each_block = F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))).alias("block")
     left = entries.select("*", F.pmod(F.xxhash64("tid"), F.lit(blocks)).cast("int").alias("block"), each_part)
-    right = groups.select("*", (F.pmod(F.xxhash64("source"), F.lit(parts))).alias("own"), each_block).select("*", each_part)
-    keys = ["lang", "block", "part"]
+    right = groups.select("*", F.pmod("gid", F.lit(parts)).alias("own"), each_block).select("*", each_part)
+    schema = pa.schema([("gid", pa.int64()), ("other", pa.int64()), ("value", pa.int64())])
+    keys = ["block", "part"]
 
     def run(counts: pa.Table, sources: pa.Table) -> pa.Table:
         if not sources.num_rows:
-            return pa.table({"lang": [], "source": [], "item": [], "value": []}, PAIR_SCHEMA)
-        names = sources["source"].combine_chunks()
+            return schema.empty_table()
+        sources = sources.sort_by("gid")
+        gid = sources["gid"].to_numpy()
         weight = sources["total"].to_numpy() + sources["kept"].to_numpy()
         mine = np.flatnonzero(sources["own"].to_numpy() == sources["part"][0].as_py())
-        values = block_values(counts, names, weight, mine)
+        values = block_values(counts, gid, weight, mine)
         shown = (values != 0) | (sources["block"][0].as_py() == 0)
         shown[np.arange(len(mine)), mine] = False
         g, h = np.nonzero(shown)
-        lang = sources["lang"].combine_chunks().take(pa.array(g))
-        return pa.table([lang, names.take(pa.array(mine[g])), names.take(pa.array(h)), pa.array(values[g, h])], PAIR_SCHEMA)
+        return pa.table([gid[mine[g]], gid[h], values[g, h]], schema=schema)
 
-    evaluated = left.groupBy(*keys).cogroup(right.groupBy(*keys)).applyInArrow(
-        run, "lang string, source string, item string, value long"
-    )
-    return evaluated.groupBy("lang", "source", "item").agg(F.sum("value").alias("value"))
+    evaluated = left.groupBy("of", *keys).cogroup(right.groupBy("lid", *keys)).applyInArrow(run, "gid long, other long, value long")
+    return evaluated.groupBy("gid", "other").agg(F.sum("value").alias("value"))
 
 
-def block_values(counts: pa.Table, names: pa.Array, weight: np.ndarray, mine: np.ndarray) -> np.ndarray:
-    """What the terms of a block add to the value of each source of ``mine`` against each source."""
-    out = np.zeros((len(mine), len(names)), np.int64)
+def block_values(counts: pa.Table, gid: np.ndarray, weight: np.ndarray, mine: np.ndarray) -> np.ndarray:
+    """What the terms of a block add to the value of each group of ``mine`` against each of ``gid``."""
+    out = np.zeros((len(mine), len(gid)), np.int64)
     if not counts.num_rows:
         return out
-    row = pc.index_in(counts["source"].combine_chunks(), names).to_numpy(zero_copy_only=False)
+    row = np.searchsorted(gid, counts["gid"].to_numpy())
     terms, column = np.unique(counts["tid"].to_numpy(), return_inverse=True)
-    n = np.zeros((len(names), len(terms)), np.int64)
+    n = np.zeros((len(gid), len(terms)), np.int64)
     n[row, column] = counts["n"].to_numpy()
     missing = 1 + SHARE_UNITS // weight
     shares = 1 + SHARE_UNITS * (n + 1) // weight[:, None]
-    for h in range(len(names)):
+    for h in range(len(gid)):
         seen, times = np.unique(shares[h], return_counts=True)
         out[:, h] = distances(missing[mine][:, None], seen[None]) @ times
     for i, g in enumerate(mine):
@@ -249,43 +318,62 @@ def distances(p: np.ndarray, q: np.ndarray) -> np.ndarray:
     return (p - q) * (p - q) // q
 
 
+def document_vectors(documents: DataFrame, lang: str, least: int = MIN_DOCUMENTS) -> tuple[CountVectorizerModel, DataFrame]:
+    """The vectorizer of one language's documents, and their columns with ``terms`` and exact sparse ``counts``.
+
+    For vocabularies that fit on the driver; ``audit`` has no such limit.
+    """
+    lowered = F.translate(F.coalesce("text", F.lit("")), "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+    terms = F.regexp_extract_all(lowered, F.lit(TERM), F.lit(0))
+    rows = documents.filter(F.coalesce("lang", F.lit("")) == lang).withColumn("terms", terms)
+    vectorizer = CountVectorizer(inputCol="terms", outputCol="counts", minDF=float(least), vocabSize=LARGEST_INTEGER)
+    model = vectorizer.fit(rows)
+    return model, model.transform(rows)
+
+
 def audit(documents: DataFrame, least: int = MIN_DOCUMENTS, top: int = TOP_TERMS, fit_terms: int = FIT_TERMS) -> DataFrame:
     """``lang, source, part, item, value, rank``: every pair of sources, and each source's most typical terms."""
     spark = documents.sparkSession
     rows = _source(documents)
     fits = max(1, -(-different_terms(rows) // fit_terms))
-    folder = scratch_folder(spark, "tokens")
-    token_rows(rows, fits).write.partitionBy("fit").option("compression", "zstd").parquet(folder)
-    tokens = spark.read.schema("lang string, source string, terms array<string>, fit int").parquet(folder)
+    folder = scratch_folder(spark, "terms")
+    made = term_rows(rows, fits, least).withColumn("learn", F.col("weight") == 0)
+    made.write.partitionBy("fit", "learn").option("compression", "zstd").parquet(folder)
+    tokens = spark.read.schema("gid long, weight long, terms array<string>, fit int, learn boolean").parquet(folder)
 
     entries, names = group_counts(spark, tokens, fits, least)
-    totals = stored(entries.groupBy("lang", "tid").agg(F.sum("n").alias("of_lang")).join(names, "tid"))
+    totals = stored(entries.groupBy("tid").agg(F.sum("n").alias("of_lang")).join(names, "tid"))
     by_lang = totals.groupBy("lang").agg(F.sum("of_lang").alias("lang_total"), F.count("*").alias("kept"))
-    by_group = entries.groupBy("lang", "source").agg(F.sum("n").alias("total"))
-    groups = stored(
-        tokens.filter("fit = 0").select("lang", "source").distinct()
-        .join(by_group, ["lang", "source"], "left").join(by_lang, "lang", "left").fillna(0)
-    )
-    known = groups.groupBy("lang").agg(F.count("*").alias("n"), F.max("kept").alias("kept"))
-    n_groups, most, kept = known.agg(F.sum("n"), F.max("n"), F.sum("kept")).first()
+    by_group = entries.groupBy("gid").agg(F.sum("n").alias("total"))
+    known = rows.select("lang", "source", "gid", "lid").distinct()
+    groups = stored(known.join(by_group, "gid", "left").join(by_lang, "lang", "left").fillna(0))
+    per_lang = groups.groupBy("lid").agg(F.count("*").alias("n"), F.max("kept").alias("kept"))
+    n_groups, most, kept = per_lang.agg(F.sum("n"), F.max("n"), F.sum("kept")).first()
     if not n_groups:
         return spark.createDataFrame([], "lang string, source string, part string, item string, value long, rank int")
-    small_groups = F.broadcast(groups) if n_groups <= BROADCAST_GROUPS else groups
-
-    blocks, parts = -(-kept * most // BLOCK_CELLS) or 1, -(-most // BLOCK_SOURCES)
-    pairs = pair_values(entries, groups.select("lang", "source", "total", "kept"), blocks, parts)
-    p, q = share("n", "total", "kept"), share("of_lang", "lang_total", "kept")
+    groups = F.broadcast(groups) if n_groups <= BROADCAST_GROUPS else groups
+
+    pairs = (
+        pair_values(
+            entries.join(groups.select("gid", F.col("lid").alias("of")), "gid"),
+            groups.select("lid", "gid", "total", "kept"),
+            -(-kept * most // BLOCK_CELLS) or 1,
+            -(-most // BLOCK_SOURCES),
+        )
+        .join(groups.select(F.col("gid").alias("other"), F.col("source").alias("item")), "other")
+        .join(groups.select("gid", "lang", "source"), "gid")
+    )
     typical = (
-        entries.join(totals, ["lang", "tid"])
-        .join(small_groups, ["lang", "source"])
-        .select("lang", "source", F.col("term").alias("item"), p.alias("p"), q.alias("q"))
+        entries.join(totals.select("tid", "of_lang", F.col("term").alias("item")), "tid")
+        .join(groups, "gid")
+        .withColumns({"p": share("n", "total", "kept"), "q": share("of_lang", "lang_total", "kept")})
         .filter("p > q")
-        .select("lang", "source", "item", distance("p", "q").alias("value"))
+        .withColumn("value", distance("p", "q"))
     )
     place = F.row_number().over(Window.partitionBy("lang", "source").orderBy(F.col("value").desc(), "item"))
     ranked = {"pair": pairs.withColumn("rank", place), "term": typical.withColumn("rank", place).filter(F.col("rank") <= top)}
     columns = ["lang", "source", "part", "item", "value", "rank"]
-    both = [part.withColumn("part", F.lit(name)).select(*columns) for name, part in ranked.items()]
+    both = [found.withColumn("part", F.lit(part)).select(*columns) for part, found in ranked.items()]
     return both[0].unionByName(both[1])
 
 

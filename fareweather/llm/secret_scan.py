@@ -34,7 +34,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fareweather.llm.tasks import by_place, small_batches
+from fareweather.llm.tasks import by_place, small_batches, stored
 from fareweather.llm.text import hash_spans, signed, text_chunks
 
 KINDS = ("assign", "access", "hex", "guess")
@@ -112,8 +112,15 @@ def frequent_words(texts: DataFrame, size: int = WORDS) -> list[str]:
         if rows:
             yield totals(held)
 
-    counted = texts.mapInArrow(run, "w string, c long").groupBy("w").agg(F.sum("c").alias("c"))
-    return [row["w"] for row in counted.orderBy(F.col("c").desc(), "w").limit(size).collect()]
+    counted = stored(texts.mapInArrow(run, "w string, c long").groupBy("w").agg(F.sum("c").alias("c")))
+    # Only words of the steps of frequency that hold the first ``size`` ones go to the driver.
+    step = F.floor(8 * F.log2("c")).cast("int")
+    left, lowest = size, 0
+    for row in sorted(counted.groupBy(step.alias("step")).count().collect(), reverse=True):
+        lowest, left = row["step"], left - row["count"]
+        if left <= 0:
+            break
+    return [row["w"] for row in counted.filter(step >= lowest).orderBy(F.col("c").desc(), "w").limit(size).collect()]
 
 
 def _chunk_words(chunk) -> tuple[pa.Array, pa.Array]:
