@@ -39,10 +39,13 @@ def trip_summary_from_enriched(enriched: DataFrame) -> DataFrame:
     return sort_summary(summary)
 
 
-def hourly_totals(trips: DataFrame) -> DataFrame:
-    """Per pickup hour and passenger count, all that either report needs of the trips."""
+def hourly_totals(trips: DataFrame, *keys: str) -> DataFrame:
+    """Per pickup hour and passenger count, all that either report needs of the trips.
+
+    With `keys`, per these, too; the reports add such totals up.
+    """
     return trips.groupBy(
-        hour_key(F.col("tpep_pickup_datetime")).alias("hour_key"), "passenger_count"
+        hour_key(F.col("tpep_pickup_datetime")).alias("hour_key"), "passenger_count", *keys
     ).agg(
         F.count(F.lit(1)).alias("trips"),
         F.sum("trip_duration").alias("seconds"),

@@ -95,6 +95,18 @@ HIGH_VALUE = struct(
     avg_tip_percentage=DOUBLE,
 )
 
+# Sums of the trips of a landed month by pickup hour and passenger count; all that the reports need.
+TRIP_TOTALS = struct(
+    hour_key=LONG,
+    passenger_count=DOUBLE,
+    trips=LONG,
+    seconds=LONG,
+    timed_trips=LONG,
+    tips=DOUBLE,
+    tipped_trips=LONG,
+    spent=DOUBLE,
+)
+
 TABLES = {
     "fact_taxi_trips": FACT_TRIPS,
     "dim_weather": DIM_WEATHER,
@@ -102,6 +114,7 @@ TABLES = {
     "trip_enriched": TRIP_ENRICHED,
     "trip_summary_per_hour": TRIP_SUMMARY,
     "high_value_customers": HIGH_VALUE,
+    "trip_totals": TRIP_TOTALS,
 }
 
 

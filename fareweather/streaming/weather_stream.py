@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.query import StreamingQuery
 from pyspark.sql.types import StructType
@@ -22,9 +22,6 @@ STREAM_SCHEMA = StructType([*RAW_WEATHER.fields, *ERROR_PAYLOAD.fields]).add(COR
 # Bounds one micro-batch, and with it the file list the driver plans, when much has piled up.
 FILES_PER_BATCH = 100_000
 
-# Landed files hold one observation each; the table gets files of up to this many.
-ROWS_PER_FILE = 1_000_000
-
 
 def weather_source(
     spark: SparkSession, landing: str, files_per_batch: int = FILES_PER_BATCH, archive: str | None = None
@@ -72,18 +69,17 @@ def start_weather_stream(
 
     def write_batch(batch: DataFrame, batch_id: int) -> None:
         stream_id = batch.sparkSession.sparkContext.getLocalProperty(QUERY_ID) or "stream"
-        batch.persist()
-        try:
-            dated = F.lit(True) if keep_undated else F.col("dt").isNotNull()
-            rows, undated = batch.agg(F.count(F.lit(1)), F.count_if(~dated)).first()
-            packed = batch.coalesce(max(1, -(-rows // ROWS_PER_FILE)))
-            warehouse.append_batch("dim_weather", dim_weather(packed.where(dated)), batch_id, stream_id)
-            if undated:
-                warehouse.append_batch("weather_quarantine", quarantine_rows(packed.where(~dated)), batch_id, stream_id)
-            if seen is not None:
-                seen.update(_months(batch))
-        finally:
-            batch.unpersist()
+        dated = F.lit(True) if keep_undated else F.col("dt").isNotNull()
+        # One pass: what else there is to know is counted while the rows are written.
+        noticed = Observation()
+        watched = batch.observe(noticed, F.count_if(~dated).alias("undated"), F.collect_set(_month()).alias("months"))
+        warehouse.append_batch("dim_weather", dim_weather(watched.where(dated)).hint("rebalance"), batch_id, stream_id)
+        if noticed.get["undated"]:
+            undated = quarantine_rows(batch.where(~dated)).hint("rebalance")
+            warehouse.append_batch("weather_quarantine", undated, batch_id, stream_id)
+            warehouse.publish("weather_quarantine")
+        if seen is not None:
+            seen.update((month // 12, month % 12 + 1) for month in noticed.get["months"])
 
     writer = (
         weather_source(spark, landing, files_per_batch, archive)
@@ -100,14 +96,15 @@ def run_weather_stream(
     """Start the stream, wait for its end and return the months seen; a failed batch raises here."""
     seen: set[tuple[int, int]] = set()
     start_weather_stream(spark, landing, warehouse, checkpoint, seen=seen, **options).awaitTermination()
+    if seen or options.get("keep_undated"):
+        warehouse.publish("dim_weather")
     return sorted(seen)
 
 
-def _months(batch: DataFrame) -> list[tuple[int, int]]:
-    """The calendar months of a batch, in UTC."""
+def _month() -> Column:
+    """The calendar month of an observation in UTC, numbered from January of the year 0."""
     day = F.date_from_unix_date(F.floor(F.col("dt") / DAY_SECONDS).cast("int"))
-    months = batch.where("dt IS NOT NULL").select(F.year(day).alias("y"), F.month(day).alias("m")).distinct()
-    return [(row["y"], row["m"]) for row in months.collect()]
+    return F.year(day) * 12 + F.month(day) - 1
 
 
 def quarantine_rows(undated: DataFrame) -> DataFrame:
