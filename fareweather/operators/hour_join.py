@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from fareweather.functions.clock import hour_key, instant_hour_key
@@ -113,12 +113,8 @@ def _join_in_cells(keyed: DataFrame, observations: DataFrame, cell_rows: int, ce
     cut_list = cut_hours.join(F.broadcast(held_cells), "_hour", "left").select(
         F.col("_hour").alias("_cut_hour"), "trip_cells", "held_cells"
     )
-    # Trips are dealt by content and input split: a task that runs again deals its rows the same
-    # way in whatever order they arrive, and copies of one trip spread as far as their splits do.
-    dealt_to = F.pmod(F.xxhash64(*keyed.columns, F.spark_partition_id()), F.col("trip_cells"))
     trip_side = (
-        keyed.join(F.broadcast(cut_list), F.col("_hour").eqNullSafe(F.col("_cut_hour")), "left")
-        .withColumn("_trip_cell", F.when(F.col("trip_cells") > 1, dealt_to).otherwise(0))
+        _deal_trips(keyed, cut_list)
         .withColumn("_weather_cell", F.explode(F.coalesce("held_cells", F.array(F.lit(0).cast("bigint")))))
         .select(*keyed.columns, "_trip_cell", "_weather_cell")
     )
@@ -134,3 +130,22 @@ def _join_in_cells(keyed: DataFrame, observations: DataFrame, cell_rows: int, ce
         trip_side = trip_side.repartition(partitions, *keys)
         weather_side = weather_side.repartition(partitions, *keys)
     return trip_side.join(weather_side, keys, "left")
+
+
+def _deal_trips(keyed: DataFrame, cut_list: DataFrame) -> DataFrame:
+    """`keyed` with the cells of its hour and its own `_trip_cell`, which is 0 in hours that aren't cut.
+
+    Trips of a cut hour are dealt by content and input split, and copies of one trip in one split
+    are numbered and go round the cells. As copies are alike, a task that runs again deals the
+    same rows to the same cells in whatever order they arrive. Only trips of cut hours are
+    shuffled for it.
+    """
+    cells = F.coalesce("trip_cells", F.lit(1)).cast("bigint")
+    placed = (
+        keyed.withColumn("_split", F.spark_partition_id())
+        .join(F.broadcast(cut_list), F.col("_hour").eqNullSafe(F.col("_cut_hour")), "left")
+    )
+    content = F.xxhash64(*keyed.columns, "_split")
+    copy = F.row_number().over(Window.partitionBy("_split", "_content").orderBy("_content"))
+    dealt = placed.where(cells > 1).withColumn("_content", content).withColumn("_trip_cell", F.pmod(F.pmod("_content", cells) + copy, cells))
+    return placed.where(cells == 1).withColumn("_trip_cell", F.lit(0).cast("bigint")).unionByName(dealt.drop("_content"))

@@ -6,6 +6,7 @@ from datetime import datetime, timedelta
 import pytest
 from pyspark.sql import functions as F
 
+from fareweather.functions.clock import hour_key
 from fareweather.operators import hour_join
 from fareweather.operators.hour_join import WEATHER_COLUMNS, enrich_trips, measured
 from tests.plans import final_plan_text, plan_text, rows
@@ -148,3 +149,15 @@ def test_filter_and_columns_reach_the_scan(spark, folder):
     plan = final_plan_text(enriched.where("passenger_count > 0").groupBy("weather_category").count())
     assert "GreaterThan(passenger_count,0.0)" in plan
     assert "ReadSchema: struct<tpep_pickup_datetime:timestamp_ntz,passenger_count:double>" in plan
+
+
+def test_copies_of_one_trip_fill_all_cells_evenly(spark):
+    busy, calm = (simple_facts(spark, [(f"2024-01-07 {hour}:15:00", 1.0, 40.0, 10.0)]) for hour in (10, 11))
+    copies = [trip.withColumn("n", F.explode(F.sequence(F.lit(1), F.lit(n)))).drop("n") for trip, n in ((busy, 1000), (calm, 3))]
+    keyed = copies[0].union(copies[1]).coalesce(1).withColumn("_hour", hour_key(F.col("tpep_pickup_datetime")))
+    hour = keyed.agg(F.min("_hour")).first()[0]
+    cells = spark.createDataFrame([(hour, 7, [0, 1])], "_cut_hour BIGINT, trip_cells BIGINT, held_cells ARRAY<BIGINT>")
+    dealt = hour_join._deal_trips(keyed, cells)
+    sizes = {(row["_hour"] == hour, row["_trip_cell"]): row["count"] for row in dealt.groupBy("_hour", "_trip_cell").count().collect()}
+    assert sizes.pop((False, 0)) == 3
+    assert sorted(sizes.values()) == [142] * 1 + [143] * 6 and len(sizes) == 7
