@@ -61,13 +61,19 @@ def _module(name: str) -> ModuleType | None:
         return None
 
 
+def _llm_modules() -> tuple[ModuleType | None, ModuleType | None]:
+    """The operators' queries and the pipeline, which needs the operators."""
+    operators = _module("fareweather.llm.queries")
+    return operators, _module("corpus_pipeline") if operators else None
+
+
 def _llm_queries() -> dict[str, Query]:
-    operators, pipeline = _module("fareweather.llm.queries"), _module("corpus_pipeline")
+    operators, pipeline = _llm_modules()
     return {**(operators.QUERIES if operators else {}), **({"pipeline": pipeline.run} if pipeline else {})}
 
 
 def _llm_oracles() -> dict[str, str]:
-    operators, pipeline = _module("fareweather.llm.queries"), _module("corpus_pipeline")
+    operators, pipeline = _llm_modules()
     found = dict(operators.ORACLE_SQL) if operators else {}
     if pipeline and pipeline.ORACLE_SQL:
         found["pipeline"] = pipeline.ORACLE_SQL
