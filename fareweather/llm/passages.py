@@ -1,8 +1,8 @@
 """Quality classification by attention-based multiple-instance learning.
 
 A document is a bag of passages: its words are cut into ``ceil(words / PASSAGE_WORDS)`` equal
-parts, but at most ``MAX_PASSAGES``; the passages of a long document get longer, so every word of
-every text counts and a bag stays bounded. Each passage becomes ``INPUTS`` numbers (shares of
+parts, so every word of every text counts. Only for learning there are at most ``MAX_PASSAGES``,
+and the passages of a long document get longer, so that a bag stays bounded. Each passage becomes ``INPUTS`` numbers (shares of
 bytes, shares of hashed words, how many of its words are repeats, its length). A tanh layer
 encodes it, gated attention weighs it against its bag, and the weighted mean of the codes is
 scored by a logistic unit. All weights are learned together from document labels.
@@ -13,7 +13,8 @@ rows, batch by batch, and shuffles nothing.
 
 Defined cases: a null, empty or blank text is one passage of zeros and is scored as such; without
 labelled rows the model keeps its start weights; rows without an id are held out; repeated rows are scored
-alike; other columns are never read.
+alike; a repeated labelled id counts once; very long texts count whole; a score equal to the threshold
+is predicted 1; an empty table gives an empty result; other columns are never read, whatever their names.
 """
 
 from __future__ import annotations
@@ -26,8 +27,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fareweather.llm.samples import in_one_task, sampled_labels, with_sample
-from fareweather.llm.tasks import batch_of, held_out, small_batches
+from fareweather.llm.samples import in_one_task, labelled_sample
+from fareweather.llm.tasks import batch_of, by_place, held_out, small_batches
 from fareweather.llm.text import Texts, mix, text_chunks
 
 PASSAGE_WORDS = 64
@@ -41,10 +42,10 @@ BATCH = 64
 THRESHOLD = 0.3
 
 
-def passages(texts: Texts) -> tuple[np.ndarray, np.ndarray]:
-    """Inputs of all passages of some documents, and where each document's begin."""
+def passages(texts: Texts, most: int | None = None) -> tuple[np.ndarray, np.ndarray]:
+    """Inputs of all passages of some documents, ``most`` of each at most, and where each document's begin."""
     words = texts.n_words
-    count = np.clip(-(-words // PASSAGE_WORDS), 1, MAX_PASSAGES)
+    count = np.clip(-(-words // PASSAGE_WORDS), 1, most)
     first = np.concatenate([[0], np.cumsum(count)])
     docs = texts.word_doc
     within = np.arange(len(docs)) - texts.first_word[docs]
@@ -152,7 +153,7 @@ def train(sample: DataFrame) -> dict[str, np.ndarray]:
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for texts in text_chunks(batch["text"]):
-                x, first = passages(texts)
+                x, first = passages(texts, MAX_PASSAGES)
                 own = batch.slice(texts.row, len(texts))
                 bags = [x[a:b].tobytes() for a, b in zip(first[:-1], first[1:])]
                 yield batch_of(rows, doc_id=own["doc_id"], label=own["label"], weight=own["weight"], bag=bags)
@@ -193,7 +194,7 @@ def score(documents: DataFrame, model: dict[str, np.ndarray], remainder: int = 0
                 scores = forward(weights.value, *passages(texts))["score"].astype(float)
                 yield batch_of(schema, doc_id=own["doc_id"], held_out=own["held_out"], score=scores)
 
-    source = documents.select(
+    source = by_place(documents, "doc_id", "text").select(
         F.col("doc_id").cast("long").alias("doc_id"), held_out("doc_id", remainder).alias("held_out"), "text"
     )
     scored = source.mapInArrow(run, "doc_id long, held_out boolean, score double")
@@ -203,4 +204,4 @@ def score(documents: DataFrame, model: dict[str, np.ndarray], remainder: int = 0
 def op1_quality_mil(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents = spark.read.parquet(f"{sf_dir}/documents.parquet")
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
-    return score(documents, train(with_sample(documents, sampled_labels(labels, "quality", PER_CLASS))))
+    return score(documents, train(labelled_sample(documents, labels, "quality", PER_CLASS)))

@@ -26,8 +26,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fareweather.llm.samples import in_one_task, sampled_labels, with_sample
-from fareweather.llm.tasks import batch_of, held_out, small_batches
+from fareweather.llm.samples import in_one_task, labelled_sample
+from fareweather.llm.tasks import batch_of, by_place, held_out, small_batches
 from fareweather.llm.text import LETTER_BYTES, Texts, join_hashes, mix, text_chunks
 
 BITS = 20
@@ -159,7 +159,7 @@ def score(documents: DataFrame, weights: dict[int, float], remainder: int = 0) -
                     score=1 / (1 + np.exp(-np.clip(sums, -35, 35))),
                 )
 
-    source = documents.select(
+    source = by_place(documents, "doc_id", "text").select(
         F.col("doc_id").cast("long").alias("doc_id"), held_out("doc_id", remainder).alias("held_out"), "text"
     )
     scored = source.mapInArrow(run, "doc_id long, held_out boolean, score double")
@@ -169,5 +169,5 @@ def score(documents: DataFrame, weights: dict[int, float], remainder: int = 0) -
 def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents = spark.read.parquet(f"{sf_dir}/documents.parquet")
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
-    weights = train(with_sample(documents, sampled_labels(labels, "toxic", PER_CLASS)))
+    weights = train(labelled_sample(documents, labels, "toxic", PER_CLASS))
     return score(documents, weights)

@@ -217,8 +217,8 @@ def test_ftrl_is_sparse_and_finds_the_signal():
 
 
 def test_toxicity_depends_on_the_ratio_of_weights_alone(spark, corpus, labels):
-    some = toxicity.sampled_labels(labels, "toxic", 300)
-    sample = toxicity.with_sample(corpus, some.withColumn("weight", F.when(F.col("label") == 0, 7.0).otherwise(1.0))).cache()
+    some = toxicity.labelled_sample(corpus, labels, "toxic", 300)
+    sample = some.withColumn("weight", F.when(F.col("label") == 0, 7.0).otherwise(1.0)).cache()
     models = [toxicity.train(sample.withColumn("weight", F.col("weight") * times)) for times in (1, 10, 100)]
     for model in models[1:]:
         assert model.keys() == models[0].keys()
@@ -232,9 +232,9 @@ def test_classifier_edge_rows(spark, operator):
     labels = spark.createDataFrame([(i, i % 2, (i // 2) % 2) for i in range(n)] + [(1, 0, 1), (None, 1, 1), (3, None, None)], "doc_id long, quality int, toxic int")
     module, label = (passages, "quality") if operator == "quality" else (toxicity, "toxic")
     for given in (labels, labels.limit(0), labels.filter(F.col(label) == 1)):
-        sample = module.sampled_labels(given, label, 20)
+        sample = module.labelled_sample(odd, given, label, 20)
         assert all(fold(r["doc_id"]) != 0 for r in sample.collect())
-        model = module.train(module.with_sample(odd, sample))
+        model = module.train(sample)
         scored = module.score(odd, model)
         assert scored.count() == odd.count()
         assert scored.filter("score < 0 OR score > 1 OR score IS NULL OR held_out IS NULL").count() == 0
