@@ -8,8 +8,12 @@ is scored by one matrix product: the products with the landmarks and with their
 associative, so landmarks and weights are multiplied once, on the driver.
 
 Fitting uses at most ``PER_LANGUAGE`` documents of each language, of which ``LANDMARKS`` are
-landmarks; they reach the driver as bitmaps of ``2 ** BITS / 8`` bytes, never as text. Scoring
-covers every whole text and shuffles nothing.
+landmarks; they reach the driver as bitmaps of ``2 ** BITS / 8`` bytes, never as text. The
+``LANGUAGES`` most frequent values of ``lang`` are learned, so that a column full of stray values
+can't outgrow the driver; where there are many, each has fewer rows and landmarks, such that all
+together stay below ``ROWS_IN_ALL`` (39 MB) and ``LANDMARKS_IN_ALL``, and the broadcast weights
+below 17 MB. Texts in other languages get one of those learned. Scoring covers every whole text
+and shuffles nothing.
 
 A filter on the language (``keep_identified``) rejects by the margin of the language found, the
 value that kernel ridge regression brings towards 1 for its texts and to -1 for all others; a text that
@@ -36,13 +40,18 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from fareweather.llm.tasks import appended, batch_of, held_out, small_batches
+from fareweather.llm.tasks import appended, batch_of, by_place, held_out, small_batches
 from fareweather.llm.text import Texts, text_chunks
 
 BITS = 15
 MAX_GRAM = 4
+#: Languages learned, the most frequent values of ``lang``: a broadcast of 128 KB of weights each.
+LANGUAGES = 128
+#: Rows learned from, of each language and in all: bitmaps of 4 KB each on the driver.
 PER_LANGUAGE = 300
+ROWS_IN_ALL = 9600
 LANDMARKS = 60
+LANDMARKS_IN_ALL = 2048
 RIDGE = 1e-4
 ROWS = 256
 STRAYS = 0.01
@@ -116,7 +125,7 @@ def fit(packed: list[bytes], languages: list[str]) -> Model:
         return Model([], np.zeros((1 << BITS, 0), np.float32))
     label = np.array([names.index(x) for x in languages])
     unpacked = lambda rows: unpack([packed[i] for i in rows])
-    marks = np.concatenate([np.flatnonzero(label == i)[:LANDMARKS] for i in range(len(names))])
+    marks = np.concatenate([np.flatnonzero(label == i)[: min(LANDMARKS, LANDMARKS_IN_ALL // len(names))] for i in range(len(names))])
 
     landmarks = unpacked(marks)
     among = kernel(landmarks, landmarks).astype(float)
@@ -155,7 +164,8 @@ def has_letter(text: str) -> Column:
 
 
 def learnable(documents: DataFrame, remainder: int) -> DataFrame:
-    rows = documents.select(F.col("doc_id").cast("long").alias("doc_id"), "text", F.col("lang").cast("string").alias("lang"))
+    named = by_place(documents, "doc_id", "text", "lang")
+    rows = named.select(F.col("doc_id").cast("long").alias("doc_id"), "text", F.col("lang").cast("string").alias("lang"))
     return rows.filter(~held_out("doc_id", remainder) & F.col("lang").isNotNull() & F.col("text").isNotNull())
 
 
@@ -170,17 +180,19 @@ def sampled(documents: DataFrame, remainder: int = 0) -> tuple[list[bytes], list
     """
     small_batches(documents.sparkSession)
     usable = learnable(documents, remainder)
-    sizes = {row["lang"]: row["n"] for row in usable.groupBy("lang").agg(F.count("*").alias("n")).collect()}
+    by_size = usable.groupBy("lang").agg(F.count("*").alias("n")).orderBy(F.col("n").desc(), "lang")
+    sizes = {row["lang"]: row["n"] for row in by_size.limit(LANGUAGES).collect()}
     if not sizes:
         return [], []
+    most = min(PER_LANGUAGE, ROWS_IN_ALL // len(sizes))
     draw = F.pmod(F.xxhash64("doc_id"), F.lit(1 << 30)) / float(1 << 30)
-    share = F.create_map(*[F.lit(x) for lang, n in sizes.items() for x in (lang, min(1.0, 2.0 * PER_LANGUAGE / n))])
+    share = F.create_map(*[F.lit(x) for lang, n in sizes.items() for x in (lang, min(1.0, 2.0 * most / n))])
     order = Window.partitionBy("lang").orderBy("draw", "doc_id")
     sample = (
         usable.withColumn("draw", draw)
         .filter(F.col("draw") < share[F.col("lang")])
         .withColumn("place", F.row_number().over(order))
-        .filter(F.col("place") <= PER_LANGUAGE)
+        .filter(F.col("place") <= most)
     )
     schema = pa.schema([("lang", pa.string()), ("draw", pa.float64()), ("doc_id", pa.int64()), ("bits", pa.binary())])
 
@@ -217,7 +229,7 @@ def identified(df: DataFrame, model: Model) -> DataFrame:
 
 def predict(documents: DataFrame, model: Model, remainder: int = 0) -> DataFrame:
     """``doc_id``, ``held_out``, ``lang_pred`` and ``score`` of every row."""
-    source = documents.select(
+    source = by_place(documents, "doc_id", "text").select(
         F.col("doc_id").cast("long").alias("doc_id"), held_out("doc_id", remainder).alias("held_out"), "text"
     )
     return identified(source, model).select("doc_id", "held_out", "lang_pred", F.col("lang_score").alias("score"))
@@ -231,7 +243,8 @@ def keep_identified(df: DataFrame, least: float = 0.0) -> DataFrame:
     """
     packed, languages = sampled(df)
     if not packed:
-        return df.filter(has_letter("text"))
+        places = [f"c{i}" for i in range(len(df.columns))]
+        return df.toDF(*places).filter(has_letter(f"c{df.columns.index('text')}")).toDF(*df.columns)
     margins = least_margins(packed, languages)
     places = [f"c{i}" for i in range(len(df.columns))]
     found = identified(df, fit(packed, languages)).toDF(*places, "pred", "score", "margin")
