@@ -22,7 +22,7 @@ import tiktoken
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fareweather.llm.tasks import batch_of, small_batches
+from fareweather.llm.tasks import batch_of, by_place, small_batches
 
 MAX_RANK_BYTES = 64 << 20
 
@@ -122,7 +122,8 @@ def encode(df: DataFrame, rank_path: str, pattern: str, id_column: str = "doc_id
                 ids = [codec.encode(text or "") for text in some["text"].to_pylist()]
                 yield batch_of(schema, id=some["id"], ids=ids)
 
-    source = df.select(F.col(id_column).cast("long").alias("id"), F.col(text_column).alias("text"))
+    named = by_place(df, id_column, text_column).toDF("id", "text")
+    source = named.select(F.col("id").cast("long").alias("id"), "text")
     return source.mapInArrow(run, "id long, ids array<int>").withColumnRenamed("id", id_column)
 
 
@@ -138,7 +139,7 @@ def decode(df: DataFrame, rank_path: str, pattern: str, id_column: str = "doc_id
             for some in slices(batch):
                 yield batch_of(schema, id=some["id"], bytes=[codec.decode(ids or []) for ids in some["ids"].to_pylist()])
 
-    source = df.select(F.col(id_column).cast("long").alias("id"), F.col(ids_column).alias("ids"))
+    source = by_place(df, id_column, ids_column).toDF("id", "ids").select(F.col("id").cast("long").alias("id"), "ids")
     return source.mapInArrow(run, "id long, bytes binary").withColumnRenamed("id", id_column)
 
 

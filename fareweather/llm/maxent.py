@@ -34,7 +34,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fareweather.llm.tasks import batch_of, held_out, small_batches, stored
+from fareweather.llm.tasks import batch_of, by_place, held_out, small_batches, stored
 from fareweather.llm.text import Texts, mix, signed, text_chunks
 
 WIDTH = 32
@@ -408,7 +408,7 @@ def score(documents: DataFrame, lexicon: Lexicon, weights: np.ndarray, counts: D
                     rest=rest_of(entry, n, doc[~here], hashes[~here], suffix[~here]),
                 )
 
-    source = documents.select(
+    source = by_place(documents, "doc_id", "text").select(
         F.monotonically_increasing_id().alias("row"),
         F.col("doc_id").cast("long").alias("doc_id"),
         held_out("doc_id", remainder).alias("held_out"),
@@ -467,6 +467,7 @@ def summed(scored: DataFrame, counts: DataFrame, lexicon: Lexicon) -> DataFrame:
 def lm_scores(documents: DataFrame, remainder: int = 1) -> DataFrame:
     """Learn from all rows whose crc32 remainder is not ``remainder``, then score all rows."""
     small_batches(documents.sparkSession)
+    documents = by_place(documents, "doc_id", "text")
     texts = documents.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     training = texts.filter(~held_out("doc_id", remainder))
     counts = stored(word_counts(training))

@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fareweather.llm.tasks import appended, batch_of, small_batches, stored
+from fareweather.llm.tasks import appended, batch_of, by_place, small_batches, stored
 from fareweather.llm.text import Texts, counts_in, hash_spans, mix, text_chunks, window_hashes, windows_of
 
 COUNTS = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
@@ -140,7 +140,8 @@ def count_texts(df: DataFrame, id_column: str = "doc_id", text_column: str = "te
                 yield batch_of(COUNT_SCHEMA, doc_id=ids, **text_counts(texts))
 
     small_batches(df.sparkSession)
-    source = df.select(F.col(id_column).cast("long").alias("doc_id"), F.col(text_column).alias("text"))
+    named = by_place(df, id_column, text_column).toDF("doc_id", "text")
+    source = named.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     return source.mapInArrow(run, ", ".join(f"{field.name} long" for field in COUNT_SCHEMA))
 
 

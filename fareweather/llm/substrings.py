@@ -33,8 +33,9 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import LongType, StringType, StructField, StructType
 
-from fareweather.llm.tasks import batch_of, grouped_stream, small_batches, stored
+from fareweather.llm.tasks import batch_of, by_place, grouped_stream, small_batches, stored
 from fareweather.llm.text import Texts, join_hashes, mix, signed, text_chunks, window_hashes
 
 LAST = 2**63 - 1
@@ -117,10 +118,12 @@ class Windows:
 def identity(documents: DataFrame) -> list[Column]:
     """``key``, by which rows meet what was found of them, and ``ord``, which tells which is earlier.
 
-    Rows without an id come last, and meet by their text, so that many of them are not one group.
+    Rows meet by id and text, so that many rows of one id, or without one, are not one group. What
+    another row of the same key finds is told apart by its word sequence. Rows without an id come
+    last.
     """
     doc_id = documents["doc_id"].cast("long")
-    return [F.coalesce(doc_id, F.xxhash64(documents["text"])).alias("key"), F.coalesce(doc_id, F.lit(LAST)).alias("ord")]
+    return [F.xxhash64(doc_id, documents["text"]).alias("key"), F.coalesce(doc_id, F.lit(LAST)).alias("ord")]
 
 
 def anchored(documents: DataFrame, window: int) -> DataFrame:
@@ -341,14 +344,15 @@ def dedup(documents: DataFrame, window: int = 20, as_is: bool = False) -> DataFr
     if window % 4 or window > 64:
         raise ValueError("window has to be a multiple of four, 64 at most")
     small_batches(documents.sparkSession)
-    rows = stored(anchored(documents, window))
+    named = by_place(documents, "doc_id", "text")
+    rows = stored(anchored(named, window))
     firsts = stored(
         rows.groupBy("f1", "f2")
         .agg(F.min(F.struct("ord", "key", "anchors")).alias("s"), F.max(F.struct("ord", "key")).alias("last"))
         .select("f1", "f2", "s.ord", "s.key", "s.anchors", "last")
     )
     hits = repeated_anchors(firsts.select("key", "f1", "anchors"))
-    found = stored(places(window_runs(documents, hits, window), window))
+    found = stored(places(window_runs(named, hits, window), window))
     first = F.struct("ord", "key")
     copied = firsts.filter(F.col("last") > first).select("f1", "f2", first.alias("first"))
     copies = (
@@ -364,10 +368,12 @@ def dedup(documents: DataFrame, window: int = 20, as_is: bool = False) -> DataFr
 
 
 def without(documents: DataFrame, marks: DataFrame, window: int, as_is: bool) -> DataFrame:
-    others = [name for name in documents.columns if name != "text"]
-    carried = [documents[name].alias(f"c{i}") for i, name in enumerate(others)]
-    key, _ = identity(documents)
-    source = documents.select(key, documents["text"].alias("text"), *carried).join(marks, "key", "left").drop("key")
+    at = {name: documents.columns.index(name) for name in ("doc_id", "text")}
+    others = [i for i in range(len(documents.columns)) if i != at["text"]]
+    placed = documents.toDF(*[f"p{i}" for i in range(len(documents.columns))])
+    named = placed.select(F.col(f"p{at['doc_id']}").alias("doc_id"), F.col(f"p{at['text']}").alias("text"), *[F.col(f"p{i}").alias(f"c{n}") for n, i in enumerate(others)])
+    key, _ = identity(named)
+    source = named.select(key, "*").drop("doc_id").join(marks, "key", "left").drop("key")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -385,11 +391,9 @@ def without(documents: DataFrame, marks: DataFrame, window: int, as_is: bool) ->
                 names = [f"c{i}" for i in range(len(others))] + ["n_words", "n_removed", "kept_text"]
                 yield pa.RecordBatch.from_arrays(columns, names)
 
-    schema = ", ".join(
-        [f"c{i} {documents.schema[name].dataType.simpleString()}" for i, name in enumerate(others)]
-        + ["n_words long", "n_removed long", "kept_text string"]
-    )
-    return source.mapInArrow(run, schema).toDF(*others, "n_words", "n_removed", "kept_text")
+    made = [StructField("n_words", LongType()), StructField("n_removed", LongType()), StructField("kept_text", StringType())]
+    schema = StructType([StructField(f"c{n}", documents.schema.fields[i].dataType) for n, i in enumerate(others)] + made)
+    return source.mapInArrow(run, schema).toDF(*[documents.columns[i] for i in others], "n_words", "n_removed", "kept_text")
 
 
 def removed_words(batch: pa.RecordBatch, texts: Texts, rows: slice, window: int) -> np.ndarray:
@@ -428,22 +432,19 @@ def kept_texts(texts: Texts, kept: np.ndarray) -> list[str]:
 
 def drop_repeats(documents: DataFrame, window: int = 20) -> DataFrame:
     """``documents`` with the words left as ``text`` and their length as ``n_chars`` (if there is such a column)."""
-    others = [name for name in documents.columns if name != "text"]
-    out = dedup(documents, window, as_is=True).toDF(*[f"c{i}" for i in range(len(others))], "words", "removed", "kept")
-    columns = []
-    for name in documents.columns:
-        if name == "text":
-            columns.append(F.col("kept"))
-        elif name == "n_chars":
-            length = F.length("kept").cast(documents.schema["n_chars"].dataType)
-            columns.append(F.when(F.col("removed") > 0, length).otherwise(F.col(f"c{others.index(name)}")))
-        else:
-            columns.append(F.col(f"c{others.index(name)}"))
+    text = documents.columns.index("text")
+    others = [i for i in range(len(documents.columns)) if i != text]
+    out = dedup(documents, window, as_is=True).toDF(*[f"c{i}" for i in others], "words", "removed", "kept")
+    columns = [F.col("kept") if i == text else F.col(f"c{i}") for i in range(len(documents.columns))]
+    if "n_chars" in documents.columns:
+        at = documents.columns.index("n_chars")
+        length = F.length("kept").cast(documents.schema.fields[at].dataType)
+        columns[at] = F.when(F.col("removed") > 0, length).otherwise(columns[at])
     return out.select(*[column.alias(f"k{i}") for i, column in enumerate(columns)]).toDF(*documents.columns)
 
 
 def op8_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    documents = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text")
+    documents = by_place(spark.read.parquet(f"{sf_dir}/documents.parquet"), "doc_id", "text")
     kept = dedup(documents, window=20)
     return kept.select("doc_id", "n_words", "n_removed", F.sha2(F.col("kept_text").cast("binary"), 256).alias("kept_sha256"))
 

@@ -199,18 +199,3 @@ def set_fingerprints(values: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarra
 def signed(values: np.ndarray) -> np.ndarray:
     """Spark's longs have a sign."""
     return values.astype(np.uint64).view(np.int64)
-
-
-def blobs(values: np.ndarray, offsets: np.ndarray) -> pa.Array:
-    """A binary column: row ``i`` holds the bytes of ``values[offsets[i]:offsets[i + 1]]``."""
-    width = values.dtype.itemsize
-    ends = pa.py_buffer((offsets * width).astype(np.int64))
-    rows = pa.LargeBinaryArray.from_buffers(
-        pa.large_binary(), len(offsets) - 1, [None, ends, pa.py_buffer(np.ascontiguousarray(values).tobytes())]
-    )
-    return rows.cast(pa.binary())
-
-
-def rows_per_batch(values: np.ndarray, offsets: np.ndarray) -> list[np.ndarray]:
-    """``values`` cut at ``offsets``."""
-    return [values[a:b] for a, b in zip(offsets[:-1].tolist(), offsets[1:].tolist())]
