@@ -32,8 +32,8 @@ from pyspark.sql import functions as F
 
 from fareweather.llm.components import components
 from fareweather.llm.signature_tree import linked
-from fareweather.llm.tasks import batch_of, grouped_stream, small_batches, stored
-from fareweather.llm.text import distinct_shingles, mix, set_fingerprints, signed, text_chunks
+from fareweather.llm.tasks import appended, batch_of, by_place, grouped_stream, small_batches, stored
+from fareweather.llm.text import Texts, distinct_shingles, mix, set_fingerprints, signed, text_chunks
 
 BAND_RATIO = 1.6
 SEEDS = 4
@@ -183,13 +183,20 @@ def candidates(keys: DataFrame, percent: int) -> DataFrame:
 
 
 def blocked(sets: DataFrame, groups: DataFrame) -> DataFrame:
-    """Members of candidate groups, each group cut by size into blocks of ``BLOCK_BYTES``."""
-    upto = Window.partitionBy("grp").orderBy("n", "set").rowsBetween(Window.unboundedPreceding, -1)
-    return (
-        sets.select("set", "n", "row")
-        .join(groups.select(F.col("node").alias("set"), F.col("component").alias("grp")), "set")
-        .withColumn("block", F.floor(F.coalesce(F.sum("n").over(upto), F.lit(0)) * 8 / BLOCK_BYTES).cast("int"))
+    """Members of candidate groups, each group cut by size into blocks of about ``BLOCK_BYTES``.
+
+    Tokens are added up by group and size, so that no window holds a group's members; sets of one
+    size are dealt by their hash to the blocks that their tokens fill.
+    """
+    members = stored(
+        sets.select("set", "n", "row").join(groups.select(F.col("node").alias("set"), F.col("component").alias("grp")), "set")
     )
+    tokens = members.groupBy("grp", "n").agg((F.count("*") * F.col("n")).alias("own"))
+    upto = Window.partitionBy("grp").orderBy("n").rowsBetween(Window.unboundedPreceding, -1)
+    begun = tokens.withColumn("before", F.coalesce(F.sum("own").over(upto), F.lit(0)))
+    share = F.pmod(F.xxhash64("set"), F.lit(1 << 20)) / float(1 << 20)
+    block = F.floor((F.col("before") + share * F.col("own")) * 8 / BLOCK_BYTES).cast("int")
+    return members.join(begun, ["grp", "n"]).select("set", "n", "row", "grp", block.alias("block"))
 
 
 def tree_links(documents: DataFrame, dealt: DataFrame, words: int, percent: int) -> DataFrame:
@@ -290,9 +297,10 @@ def _between_blocks(documents: DataFrame, members: DataFrame, found: DataFrame,
     return stored(tree_links(documents, known.join(deals, ["grp", "block"]), words, percent))
 
 
-def groups(documents: DataFrame, words: int, percent: int) -> DataFrame:
-    """``doc_id``, ``n_shingles`` and ``component_id`` (least id that links reach) of every row."""
+def placed_sets(documents: DataFrame, words: int, percent: int) -> tuple[DataFrame, DataFrame]:
+    """The rows as ``described``, and every distinct ``set`` with its least ``doc_id`` and its ``component``."""
     small_batches(documents.sparkSession)
+    documents = by_place(documents, "doc_id", "text")
     rows = stored(described(documents, words))
     sets = stored(distinct_sets(rows))
     found = components(links(documents, sets, words, percent))
@@ -301,6 +309,12 @@ def groups(documents: DataFrame, words: int, percent: int) -> DataFrame:
         .join(found.select(F.col("node").alias("set"), "component"), "set", "left")
         .withColumn("component", F.coalesce("component", "set"))
     )
+    return rows, placed
+
+
+def groups(documents: DataFrame, words: int, percent: int) -> DataFrame:
+    """``doc_id``, ``n_shingles`` and ``component_id`` (least id that links reach) of every row."""
+    rows, placed = placed_sets(documents, words, percent)
     least = placed.groupBy("component").agg(F.min("doc_id").alias("least"))
     named = placed.join(least, "component").select(F.col("set").alias("f1"), "least")
     return (
@@ -311,24 +325,30 @@ def groups(documents: DataFrame, words: int, percent: int) -> DataFrame:
 
 
 def keep_one(documents: DataFrame, words: int = 5, percent: int = 80) -> DataFrame:
-    """One row of ``documents`` for each group, that of least id, columns as they are.
+    """One row of ``documents`` for each group of similar texts, columns as they are.
 
-    Of rows with the same id one stays; rows without an id can't be told apart from a group's
-    first and stay.
+    Rows are judged by their own text: the row of least id stays (rows without an id come last),
+    of several texts of that id in the group a fixed one, of equal ones one. Rows without a
+    shingle are no duplicates of anything and all stay.
     """
+    _, placed = placed_sets(documents, words, percent)
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("nameless"), "doc_id", "set")).alias("first")
+    firsts = placed.groupBy("component").agg(first).select(F.col("first.set").alias("winner"), F.col("first.doc_id").alias("first"))
+
+    def fingerprints(texts: Texts) -> dict[str, object]:
+        values, offsets = distinct_shingles(texts, words, lower=True)
+        sizes = np.diff(offsets)
+        f1 = signed(set_fingerprints(values, offsets)[0])
+        return {"set": pa.array(f1, mask=sizes == 0), "n": sizes}
+
     places = [f"c{i}" for i in range(len(documents.columns))]
-    doc_id = f"c{documents.columns.index('doc_id')}"
-    named = documents.select("doc_id", "text").filter("doc_id IS NOT NULL")
-    first = groups(named, words, percent).filter("doc_id = component_id").select("doc_id").distinct()
-    rows = documents.toDF(*places)
-    order = Window.partitionBy(doc_id).orderBy(F.xxhash64(F.col(f"c{documents.columns.index('text')}")))
-    kept = (
-        rows.join(first.select(F.col("doc_id").alias("first")), F.col(doc_id).cast("long") == F.col("first"), "left_semi")
-        .withColumn("place", F.row_number().over(order))
-        .filter("place = 1")
-        .select(*places)
-    )
-    return kept.unionByName(rows.filter(F.col(doc_id).isNull())).toDF(*documents.columns)
+    doc_id = F.col(f"c{documents.columns.index('doc_id')}").cast("long")
+    own = appended(documents, pa.schema([("set", pa.int64()), ("n", pa.int64())]), fingerprints).toDF(*places, "set", "n")
+    named = own.withColumn("id", doc_id).withColumn("set", F.coalesce("set", F.xxhash64("id")))
+    is_first = (F.col("set") == F.col("winner")) & F.col("id").eqNullSafe(F.col("first"))
+    kept = named.join(firsts, is_first, "left").filter("n = 0 OR winner IS NOT NULL")
+    place = F.row_number().over(Window.partitionBy("set", "id").orderBy("n"))
+    return kept.withColumn("place", place).filter("n = 0 OR place = 1").select(*places).toDF(*documents.columns)
 
 
 def op2_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:

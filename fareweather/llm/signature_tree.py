@@ -5,7 +5,8 @@ them under a node, nodes under nodes likewise. A node holds the OR of its sets'
 the range of their sizes, and how many tokens of a set at most share a bit with another. Two
 trees are walked down together: a pair of nodes is dropped if no sets of them could overlap
 enough. Where only connected sets are asked for, a pair is also dropped if all its sets are
-connected already. What is left at the bottom is compared exactly.
+connected already; nodes are therefore joined with themselves and with their neighbours first.
+What is left at the bottom is compared exactly. Groups of any size are joined this way.
 """
 
 from __future__ import annotations
@@ -19,9 +20,6 @@ FAN = 8
 #: Bytes of bitmaps looked at together.
 BLOCK = 8 << 20
 
-#: Sets that are first compared with all others in one sweep, to connect what is alike.
-PIVOTS = 24
-
 
 @dataclass
 class Level:
@@ -58,11 +56,10 @@ class Join:
         self.label = np.arange(n) if known is None else np.unique(known[self.order], return_inverse=True)[1].reshape(-1)
         self.cut = None if side is None else int((side == 0).sum())
         self.found: list[tuple[int, int]] = []
+        self.dropped = self.compared = 0  # pairs of nodes, pairs of sets
 
     def run(self) -> np.ndarray:
-        n = len(self.size)
-        self.sweep(range(n) if n <= FAN else self.pivots())
-        if n > FAN and len(np.unique(self.label)) > 1:
+        if self.label.max() > self.label.min():
             self.walk()
         pairs = np.array(self.found, np.int64).reshape(-1, 2)
         return self.order[pairs]
@@ -73,6 +70,7 @@ class Join:
         return 100 * overlap >= self.percent * (self.size[a] + self.size[b] - overlap)
 
     def compare(self, a: int, b: int) -> bool:
+        self.compared += 1
         mark = self.token[self.offsets[a] : self.offsets[a + 1]]
         self.marked[mark] = True
         overlap = np.count_nonzero(self.marked[self.token[self.offsets[b] : self.offsets[b + 1]]])
@@ -84,33 +82,6 @@ class Join:
         one, two = self.label[a], self.label[b]
         self.label[self.label == max(one, two)] = min(one, two)
 
-    def pivots(self):
-        """Sets that no pivot has reached yet."""
-        used = np.zeros(len(self.size), bool)
-        for _ in range(PIVOTS):
-            open_sets = np.flatnonzero(~np.isin(self.label, np.unique(self.label[used])))
-            if not len(open_sets):
-                return
-            pivot = int(open_sets[0])
-            used[pivot] = True
-            yield pivot
-
-    def sweep(self, pivots) -> None:
-        """Compare whole rows of pairs: each pivot with all sets."""
-        for pivot in pivots:
-            if self.label.max() == self.label.min():
-                return
-            mark = self.token[self.offsets[pivot] : self.offsets[pivot + 1]]
-            self.marked[mark] = True
-            overlap = np.add.reduceat(self.marked[self.token], self.offsets[:-1], dtype=np.int64)
-            self.marked[mark] = False
-            near = self.enough(overlap, np.full(len(overlap), pivot), np.arange(len(overlap)))
-            if self.cut is not None:
-                near[(slice(0, self.cut) if pivot < self.cut else slice(self.cut, None))] = False
-            for other in np.flatnonzero(near & (self.label != self.label[pivot])):
-                if self.label[other] != self.label[pivot]:
-                    self.connect(pivot, int(other))
-
     # --- the tree ---------------------------------------------------------------------------
 
     def leaves(self) -> Level:
@@ -164,7 +135,8 @@ class Join:
             a, b = np.triu_indices(n)
         else:
             a, b = (x.reshape(-1) for x in np.meshgrid(np.arange(cuts[-1]), np.arange(cuts[-1], n), indexing="ij"))
-        stack = [(top, a.astype(np.int64), b.astype(np.int64))]
+        far = np.argsort(-np.abs(a - b), kind="stable")  # the last ones are taken first
+        stack = [(top, a[far].astype(np.int64), b[far].astype(np.int64))]
         pairs = max(8, BLOCK // (8 * levels[0].bits.shape[1]))
         while stack:
             depth, a, b = stack.pop()
@@ -175,11 +147,14 @@ class Join:
             open_pairs = ~((low[a] == high[a]) & (low[b] == high[b]) & (low[a] == low[b]))
             a, b = a[open_pairs], b[open_pairs]
             ok = self.may_link(levels[depth], a, b)
+            self.dropped += len(ok) - int(ok.sum())
             a, b = a[ok], b[ok]
             if depth == 0:
                 self.finish(levels[0], a, b)
             elif len(a):
-                stack.append((depth - 1, *self.below(children[depth - 1], a, b)))
+                x, y = self.below(children[depth - 1], a, b)
+                far = np.argsort(-np.abs(x - y), kind="stable")
+                stack.append((depth - 1, x[far], y[far]))
 
     def labels_of(self, depth: int, children: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
         low = high = self.label
