@@ -1,0 +1,184 @@
+"""Bounded samples, scorers document by document, and columns whose names or types get in the way."""
+
+from __future__ import annotations
+
+import math
+
+import numpy as np
+import pyarrow as pa
+import pytest
+from pyspark.sql import functions as F
+
+import corpus_pipeline
+from fareweather.llm import bpe, conversations, divergence, forest, language, maxent, ngram_join, packing, passages, rules, secret_scan, substrings, toxicity
+from fareweather.llm.samples import labelled_sample
+from fareweather.llm.text import hash_spans, join_hashes, mix, text_chunks
+from tests.llm.fixtures import documents, lower, odd_documents, texts, words
+
+
+# --- samples ----------------------------------------------------------------------------------
+
+
+def test_labels_of_other_documents_take_no_place(spark):
+    """Thirty labelled documents are there, and 40,000 labels of documents that are not."""
+    docs = spark.range(0, 300, 10).select(F.col("id").alias("doc_id"), F.lit("some text").alias("text"))
+    labels = spark.range(0, 40_000).select(F.col("id").alias("doc_id"), (F.col("id") % 20 == 0).cast("int").alias("toxic"))
+    sample = labelled_sample(docs, labels, "toxic", 100, remainder=9)
+    assert sample.count() == 30
+    assert {r["label"]: r["weight"] for r in sample.collect()} == {0: 1.0, 1: 1.0}
+
+
+def test_a_repeated_id_gives_one_row(spark):
+    docs = spark.range(5000).select(F.lit(7).alias("doc_id"), F.concat(F.lit("text "), "id").alias("text")).repartition(8)
+    docs = docs.union(docs.limit(1).select(F.lit(8).alias("doc_id"), F.lit(None).cast("string")))
+    labels = spark.createDataFrame([(7, 0), (7, 1), (8, 0), (9, 1)] * 50, "doc_id long, toxic int")
+    sample = labelled_sample(docs, labels, "toxic", 20, remainder=9).collect()
+    assert sorted((r["doc_id"], r["label"]) for r in sample) == [(7, 1), (8, 0)]
+    again = labelled_sample(docs.repartition(3), labels, "toxic", 20, remainder=9).collect()
+    assert sorted(map(tuple, sample), key=repr) == sorted(map(tuple, again), key=repr)
+
+
+def test_two_thousand_languages_stay_bounded(spark):
+    table = spark.range(6000).select(
+        F.col("id").alias("doc_id"),
+        F.concat(F.lit("word"), F.col("id") % 40, F.lit(" text "), F.col("id")).alias("text"),
+        F.when(F.col("id") < 3000, F.concat(F.lit("l"), F.col("id") % 3)).otherwise(F.concat(F.lit("stray"), F.col("id") % 2000)).alias("lang"),
+    )
+    packed, languages = language.sampled(table)
+    assert len(packed) == len(languages) <= language.ROWS_IN_ALL and len(set(languages)) == language.LANGUAGES
+    assert {"l0", "l1", "l2"} <= set(languages)  # the most frequent ones
+    model = language.fit(packed, languages)
+    assert model.weights.nbytes <= 17 << 20
+    assert language.predict(table, model).filter("lang_pred IS NULL").count() == 0
+
+
+# --- scorers, document by document ------------------------------------------------------------
+
+
+def one_hash(word: str, small: bool) -> np.ndarray:
+    data = np.frombuffer(word.encode(), np.uint8)
+    return hash_spans(data, np.array([0]), np.array([len(data)]), small)
+
+
+def test_toxicity_scores_one_by_one(spark):
+    dice = np.random.default_rng(4)
+    weights = {int(b): float(dice.normal()) for b in dice.choice(1 << toxicity.BITS, 200_000, replace=False)} | {1 << toxicity.BITS: -0.3}
+    found = {r["doc_id"]: r for r in toxicity.score(documents(spark), weights).collect()}
+    for i, text in enumerate(texts()):
+        own = letter_words(text or "")
+        hashes = [one_hash(w, True) for w in own]
+        grams = {int(h[0]) for h in hashes}
+        for gap in (1, 2):
+            grams |= {int(mix(join_hashes(a, b), gap)[0]) for a, b in zip(hashes, hashes[gap:])}
+        buckets = {gram >> (64 - toxicity.BITS) for gram in grams}
+        total = sum(weights.get(b, 0.0) for b in buckets) - 0.3
+        expected = 1 / (1 + math.exp(-max(-35, min(35, total))))
+        assert found[i]["score"] == pytest.approx(expected, abs=1e-9), i
+        assert found[i]["predicted"] == int(found[i]["score"] >= toxicity.THRESHOLD)
+
+
+def letter_words(text: str) -> list[str]:
+    """Runs of letters and digits of any script, as the operator has them."""
+    kept = "".join(c if c.isascii() and c.isalnum() or ord(c) > 127 else " " for c in text)
+    return [w for w in kept.split(" ") if w]
+
+
+def test_quality_scores_one_by_one(spark):
+    """Passages, codes, attention and score in plain loops, also of a text of 12,000 words."""
+    model = passages.start_weights(3)
+    found = {r["doc_id"]: r["score"] for r in passages.score(documents(spark), model).collect()}
+    for i, text in enumerate(texts()):
+        own = [w.encode() for w in words(text)]
+        count = max(1, -(-len(own) // passages.PASSAGE_WORDS))
+        seen: set[bytes] = set()
+        codes, raws = [], []
+        for p in range(count):
+            part = [w for k, w in enumerate(own) if k * count // max(len(own), 1) == p]
+            shares, hashed, fresh = np.zeros(129), np.zeros(passages.WORD_BUCKETS), 0
+            for w in part:
+                for byte in w:
+                    shares[min(byte, 128)] += 1
+                hashed[int(one_hash(w.decode(), False)[0]) >> 57] += 1
+                fresh += w not in seen
+                seen.add(w)
+            size, n_bytes = max(len(part), 1), max(shares.sum(), 1)
+            x = np.concatenate([np.sqrt(shares / n_bytes) * 2, np.sqrt(hashed / size), [fresh / size, math.log1p(len(part)) / 5, n_bytes / size / 10]])
+            code = np.tanh(x @ model["E"] + model["e"])
+            raws.append(float((np.tanh(code @ model["V"]) / (1 + np.exp(-(code @ model["U"])))) @ model["w"]))
+            codes.append(code)
+        attention = np.exp(np.array(raws) - max(raws))
+        mean = (attention / attention.sum()) @ np.array(codes)
+        assert found[i] == pytest.approx(1 / (1 + math.exp(-float(mean @ model["c"] + model["b"][0]))), abs=1e-4), i
+
+
+def test_long_texts_get_more_passages():
+    texts_of = next(text_chunks(pa.array([" ".join(["word"] * 20_000)])))
+    assert np.diff(passages.passages(texts_of)[1]).tolist() == [313]
+    assert np.diff(passages.passages(texts_of, passages.MAX_PASSAGES)[1]).tolist() == [32]
+
+
+# --- names and types --------------------------------------------------------------------------
+
+
+def clashing(df):
+    """More columns, whose names differ from those that are read in case alone, and a type whose name needs quotes."""
+    odd = [F.lit(x).alias(name) for name, x in (("TEXT", 1), ("Doc_Id", "x"), ("LANG", 2.5), ("Source", True), ("VEC_ID", "v"), ("Label", 3))]
+    return df.select("*", *odd, F.struct(F.lit(1).alias("a-b"), F.lit("c").alias("select")).alias("odd `name`"))
+
+
+def counted(df) -> list[tuple]:
+    return sorted((tuple(row) for row in df.collect()), key=repr)
+
+
+RANKS = bpe.public_tokenizers.path("byte_bpe_50k.tiktoken")
+
+OPERATORS = {
+    "quality": lambda d: passages.score(d, passages.start_weights()),
+    "ngram_join": lambda d: ngram_join.groups(d, 3, 90),
+    "language": lambda d: language.predict(d, language.train(d)),
+    "packing": lambda d: packing.pack(d).groupBy("doc_id", "n_tokens").count(),
+    "rules": lambda d: rules.quality(d).select("doc_id", "n_words", "n_repeat_words", "base_failed"),
+    "maxent": lambda d: maxent.lm_scores(d).select("doc_id", "n_tokens", "n_known", "train_tokens"),
+    "substrings": lambda d: substrings.dedup(d).toDF(*[f"c{i}" for i in range(len(d.columns) + 2)]).select("c0", F.col(f"c{len(d.columns) + 1}")),
+    "toxicity": lambda d: toxicity.score(d, {5: 1.0}),
+    "bpe": lambda d: bpe.digests(d, RANKS, bpe.public_tokenizers.PATTERN),
+    "divergence": divergence.audit,
+    "secrets": lambda d: secret_scan.scan(d, ["word"]),
+}
+
+
+@pytest.mark.parametrize("name", list(OPERATORS))
+def test_other_columns_are_not_read(spark, name):
+    plain = odd_documents(spark)
+    assert counted(OPERATORS[name](clashing(plain))) == counted(OPERATORS[name](plain))
+
+
+@pytest.mark.parametrize("name, stage", corpus_pipeline.STAGES)
+def test_stages_carry_other_columns(spark, name, stage):
+    plain = odd_documents(spark)
+    found, expected = stage(spark, clashing(plain), ""), stage(spark, plain, "")
+    if stage is corpus_pipeline.STAGES[-1][1]:
+        assert counted(found.select("doc_id", "n_tokens")) == counted(expected.select("doc_id", "n_tokens"))
+        return
+    assert found.columns == clashing(plain).columns
+    assert [f.dataType for f in found.schema] == [f.dataType for f in clashing(plain).schema]
+    own = [f"c{i}" for i in range(len(found.columns))]
+    kept = counted(found.toDF(*own).select(*own[: len(plain.columns)]))
+    assert kept == counted(expected)
+
+
+def test_learning_beside_clashing_names(spark):
+    docs = clashing(odd_documents(spark))
+    labels = spark.createDataFrame([(i, i % 2, "x", 9) for i in range(40)], "doc_id long, toxic int, TOXIC string, DOC_ID int")
+    assert labelled_sample(docs, labels, "toxic", 10).count() > 5
+
+
+def test_vectors_beside_clashing_names(spark):
+    rows = [(1, [1.0, 0.0], 1, "x", "y", 2), (2, [1.0, 0.01], 1, "x", "y", 2), (3, [0.0, 1.0], 1, "x", "y", 2)]
+    table = spark.createDataFrame(rows, "vec_id long, embedding array<float>, label int, VEC_ID string, Label string, EMBEDDING int")
+    assert counted(forest.groups(table, 0.93)) == [(1, 1, 1, True), (2, 1, 1, False), (3, 0, 3, True)]
+
+
+def test_conversations_beside_clashing_names(spark):
+    plain = spark.createDataFrame([(1, 1, "user", "Hi."), (1, 2, "assistant", "cut")], "conv_id long, turn long, role string, text string")
+    assert counted(conversations.repair(clashing(plain))) == counted(conversations.repair(plain))
