@@ -4,16 +4,18 @@ from __future__ import annotations
 
 import hashlib
 import math
+import random as dice_of
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
 from fareweather.llm import forest, ngram_join, signature_tree, substrings
 from fareweather.llm.components import components
 from fareweather.llm.signature_tree import linked
-from fareweather.llm.text import mix
+from fareweather.llm.text import distinct_shingles, mix, text_chunks
 from tests.llm.fixtures import documents, lower, no_documents, odd_documents, roots, texts, words
 
 
@@ -84,7 +86,6 @@ def test_parts_never_lose_a_link():
 def test_signature_trees_connect_what_links(monkeypatch):
     random = np.random.default_rng(0)
     for trial in range(60):
-        monkeypatch.setattr(signature_tree, "PIVOTS", int(random.integers(0, 4)))
         monkeypatch.setattr(signature_tree, "FAN", int(random.choice([2, 3, 8])))
         monkeypatch.setattr(signature_tree, "BLOCK", int(random.choice([256, 1 << 16])))
         percent, n = int(random.choice([50, 80, 90])), int(random.integers(2, 60))
@@ -114,6 +115,29 @@ def test_keep_one_of_each_group(spark):
     assert ids == sorted(r["doc_id"] for r in groups.filter("doc_id = component_id").collect())
 
 
+def test_rows_are_judged_by_their_own_text(spark):
+    """Other texts of an id stay; of copies the one of least id does, whatever its other rows."""
+    dice = dice_of.Random(2)
+    a, b, c = (" ".join(f"w{dice.randrange(10**6)}" for _ in range(40)) for _ in range(3))
+    rows = [(0, a), (1, a), (1, b), (2, c), (2, c), (None, b), (None, c + " more"), (None, "own words of no one else at all"), (3, ""), (3, ""), (None, None)]
+    for order in (rows, rows[::-1]):
+        kept = ngram_join.keep_one(spark.createDataFrame(order, "doc_id long, text string").repartition(3))
+        found = sorted((tuple(r) for r in kept.collect()), key=repr)
+        assert found == sorted([(0, a), (1, b), (2, c), (None, "own words of no one else at all"), (3, ""), (3, ""), (None, None)], key=repr)
+
+
+def test_the_traversal_decides(spark):
+    """On the given table links are found by the trees, which drop pairs of nodes without looking at their sets."""
+    texts_of = [r["text"] for r in spark.read.parquet("/root/testdata/sf0.01/documents.parquet").collect()]
+    batch = pa.array(texts_of, pa.string())
+    chunks = list(text_chunks(batch))
+    values, offsets = zip(*(distinct_shingles(chunk, 3, True) for chunk in chunks))
+    sets = [v[a:b] for v, o in zip(values, offsets) for a, b in zip(o[:-1], o[1:]) if b > a]
+    join = signature_tree.Join(np.concatenate(sets), np.concatenate([[0], np.cumsum([len(s) for s in sets])]), 90, None, None)
+    links = join.run()
+    assert len(links) >= 20 and join.dropped > 10 * len(sets) and join.compared < len(sets)
+
+
 def test_components_of_long_paths_and_stars(spark):
     pairs = [(i, i + 1) for i in range(200)] + [(1000, i) for i in range(1001, 1100)] + [(5000, 5000), (None, 3)]
     found = {r["node"]: r["component"] for r in components(spark.createDataFrame(pairs, "a long, b long")).collect()}
@@ -212,10 +236,10 @@ def expected_links(rows: list[tuple], cosine: float) -> list[tuple[int, int]]:
     ]
 
 
-@pytest.mark.parametrize(("leaf", "block"), [(512, 4096), (40, 4096), (16, 9)])
+@pytest.mark.parametrize(("leaf", "block"), [(512, 4096), (40, 4096), (16, 60), (16, 9)])
 def test_vector_groups(spark, monkeypatch, leaf, block):
     monkeypatch.setattr(forest, "LEAF", leaf)
-    monkeypatch.setattr(forest, "BLOCK", block)
+    monkeypatch.setattr(forest, "BLOCK_BYTES", block * 16 * 8)
     rows = vectors()
     pairs = expected_links(rows, 0.9)
     degree = Counter(x for pair in pairs for x in pair)
@@ -230,6 +254,70 @@ def test_vector_groups(spark, monkeypatch, leaf, block):
     assert all(r["kept"] == (r["vec_id"] == r["component_id"]) for r in found)
 
 
+def unit(x: np.ndarray) -> np.ndarray:
+    return x / np.linalg.norm(x, axis=1, keepdims=True)
+
+
+def planted(random: np.random.Generator, n: int, dim: int, common: float) -> tuple[np.ndarray, list[tuple[int, int]]]:
+    """Vectors with cosine ``common`` to each other, and pairs of them at 0.931 to 0.94."""
+    centre = unit(random.normal(size=(1, dim)))
+    x = unit(np.sqrt(common) * centre + np.sqrt(1 - common) * unit(random.normal(size=(n, dim))))
+    pairs = [(2 * i, 2 * i + 1) for i in range(n // 20)]
+    for a, b in pairs:
+        aside = random.normal(size=dim)
+        aside -= aside @ x[a] * x[a]
+        c = random.uniform(0.931, 0.94)
+        x[b] = c * x[a] + np.sqrt(1 - c * c) * aside / np.linalg.norm(aside)
+    return x, pairs
+
+
+@pytest.mark.parametrize("common", [0.0, 0.5, 0.7])
+def test_recall_near_the_threshold_at_shipped_constants(common):
+    """One label of 24,000 vectors; the given tables hold no link."""
+    x, pairs = planted(np.random.default_rng(11), 24_000, 64, common)
+    found, rows = set(), 0
+    for leaf in forest.leaves(x, 77, forest.TREES, 0.93):
+        rows += len(leaf)
+        for p, q in forest.close(x[leaf], 0.93):
+            found.update(zip(leaf[p].tolist(), leaf[q].tolist()))
+    met = sum((a, b) in found or (b, a) in found for a, b in pairs)
+    assert met >= 0.95 * len(pairs)
+    assert len(x) < rows <= 20 * forest.TREES * len(x)
+
+
+@pytest.mark.parametrize("n", [5_000, 20_000, 80_000])
+@pytest.mark.parametrize("common", [0.8, 0.9])
+def test_dense_labels_are_not_cut_for_ever(n, common):
+    """A cut that most points would cross on both sides is given up: a dense label is one part, once."""
+    random = np.random.default_rng(n)
+    centre = unit(random.normal(size=(1, 64)))
+    x = unit(np.sqrt(common) * centre + np.sqrt(1 - common) * unit(random.normal(size=(n, 64))))
+    assert sum(len(leaf) for leaf in forest.leaves(x, n, forest.TREES, 0.93)) <= 2 * n
+
+
+@pytest.mark.parametrize("block", [1 << 20, 1 << 17])
+def test_recall_where_labels_are_cut_by_spark(spark, monkeypatch, block):
+    """One label that is too large for a task, cut in rounds and compared in parts."""
+    monkeypatch.setattr(forest, "BLOCK_BYTES", block)
+    x, pairs = planted(np.random.default_rng(12), 6_000, 64, 0.2)
+    table = spark.createDataFrame([(i, v.tolist(), 1) for i, v in enumerate(x)], "vec_id long, embedding array<double>, label int")
+    found = {r["vec_id"]: r["component_id"] for r in forest.groups(table, 0.93).collect()}
+    assert sum(found[a] == found[b] for a, b in pairs) >= 0.95 * len(pairs)
+    linked = sum(vec_id != component for vec_id, component in found.items())
+    assert linked <= len(pairs)
+
+
+def test_dense_label_over_several_blocks(spark, monkeypatch):
+    monkeypatch.setattr(forest, "BLOCK_BYTES", 64 * 8 * 150)
+    random = np.random.default_rng(13)
+    x = unit(np.sqrt(0.92) * unit(random.normal(size=(1, 64))) + np.sqrt(0.08) * unit(random.normal(size=(700, 64))))
+    table = spark.createDataFrame([(i, v.tolist(), "x") for i, v in enumerate(x)], "vec_id long, embedding array<double>, label string")
+    near = np.triu(x @ x.T >= 0.93, 1)
+    degree = (near | near.T).sum(axis=1)
+    for row in forest.groups(table, 0.93).collect():
+        assert row["n_links"] == degree[row["vec_id"]]
+
+
 def test_vector_edge_rows(spark):
     schema = "vec_id long, embedding array<float>, label int, rid long, v binary"
     assert forest.groups(spark.createDataFrame([], schema), 0.93).count() == 0
