@@ -25,8 +25,9 @@ labelled rows: all its texts with a letter stay.
 
 Defined cases: null texts and texts without a letter are ``und`` with score 0; so is every text
 if no labelled row exists; rows without an id are held out, rows with a null language are not
-learned from; repeated rows get the same answer; ties go to the first language in order; other
-columns are never read.
+learned from; repeated rows get the same answer; ties go to the first language in order, and of equally
+frequent languages at the bound the first in order are learned; very long texts count whole; an
+empty table gives an empty result; other columns are never read, whatever their names.
 """
 
 from __future__ import annotations

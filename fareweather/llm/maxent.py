@@ -20,7 +20,9 @@ word's hash, each distinct word of a document once.
 
 Defined cases: a null, empty or blank text is the end alone; without training rows all counts are
 zero and the model is uniform; rows without an id are held out; repeated rows are scored each;
-other columns are never read. Counts are exact up to collisions of 64-bit hashes.
+very long texts count whole; words equally frequent at the edge of the head are taken in the order
+of their hashes; an empty table gives an empty result; other columns are never read, whatever their
+names. Counts are exact up to collisions of 64-bit hashes.
 """
 
 from __future__ import annotations

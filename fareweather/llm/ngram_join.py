@@ -17,8 +17,9 @@ A document's set holds its distinct shingles. Two documents link when ``100 * ov
 
 Defined cases: null, empty and blank texts have no shingle and stay alone; a text of fewer words
 than a shingle has one shingle, its whole sequence; equal texts always link; repeated ids count
-as one document each row, rows without an id can link but don't name a group; an empty table
-gives an empty result; other columns are never read. Exact up to collisions of 64-bit hashes.
+as one document each row, rows without an id can link but don't name a group; very long texts count
+whole; of equal ids and sizes the set of least fingerprint comes first; an empty table gives an empty
+result; other columns are never read, whatever their names. Exact up to collisions of 64-bit hashes.
 """
 
 from __future__ import annotations

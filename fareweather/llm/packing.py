@@ -13,8 +13,10 @@ each length, dealt over ``PIECES_PER_DEAL`` sized deals, so that a length that v
 not one task's; every piece then looks its place up in the plan.
 
 Defined cases: a null, empty or blank text is one token, its end; repeated rows are packed each;
-rows without an id are packed like all others; an empty table gives an empty result; other
-columns are never read.
+rows without an id are packed like all others; a text longer than the
+largest bin is cut into pieces; pieces of one length are dealt in a fixed order, and of bins that
+cost the same the smallest is opened; an empty table gives an empty result; other columns are never
+read, whatever their names.
 """
 
 from __future__ import annotations

@@ -10,8 +10,9 @@ the fit itself sees these counts only. Posterior log odds are a sum over the rul
 computed by built-in functions.
 
 Defined cases: a null or empty text has no words, fails the base rule and is not kept; nulls and
-clashing names in other columns don't matter; repeated rows each get their own row; a table
-without rows gives no rows; where all documents vote alike the prior stays at its start value.
+clashing names in other columns don't matter, as columns go by place; repeated rows each get their
+own row; very long texts count whole; a posterior of exactly one half is kept; a table without rows
+gives no rows; where all documents vote alike the prior stays at its start value.
 """
 
 from __future__ import annotations

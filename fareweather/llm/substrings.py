@@ -21,7 +21,7 @@ followed further.
 Defined cases: null, empty and blank texts have no words; a text shorter than a window loses
 nothing; rows with the same id and the same words count as one document and get the same result;
 of rows with the same id and other words a fixed one counts as earlier; rows without an id come
-after all others; an empty table gives an empty result. Other columns are carried along as they
+after all others; very long texts count whole; an empty table gives an empty result. Other columns are carried along as they
 are, whatever their names. Exact up to collisions of 64-bit hashes.
 """
 

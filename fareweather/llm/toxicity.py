@@ -12,7 +12,9 @@ Scoring covers all rows and shuffles nothing.
 
 Defined cases: null and empty texts have no features and get the score of the intercept; without
 labelled rows every score is 0.5 and every prediction 1; rows without an id are held out;
-repeated rows are scored alike; other columns are never read.
+repeated rows are scored alike, a repeated labelled id counts once; very long texts count whole; a
+score equal to the threshold is predicted 1; an empty table gives an empty result; other columns
+are never read, whatever their names.
 """
 
 from __future__ import annotations
