@@ -10,7 +10,7 @@ from types import ModuleType
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fareweather.functions.clock import hour_of_day, hour_start, weekday
+from fareweather.functions.clock import hour_from_key, hour_of_day, hour_start, weekday
 from fareweather.functions.trips import distance_category, fact_trips, tip_percentage, trip_duration
 from fareweather.functions.weather import dim_weather, weather_category
 from fareweather.operators.hour_join import enrich_trips
@@ -24,7 +24,7 @@ from fareweather.operators.summaries import (
     trip_summary_from_enriched,
 )
 from fareweather.plans.flows import FlowConfig, run_trip_batch, run_weather_batch
-from fareweather.plans.models import STAGING, WEATHER_MODELS, build_models, read_model
+from fareweather.plans.models import STAGING, WEATHER_MODELS, build_models, read_model, stored_totals
 from fareweather.schemas import RAW_WEATHER
 from fareweather.session import scratch_folder, use_session_defaults
 from fareweather.sources import sample_feeds as feeds
@@ -243,6 +243,19 @@ def trip_enriched_busy_hours(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def trip_enriched_copies(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A third of the trips are copies of one trip; its hour is cut into cells that the copies fill evenly."""
+    copied = F.col("PULocationID") % 3 == 0
+    moment = F.when(copied, F.lit("2024-01-01 12:30:00").cast("timestamp_ntz")).otherwise(F.col("tpep_pickup_datetime"))
+    trips = _fact(spark, sf_dir).select(
+        moment.alias("tpep_pickup_datetime"), F.when(copied, F.lit(0)).otherwise(F.col("PULocationID")).alias("PULocationID")
+    )
+    joined = enrich_trips(trips, feeds.reported_weather(spark, sf_dir), broadcast_limit=0, cell_pairs=1_000)
+    return joined.groupBy("weather_category").agg(
+        F.count(F.lit(1)).alias("pairs"), F.sum("PULocationID").alias("zones"), F.max("temperature").alias("warmest")
+    )
+
+
 def trip_summary_per_hour(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _rounded(trip_summary(_totals(spark, sf_dir), feeds.reported_weather(spark, sf_dir)))
 
@@ -511,6 +524,24 @@ def jdbc_append(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _wall_clock(warehouse.table("dim_weather"))
 
 
+def jdbc_month_replaced(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One month of three is emptied in the database and filled again from the lake; the others stay."""
+    warehouse, months = _jdbc_warehouse(spark), [(1996, 3), (1997, 11), (1997, 12)]
+    trips = fact_trips(read_lake(spark, _monthly_lake(spark, sf_dir), months), "year", "month")
+    warehouse.replace("fact_taxi_trips", trips)
+    for part in (trips.where("false"), trips):
+        warehouse.replace_months("fact_taxi_trips", part, months[1:2])
+    return _by_month(warehouse)
+
+
+def _by_month(warehouse) -> DataFrame:
+    return (
+        warehouse.all_months("fact_taxi_trips")
+        .groupBy("year", "month")
+        .agg(F.count(F.lit(1)).alias("trips"), F.round(F.sum("total_amount"), 2).alias("total_spent"))
+    )
+
+
 # --- end to end --------------------------------------------------------------------------------
 
 
@@ -533,10 +564,44 @@ def fact_month_replaced(spark: SparkSession, sf_dir: str) -> DataFrame:
         "fact_taxi_trips", config.warehouse.table("fact_taxi_trips", months[1:2]).where("fare_amount < 0").checkpoint(), months[1:2]
     )
     run_trip_batch(spark, config, months[1:2], transform_periods=months[1:2], models=())
+    return _by_month(config.warehouse)
+
+
+def months_under_a_reader(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A frame opened before months are replaced, read after it, and the table as it is then."""
+    warehouse, months = _lake_warehouse(spark), [(1996, 3), (1997, 11), (1997, 12)]
+    trips = fact_trips(read_lake(spark, _monthly_lake(spark, sf_dir), months), "year", "month")
+    warehouse.replace("fact_taxi_trips", trips)
+    opened = warehouse.all_months("fact_taxi_trips")
+    warehouse.replace_months("fact_taxi_trips", trips.where("fare_amount < 0"), months[1:])
+    both = [frame.withColumn("opened", F.lit(when)) for frame, when in ((opened, "before"), (warehouse.all_months("fact_taxi_trips"), "after"))]
+    return both[0].unionByName(both[1]).groupBy("opened", "year", "month").agg(F.count(F.lit(1)).alias("trips"))
+
+
+def trip_totals_stored(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Totals by landed month, two months of which were replaced after the others were summed."""
+    config, months = _flow_config(spark, sf_dir), feeds.trip_months(feeds.monthly_trips(spark, sf_dir))
+    run_trip_batch(spark, config, months[2:], models=())
+    stored_totals(config.warehouse)
+    run_trip_batch(spark, config, months[:2], transform_periods=months[:2], models=())
+    totals = stored_totals(config.warehouse)
+    sums = [F.sum(name).alias(name) for name in ("trips", "seconds", "timed_trips", "tipped_trips")]
+    return totals.groupBy(hour_from_key(F.col("hour_key")).alias("hour"), "passenger_count").agg(
+        *sums, F.round(F.sum("spent"), 4).alias("spent")
+    )
+
+
+def weather_stepwise_run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The joined table after weather came in two parts; the second one rebuilds its months alone."""
+    config, documents = _flow_config(spark, sf_dir), feeds.order_documents(spark, sf_dir)
+    first = F.pmod(F.xxhash64("value"), F.lit(2)) == 0
+    run_weather_batch(spark, config, documents.where(first), models=())
+    run_trip_batch(spark, config, feeds.trip_months(feeds.monthly_trips(spark, sf_dir)))
+    run_weather_batch(spark, config, documents.where(~first))
     return (
-        config.warehouse.all_months("fact_taxi_trips")
-        .groupBy("year", "month")
-        .agg(F.count(F.lit(1)).alias("trips"), F.round(F.sum("total_amount"), 2).alias("total_spent"))
+        config.warehouse.table("trip_enriched")
+        .groupBy("weather_category", "pickup_hour")
+        .agg(F.count(F.lit(1)).alias("trips"), F.round(F.sum("total_amount"), 4).alias("total_spent"))
     )
 
 
@@ -567,6 +632,7 @@ QUERIES: dict[str, Query] = {
     "trip_enriched": trip_enriched,
     "trip_enriched_in_cells": trip_enriched_in_cells,
     "trip_enriched_busy_hours": trip_enriched_busy_hours,
+    "trip_enriched_copies": trip_enriched_copies,
     "trip_summary_per_hour": trip_summary_per_hour,
     "trip_summary_of_enriched": trip_summary_of_enriched,
     "positive_passenger_trips": positive_passengers,
@@ -593,9 +659,13 @@ QUERIES: dict[str, Query] = {
     "weather_quarantine": weather_quarantine,
     "jdbc_overwrite": jdbc_overwrite,
     "jdbc_append": jdbc_append,
+    "jdbc_month_replaced": jdbc_month_replaced,
     "fact_month_replaced": fact_month_replaced,
+    "months_under_a_reader": months_under_a_reader,
+    "trip_totals_stored": trip_totals_stored,
     "trip_batch_run": trip_batch_run,
     "weather_batch_run": weather_batch_run,
+    "weather_stepwise_run": weather_stepwise_run,
 }
 
 
@@ -738,6 +808,11 @@ def _engine_oracles() -> dict[str, str]:
     summary = event_models + SUMMARY_QUERY
     stats = event_models + STATS_QUERY.format(table="enriched", places=4)
     month = "CAST(year(tpep_pickup_datetime) AS INTEGER) AS year, CAST(month(tpep_pickup_datetime) AS INTEGER) AS month"
+    three_months = f"""
+SELECT {month}, count(*) AS trips, round(sum(total_amount), 2) AS total_spent
+FROM ({MONTHLY_TRIPS}) AS raw
+WHERE (year(tpep_pickup_datetime), month(tpep_pickup_datetime)) IN ((1996, 3), (1997, 11), (1997, 12))
+GROUP BY 1, 2"""
     period_counts = """
 feed AS (SELECT l_shipdate AS day FROM lineitem UNION ALL SELECT ts AS day FROM events),
 years AS (SELECT DISTINCT CAST(year(day) AS INTEGER) AS year FROM feed),
@@ -782,6 +857,14 @@ WITH trips AS (SELECT CAST("PULocationID" % 50 AS INTEGER) AS h, "PULocationID"
 SELECT TIMESTAMP '2024-01-01 00:00:00' + z.h * INTERVAL 1 HOUR AS hour, weather_category,
        CAST(z.n * coalesce(r.n, 1) AS BIGINT) AS pairs, CAST(zones * coalesce(r.n, 1) AS BIGINT) AS zones, warmest
 FROM zones AS z LEFT JOIN readings AS r ON z.h = r.h""",
+        "trip_enriched_copies": f"""
+WITH trips AS (SELECT CASE WHEN "PULocationID" % 3 = 0 THEN TIMESTAMP '2024-01-01 12:30:00' ELSE tpep_pickup_datetime END AS moment,
+                      CASE WHEN "PULocationID" % 3 = 0 THEN 0 ELSE "PULocationID" END AS zone
+               FROM ({EVENT_TRIPS}) AS t),
+     weather AS ({REPORTED_WEATHER})
+SELECT weather_category, count(*) AS pairs, CAST(sum(zone) AS BIGINT) AS zones, max(temperature) AS warmest
+FROM trips LEFT JOIN weather AS w ON date_trunc('hour', w."timestamp") = date_trunc('hour', moment)
+GROUP BY weather_category""",
         "trip_summary_per_hour": summary,
         "trip_summary_of_enriched": summary,
         "positive_passenger_trips": f"SELECT * FROM ({fact}) AS fact WHERE passenger_count > 0",
@@ -846,11 +929,23 @@ SELECT CASE WHEN event_type IN ('error', 'signup') THEN 'weather_quarantine' ELS
 FROM events GROUP BY 1""",
         "jdbc_overwrite": fact,
         "jdbc_append": _event_weather("ts"),
-        "fact_month_replaced": f"""
-SELECT {month}, count(*) AS trips, round(sum(total_amount), 2) AS total_spent
-FROM ({MONTHLY_TRIPS}) AS raw
+        "jdbc_month_replaced": three_months,
+        "fact_month_replaced": three_months,
+        "months_under_a_reader": f"""
+SELECT opened, {month}, count(*) AS trips
+FROM ({MONTHLY_TRIPS}) AS raw, (VALUES ('before'), ('after')) AS frames(opened)
 WHERE (year(tpep_pickup_datetime), month(tpep_pickup_datetime)) IN ((1996, 3), (1997, 11), (1997, 12))
-GROUP BY 1, 2""",
+  AND (opened = 'before' OR month(tpep_pickup_datetime) = 3 OR fare_amount < 0)
+GROUP BY ALL""",
+        "trip_totals_stored": f"""
+SELECT date_trunc('hour', tpep_pickup_datetime) AS hour, passenger_count, count(*) AS trips,
+       CAST(sum(trip_duration) AS BIGINT) AS seconds, count(trip_duration) AS timed_trips,
+       count(tip_percentage) AS tipped_trips, round(sum(total_amount), 4) AS spent
+FROM (SELECT {FACT_COLUMNS} FROM ({MONTHLY_TRIPS}) AS raw) AS fact GROUP BY 1, 2""",
+        "weather_stepwise_run": monthly_models
+        + """
+SELECT weather_category, pickup_hour, count(*) AS trips, round(sum(total_amount), 4) AS total_spent
+FROM enriched GROUP BY weather_category, pickup_hour""",
         "trip_batch_run": monthly_models + STATS_QUERY.format(table="enriched", places=2) + HIGH_VALUE_LIMITS,
         "weather_batch_run": monthly_models + SUMMARY_QUERY,
     }

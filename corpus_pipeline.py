@@ -6,6 +6,13 @@ documents, language identification those in none of the labelled languages (with
 rows, those without a letter), the near-duplicate stage all but one of each group of documents
 that share 80 % of their five-word shingles, passages of 20 words that occur earlier are cut from
 the texts, and what is left is packed into sequences.
+
+Defined cases, the same in all stages: null, empty and blank texts fail the quality rules, so later
+stages don't meet them; each stage on its own takes them, and its function says what becomes of
+them. Very long texts count whole. Repeated rows and ids are judged row by row. Rows without an id
+are taken like others and come last where ids are compared. Columns go by place: further columns,
+whatever their names and types, are carried along by all stages but the last. An empty table gives
+an empty one.
 """
 
 from __future__ import annotations
@@ -21,22 +28,27 @@ from fareweather.session import scratch_folder
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Drops texts without words and what the rules' posterior takes for junk; one half is kept."""
     return keep_good(docs)
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Drops texts without a letter and those too far from each learned language; ties go to the first one."""
     return keep_identified(docs)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Keeps of each group of similar texts the row of least id; texts without words are all kept."""
     return keep_one(docs, words=5, percent=80)
 
 
 def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Cuts passages that occur earlier by id; drops no row, leaves texts without words as they are."""
     return drop_repeats(docs, window=20)
 
 
 def packed_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Places each text, also an empty one (its end alone), in pieces if it is longer than a bin."""
     return pack(docs)
 
 
