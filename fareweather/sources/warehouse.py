@@ -91,7 +91,10 @@ class LakeWarehouse:
 
     def create_empty(self, name: str) -> None:
         if self.snapshot(name) is None:
-            self.replace(name, self.spark.createDataFrame([], TABLES[name]))
+            if name in PARTITION_KEYS:  # a snapshot of no folders
+                self._commit(name, lambda old: old if old.number else old.of([]))
+            else:
+                self.replace(name, self.spark.createDataFrame([], TABLES[name]))
         elif not self.spark.catalog.tableExists(f"{self.database}.{name}"):
             self.publish(name)
 

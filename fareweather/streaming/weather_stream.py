@@ -22,6 +22,9 @@ STREAM_SCHEMA = StructType([*RAW_WEATHER.fields, *ERROR_PAYLOAD.fields]).add(COR
 # Bounds one micro-batch, and with it the file list the driver plans, when much has piled up.
 FILES_PER_BATCH = 100_000
 
+# So many landed files are read by a few tasks, and so written to a few files, anyway.
+FEW_FILES = 64
+
 
 def weather_source(
     spark: SparkSession, landing: str, files_per_batch: int = FILES_PER_BATCH, archive: str | None = None
@@ -67,16 +70,19 @@ def start_weather_stream(
     warehouse.create_empty("dim_weather")
     warehouse.create_empty("weather_quarantine")
 
+    def sized(rows: DataFrame) -> DataFrame:
+        """Rows exchanged once so that files get a fit size, unless the batch is too small to make many."""
+        return rows.hint("rebalance") if files_per_batch > FEW_FILES else rows
+
     def write_batch(batch: DataFrame, batch_id: int) -> None:
         stream_id = batch.sparkSession.sparkContext.getLocalProperty(QUERY_ID) or "stream"
         dated = F.lit(True) if keep_undated else F.col("dt").isNotNull()
         # One pass: what else there is to know is counted while the rows are written.
         noticed = Observation()
         watched = batch.observe(noticed, F.count_if(~dated).alias("undated"), F.collect_set(_month()).alias("months"))
-        warehouse.append_batch("dim_weather", dim_weather(watched.where(dated)).hint("rebalance"), batch_id, stream_id)
+        warehouse.append_batch("dim_weather", sized(dim_weather(watched.where(dated))), batch_id, stream_id)
         if noticed.get["undated"]:
-            undated = quarantine_rows(batch.where(~dated)).hint("rebalance")
-            warehouse.append_batch("weather_quarantine", undated, batch_id, stream_id)
+            warehouse.append_batch("weather_quarantine", sized(quarantine_rows(batch.where(~dated))), batch_id, stream_id)
             warehouse.publish("weather_quarantine")
         if seen is not None:
             seen.update((month // 12, month % 12 + 1) for month in noticed.get["months"])
