@@ -8,6 +8,7 @@ very many links is not one group in one task. Nothing is collected but two numbe
 
 from __future__ import annotations
 
+import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -54,3 +55,17 @@ def _small_stars(edges: DataFrame) -> DataFrame:
     hung = real.join(least, "u").filter("v != m").select(F.col("v").alias("u"), F.col("m").alias("v"))
     alone = edges.filter("u = v")
     return hung.unionByName(least.select("u", F.col("m").alias("v"))).unionByName(alone).distinct()
+
+
+def merged(hub: np.ndarray, p: np.ndarray, q: np.ndarray) -> np.ndarray:
+    """Hubs after joining pairs of hubs: always the least place that can be reached."""
+    while len(p):
+        low, high = np.minimum(p, q), np.maximum(p, q)
+        hub = hub.copy()
+        np.minimum.at(hub, high, low)
+        while (hub[hub] != hub).any():
+            hub = hub[hub]
+        p, q = hub[p], hub[q]
+        apart = p != q
+        p, q = p[apart], q[apart]
+    return hub

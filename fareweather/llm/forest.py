@@ -39,7 +39,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fareweather.llm.components import components
+from fareweather.llm.components import components, merged
 from fareweather.llm.tasks import batch_of, by_place, grouped_stream, small_batches, stored
 
 TREES = 8
@@ -370,20 +370,6 @@ def counted(points: DataFrame, joined: DataFrame, cosine: float) -> DataFrame:
     return found.groupBy("rid").agg(F.sum("links").alias("links"))
 
 
-def merged(hub: np.ndarray, p: np.ndarray, q: np.ndarray) -> np.ndarray:
-    """Hubs after joining pairs of hubs: always the least place that can be reached."""
-    while len(p):
-        low, high = np.minimum(p, q), np.maximum(p, q)
-        hub = hub.copy()
-        np.minimum.at(hub, high, low)
-        while (hub[hub] != hub).any():
-            hub = hub[hub]
-        p, q = hub[p], hub[q]
-        apart = p != q
-        p, q = p[apart], q[apart]
-    return hub
-
-
 def groups(embeddings: DataFrame, cosine: float) -> DataFrame:
     """``vec_id``, ``n_links``, ``component_id`` and ``kept`` of every vector."""
     small_batches(embeddings.sparkSession)

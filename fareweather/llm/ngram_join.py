@@ -31,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from fareweather.llm.components import components
+from fareweather.llm.components import components, merged
 from fareweather.llm.signature_tree import linked
 from fareweather.llm.tasks import appended, batch_of, by_place, grouped_stream, small_batches, stored
 from fareweather.llm.text import Texts, distinct_shingles, mix, set_fingerprints, signed, text_chunks
@@ -189,9 +189,7 @@ def blocked(sets: DataFrame, groups: DataFrame) -> DataFrame:
     Tokens are added up by group and size, so that no window holds a group's members; sets of one
     size are dealt by their hash to the blocks that their tokens fill.
     """
-    members = stored(
-        sets.select("set", "n", "row").join(groups.select(F.col("node").alias("set"), F.col("component").alias("grp")), "set")
-    )
+    members = sets.select("set", "n", "row").join(groups.select(F.col("node").alias("set"), F.col("component").alias("grp")), "set")
     tokens = members.groupBy("grp", "n").agg((F.count("*") * F.col("n")).alias("own"))
     upto = Window.partitionBy("grp").orderBy("n").rowsBetween(Window.unboundedPreceding, -1)
     begun = tokens.withColumn("before", F.coalesce(F.sum("own").over(upto), F.lit(0)))
@@ -201,7 +199,7 @@ def blocked(sets: DataFrame, groups: DataFrame) -> DataFrame:
 
 
 def tree_links(documents: DataFrame, dealt: DataFrame, words: int, percent: int) -> DataFrame:
-    """Links within each deal of ``dealt`` (``set``, ``row``, ``grp``, ``i``, ``j``, ``side``, ``label``).
+    """Stars that connect what links within each deal of ``dealt`` (``set``, ``row``, ``grp``, ``i``, ``j``, ``side``, ``label``).
 
     Texts come from ``documents``; a set is built again from its text where its deal is joined.
     With ``i < j`` only sets of different sides are compared.
@@ -239,7 +237,9 @@ def tree_links(documents: DataFrame, dealt: DataFrame, words: int, percent: int)
             offsets = np.concatenate([[0], np.cumsum([len(s) for s in sets])])
             across = keys[1, own[0]] != keys[2, own[0]]
             pairs = linked(np.concatenate(sets), offsets, percent, label[own], side[own] if across else None)
-            found.append(keys[3][own][pairs])
+            hub = merged(np.arange(len(own)), pairs[:, 0], pairs[:, 1])  # stars, so that components settle soon
+            joined = np.flatnonzero(hub != np.arange(len(own)))
+            found.append(keys[3][own][np.stack([joined, hub[joined]], axis=1)])
         pairs = np.concatenate(found) if found else np.zeros((0, 2), np.int64)
         yield batch_of(schema, a=pairs[:, 0], b=pairs[:, 1])
 

@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from fareweather.llm import forest, ngram_join, signature_tree, substrings
 from fareweather.llm.components import components
 from fareweather.llm.signature_tree import linked
+from fareweather.llm.tasks import stored
 from fareweather.llm.text import distinct_shingles, mix, text_chunks
 from tests.llm.fixtures import documents, lower, no_documents, odd_documents, roots, texts, words
 
@@ -326,3 +327,18 @@ def test_vector_edge_rows(spark):
     assert [tuple(r) for r in found[:2]] == [(1, 2, 1, True)] * 2
     assert sorted((r["n_links"], r["component_id"], r["kept"]) for r in found[2:] if r["component_id"]) == [(2, 1, False)]
     assert [r for r in found if r["component_id"] is None and r["n_links"] == 0 and not r["kept"]]
+
+
+def test_many_rows_of_one_id_cost_no_more_than_own_ids(spark):
+    """What was found of a row goes back to rows of its id and text alone, not to all rows of the id."""
+    dice = dice_of.Random(9)
+    passage = " ".join(f"p{i}" for i in range(30))
+    rows = [f"{passage} " + " ".join(f"w{dice.randrange(10**6)}" for _ in range(30)) for _ in range(200)]
+    out = []
+    for ids in ([5] * 200, list(range(200))):
+        table = spark.createDataFrame(list(zip(ids, rows)), "doc_id long, text string").repartition(4)
+        found = stored(substrings.anchored(table, 20))
+        hits = substrings.repeated_anchors(found.select("key", "f1", "anchors"))
+        assert hits.count() == 200 and hits.agg(F.max(F.size("hits"))).first()[0] <= 2 * 15
+        out.append(substrings.dedup(table).agg(F.sum("n_removed"), F.count("*")).first())
+    assert out[0] == out[1] == (199 * 30, 200)
