@@ -156,7 +156,9 @@ class LakeWarehouse:
 
     def create_view(self, view: str, name: str) -> None:
         """Publish a pass-through of a table for every session of the catalog."""
-        columns = ", ".join(f"`{column}`" for column in self.table(name).columns)
+        self._found(name)
+        names = TABLES[name].fieldNames() if name in TABLES else self.table(name).columns
+        columns = ", ".join(f"`{column}`" for column in names)
         self.spark.sql(
             f"CREATE OR REPLACE VIEW {self.database}.{view} AS SELECT {columns} FROM {self.database}.{name}"
         )
