@@ -8,8 +8,8 @@ source), and the sparse sums are evaluated pair by pair. All arithmetic is in wh
 How it is laid out: a term counts as ``language, NUL, term``, so that one fit holds the
 vocabularies of all languages, however many there are. A fit keeps its vocabulary on the driver
 and broadcasts it, so terms are dealt by hash to as many fits as needed for each to see about
-``FIT_TERMS`` different terms; how many different terms there are is measured first, from one hash
-in ``SKETCH``. The term table is stored by fit, so that each reads its own terms only.
+``FIT_TERMS`` different terms at most; how many there can be is measured first, on one document in
+``SKETCH``. The term table is stored by fit, so that each reads its own terms only.
 
 Two things save work and change no count. A fit need not know all documents of a frequent term: of
 some thousand documents at once it gets, for i up to the minimum frequency, one document of the
@@ -56,10 +56,10 @@ MIN_DOCUMENTS = 3
 TOP_TERMS = 200
 SHARE_UNITS = 1_000_000_000
 
-#: Different terms, kept or not, that one fit sees; bounds its vocabulary on the driver.
-FIT_TERMS = 1 << 21
-#: Different terms are counted from one hash in so many.
-SKETCH = 64
+#: Different terms, kept or not, that one fit may see; bounds its vocabulary on the driver.
+FIT_TERMS = 1 << 22
+#: Different terms are counted in one document of so many.
+SKETCH = 16
 #: Cells (terms times sources) of a block in which pairs are evaluated.
 BLOCK_CELLS = 1 << 18
 #: Sources that a task evaluates against all others of their language.
@@ -81,7 +81,7 @@ _LOWER[65:91] += 32
 
 
 #: Bytes of text that are added up at once, and sums that a task holds back.
-CHUNK_BYTES = 8 << 20
+CHUNK_BYTES = 12 << 20
 HELD_SUMS = 1 << 21
 
 
@@ -106,17 +106,21 @@ def _term_hashes(texts: Texts, lid: pa.Array) -> np.ndarray:
 
 
 def different_terms(rows: DataFrame) -> int:
-    """About how many different (language, term) there are; nothing but hashes is shuffled."""
+    """A number that the different (language, term) hardly exceed; nothing but hashes is shuffled.
+
+    Documents are dealt into ``SKETCH`` parts by their text. All parts together have no more
+    different terms than the sum of each one's, so those of one part are counted.
+    """
     small_batches(rows.sparkSession)
+    part = rows.filter(F.pmod(F.xxhash64("text"), F.lit(SKETCH)) == 0)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for texts in text_chunks(batch["text"], word_bytes=_TERM_BYTES):
                 hashes = _term_hashes(texts, batch["lid"].slice(texts.row, len(texts)))
-                chosen = np.unique(hashes[hashes % np.uint64(SKETCH) == 0])
-                yield pa.RecordBatch.from_arrays([pa.array(chosen.view(np.int64))], ["h"])
+                yield pa.RecordBatch.from_arrays([pa.array(np.unique(hashes).view(np.int64))], ["h"])
 
-    return rows.select("text", "lid").mapInArrow(run, "h long").distinct().count() * SKETCH
+    return part.select("text", "lid").mapInArrow(run, "h long").distinct().count() * SKETCH
 
 
 def term_rows(rows: DataFrame, fits: int, least: int) -> DataFrame:
@@ -187,7 +191,10 @@ def _dealt(hashes: np.ndarray, fits: int) -> np.ndarray:
 
 
 def summed_vectors(vectors: DataFrame, first_id: int) -> DataFrame:
-    """``gid``, ``tid`` and ``n``: sparse vectors times their weights, added up by group within tasks first."""
+    """``gid``, ``tid``, ``n`` and ``of_lang``, the term's whole count.
+
+    Sparse vectors times their weights are added up by group within tasks, then shuffled by term.
+    """
     schema = pa.schema([("gid", pa.int64()), ("tid", pa.int64()), ("n", pa.int64())])
 
     def totals(held: list[tuple[np.ndarray, np.ndarray, np.ndarray]]) -> pa.RecordBatch:
@@ -220,12 +227,13 @@ def summed_vectors(vectors: DataFrame, first_id: int) -> DataFrame:
         if held:
             yield totals(held)
 
-    sums = vectors.select("gid", "weight", "counts").mapInArrow(run, "gid long, tid long, n long")
-    return sums.groupBy("gid", "tid").agg(F.sum("n").alias("n"))
+    sums = vectors.select("gid", "weight", "counts").mapInArrow(run, "gid long, tid long, n long").repartition("tid")
+    whole = F.sum("n").over(Window.partitionBy("tid"))
+    return sums.groupBy("tid", "gid").agg(F.sum("n").alias("n")).withColumn("of_lang", whole)
 
 
 def group_counts(spark: SparkSession, tokens: DataFrame, fits: int, least: int) -> tuple[DataFrame, DataFrame]:
-    """``gid, tid, n`` of all kept terms, and ``tid, lang, term``; one fit after the other."""
+    """``gid, tid, n, of_lang`` of all kept terms, and ``tid, lang, term``; one fit after the other."""
     folder = scratch_folder(spark, "divergence")
     # Documents of one empty term, which no text has, so that no vocabulary is empty.
     seed = spark.range(max(least, 1)).select(F.array(F.lit("\0")).alias("terms"))
@@ -243,7 +251,7 @@ def group_counts(spark: SparkSession, tokens: DataFrame, fits: int, least: int)
         vectors = model.transform(rows.filter("NOT learn"))
         summed_vectors(vectors, first_id).write.mode("append").parquet(f"{folder}/sums")
     return (
-        spark.read.schema("gid long, tid long, n long").parquet(f"{folder}/sums"),
+        spark.read.schema("tid long, gid long, n long, of_lang long").parquet(f"{folder}/sums"),
         spark.read.schema("tid long, lang string, term string").parquet(f"{folder}/names"),
     )
 
@@ -319,13 +327,14 @@ def distances(p: np.ndarray, q: np.ndarray) -> np.ndarray:
 
 
 def document_vectors(documents: DataFrame, lang: str, least: int = MIN_DOCUMENTS) -> tuple[CountVectorizerModel, DataFrame]:
-    """The vectorizer of one language's documents, and their columns with ``terms`` and exact sparse ``counts``.
+    """The vectorizer of one language's documents, and these with their ``terms`` and exact sparse ``counts``.
 
     For vocabularies that fit on the driver; ``audit`` has no such limit.
     """
     lowered = F.translate(F.coalesce("text", F.lit("")), "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
     terms = F.regexp_extract_all(lowered, F.lit(TERM), F.lit(0))
-    rows = documents.filter(F.coalesce("lang", F.lit("")) == lang).withColumn("terms", terms)
+    named = by_place(documents, "doc_id", "lang", "source", "text")
+    rows = named.filter(F.coalesce("lang", F.lit("")) == lang).withColumn("terms", terms)
     vectorizer = CountVectorizer(inputCol="terms", outputCol="counts", minDF=float(least), vocabSize=LARGEST_INTEGER)
     model = vectorizer.fit(rows)
     return model, model.transform(rows)
@@ -338,15 +347,16 @@ def audit(documents: DataFrame, least: int = MIN_DOCUMENTS, top: int = TOP_TERMS
     fits = max(1, -(-different_terms(rows) // fit_terms))
     folder = scratch_folder(spark, "terms")
     made = term_rows(rows, fits, least).withColumn("learn", F.col("weight") == 0)
-    made.write.partitionBy("fit", "learn").option("compression", "zstd").parquet(folder)
+    # Terms hardly repeat within a row, so a dictionary of them would only cost time.
+    made.write.partitionBy("fit", "learn").option("parquet.enable.dictionary", "false").parquet(folder)
     tokens = spark.read.schema("gid long, weight long, terms array<string>, fit int, learn boolean").parquet(folder)
 
     entries, names = group_counts(spark, tokens, fits, least)
-    totals = stored(entries.groupBy("tid").agg(F.sum("n").alias("of_lang")).join(names, "tid"))
-    by_lang = totals.groupBy("lang").agg(F.sum("of_lang").alias("lang_total"), F.count("*").alias("kept"))
+    by_lang = names.groupBy("lang").agg(F.count("*").alias("kept"))
     by_group = entries.groupBy("gid").agg(F.sum("n").alias("total"))
     known = rows.select("lang", "source", "gid", "lid").distinct()
-    groups = stored(known.join(by_group, "gid", "left").join(by_lang, "lang", "left").fillna(0))
+    sized = known.join(by_group, "gid", "left").join(by_lang, "lang", "left").fillna(0)
+    groups = stored(sized.withColumn("lang_total", F.sum("total").over(Window.partitionBy("lid"))))
     per_lang = groups.groupBy("lid").agg(F.count("*").alias("n"), F.max("kept").alias("kept"))
     n_groups, most, kept = per_lang.agg(F.sum("n"), F.max("n"), F.sum("kept")).first()
     if not n_groups:
@@ -355,7 +365,7 @@ def audit(documents: DataFrame, least: int = MIN_DOCUMENTS, top: int = TOP_TERMS
 
     pairs = (
         pair_values(
-            entries.join(groups.select("gid", F.col("lid").alias("of")), "gid"),
+            entries.drop("of_lang").join(groups.select("gid", F.col("lid").alias("of")), "gid"),
             groups.select("lid", "gid", "total", "kept"),
             -(-kept * most // BLOCK_CELLS) or 1,
             -(-most // BLOCK_SOURCES),
@@ -363,12 +373,16 @@ def audit(documents: DataFrame, least: int = MIN_DOCUMENTS, top: int = TOP_TERMS
         .join(groups.select(F.col("gid").alias("other"), F.col("source").alias("item")), "other")
         .join(groups.select("gid", "lang", "source"), "gid")
     )
+    by_value = F.rank().over(Window.partitionBy("gid").orderBy(F.col("value").desc()))
     typical = (
-        entries.join(totals.select("tid", "of_lang", F.col("term").alias("item")), "tid")
-        .join(groups, "gid")
+        entries.join(groups.select("gid", "total", "lang_total", "kept"), "gid")
         .withColumns({"p": share("n", "total", "kept"), "q": share("of_lang", "lang_total", "kept")})
         .filter("p > q")
-        .withColumn("value", distance("p", "q"))
+        .select("gid", "tid", distance("p", "q").alias("value"))
+        .withColumn("by_value", by_value)
+        .filter(F.col("by_value") <= top)  # with all ties of the last value; only these get their names
+        .join(names.select("tid", F.col("term").alias("item")), "tid")
+        .join(groups.select("gid", "lang", "source"), "gid")
     )
     place = F.row_number().over(Window.partitionBy("lang", "source").orderBy(F.col("value").desc(), "item"))
     ranked = {"pair": pairs.withColumn("rank", place), "term": typical.withColumn("rank", place).filter(F.col("rank") <= top)}
