@@ -119,6 +119,23 @@ def test_an_hour_busy_on_both_sides_is_dealt_out(spark):
     assert len(per_task) >= 8 and max(per_task) <= 2 * sum(per_task) / len(per_task)
 
 
+def test_a_busy_hour_is_cut_along_both_sides(spark, monkeypatch):
+    """600 cells of 400 pairs: 20 times 30 of them copy 24,000 rows, 600 in a line would copy 240,000."""
+    trips = simple_facts(spark, [("2024-01-07 10:00:00", float(n), 10.0, 1.0) for n in range(600)])
+    observations = weather(spark, [("2024-01-07 10:30:00", float(n), "Rain") for n in range(400)])
+    shuffled, repartition = [], type(trips).repartition
+
+    def counted(frame, *args):
+        shuffled.append(frame.count())
+        return repartition(frame, *args)
+
+    monkeypatch.setattr(type(trips), "repartition", counted)
+    joined = enrich_trips(trips, observations, cell_pairs=400, broadcast_limit=0)
+    assert len(shuffled) == 2 and max(shuffled) <= 12_600
+    pairs = joined.agg(F.count(F.lit(1)), F.count_distinct("PULocationID", "temperature")).first()
+    assert tuple(pairs) == (600 * 400, 600 * 400)
+
+
 def test_a_busy_hour_is_not_broadcast(spark, monkeypatch):
     trips, observations = edge_facts(spark), weather(spark, TWO_AT_TEN)
     expected = rows(enrich_trips(trips, observations))
