@@ -131,7 +131,7 @@ def _jdbc_warehouse(spark: SparkSession) -> JdbcWarehouse:
 
 def _raw_months(spark: SparkSession, sf_dir: str) -> str:
     raw_root = scratch_folder(spark, "raw")
-    feeds.write_raw_months(feeds.monthly_trips(spark, sf_dir), raw_root)
+    feeds.write_raw_lines(spark, sf_dir, raw_root)
     return raw_root
 
 

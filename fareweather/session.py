@@ -20,6 +20,9 @@ SESSION_DEFAULTS = {
     "spark.sql.maxConcurrentOutputFileWriters": "8",
 }
 
+# How lake and tables are written.
+PARQUET_OPTIONS = {"compression": "zstd"}
+
 # Settings that only take effect before the session starts.
 START_DEFAULTS = {
     # Checkpoint files go when nothing refers to them any more.

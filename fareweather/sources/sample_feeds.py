@@ -11,10 +11,12 @@ from pyspark.sql import functions as F
 
 from fareweather.functions.weather import with_weather_features
 from fareweather.schemas import DIM_WEATHER, RAW_TRIP, conform
+from fareweather.session import PARQUET_OPTIONS
 from fareweather.sources.trip_lake import FILE_STEM, Period
 
 # Monthly files written below a partition folder, so that one Spark job writes them all.
 SAMPLE_STEM = f"file={FILE_STEM}"
+MONTH_NUMBER = "_month"
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -148,10 +150,14 @@ def _document(
     )
 
 
-def monthly_trips(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Every line item as a raw trip; returned goods give negative fares, small ones negative durations."""
+def _line_pickup() -> Column:
     minute = (F.col("l_orderkey") * 37 + F.col("l_partkey") * 11 + F.col("l_linenumber")) % 1440
-    pickup = _after(F.col("l_shipdate"), minute)
+    return _after(F.col("l_shipdate"), minute)
+
+
+def line_trips(lines: DataFrame) -> DataFrame:
+    """Line items as raw trips; returned goods give negative fares, small ones negative durations."""
+    pickup = _line_pickup()
     fare = F.when(F.col("l_returnflag") == "R", -F.col("l_extendedprice")).otherwise(F.col("l_extendedprice"))
     tip = F.col("l_extendedprice") * F.col("l_discount") * F.col("l_linenumber")
     trips = {
@@ -166,9 +172,12 @@ def monthly_trips(spark: SparkSession, sf_dir: str) -> DataFrame:
         "PULocationID": F.col("l_suppkey"),
         "DOLocationID": F.col("l_partkey"),
     }
-    return table(spark, sf_dir, "lineitem").select(
-        *[trips[name].alias(name) for name in RAW_TRIP.fieldNames()]
-    )
+    return lines.select(*[trips[name].alias(name) for name in RAW_TRIP.fieldNames()])
+
+
+def monthly_trips(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every line item as a raw trip."""
+    return line_trips(table(spark, sf_dir, "lineitem"))
 
 
 def order_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -194,16 +203,25 @@ def order_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def write_raw_months(trips: DataFrame, raw_root: str) -> None:
     """Raw trips as one file folder per pickup month; AQE splits a month too large for one task."""
+    _write_months(_by_month(trips, F.col("tpep_pickup_datetime")).drop(MONTH_NUMBER), raw_root)
+
+
+def write_raw_lines(spark: SparkSession, sf_dir: str, raw_root: str) -> None:
+    """The same for all line items, which become trips after the exchange, as their own columns are narrower."""
+    _write_months(line_trips(_by_month(table(spark, sf_dir, "lineitem"), _line_pickup())), raw_root)
+
+
+def _by_month(rows: DataFrame, pickup: Column) -> DataFrame:
+    """Rows exchanged by the number of their pickup month; file names would be longer than some rows."""
+    return rows.withColumn(MONTH_NUMBER, F.year(pickup) * 12 + F.month(pickup)).hint("rebalance", MONTH_NUMBER)
+
+
+def _write_months(trips: DataFrame, raw_root: str) -> None:
     pickup = F.col("tpep_pickup_datetime")
     two_digits = F.lpad(F.month(pickup).cast("string"), 2, "0")
     name = F.concat(F.lit(f"{FILE_STEM}_"), F.year(pickup), F.lit("-"), two_digits, F.lit(".parquet"))
-    (
-        trips.withColumn("file", name)
-        .hint("rebalance", "file")
-        .write.partitionBy("file")
-        .mode("append")
-        .parquet(raw_root)
-    )
+    named = trips.withColumn("file", name)
+    named.write.options(**PARQUET_OPTIONS).partitionBy("file").mode("append").parquet(raw_root)
 
 
 def trip_years(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from fareweather.schemas import INT, RAW_TRIP, conform, struct
-from fareweather.session import object_store_path
+from fareweather.session import PARQUET_OPTIONS, object_store_path
 from fareweather.sources.folders import Folder
 
 Period = tuple[int, int]
@@ -70,7 +70,8 @@ def land_month(
     keys = {"year": F.lit(str(year)), "month": F.lit(str(month))}
     (
         trips.withColumns(keys)
-        .write.partitionBy("year", "month")
+        .write.options(**PARQUET_OPTIONS)
+        .partitionBy("year", "month")
         .mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .parquet(lake_root)

@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from fareweather.schemas import INT, LONG, TABLES, TEXT, conform, struct
-from fareweather.session import object_store_path, shared_folder
+from fareweather.session import PARQUET_OPTIONS, object_store_path, shared_folder
 from fareweather.sources.folders import Folder
 from fareweather.sources.snapshots import Snapshot, Snapshots
 
@@ -105,7 +105,7 @@ class LakeWarehouse:
         """
         own = f"/{STREAM_COLUMN}={self._escaped(stream_id)}/{BATCH_COLUMN}={batch_id}"
         part = _new_folder() + own
-        df.write.parquet(f"{self.path(name)}/{part}")
+        df.write.options(**PARQUET_OPTIONS).parquet(f"{self.path(name)}/{part}")
         self._snapshots(name).commit(lambda old: old.of([p for p in old.parts if not p.endswith(own)] + [part]))
 
     def replace_months(
@@ -145,7 +145,7 @@ class LakeWarehouse:
     def _merge(self, name: str, parts: list[str], level: int) -> None:
         merged = f"{_new_folder()}/{STREAM_COLUMN}={NO_STREAM}/{BATCH_COLUMN}={level}"
         rows = self._rows(name, parts).drop(*BATCH_KEYS.fieldNames())
-        rows.hint("rebalance").write.parquet(f"{self.path(name)}/{merged}")
+        rows.hint("rebalance").write.options(**PARQUET_OPTIONS).parquet(f"{self.path(name)}/{merged}")
 
         def swapped(old: Snapshot) -> Snapshot:
             if not set(parts) <= set(old.parts):
@@ -237,9 +237,10 @@ class LakeWarehouse:
         """Write the rows to folders of their own and list these."""
         keys, version = PARTITION_KEYS.get(name), _new_folder()
         if keys is None:
-            df.write.parquet(f"{self.path(name)}/{version}")
+            df.write.options(**PARQUET_OPTIONS).parquet(f"{self.path(name)}/{version}")
             return [version]
-        with_keys(df, keys).write.partitionBy(*keys.fieldNames()).parquet(f"{self.path(name)}/{version}")
+        writer = with_keys(df, keys).write.options(**PARQUET_OPTIONS).partitionBy(*keys.fieldNames())
+        writer.parquet(f"{self.path(name)}/{version}")
         folder, parts = Folder(self.spark, self.path(name)), [version]
         for key in keys.fieldNames():
             parts = [f"{part}/{own}" for part in parts for own in folder.names(part) if own.startswith(f"{key}=")]

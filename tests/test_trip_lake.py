@@ -5,10 +5,13 @@ from pathlib import Path
 import pyarrow.parquet
 from pyspark.sql import functions as F
 
+from fareweather.functions.trips import fact_trips
 from fareweather.schemas import RAW_TRIP
+from fareweather.sources import sample_feeds
 from fareweather.sources.trip_lake import ingest_periods, month_path, read_lake
-from tests.plans import plan_text
-from tests.trips import raw_trips
+from fareweather.sources.warehouse import LakeWarehouse
+from tests.plans import plan_text, rows
+from tests.trips import at, raw_trips
 
 MONTHS = [(2023, 1), (2023, 2), (2023, 3)]
 
@@ -125,3 +128,36 @@ def test_chosen_months_prune_partitions(spark, folder):
     assert "year" in filters and "month" in filters
     assert "PushedFilters" not in plan and "Filter " not in plan  # nothing left to test per row
     assert read_lake(spark, lake, []).count() == 0
+
+
+def test_lake_and_tables_are_packed(spark, folder):
+    root, lake = f"{folder}/raw", f"{folder}/lake"
+    write_month(spark, root, MONTHS[0], 500)
+    ingest_periods(spark, root, lake, MONTHS[:1])
+    warehouse = LakeWarehouse(spark, f"{folder}/warehouse", f"packed_{Path(folder).name.replace('-', '_')}")
+    warehouse.replace("fact_taxi_trips", fact_trips(read_lake(spark, lake), "year", "month"))
+    warehouse.append_batch("weather_quarantine", spark.createDataFrame([("a", "b")], "source_file STRING, record STRING"), 0)
+    files = [path for top in (lake, warehouse.root) for path in Path(top).rglob("*.parquet") if path.is_file()]
+    found = [pyarrow.parquet.ParquetFile(path).metadata for path in files]
+    groups = [file.row_group(0) for file in found if file.num_row_groups]  # tasks without rows leave empty files
+    assert len(groups) >= 3
+    for group in groups:
+        for column in map(group.column, range(group.num_columns)):
+            assert column.compression == "ZSTD"
+
+
+def test_raw_lines_are_the_monthly_trips(spark, folder):
+    """Nothing that a trip is made of changes in the exchange, which line items pass before they are trips."""
+    lines = [
+        (n, n * 7 % 50, n % 4, n % 7 + 1, float(n % 50), 100.0 + n, n % 10 / 100, "RAN"[n % 3], at(f"1996-{n % 3 + 1:02d}-{n % 28 + 1:02d} 00:00:00") if n % 11 else None)
+        for n in range(300)
+    ]
+    names = "l_orderkey BIGINT, l_partkey BIGINT, l_suppkey BIGINT, l_linenumber INT, l_quantity DOUBLE, l_extendedprice DOUBLE"
+    data = spark.createDataFrame(lines, f"{names}, l_discount DOUBLE, l_returnflag STRING, l_shipdate TIMESTAMP_NTZ")
+    data.union(data.limit(20)).write.parquet(f"{folder}/lineitem.parquet")
+    sample_feeds.write_raw_lines(spark, folder, f"{folder}/raw")
+    trips = sample_feeds.monthly_trips(spark, folder)
+    raw = spark.read.parquet(f"{folder}/raw")
+    assert rows(raw.select(trips.columns)) == rows(trips) and raw.count() == 320
+    month = F.date_format("tpep_pickup_datetime", "yyyy-MM")
+    assert raw.where(F.col("file") != F.concat(F.lit("yellow_tripdata_"), month, F.lit(".parquet"))).count() == 0
