@@ -23,8 +23,9 @@ FILE_STEM = "yellow_tripdata"
 LAKE_SCHEMA = StructType(RAW_TRIP.fields + struct(year=INT, month=INT).fields)
 STATUS_SCHEMA = "year INT, month INT, ok BOOLEAN, rows BIGINT, error STRING"
 
-# Months landed side by side, so that the tail of one does not leave the cluster idle.
-PARALLEL_MONTHS = 8
+# Months landed side by side, so that the tail of one does not leave the cluster idle. A month of
+# one file is one task, so a larger cluster gets as many as it has cores, up to a bound for the driver.
+PARALLEL_MONTHS, MOST_PARALLEL_MONTHS = 8, 16
 
 
 def month_path(raw_root: str, period: Period, stem: str = FILE_STEM) -> str:
@@ -52,7 +53,8 @@ def ingest_periods(
         except Exception as error:  # a missing, foreign or damaged file is this month's problem only
             return *period, False, None, _first_line(error)
 
-    with ThreadPoolExecutor(PARALLEL_MONTHS) as pool:
+    cores = spark.sparkContext.defaultParallelism
+    with ThreadPoolExecutor(max(PARALLEL_MONTHS, min(cores, MOST_PARALLEL_MONTHS))) as pool:
         status = list(pool.map(land, dict.fromkeys(periods)))
     return spark.createDataFrame(status, STATUS_SCHEMA)
 
