@@ -10,6 +10,7 @@ of other tables it was built from.
 from __future__ import annotations
 
 import json
+import threading
 import time
 import uuid
 from collections.abc import Callable, Iterable, Mapping
@@ -39,6 +40,9 @@ PARTITION_KEYS = {
     "trip_totals": MONTH_KEYS,
 }
 
+# The catalog replaces a view by dropping it and making it anew, which two threads must not do at once.
+PUBLISHING = threading.Lock()
+
 # What the folder of one write is named by.
 WRITTEN = "written"
 
@@ -213,7 +217,8 @@ class LakeWarehouse:
             listed = ", ".join(f"'{part}'" for part in found.parts)
             shown = ", ".join(f"`{f.name}`" for f in TABLES[name])
             source = f"SELECT {shown} FROM parquet.`{self.path(name)}` WHERE concat({folder}) IN ({listed})"
-        self.spark.sql(f"CREATE OR REPLACE VIEW {self.database}.{name} AS {source}")
+        with PUBLISHING:
+            self.spark.sql(f"CREATE OR REPLACE VIEW {self.database}.{name} AS {source}")
 
     def _found(self, name: str) -> Snapshot:
         found = self.snapshot(name)
