@@ -12,12 +12,13 @@ and broadcasts it, so terms are dealt by hash to as many fits as needed for each
 ``SKETCH``. The term table is stored by fit, so that each reads its own terms only.
 
 Two things save work and change no count. A fit need not know all documents of a frequent term: of
-some thousand documents at once it gets, for i up to the minimum frequency, one document of the
-terms that at least i of them have, which has the same terms at or above the minimum. And the
-documents of a group that meet in such a chunk are added up before they become vectors: their
-terms are written once for each binary digit of their counts, as documents with weights 1, 2, 4,
-..., whose vectors times their weights add up to the sum of the documents' own vectors.
-``document_vectors`` makes these.
+the documents that a task holds the counts of, it gets, for i up to the minimum frequency, one
+document of the terms that at least i of them have, which has the same terms at or above the
+minimum. And the documents of a group that meet there are added up before they become vectors:
+their terms are written once for each binary digit of their counts, as documents with weights 1, 2,
+4, ..., whose vectors times their weights add up to the sum of the documents' own vectors.
+``document_vectors`` makes these. A task counts a few megabytes of text at once and adds such counts
+up to a number of bytes, which is some fifty megabytes of text.
 
 Sums are added up within tasks before they are shuffled, so a source with a third of all documents
 is no group of its own. Pairs are evaluated in blocks of terms of one language with a bounded
@@ -40,6 +41,7 @@ square of that list.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
@@ -80,8 +82,11 @@ _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
 
 
-#: Bytes of text that are added up at once, and sums that a task holds back.
-CHUNK_BYTES = 12 << 20
+#: Bytes of text that are counted at once, bytes of such counts that are added up, and sums that a task holds back.
+CHUNK_BYTES = 8 << 20
+HELD_BYTES = 96 << 20
+#: Terms of a row: ``CountVectorizer`` sorts and hashes the terms of a row, which is faster in the processor's cache.
+ROW_TERMS = 512
 HELD_SUMS = 1 << 21
 
 
@@ -91,13 +96,17 @@ def _source(documents: DataFrame) -> DataFrame:
     return named.withColumns({"gid": F.xxhash64("lang", "source"), "lid": F.xxhash64("lang")})
 
 
-def _terms(texts: Texts) -> pa.Array:
-    """The terms of some documents, one after the other, A to Z lower-cased."""
-    start, end = texts.bounds
-    inside = _TERM_BYTES[texts.data]
-    offsets = np.concatenate([[0], np.cumsum(end - start)]).astype(np.int32)
-    body = _LOWER[texts.data[inside]]
-    return pa.StringArray.from_buffers(len(start), pa.py_buffer(offsets), pa.py_buffer(body))
+def _terms(texts: Texts, at: np.ndarray) -> pa.Array:
+    """The terms with these different numbers among those of some documents, A to Z lower-cased."""
+    ascending = np.argsort(at)
+    start, end = (bound[at[ascending]] for bound in texts.bounds)
+    edges = np.zeros(len(texts.data) + 1, np.int8)
+    edges[start] += 1
+    edges[end] -= 1
+    inside = np.cumsum(edges[:-1], dtype=np.int8).view(bool)
+    offsets = np.append(0, np.cumsum(end - start)).astype(np.int32)
+    written = pa.StringArray.from_buffers(len(at), pa.py_buffer(offsets), pa.py_buffer(_LOWER[texts.data[inside]]))
+    return written.take(pa.array(np.argsort(ascending)))
 
 
 def _term_hashes(texts: Texts, lid: pa.Array) -> np.ndarray:
@@ -126,57 +135,122 @@ def different_terms(rows: DataFrame) -> int:
 def term_rows(rows: DataFrame, fits: int, least: int) -> DataFrame:
     """``gid``, ``weight``, ``fit`` and ``terms`` as ``language, NUL, term``.
 
-    A row of weight w has the terms that occur w times more in a chunk's documents of a group than
+    A row of weight w has the terms that occur w times more in the held documents of a group than
     its other rows say; rows of weight 0 are the documents that the fits learn from.
     """
     small_batches(rows.sparkSession)
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[_Counts]:
         held, size = [], 0
         for batch in batches:
             held.append(batch)
             size += batch.nbytes
             if size >= CHUNK_BYTES:
-                yield from _chunk_rows(pa.Table.from_batches(held), fits, least)
+                yield from _chunk_counts(pa.Table.from_batches(held), least)
+                held, size = [], 0
+        if held:
+            yield from _chunk_counts(pa.Table.from_batches(held), least)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, size = [], 0
+        for counts in counted(batches):
+            held.append(counts)
+            size += counts.nbytes
+            if size >= HELD_BYTES:
+                yield from _rows_of(_added(held, least), fits, least)
                 held, size = [], 0
         if held:
-            yield from _chunk_rows(pa.Table.from_batches(held), fits, least)
+            yield from _rows_of(_added(held, least), fits, least)
 
     return rows.select("text", "lang", "gid", "lid").mapInArrow(run, "gid long, weight long, fit int, terms array<string>")
 
 
-def _chunk_rows(chunk: pa.Table, fits: int, least: int) -> Iterator[pa.RecordBatch]:
+class _Counts(NamedTuple):
+    """Terms by ascending hash, in how many documents each is (``least`` stands for more), and its times in each group."""
+
+    hashes: np.ndarray
+    names: pa.Array
+    docs: np.ndarray
+    term: np.ndarray
+    gid: np.ndarray
+    times: np.ndarray
+
+    @property
+    def nbytes(self) -> int:
+        return sum(part.nbytes for part in self)
+
+
+def _chunk_counts(chunk: pa.Table, least: int) -> Iterator[_Counts]:
     whole = chunk.set_column(0, "text", chunk["text"].cast(pa.large_string())).sort_by("gid").combine_chunks()
     for texts in text_chunks(whole["text"], 2 * CHUNK_BYTES, _TERM_BYTES):
         own = whole.slice(texts.row, len(texts))
-        gids, written, lang = own["gid"].to_numpy(), _terms(texts), own["lang"].combine_chunks()
+        gids, lang = own["gid"].to_numpy(), own["lang"].combine_chunks()
         hashes = _term_hashes(texts, own["lid"])
-        order = np.argsort(hashes, kind="stable")  # by term, then by document, and so by group
+        order = _ascending(hashes)  # by term, then by document, and so by group
         hashes, docs = hashes[order], texts.word_doc[order]
-        first_group = np.searchsorted(gids, gids)  # a group is known by its first document here
-        by_term = np.flatnonzero(_changes(hashes))
-        by_doc = np.flatnonzero(_changes(hashes) | _changes(docs))
-        by_group = np.flatnonzero(_changes(hashes) | _changes(first_group[docs]))
-        nth = np.arange(len(by_doc)) - np.searchsorted(by_doc, by_term)[np.searchsorted(by_term, by_doc, "right") - 1]
-        times, group = np.diff(np.append(by_group, len(order))), first_group[docs[by_group]]
-
-        def listed(gid: pa.Array, weight: int, fit: int, row: np.ndarray, at: np.ndarray) -> pa.RecordBatch:
-            """One row for each of ``gid``; the term at ``at[i]`` goes to row ``row[i]``, and rows ascend."""
-            names = pc.binary_join_element_wise(lang.take(pa.array(docs[at])), written.take(pa.array(order[at])), "\0")
-            ends = np.searchsorted(row, np.arange(len(gid) + 1)).astype(np.int32)
-            lists = pa.ListArray.from_arrays(pa.array(ends), names)
-            return batch_of(_TOKENS, gid=gid, weight=np.full(len(gid), weight), fit=np.full(len(gid), fit), terms=lists)
-
-        for fit in range(fits):
-            mine = np.flatnonzero(_dealt(hashes[by_group], fits) == fit)
-            mine = mine[np.argsort(group[mine], kind="stable")]
-            for k in range(int(times[mine].max(initial=0)).bit_length()):
-                chosen = mine[times[mine] >> k & 1 == 1]
-                filled, row = np.unique(group[chosen], return_inverse=True)
-                yield listed(pa.array(gids[filled]), 1 << k, fit, row, by_group[chosen])
-            seen = np.flatnonzero((_dealt(hashes[by_doc], fits) == fit) & (nth < least))
-            seen = seen[np.argsort(nth[seen], kind="stable")]
-            yield listed(pa.nulls(least, pa.int64()), 0, fit, nth[seen], by_doc[seen])
+        new_term, groups = _changes(hashes), gids[docs]
+        by_term, by_group = np.flatnonzero(new_term), np.flatnonzero(new_term | _changes(groups))
+        names = pc.binary_join_element_wise(lang.take(pa.array(docs[by_term])), _terms(texts, order[by_term]), "\0")
+        docs_before = np.append(0, np.cumsum(new_term | _changes(docs)))
+        yield _Counts(
+            hashes[by_term],
+            names,
+            np.minimum(np.diff(docs_before[np.append(by_term, len(order))]), least),
+            np.searchsorted(by_term, by_group, "right") - 1,
+            groups[by_group],
+            np.diff(np.append(by_group, len(order))),
+        )
+
+
+def _added(held: list[_Counts], least: int) -> _Counts:
+    """The counts of different documents in one; those of a group come one after the other."""
+    hashes, first, code = np.unique(np.concatenate([part.hashes for part in held]), return_index=True, return_inverse=True)
+    begin = np.cumsum([0, *(len(part.hashes) for part in held)])
+    term = np.concatenate([code[i + part.term] for i, part in zip(begin, held)])
+    gids, group = np.unique(np.concatenate([part.gid for part in held]), return_inverse=True)
+    keys = group * max(len(hashes), 1) + term
+    order = np.argsort(keys)
+    new = np.flatnonzero(_changes(keys[order]))
+    before = np.append(0, np.cumsum(np.concatenate([part.times for part in held])[order]))
+    docs = np.bincount(code, np.concatenate([part.docs for part in held]), len(hashes)).astype(np.int64)
+    return _Counts(
+        hashes,
+        pa.concat_arrays([part.names for part in held]).take(pa.array(first)),
+        np.minimum(docs, least),
+        term[order[new]],
+        gids[group[order[new]]],
+        np.diff(before[np.append(new, len(order))]),
+    )
+
+
+def _rows_of(counts: _Counts, fits: int, least: int) -> Iterator[pa.RecordBatch]:
+    def listed(of: np.ndarray, learn: bool, weight: int, fit: int, at: np.ndarray) -> pa.RecordBatch:
+        """The terms ``at``, each ``of`` a group or a document to learn from, in rows of ``ROW_TERMS`` at most."""
+        new = _changes(of)
+        place = np.arange(len(of)) - np.flatnonzero(new)[np.cumsum(new) - 1]
+        begin = np.flatnonzero(place % ROW_TERMS == 0)
+        lists = pa.ListArray.from_arrays(pa.array(np.append(begin, len(of)), pa.int32()), counts.names.take(pa.array(at)))
+        gid = pa.nulls(len(begin), pa.int64()) if learn else of[begin]
+        return batch_of(_TOKENS, gid=gid, weight=np.full(len(begin), weight), fit=np.full(len(begin), fit), terms=lists)
+
+    fit_of = _dealt(counts.hashes, fits)
+    for fit in range(fits):
+        mine = np.flatnonzero(fit_of[counts.term] == fit)
+        for k in range(int(counts.times[mine].max(initial=0)).bit_length()):
+            chosen = mine[counts.times[mine] >> k & 1 == 1]
+            yield listed(counts.gid[chosen], False, 1 << k, fit, counts.term[chosen])
+        nth, seen = np.nonzero((fit_of == fit) & (counts.docs > np.arange(least)[:, None]))
+        yield listed(nth, True, 0, fit, seen)
+
+
+def _ascending(hashes: np.ndarray) -> np.ndarray:
+    """A stable argsort: numpy sorts numbers faster than places, so leading bits are sorted with the place behind them."""
+    places = np.uint64((1 << len(hashes).bit_length()) - 1)
+    order = (np.sort(hashes & ~places | np.arange(len(hashes), dtype=np.uint64)) & places).astype(np.int64)
+    ordered = hashes[order]
+    if (ordered[1:] < ordered[:-1]).any():  # different hashes with the same leading bits
+        return np.argsort(hashes, kind="stable")
+    return order
 
 
 def _changes(values: np.ndarray) -> np.ndarray:

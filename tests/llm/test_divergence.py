@@ -6,6 +6,8 @@ import random
 import re
 from collections import Counter
 
+import numpy as np
+import pyarrow as pa
 import pytest
 
 from fareweather.llm import divergence
@@ -103,3 +105,48 @@ def test_vectors_of_single_documents_add_up_to_what_the_audit_counts(spark):
     entries, names = divergence.group_counts(spark, made, 1, 3)
     found = entries.join(names, "tid").join(rows.select("gid", "source").distinct(), "gid").filter("lang = 'de'")
     assert sums == {(row["source"], row["term"]): row["n"] for row in found.collect()}
+
+
+@pytest.mark.parametrize("held, once", [(1 << 20, True), (1, False)])
+def test_a_task_adds_up_what_its_chunks_count(spark, monkeypatch, held, once):
+    monkeypatch.setattr(divergence, "CHUNK_BYTES", 1)
+    monkeypatch.setattr(divergence, "HELD_BYTES", held)
+    rows = [(f"Ab b{i % 2} c{i} é " * (i % 4), "en" if i % 3 else None, "xy"[i % 2]) for i in range(24)]
+    table = divergence._source(spark.createDataFrame(rows, "text string, lang string, source string").coalesce(1))
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", 5)
+    try:
+        made = divergence.term_rows(table, 2, 3).collect()
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+    gids = {(r["lang"], r["source"]): r["gid"] for r in table.collect()}
+    written = Counter((r["gid"], r["weight"], name) for r in made if r["weight"] for name in r["terms"])
+    learned = Counter(name for r in made if not r["weight"] for name in r["terms"])
+    assert (max(written.values()) == 1 and max(learned.values()) <= 3) == once
+
+    counts, df = Counter(), Counter()
+    for text, lang, source in rows:
+        terms = [f"{lang or ''}\0{term}" for term in TERM.findall(lower(text))]
+        counts.update((gids[lang or "", source], name) for name in terms)
+        df.update(set(terms))
+    sums: Counter = Counter()
+    for (gid, weight, name), n in written.items():
+        sums[gid, name] += n * weight
+    assert sums == counts
+    assert {name: min(n, 3) for name, n in learned.items()} == {name: min(n, 3) for name, n in df.items()}
+
+
+def test_long_rows_are_cut(monkeypatch):
+    monkeypatch.setattr(divergence, "ROW_TERMS", 3)
+    names = pa.array([f"en\0t{i}" for i in range(10)])
+    term, gid = np.array([*range(10), 0, 1]), np.array([5] * 10 + [9] * 2)
+    counts = divergence._Counts(np.arange(10, dtype=np.uint64), names, np.arange(10) % 4, term, gid, np.array([1] * 9 + [3, 1, 2]))
+    rows = [row for batch in divergence._rows_of(counts, 1, 3) for row in batch.to_pylist()]
+    assert [len(row["terms"]) for row in rows if row["weight"] == 1] == [3, 3, 3, 1, 1]
+    assert [(row["gid"], row["terms"]) for row in rows if row["weight"] == 2] == [(5, ["en\0t9"]), (9, ["en\0t1"])]
+    assert [len(row["terms"]) for row in rows if not row["weight"]] == [3, 3, 1, 3, 1, 2]
+
+
+def test_hashes_with_the_same_leading_bits_are_told_apart():
+    hashes = np.array([7 << 40, 5, 4, 5, 7 << 40, 4, 1 << 63], np.uint64)
+    assert divergence._ascending(hashes).tolist() == np.argsort(hashes, kind="stable").tolist()
+    assert divergence._ascending(hashes[:0]).tolist() == []
